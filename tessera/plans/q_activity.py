@@ -1,3 +1,214 @@
-"""Registered queries."""
+"""Registered queries: date-lists, bitmasks and reduced facts."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.operators import activity as ac
+from tessera.operators import quality as qa
+from tessera.operators.sequence import islands
+from tessera.plans import standins as S
+from tessera.plans.registry import register
+from tessera.sources.tables import read_table
+
+AS_OF = S.EVENTS_AS_OF
+START = "2024-01-01"
+PURCHASES = "event_type = 'purchase'"
+
+
+def purchases(spark, sf_dir):
+    return read_table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+
+
+def _dates_key(c):
+    return F.array_join(F.transform(F.col(c), lambda d: F.date_format(d, "MMdd")), ",")
+
+
+def flat_datelist(df):
+    return df.select("user_id", "date", F.size("dates_active").cast("bigint").alias("n_dates"),
+                     _dates_key("dates_active").alias("dates_key"))
+
+
+_DATELIST_SQL = f"""
+ WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events
+            WHERE {PURCHASES} AND user_id IS NOT NULL AND CAST(ts AS DATE) BETWEEN DATE '{START}' AND DATE '{AS_OF}'),
+ f AS (SELECT user_id, min(day) AS first_day FROM d GROUP BY 1),
+ spine AS (SELECT user_id, CAST(unnest(generate_series(first_day, DATE '{AS_OF}', INTERVAL 1 DAY)) AS DATE) AS date
+           FROM f)
+ SELECT s.user_id, s.date, count(*) AS n_dates, string_agg(strftime(d.day, '%m%d'), ',' ORDER BY d.day DESC) AS dates_key
+ FROM spine s JOIN d ON d.user_id = s.user_id AND d.day <= s.date
+ GROUP BY 1, 2"""
+
+
+@register("datelist_backfill", oracle=_DATELIST_SQL)
+def q_datelist_backfill(spark, sf_dir):
+    return flat_datelist(ac.datelist_backfill(purchases(spark, sf_dir), "user_id", "ts", START, AS_OF))
+
+
+@register("datelist_step", oracle=f"SELECT * FROM ({_DATELIST_SQL}) WHERE date = DATE '{AS_OF}'")
+def q_datelist_step(spark, sf_dir):
+    e = purchases(spark, sf_dir)
+    y = ac.datelist_backfill(e, "user_id", "ts", START, "2024-01-29")
+    return flat_datelist(ac.datelist_step(y, e, "user_id", "ts", AS_OF))
+
+
+@register("datelist_set", oracle="""
+ SELECT user_id, count(DISTINCT CAST(ts AS DATE)) AS n_dates,
+        string_agg(DISTINCT strftime(CAST(ts AS DATE), '%m%d'), ',' ORDER BY strftime(CAST(ts AS DATE), '%m%d')) AS dates_key
+ FROM events WHERE user_id IS NOT NULL GROUP BY 1""")
+def q_datelist_set(spark, sf_dir):
+    s = ac.datelist_set(read_table(spark, sf_dir, "events"), "user_id", "ts")
+    return s.select("user_id", F.size("active_dates").cast("bigint").alias("n_dates"),
+                    _dates_key("active_dates").alias("dates_key"))
+
+
+@register("datelist_merge", oracle="""
+ SELECT user_id, count(DISTINCT CAST(ts AS DATE)) AS n_dates,
+        string_agg(DISTINCT strftime(CAST(ts AS DATE), '%m%d'), ',' ORDER BY strftime(CAST(ts AS DATE), '%m%d')) AS dates_key
+ FROM events WHERE user_id IS NOT NULL GROUP BY 1""")
+def q_datelist_merge(spark, sf_dir):
+    # Stored set = first half of the month, new batch = events from day 10 on (overlapping).
+    e = read_table(spark, sf_dir, "events")
+    first = ac.datelist_set(e.where(F.to_date("ts") <= F.lit("2024-01-15")), "user_id", "ts")
+    second = ac.datelist_set(e.where(F.to_date("ts") >= F.lit("2024-01-10")), "user_id", "ts")
+    m = ac.datelist_merge(first, second, "user_id")
+    return m.select("user_id", F.size("active_dates").cast("bigint").alias("n_dates"),
+                    _dates_key("active_dates").alias("dates_key"))
+
+
+@register("datelist_by_device", oracle="""
+ SELECT user_id, event_type AS device, CAST(row_number() OVER (PARTITION BY user_id, event_type ORDER BY day) AS INTEGER) AS pos,
+        day AS active_date
+ FROM (SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day FROM events
+       WHERE user_id IS NOT NULL AND event_type IS NOT NULL)""")
+def q_datelist_by_device(spark, sf_dir):
+    m = ac.datelist_by_device(read_table(spark, sf_dir, "events"), "user_id", "event_type", "ts")
+    e = m.select("user_id", F.explode("device_activity").alias("device", "dates"))
+    return e.select("user_id", "device", F.posexplode("dates").alias("pos", "active_date")).select(
+        "user_id", "device", (F.col("pos") + 1).alias("pos"), "active_date")
+
+
+_MASK_SQL = f"""
+ WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events WHERE {PURCHASES} AND user_id IS NOT NULL),
+ m AS (SELECT user_id,
+              CAST(coalesce(bit_or(CASE WHEN DATE '{AS_OF}' - day BETWEEN 0 AND 31
+                                        THEN CAST(1 AS BIGINT) << (31 - (DATE '{AS_OF}' - day)) END), 0) AS BIGINT) AS mask
+       FROM d GROUP BY 1)"""
+
+
+@register("activity_bitmask", oracle=_MASK_SQL + " SELECT user_id, mask FROM m")
+def q_activity_bitmask(spark, sf_dir):
+    s = ac.datelist_set(purchases(spark, sf_dir), "user_id", "ts")
+    return s.select("user_id", ac.activity_bitmask("active_dates", AS_OF).alias("mask"))
+
+
+@register("activity_flags", oracle=_MASK_SQL + f"""
+ SELECT user_id, mask, bit_count(mask & {ac.MASK_32_DAYS}) > 0 AS is_monthly_active,
+        bit_count(mask & {ac.MASK_28_DAYS}) > 0 AS is_28d_active,
+        bit_count(mask & {ac.MASK_7_DAYS}) > 0 AS is_weekly_active,
+        bit_count(mask & {ac.MASK_1_DAY}) > 0 AS is_daily_active
+ FROM m""")
+def q_activity_flags(spark, sf_dir):
+    s = ac.datelist_set(purchases(spark, sf_dir), "user_id", "ts")
+    m = s.select("user_id", ac.activity_bitmask("active_dates", AS_OF).alias("mask"))
+    return m.select("user_id", "mask", *ac.activity_flags("mask"))
+
+
+@register("month_day_bitmap", oracle="""
+ SELECT user_id, CAST(date_trunc('month', day) AS DATE) AS month,
+        CAST(bit_or(CAST(1 AS BIGINT) << (CAST(day_of_month AS BIGINT) - 1)) AS BIGINT) AS datelist_int
+ FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day, dayofmonth(ts) AS day_of_month
+       FROM events WHERE user_id IS NOT NULL)
+ GROUP BY 1, 2""")
+def q_month_day_bitmap(spark, sf_dir):
+    s = ac.datelist_set(read_table(spark, sf_dir, "events"), "user_id", "ts")
+    return ac.month_day_bitmap(s, "user_id", "active_dates")
+
+
+def site_hits(spark, sf_dir, through=AS_OF):
+    c = ac.daily_counts(read_table(spark, sf_dir, "events"), "user_id", "ts", start=START, end=through)
+    return ac.array_metric_backfill(c, "user_id", through, "site_hits")
+
+
+def flat_arrays(df, col="metric_array"):
+    return df.select("user_id", "month_start", "metric_name",
+                     F.posexplode(col).alias("pos", "value")).select(
+        "user_id", "month_start", "metric_name", (F.col("pos") + 1).alias("pos"), "value")
+
+
+_ARRAY_SQL = f"""
+ WITH c AS (SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS hits FROM events
+            WHERE user_id IS NOT NULL AND CAST(ts AS DATE) BETWEEN DATE '{START}' AND DATE '{AS_OF}' GROUP BY 1, 2),
+ u AS (SELECT DISTINCT user_id FROM c),
+ slots AS (SELECT u.user_id, CAST(s AS INTEGER) AS pos FROM u, range(1, (DATE '{AS_OF}' - DATE '{START}') + 2) t(s)),
+ arr AS (
+   SELECT s.user_id, DATE '{START}' AS month_start, 'site_hits' AS metric_name, s.pos,
+          CAST(coalesce(c.hits, 0) AS BIGINT) AS value
+   FROM slots s LEFT JOIN c ON c.user_id = s.user_id AND dayofmonth(c.day) = s.pos
+ )"""
+
+
+@register("array_metric_backfill", oracle=_ARRAY_SQL + " SELECT * FROM arr")
+def q_array_metric_backfill(spark, sf_dir):
+    return flat_arrays(site_hits(spark, sf_dir))
+
+
+@register("array_metric_step", oracle=_ARRAY_SQL + " SELECT * FROM arr")
+def q_array_metric_step(spark, sf_dir):
+    y = site_hits(spark, sf_dir, "2024-01-29")
+    c = ac.daily_counts(read_table(spark, sf_dir, "events"), "user_id", "ts", start=AS_OF, end=AS_OF)
+    return flat_arrays(ac.array_metric_step(y, c, "user_id", AS_OF, "site_hits"))
+
+
+@register("array_metric_totals", oracle=_ARRAY_SQL + """
+ SELECT metric_name, CAST(month_start + (pos - 1) AS DATE) AS day, CAST(sum(value) AS BIGINT) AS value
+ FROM arr GROUP BY metric_name, month_start, pos""")
+def q_array_metric_totals(spark, sf_dir):
+    return ac.array_metric_totals(site_hits(spark, sf_dir))
+
+
+@register("array_length_profile", oracle=_ARRAY_SQL + """
+ SELECT CAST(len AS INTEGER) AS array_length, count(*) AS n_rows
+ FROM (SELECT user_id, count(*) AS len FROM arr GROUP BY user_id) GROUP BY 1""")
+def q_array_length_profile(spark, sf_dir):
+    return qa.array_length_profile(site_hits(spark, sf_dir), "metric_array")
+
+
+@register("monthly_activity_reduced", oracle="""
+ WITH d AS (SELECT event_type AS host_name, CAST(date_trunc('month', ts) AS DATE) AS month, dayofmonth(ts) AS day,
+                   count(*) AS hits, count(DISTINCT user_id) AS uv
+            FROM events WHERE event_type IS NOT NULL GROUP BY 1, 2, 3),
+ k AS (SELECT DISTINCT month, host_name FROM d),
+ s AS (SELECT month, host_name, CAST(x AS INTEGER) AS pos FROM k, range(1, 32) t(x))
+ SELECT s.month, s.host_name, s.pos, CAST(coalesce(d.hits, 0) AS BIGINT) AS hits,
+        CAST(coalesce(d.uv, 0) AS BIGINT) AS unique_visitors
+ FROM s LEFT JOIN d ON d.month = s.month AND d.host_name = s.host_name AND d.day = s.pos""")
+def q_monthly_activity_reduced(spark, sf_dir):
+    r = ac.monthly_activity_reduced(S.web_events(spark, sf_dir), "host", "event_time", "user_id")
+    z = r.select("month", "host_name", F.arrays_zip("hit_array", "unique_visitors_array").alias("z"))
+    return z.select("month", "host_name", F.posexplode("z").alias("pos", "e")).select(
+        "month", "host_name", (F.col("pos") + 1).alias("pos"), F.col("e.hit_array").alias("hits"),
+        F.col("e.unique_visitors_array").alias("unique_visitors"))
+
+
+@register("run_length_encode", oracle="""
+ WITH o AS (SELECT user_id, event_type, ts,
+                   row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id)
+                   - row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS grp
+            FROM events),
+ r AS (SELECT user_id, event_type, count(*) AS run_length, min(ts) AS run_start, max(ts) AS run_end
+       FROM o GROUP BY user_id, event_type, grp)
+ SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY run_start) AS run, event_type, run_length,
+        run_start, run_end FROM r""")
+def q_run_length_encode(spark, sf_dir):
+    e = read_table(spark, sf_dir, "events").select("user_id", "event_type", "ts", "event_id")
+    return islands(e, "user_id", "ts", "event_type", ["event_id"]).select(
+        "user_id", "run", "event_type", "run_length", "run_start", "run_end")
+
+
+@register("event_spine", oracle="""
+ SELECT CAST(d AS DATE) AS day, count(e.event_id) AS n_events
+ FROM generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY) t(d)
+ LEFT JOIN events e ON CAST(e.ts AS DATE) = CAST(d AS DATE) GROUP BY 1""")
+def q_event_spine(spark, sf_dir):
+    return ac.spine_counts(read_table(spark, sf_dir, "events"), "ts", "2024-01-01", "2024-01-31")
