@@ -1,3 +1,151 @@
-"""Registered queries."""
+"""Registered queries: property graph."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.operators import graph as gr
+from tessera.plans import sql_views as V
+from tessera.plans import standins as S
+from tessera.plans.registry import register
+
+
+def _j(field: str, cast: str | None = None):
+    c = F.get_json_object("properties", f"$.{field}")
+    return (c.try_cast(cast) if cast else c).alias(field)
+
+
+_DD = "WITH " + V.GAME_DETAILS + """,
+ dd AS (
+   SELECT * EXCLUDE (rn) FROM (
+     SELECT *, row_number() OVER (PARTITION BY player_id, game_id ORDER BY team_id ASC NULLS LAST,
+       team_abbreviation ASC NULLS LAST, player_name ASC NULLS LAST, start_position ASC NULLS LAST,
+       comment ASC NULLS LAST, min ASC NULLS LAST, fgm ASC NULLS LAST, pts ASC NULLS LAST,
+       line_part ASC NULLS LAST, line_price ASC NULLS LAST) AS rn
+     FROM gd) WHERE rn = 1
+ ),
+ pv AS (
+   SELECT player_id, max(player_name) AS player_name, count(*) AS number_of_games, sum(pts) AS total_points,
+          string_agg(DISTINCT team_id, ',' ORDER BY team_id) AS teams
+   FROM dd GROUP BY 1
+ ),
+ pairs AS (
+   SELECT a.player_id AS s, b.player_id AS o,
+          CASE WHEN a.team_abbreviation = b.team_abbreviation THEN 'shares_team' ELSE 'plays_against' END AS edge_type,
+          a.pts AS ap, b.pts AS bp
+   FROM dd a JOIN dd b ON a.game_id = b.game_id AND a.player_name <> b.player_name
+   WHERE a.player_id > b.player_id
+ ),
+ pe AS (
+   SELECT CAST(s AS VARCHAR) AS subject_identifier, CAST(o AS VARCHAR) AS object_identifier, edge_type,
+          count(*) AS num_games, sum(ap) AS subject_points, sum(bp) AS object_points
+   FROM pairs GROUP BY 1, 2, 3
+ )"""
+
+
+def game_vertices(spark, sf_dir):
+    return gr.vertices_event(S.games(spark, sf_dir))
+
+
+def player_vertices(spark, sf_dir):
+    return gr.vertices_aggregate(S.game_details(spark, sf_dir))
+
+
+def team_vertices(spark, sf_dir):
+    return gr.vertices_dedup(S.teams(spark, sf_dir))
+
+
+def player_edges(spark, sf_dir):
+    return gr.edges_cooccurrence(S.game_details(spark, sf_dir))
+
+
+@register("vertices_event", oracle="WITH " + V.GAMES + """
+ SELECT CAST(game_id AS VARCHAR) AS identifier, 'game' AS type, pts_home, pts_away,
+        CASE WHEN home_team_wins = 1 THEN home_team_id ELSE visitor_team_id END AS winning_team
+ FROM g""")
+def q_vertices_event(spark, sf_dir):
+    v = game_vertices(spark, sf_dir)
+    return v.select("identifier", "type", _j("pts_home", "int"), _j("pts_away", "int"), _j("winning_team"))
+
+
+@register("vertices_aggregate", oracle=_DD + """
+ SELECT CAST(player_id AS VARCHAR) AS identifier, 'player' AS type, player_name, number_of_games,
+        round(total_points, 2) AS total_points, teams
+ FROM pv""")
+def q_vertices_aggregate(spark, sf_dir):
+    v = player_vertices(spark, sf_dir)
+    teams = F.array_join(F.from_json(F.get_json_object("properties", "$.teams"), "array<string>"), ",")
+    return v.select("identifier", "type", _j("player_name"), _j("number_of_games", "bigint"),
+                    F.round(F.get_json_object("properties", "$.total_points").try_cast("double"), 2).alias("total_points"),
+                    teams.alias("teams"))
+
+
+@register("vertices_dedup", oracle="""
+ SELECT DISTINCT CAST(n_nationkey AS VARCHAR) AS identifier, 'team' AS type, substring(n_name, 1, 3) AS abbreviation,
+        n_name AS nickname, n_regionkey AS city, 1900 + n_nationkey AS year_founded
+ FROM nation""")
+def q_vertices_dedup(spark, sf_dir):
+    v = team_vertices(spark, sf_dir)
+    return v.select("identifier", "type", _j("abbreviation"), _j("nickname"), _j("city", "int"),
+                    _j("year_founded", "int"))
+
+
+@register("vertex_type_counts", oracle="""
+ SELECT 'game' AS type, count(*) AS n_vertices FROM orders
+ UNION ALL SELECT 'player', count(DISTINCT l_suppkey) FROM lineitem
+ UNION ALL SELECT 'team', count(DISTINCT n_nationkey) FROM nation""")
+def q_vertex_type_counts(spark, sf_dir):
+    v = gr.vertices_union(game_vertices(spark, sf_dir), player_vertices(spark, sf_dir), team_vertices(spark, sf_dir))
+    return gr.vertex_type_counts(v)
+
+
+@register("edges_bipartite", oracle=_DD + """
+ SELECT CAST(player_id AS VARCHAR) AS subject_identifier, CAST(game_id AS VARCHAR) AS object_identifier,
+        'plays_in' AS edge_type, start_position, pts, team_id
+ FROM dd""")
+def q_edges_bipartite(spark, sf_dir):
+    e = gr.edges_bipartite(S.game_details(spark, sf_dir))
+    return e.select("subject_identifier", "object_identifier", "edge_type", _j("start_position"),
+                    _j("pts", "double"), _j("team_id"))
+
+
+@register("edges_cooccurrence", oracle=_DD + """
+ SELECT subject_identifier, object_identifier, edge_type, num_games, round(subject_points, 2) AS subject_points,
+        round(object_points, 2) AS object_points
+ FROM pe""")
+def q_edges_cooccurrence(spark, sf_dir):
+    e = player_edges(spark, sf_dir)
+    return e.select("subject_identifier", "object_identifier", "edge_type", _j("num_games", "bigint"),
+                    F.round(F.get_json_object("properties", "$.subject_points").try_cast("double"), 2).alias("subject_points"),
+                    F.round(F.get_json_object("properties", "$.object_points").try_cast("double"), 2).alias("object_points"))
+
+
+@register("graph_max_property", oracle=_DD + """
+ SELECT pv.player_name, max(dd.pts) AS max_pts
+ FROM pv JOIN dd ON dd.player_id = pv.player_id GROUP BY 1""")
+def q_graph_max_property(spark, sf_dir):
+    v = player_vertices(spark, sf_dir)
+    e = gr.edges_bipartite(S.game_details(spark, sf_dir))
+    return gr.graph_max_property(v, e, "player_name", "pts")
+
+
+@register("graph_edge_report", oracle=_DD + """
+ SELECT pv.player_name, pe.object_identifier, pe.edge_type,
+        round(pv.total_points / CASE WHEN pv.number_of_games = 0 THEN 1 ELSE pv.number_of_games END, 6) AS avg_pts_per_game,
+        round(pe.subject_points, 2) AS total_points, pe.num_games AS total_games
+ FROM pv JOIN pe ON pe.subject_identifier = CAST(pv.player_id AS VARCHAR)""")
+def q_graph_edge_report(spark, sf_dir):
+    r = gr.graph_edge_report(player_vertices(spark, sf_dir), player_edges(spark, sf_dir))
+    return r.withColumn("avg_pts_per_game", F.round("avg_pts_per_game", 6)) \
+        .withColumn("total_points", F.round("total_points", 2))
+
+
+@register("vertex_degree", oracle=_DD + """,
+ both_dirs AS (
+   SELECT subject_identifier AS vertex, object_identifier AS neighbour FROM pe
+   UNION ALL SELECT object_identifier, subject_identifier FROM pe
+ )
+ SELECT vertex, 'player' AS vertex_type, count(*) AS degree, count(DISTINCT neighbour) AS n_neighbours
+ FROM both_dirs GROUP BY 1""")
+def q_vertex_degree(spark, sf_dir):
+    return gr.vertex_degree(player_edges(spark, sf_dir))
