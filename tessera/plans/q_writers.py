@@ -1,3 +1,113 @@
-"""Registered queries."""
+"""Registered queries: writers (W1, W2, W4) and streaming / micro-batch dedupe.
+
+Queries that write go to fresh folders under the session's checkpoint
+folder (shared storage on a cluster) and return the table read back.
+"""
 
 from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from tessera.plans.registry import register
+from tessera.session import ensure_checkpoint_dir
+from tessera.sources import writers as wr
+from tessera.sources.tables import read_table, stream_glob
+from tessera.streaming import dedup as sd
+
+
+def _scratch(spark, name):
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _cust_state(o):
+    return o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"),
+                                      F.max(F.to_date("o_orderdate")).alias("last_order"))
+
+
+@register("upsert", oracle="""
+ WITH t AS (SELECT o_custkey, count(*) AS n_orders, max(CAST(o_orderdate AS DATE)) AS last_order
+            FROM orders WHERE year(o_orderdate) <= 1999 GROUP BY 1),
+ s AS (SELECT o_custkey, count(*) AS n_orders, max(CAST(o_orderdate AS DATE)) AS last_order
+       FROM orders WHERE year(o_orderdate) >= 2000 GROUP BY 1)
+ SELECT * FROM s UNION ALL SELECT * FROM t WHERE o_custkey NOT IN (SELECT o_custkey FROM s)""")
+def q_upsert(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders")
+    target = _cust_state(o.where(F.year("o_orderdate") <= 1999))
+    source = _cust_state(o.where(F.year("o_orderdate") >= 2000))
+    return wr.upsert(target, source, "o_custkey")
+
+
+_DAILY_SQL = """
+ SELECT event_type AS host, CAST(ts AS DATE) AS day, count(*) AS hits FROM events GROUP BY 1, 2"""
+
+
+def _daily(e):
+    return e.groupBy(F.col("event_type").alias("host"), F.to_date("ts").alias("day")).agg(
+        F.count(F.lit(1)).alias("hits"))
+
+
+@register("overwrite_partition", oracle=_DAILY_SQL)
+def q_overwrite_partition(spark, sf_dir):
+    path = _scratch(spark, "daily")
+    e = read_table(spark, sf_dir, "events")
+    wr.overwrite_partitions(_daily(e), path, ["day"])
+    # Re-run three days: only those partitions are replaced, the result is unchanged.
+    redo = _daily(e.where(F.to_date("ts").between(F.lit("2024-01-10"), F.lit("2024-01-12"))))
+    wr.overwrite_partitions(redo, path, ["day"])
+    return spark.read.parquet(path).select("host", "day", "hits")
+
+
+@register("upsert_partitions", oracle=_DAILY_SQL)
+def q_upsert_partitions(spark, sf_dir):
+    path = _scratch(spark, "daily-merge")
+    e = read_table(spark, sf_dir, "events")
+    wr.overwrite_partitions(_daily(e.where(F.to_date("ts") < F.lit("2024-01-20"))), path, ["day"])
+    wr.upsert_partitions(spark, path, _daily(e.where(F.to_date("ts") >= F.lit("2024-01-15"))), ["host", "day"], ["day"])
+    return spark.read.parquet(path).select("host", "day", "hits")
+
+
+@register("evolve_schema", oracle="""
+ SELECT event_type AS host, CAST(ts AS DATE) AS day, count(*) AS hits,
+        CASE WHEN CAST(ts AS DATE) < DATE '2024-01-16' THEN -1 ELSE count(DISTINCT user_id) END AS unique_visitors
+ FROM events GROUP BY 1, 2""")
+def q_evolve_schema(spark, sf_dir):
+    path = _scratch(spark, "evolve")
+    e = read_table(spark, sf_dir, "events")
+    old = _daily(e.where(F.to_date("ts") < F.lit("2024-01-16")))
+    wr.overwrite_partitions(old, path, ["day"])
+    new = e.where(F.to_date("ts") >= F.lit("2024-01-16")).groupBy(
+        F.col("event_type").alias("host"), F.to_date("ts").alias("day")).agg(
+        F.count(F.lit(1)).alias("hits"), F.count_distinct("user_id").alias("unique_visitors"))
+    wr.overwrite_partitions(new, path, ["day"])
+    r = wr.read_evolved(spark, path, {"unique_visitors": -1})
+    return r.select("host", "day", "hits", "unique_visitors")
+
+
+def _event_stream(spark, sf_dir):
+    schema = read_table(spark, sf_dir, "events").schema
+    return sd.read_event_stream(spark, stream_glob(sf_dir, "events"), schema)
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    out = _scratch(spark, "stream-dedup")
+    s = sd.stream_dedup(_event_stream(spark, sf_dir), ["user_id", "event_type"], "ts", "60 minutes")
+    sd.run_available_now(s.select("event_id", "user_id", "event_type", "ts"), out + "/data", out + "/_ckpt")
+    return spark.read.parquet(out + "/data")
+
+
+@register("microbatch_dedup", oracle="""
+ WITH g AS (SELECT event_id, user_id, event_type, ts, value,
+                   epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id)) AS gap
+            FROM events)
+ SELECT event_id, user_id, event_type, value FROM g WHERE gap IS NULL OR gap > 3600000000""")
+def q_microbatch_dedup(spark, sf_dir):
+    out = _scratch(spark, "microbatch")
+    s = _event_stream(spark, sf_dir).select("event_id", "user_id", "event_type", "ts", "value")
+    writer = sd.microbatch_dedup_writer(out + "/fact", ["user_id", "event_type"], "ts", 60)
+    q = (s.writeStream.foreachBatch(writer).option("checkpointLocation", out + "/_ckpt")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out + "/fact").select("event_id", "user_id", "event_type", "value")

@@ -34,3 +34,8 @@ def with_session_timestamps(df: DataFrame) -> DataFrame:
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
+
+
+def stream_glob(sf_dir: str, name: str) -> str:
+    """Glob matching exactly one table file, for the file stream source (which needs a pattern or a folder)."""
+    return f"{sf_dir.rstrip('/')}/{name[:-1]}[{name[-1]}].parquet"
