@@ -135,7 +135,7 @@ def month_day_bitmap(datelists: DataFrame, key, dates: str, out: str = "datelist
     The month is part of the key, so different months never collide.
     """
     keys = _keys(key)
-    e = datelists.select(*keys, F.explode(dates).alias("_d"))
+    e = datelists.select(*keys, F.explode_outer(dates).alias("_d"))  # empty list -> NULL mask, key kept
     return e.groupBy(*keys, F.trunc("_d", "MM").alias("month")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.dayofmonth("_d") - 1)).alias(out))
 
