@@ -263,3 +263,15 @@ def q_master_entity(spark, sf_dir):
     s = read_table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("nation_key")).agg(
         F.count(F.lit(1)).alias("n_suppliers"), F.round(F.sum("s_acctbal"), 2).alias("supplier_balance"))
     return fx.master_entity([(n, "nation"), (c, "customer"), (s, "supplier")], "nation_key")
+
+
+@register("olap_rollup", oracle="""
+ SELECT o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS order_year,
+        CAST(GROUPING(o_orderpriority, year(o_orderdate)) AS BIGINT) AS grouping_id,
+        count(*) AS n_orders, round(sum(o_totalprice), 2) AS sum_price
+ FROM orders GROUP BY ROLLUP (o_orderpriority, year(o_orderdate))""")
+def q_olap_rollup(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders").withColumn("order_year", F.year("o_orderdate"))
+    return fx.olap_cube(o, ["o_orderpriority", "order_year"],
+                        [F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("sum_price")],
+                        kind="rollup")

@@ -149,3 +149,11 @@ def q_graph_edge_report(spark, sf_dir):
  FROM both_dirs GROUP BY 1""")
 def q_vertex_degree(spark, sf_dir):
     return gr.vertex_degree(player_edges(spark, sf_dir))
+
+
+@register("neighbours", oracle=_DD + """
+ SELECT subject_identifier AS vertex, 'player' AS vertex_type, object_identifier AS neighbour, edge_type FROM pe
+ UNION ALL
+ SELECT object_identifier, 'player', subject_identifier, edge_type FROM pe""")
+def q_neighbours(spark, sf_dir):
+    return gr.neighbours(player_edges(spark, sf_dir))
