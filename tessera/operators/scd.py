@@ -46,8 +46,9 @@ def scd2_backfill(
     s = s.withColumn("_chg", flag).withColumn(
         "_streak", F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
-    return s.groupBy(*keys, "_streak").agg(
-        *[F.first(c).alias(c) for c in tracked],
+    # tracked values are constant inside a streak, so grouping by them is free and keeps the
+    # aggregate buffers fixed-width (hash aggregate, no sort).
+    return s.groupBy(*keys, "_streak", *tracked).agg(
         F.min(period).alias(start),
         F.max(period).alias(end),
     ).select(*keys, *tracked, start, end, period_lit(as_of, is_date).alias(stamp))

@@ -4,9 +4,10 @@ A plain ``lag(...) OVER (PARTITION BY key ORDER BY ts)`` sends every event of
 a key to one task; a key holding a third of all rows would then be one
 giant, single-threaded sort. Here events are partitioned by
 (key, time bucket): the in-bucket ``lag`` runs in parallel across buckets,
-and the previous event of a bucket's first row comes from a per-bucket
-summary (one row per key and bucket, so a hot key contributes at most
-"time span / bucket width" summary rows).
+and the previous event of a bucket's first row comes from the last row of
+the previous non-empty bucket (one summary row per key and bucket, so a hot
+key contributes at most "time span / bucket width" summary rows to the only
+per-key window).
 """
 
 from __future__ import annotations
@@ -34,26 +35,29 @@ def with_previous(
     carry: Sequence[str] = (),
     bucket_seconds: int = 3600,
     prefix: str = "prev_",
+    keep_bucket: bool = False,
 ) -> DataFrame:
     """Add ``prev_<ts>`` and ``prev_<c>`` for ``c`` in ``carry``: the previous event of the same key.
 
-    Order is (ts, *tiebreak); the first event of a key gets NULLs.
+    Order is (ts, *tiebreak); the first event of a key gets NULLs. With
+    ``keep_bucket`` the helper columns ``_bkt`` and ``_is_last`` (last event
+    of its bucket) are kept for further bucket-level work.
     """
     keys = _keys(key)
     order = [ts, *tiebreak]
     payload = list(dict.fromkeys([*order, *carry]))
-    b = df.withColumn("_bkt", time_bucket(ts, bucket_seconds))
-    w_in = Window.partitionBy(*keys, "_bkt").orderBy(*order)
     rec = F.struct(*[F.col(c) for c in payload])
-    b = b.withColumn("_prev_in", F.lag(rec, 1).over(w_in))
-    # Last event of every (key, bucket), then the previous non-empty bucket's last event.
-    summ = b.groupBy(*keys, "_bkt").agg(F.max_by(rec, F.struct(*[F.col(c) for c in order])).alias("_last"))
+    w_in = Window.partitionBy(*keys, "_bkt").orderBy(*order)
+    b = (df.withColumn("_bkt", time_bucket(ts, bucket_seconds))
+         .withColumn("_prev_in", F.lag(rec, 1).over(w_in))
+         .withColumn("_is_last", F.lead(F.lit(1), 1).over(w_in).isNull()))
+    # Last event of every (key, bucket) -> previous non-empty bucket's last event.
     w_b = Window.partitionBy(*keys).orderBy("_bkt")
-    summ = summ.select(*keys, "_bkt", F.lag("_last", 1).over(w_b).alias("_prev_bkt"))
+    summ = b.where("_is_last").select(*keys, "_bkt", F.lag(rec, 1).over(w_b).alias("_prev_bkt"))
     j = b.join(summ, [*keys, "_bkt"], "left")
     prev = F.coalesce(F.col("_prev_in"), F.col("_prev_bkt"))
-    out = j.select(*df.columns, "_bkt", *[prev[c].alias(prefix + c) for c in list(dict.fromkeys([ts, *carry]))])
-    return out.drop("_bkt")
+    extra = ["_bkt", "_is_last"] if keep_bucket else []
+    return j.select(*df.columns, *extra, *[prev[c].alias(prefix + c) for c in list(dict.fromkeys([ts, *carry]))])
 
 
 def islands(
@@ -68,14 +72,14 @@ def islands(
 
     Output: keys, ``run`` (1-based), ``value``, ``run_length``, ``run_start``, ``run_end``.
     The run id is a global running count of value changes per key, built
-    from in-bucket running sums plus per-bucket offsets, so no single task
-    sees a whole key.
+    from in-bucket running sums plus per-bucket offsets (running sum over the
+    bucket summaries), so no single task sees a whole key.
     """
     keys = _keys(key)
     order = [ts, *tiebreak]
     p = with_previous(df.select(*keys, *list(dict.fromkeys([*order, value]))), keys, ts, tiebreak,
-                      carry=[value], bucket_seconds=bucket_seconds, prefix="_p_")
-    p = p.withColumn("_bkt", time_bucket(ts, bucket_seconds)).withColumn(
+                      carry=[value], bucket_seconds=bucket_seconds, prefix="_p_", keep_bucket=True)
+    p = p.withColumn(
         "_chg",
         F.when(F.col("_p_" + ts).isNull(), F.lit(1))
         .when(~F.col(value).eqNullSafe(F.col("_p_" + value)), F.lit(1))
@@ -83,9 +87,9 @@ def islands(
     )
     w_in = Window.partitionBy(*keys, "_bkt").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     p = p.withColumn("_run_in", F.sum("_chg").over(w_in))
-    per_b = p.groupBy(*keys, "_bkt").agg(F.sum("_chg").alias("_n"))
+    # the last row of a bucket carries the bucket's number of changes
     w_b = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    per_b = per_b.select(*keys, "_bkt", F.coalesce(F.sum("_n").over(w_b), F.lit(0)).alias("_off"))
+    per_b = p.where("_is_last").select(*keys, "_bkt", F.coalesce(F.sum("_run_in").over(w_b), F.lit(0)).alias("_off"))
     r = p.join(per_b, [*keys, "_bkt"], "left").withColumn("run", F.col("_off") + F.col("_run_in"))
     return r.groupBy(*keys, "run").agg(
         F.first(value).alias(value),
