@@ -167,7 +167,7 @@ def cumulative_collection(
     thresholds: Sequence[tuple[float, str]],
     else_label: str,
     carry: Sequence[str] = (),
-    items: str = "items",
+    items: str | None = None,
     class_col: str = "quality_class",
     current: str = "current_period",
     avg_digits: int | None = None,
@@ -178,34 +178,36 @@ def cumulative_collection(
     so far (running sum / running count, never re-unnesting the history).
     Rows are pre-aggregated to (key, period) with a partial aggregate before
     the window, so a hot key contributes one row per period to the window.
+
+    ``n_items`` (running item count) is always produced. The item array
+    itself (``items='films'``) is the model's optional payload: it holds every
+    item of the entity so far in one row, so only request it where the items
+    per entity are bounded; without it no per-entity collection is built.
     """
     keys = _keys(key)
     is_date = is_date_type(facts, period)
-    batch = (
-        facts.where(F.col(period) <= period_lit(as_of, is_date))
-        .groupBy(*keys, period)
-        .agg(
-            *[F.max(c).alias(c) for c in carry],
-            F.array_sort(F.collect_list(F.struct(*item_fields))).alias("_batch"),
-            F.sum(measure).alias("_sum"),
-            F.count(measure).alias("_cnt"),
-        )
-    )
+    aggs = [*[F.max(c).alias(c) for c in carry], F.sum(measure).alias("_sum"), F.count(measure).alias("_cnt"),
+            F.count(F.lit(1)).alias("_n")]
+    if items:
+        aggs.append(F.array_sort(F.collect_list(F.struct(*item_fields))).alias("_batch"))
+    batch = facts.where(F.col(period) <= period_lit(as_of, is_date)).groupBy(*keys, period).agg(*aggs)
     w = Window.partitionBy(*keys).orderBy(period)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     until = F.coalesce(period_add(F.lead(F.col(period), 1).over(w), -1, is_date), period_lit(as_of, is_date))
     avg = F.sum("_sum").over(running) / F.sum("_cnt").over(running)
     if avg_digits is not None:
         avg = F.round(avg, avg_digits)
+    payload = [F.flatten(F.collect_list("_batch").over(running)).alias(items)] if items else []
     s = batch.select(
         *keys, *carry,
         F.col(period).alias("last_period"),
-        F.flatten(F.collect_list("_batch").over(running)).alias(items),
+        *payload,
+        F.sum("_n").over(running).alias("n_items"),
         avg.alias("avg_" + measure),
         until.alias("_until"),
     ).withColumn(current, F.explode(F.sequence(F.col("last_period"), F.col("_until"))))
     return s.select(
-        *keys, *carry, items, "avg_" + measure,
+        *keys, *carry, *([items] if items else []), "n_items", "avg_" + measure,
         threshold_class(F.col("avg_" + measure), thresholds, else_label).alias(class_col),
         (F.col(current) == F.col("last_period")).alias("is_active"),
         current,

@@ -36,9 +36,18 @@ def vertices_event(games: DataFrame, id_col: str = "game_id", vtype: str = "game
     )
 
 
+# Columns of a (player, game) row that any vertex or edge reads.
+PLAYER_GAME_COLS = ["game_id", "player_id", "player_name", "team_id", "team_abbreviation", "start_position", "pts"]
+
+
 def player_game_rows(details: DataFrame) -> DataFrame:
-    """(player, game) rows deduped with a total tie-break (one row per pair)."""
-    return dedup_first(details, ["player_id", "game_id"])
+    """(player, game) rows deduped with a total tie-break (one row per pair).
+
+    The rows are projected to the graph's columns first: the tie-break over
+    those columns is total for everything the graph reads (rows equal on all
+    of them are interchangeable), and the shuffle and sort carry 7 columns.
+    """
+    return dedup_first(details.select(*PLAYER_GAME_COLS), ["player_id", "game_id"])
 
 
 def vertices_aggregate(details: DataFrame, dedup: bool = True) -> DataFrame:

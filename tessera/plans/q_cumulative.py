@@ -97,7 +97,7 @@ def actors(spark, sf_dir, as_of=AA):
     af = S.actor_films(spark, sf_dir)
     return cu.cumulative_collection(
         af, "actor_id", "year", ["film", "votes", "rating", "filmid"], "rating", as_of,
-        S.QUALITY_THRESHOLDS, S.QUALITY_ELSE, carry=["actor"], items="films",
+        S.QUALITY_THRESHOLDS, S.QUALITY_ELSE, carry=["actor"],
         current="current_year", avg_digits=9,
     )
 
@@ -109,7 +109,7 @@ _ACTOR_SQL = "WITH " + V.ACTOR_SNAPSHOTS.replace("{as_of}", str(AA))
  SELECT actor_id, current_year, n_films, avg_rating, quality_class, is_active FROM actors_c""")
 def q_cumulative_collection(spark, sf_dir):
     a = actors(spark, sf_dir)
-    return a.select("actor_id", "current_year", F.size("films").cast("bigint").alias("n_films"),
+    return a.select("actor_id", "current_year", F.col("n_items").alias("n_films"),
                     F.col("avg_rating"), "quality_class", "is_active")
 
 
@@ -117,7 +117,7 @@ def q_cumulative_collection(spark, sf_dir):
  SELECT actor_id, current_year, n_films, quality_class, is_active FROM actors_c WHERE current_year = {AA}""")
 def q_latest_snapshot(spark, sf_dir):
     a = cu.latest_snapshot(actors(spark, sf_dir), "actor_id", "current_year")
-    return a.select("actor_id", "current_year", F.size("films").cast("bigint").alias("n_films"),
+    return a.select("actor_id", "current_year", F.col("n_items").alias("n_films"),
                     "quality_class", "is_active")
 
 

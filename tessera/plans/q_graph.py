@@ -18,10 +18,10 @@ def _j(field: str, cast: str | None = None):
 _DD = "WITH " + V.GAME_DETAILS + """,
  dd AS (
    SELECT * EXCLUDE (rn) FROM (
-     SELECT *, row_number() OVER (PARTITION BY player_id, game_id ORDER BY team_id ASC NULLS LAST,
-       team_abbreviation ASC NULLS LAST, player_name ASC NULLS LAST, start_position ASC NULLS LAST,
-       comment ASC NULLS LAST, min ASC NULLS LAST, fgm ASC NULLS LAST, pts ASC NULLS LAST,
-       line_part ASC NULLS LAST, line_price ASC NULLS LAST) AS rn
+     SELECT game_id, player_id, player_name, team_id, team_abbreviation, start_position, pts,
+       row_number() OVER (PARTITION BY player_id, game_id ORDER BY player_name ASC NULLS LAST,
+       team_id ASC NULLS LAST, team_abbreviation ASC NULLS LAST, start_position ASC NULLS LAST,
+       pts ASC NULLS LAST) AS rn
      FROM gd) WHERE rn = 1
  ),
  pv AS (

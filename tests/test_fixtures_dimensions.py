@@ -109,10 +109,15 @@ def actors(spark):
 
 
 def test_c7_collection_fx3(spark):
-    a = actors(spark).select("current_year", F.transform("films", lambda f: f["film"]).alias("f"),
+    a = actors(spark).select("current_year", F.transform("films", lambda f: f["film"]).alias("f"), "n_items",
                              "avg_rating", "quality_class", "is_active")
-    assert rows(a) == [(2000, ["f1", "f2"], 8.0, "good", True), (2001, ["f1", "f2"], 8.0, "good", False),
-                       (2002, ["f1", "f2", "f3"], 7.0, "average", True)]
+    assert rows(a) == [(2000, ["f1", "f2"], 2, 8.0, "good", True), (2001, ["f1", "f2"], 2, 8.0, "good", False),
+                       (2002, ["f1", "f2", "f3"], 3, 7.0, "average", True)]
+    lean = cu.cumulative_collection(films(spark), "actor_id", "year", ["film", "rating"], "rating", 2002,
+                                    [(8, "star"), (7, "good"), (6, "average")], "bad", current="current_year")
+    assert "films" not in lean.columns
+    assert rows(lean, "current_year", "n_items", "quality_class") == [(2000, 2, "good"), (2001, 2, "good"),
+                                                                      (2002, 3, "average")]
 
 
 def test_c8_latest_fx3(spark):
