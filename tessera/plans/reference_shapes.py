@@ -37,7 +37,7 @@ def loop_datelist(spark, sf_dir):
     """A2 as the day-by-day loop of A1."""
     e = read_table(spark, sf_dir, "events").where(F.col("event_type") == "purchase").select("user_id", "ts").checkpoint()
     days = [f"2024-01-{d:02d}" for d in range(1, 31)]
-    y = ac.datelist_backfill(e.limit(0), "user_id", "ts", days[0], days[0])
+    y = ac.datelist_backfill(e.where(F.lit(False)), "user_id", "ts", days[0], days[0])
     parts = []
     for d in days:
         y = ac.datelist_step(y, e, "user_id", "ts", d).checkpoint()
@@ -61,7 +61,7 @@ def calendar_bitmask(spark, sf_dir):
 def loop_array_metrics(spark, sf_dir):
     """A9 as the day-by-day loop of A8."""
     c = ac.daily_counts(read_table(spark, sf_dir, "events"), "user_id", "ts").checkpoint()
-    y = ac.array_metric_backfill(c.limit(0), "user_id", "2024-01-01", "site_hits")
+    y = ac.array_metric_backfill(c.where(F.lit(False)), "user_id", "2024-01-01", "site_hits")
     for d in range(1, 31):
         y = ac.array_metric_step(y, c, "user_id", f"2024-01-{d:02d}", "site_hits").checkpoint()
     return y
