@@ -8,7 +8,6 @@ share of the raw events: raw events are always pre-aggregated to
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F

@@ -63,11 +63,13 @@ def dedup_within_window(df: DataFrame, key, ts: str, window_minutes: float, tieb
 def fact_build(details: DataFrame, games: DataFrame) -> DataFrame:
     """dedupe + join to the header + typed, renamed columns with boolean dimensions.
 
-    Dedupe on the business key (game, team, player), first by game date.
+    Dedupe on the business key (game, team, player). The header's game date
+    is constant inside a key, so ordering by it decides nothing: the dedupe
+    runs on the details alone, before the join, and the join moves one row
+    per key instead of every duplicate.
     """
     g = games.select("game_id", "game_date_est", "season", "home_team_id")
-    j = details.join(g, "game_id", "inner")
-    d = dedup_first(j, ["game_id", "team_id", "player_id"], [F.col("game_date_est")])
+    d = dedup_first(details, ["game_id", "team_id", "player_id"]).join(g, "game_id", "inner")
     return d.select(
         F.col("game_date_est").alias("dim_game_date"),
         F.col("season").alias("dim_season"),
