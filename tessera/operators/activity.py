@@ -101,16 +101,23 @@ def datelist_by_device(events: DataFrame, key, device: str, ts: str, out: str =
         F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(device), F.col("_dates"))))).alias(out))
 
 
-def activity_bitmask(dates, as_of: str) -> Column:
+def activity_bitmask(dates, as_of: str, as_written: bool = False, series_days: int = 31) -> Column:
     """A5: 32-bit activity mask relative to ``as_of`` (MSB = as-of day) from a date array.
 
     A higher-order ``aggregate`` over the key's own array: no calendar cross join.
+
+    ``as_written=True`` reproduces the original formula ``2^(32 - d)`` cast to
+    32 bits over a ``series_days`` calendar ending at ``as_of``: the as-of day
+    itself falls off the top (2^32), so the MSB is the day before and the
+    "daily" flag reads yesterday.
     """
     as_of_d = F.to_date(F.lit(as_of))
+    lo, hi, top = (1, series_days - 1, 32) if as_written else (0, 31, 31)
 
     def step(acc, d):
         diff = F.datediff(as_of_d, d)
-        bit = F.when((diff >= 0) & (diff <= 31), F.call_function("shiftleft", F.lit(1).cast("long"), 31 - diff)).otherwise(F.lit(0).cast("long"))
+        bit = F.when((diff >= lo) & (diff <= hi),
+                     F.call_function("shiftleft", F.lit(1).cast("long"), top - diff)).otherwise(F.lit(0).cast("long"))
         return acc.bitwiseOR(bit)
 
     arr = F.col(dates) if isinstance(dates, str) else dates

@@ -114,6 +114,24 @@ def q_activity_flags(spark, sf_dir):
     return m.select("user_id", "mask", *ac.activity_flags("mask"))
 
 
+@register("activity_flags_as_written", oracle=f"""
+ WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events WHERE {PURCHASES} AND user_id IS NOT NULL),
+ m AS (SELECT user_id,
+              CAST(coalesce(sum(CAST(pow(2, 32 - (DATE '{AS_OF}' - day)) AS BIGINT))
+                   FILTER (WHERE day BETWEEN DATE '{START}' AND DATE '{AS_OF}'), 0) AS BIGINT) & 4294967295 AS mask
+       FROM d GROUP BY 1)
+ SELECT user_id, mask, bit_count(mask) > 0 AS is_monthly_active,
+        bit_count(mask & {ac.MASK_28_DAYS}) > 0 AS is_28d_active,
+        bit_count(mask & {ac.MASK_7_DAYS}) > 0 AS is_weekly_active,
+        bit_count(mask & {ac.MASK_1_DAY}) > 0 AS is_daily_active
+ FROM m""")
+def q_activity_flags_as_written(spark, sf_dir):
+    # The original 2^(32 - d) formula over the month-to-date calendar (30 days to 2024-01-30).
+    s = ac.datelist_set(purchases(spark, sf_dir), "user_id", "ts")
+    m = s.select("user_id", ac.activity_bitmask("active_dates", AS_OF, as_written=True, series_days=30).alias("mask"))
+    return m.select("user_id", "mask", *ac.activity_flags("mask"))
+
+
 @register("month_day_bitmap", oracle="""
  SELECT user_id, CAST(date_trunc('month', day) AS DATE) AS month,
         CAST(bit_or(CAST(1 AS BIGINT) << (CAST(day_of_month AS BIGINT) - 1)) AS BIGINT) AS datelist_int

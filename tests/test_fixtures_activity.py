@@ -30,6 +30,15 @@ def test_fx6_mask_and_flags(spark):
         assert out[i] == (mask, daily, weekly, monthly, d28), i
 
 
+def test_t13_as_written_mask_reads_yesterday(spark):
+    df = spark.createDataFrame([(1, [D(2023, 1, 31)]), (2, [D(2023, 1, 30)]), (3, [D(2023, 1, 1)])],
+                               "k int, dates array<date>")
+    m = df.select("k", ac.activity_bitmask("dates", "2023-01-31", as_written=True).alias("mask"))
+    got = {r.k: (r.mask, r.is_daily_active) for r in m.select("k", "mask", *ac.activity_flags("mask")).collect()}
+    # today's bit (2^32) falls off; yesterday takes the MSB; day 1 of the month is 2^2
+    assert got == {1: (0, False), 2: (2 ** 31, True), 3: (4, False)}
+
+
 def test_fx6_bitmap_and_merge(spark):
     df = spark.createDataFrame([("a", [D(2023, 1, 1), D(2023, 1, 3), D(2023, 2, 1)]), ("b", [])],
                                "k string, dates array<date>")
