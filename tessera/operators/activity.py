@@ -90,6 +90,16 @@ def datelist_merge(existing: DataFrame, new: DataFrame, key, dates: str = "activ
         *keys, F.array_sort(F.array_union(F.coalesce("_e", empty), F.coalesce("_n", empty))).alias(dates))
 
 
+def datelist_to_json(dates) -> Column:
+    """Date-list as a JSON array string (the JSONB storage form), e.g. ``["2023-01-01","2023-01-03"]``."""
+    return F.to_json(F.col(dates) if isinstance(dates, str) else dates)
+
+
+def datelist_from_json(text) -> Column:
+    """Parse a JSON date-list back to ``array<date>``."""
+    return F.from_json(F.col(text) if isinstance(text, str) else text, "array<date>")
+
+
 def datelist_by_device(events: DataFrame, key, device: str, ts: str, out: str = "device_activity") -> DataFrame:
     """A4: per key a map device -> sorted active dates (two-level aggregate)."""
     keys = _keys(key)

@@ -62,6 +62,29 @@ def q_datelist_set(spark, sf_dir):
                     _dates_key("active_dates").alias("dates_key"))
 
 
+@register("host_datelist_set", oracle="""
+ SELECT event_type AS host, count(DISTINCT CAST(ts AS DATE)) AS n_dates,
+        string_agg(DISTINCT strftime(CAST(ts AS DATE), '%m%d'), ',' ORDER BY strftime(CAST(ts AS DATE), '%m%d')) AS dates_key
+ FROM events WHERE event_type IS NOT NULL GROUP BY 1""")
+def q_host_datelist_set(spark, sf_dir):
+    s = ac.datelist_set(S.web_events(spark, sf_dir), "host", "event_time")
+    return s.select("host", F.size("active_dates").cast("bigint").alias("n_dates"),
+                    _dates_key("active_dates").alias("dates_key"))
+
+
+@register("datelist_json", oracle="""
+ SELECT user_id, CAST(date_trunc('month', day) AS DATE) AS month,
+        CAST(bit_or(CAST(1 AS BIGINT) << (CAST(dayofmonth(day) AS BIGINT) - 1)) AS BIGINT) AS datelist_int
+ FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events WHERE user_id IS NOT NULL)
+ GROUP BY 1, 2""")
+def q_datelist_json(spark, sf_dir):
+    # Stored as a JSON array (the JSONB column of the original), read back for the day bitmap.
+    s = ac.datelist_set(read_table(spark, sf_dir, "events"), "user_id", "ts")
+    stored = s.select("user_id", ac.datelist_to_json("active_dates").alias("device_activity_datelist"))
+    back = stored.select("user_id", ac.datelist_from_json("device_activity_datelist").alias("dates"))
+    return ac.month_day_bitmap(back, "user_id", "dates")
+
+
 @register("datelist_merge", oracle="""
  SELECT user_id, count(DISTINCT CAST(ts AS DATE)) AS n_dates,
         string_agg(DISTINCT strftime(CAST(ts AS DATE), '%m%d'), ',' ORDER BY strftime(CAST(ts AS DATE), '%m%d')) AS dates_key
