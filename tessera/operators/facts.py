@@ -34,13 +34,14 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
 
 
 def dedup_window_profile(df: DataFrame, key, ts: str, tiebreak: Sequence[str] = (),
-                         bounds_minutes: Sequence[int] = (1, 5, 15, 60, 1440), bucket_seconds: int = 3600) -> DataFrame:
+                         bounds_minutes: Sequence[int] = (1, 5, 15, 60, 1440), bucket_seconds: int = 3600,
+                         segments: int | None = None) -> DataFrame:
     """D3: distribution of the gap to the previous same-key event, to choose a dedupe window.
 
     Output: ``gap_bucket`` ('<=N min' or '>N min'), ``n_events``. First events of a key
     are not counted.
     """
-    p = with_previous(df, key, ts, tiebreak, bucket_seconds=bucket_seconds, prefix="_p_")
+    p = with_previous(df, key, ts, tiebreak, bucket_seconds=bucket_seconds, prefix="_p_", segments=segments)
     gap = (F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("_p_" + ts).cast("timestamp"))) / 6e7
     label = None
     for b in bounds_minutes:
@@ -52,9 +53,9 @@ def dedup_window_profile(df: DataFrame, key, ts: str, tiebreak: Sequence[str] =
 
 
 def dedup_within_window(df: DataFrame, key, ts: str, window_minutes: float, tiebreak: Sequence[str] = (),
-                        bucket_seconds: int = 3600) -> DataFrame:
+                        bucket_seconds: int = 3600, segments: int | None = None) -> DataFrame:
     """D4 (batch): drop an event when the previous same-key event is at most W earlier."""
-    p = with_previous(df, key, ts, tiebreak, bucket_seconds=bucket_seconds, prefix="_p_")
+    p = with_previous(df, key, ts, tiebreak, bucket_seconds=bucket_seconds, prefix="_p_", segments=segments)
     gap_us = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("_p_" + ts).cast("timestamp"))
     keep = F.col("_p_" + ts).isNull() | (gap_us > F.lit(int(window_minutes * 60_000_000)))
     return p.where(keep).drop("_p_" + ts)

@@ -36,19 +36,32 @@ def with_previous(
     bucket_seconds: int = 3600,
     prefix: str = "prev_",
     keep_bucket: bool = False,
+    segments: int | None = None,
 ) -> DataFrame:
     """Add ``prev_<ts>`` and ``prev_<c>`` for ``c`` in ``carry``: the previous event of the same key.
 
     Order is (ts, *tiebreak); the first event of a key gets NULLs. With
     ``keep_bucket`` the helper columns ``_bkt`` and ``_is_last`` (last event
     of its bucket) are kept for further bucket-level work.
+
+    Buckets are hours (``bucket_seconds``) by default. With ``segments=N`` they
+    are the N row-balanced ranges of a ``repartitionByRange(key, ts, ...)``
+    instead (boundaries from a sample): a key whose events also crowd into one
+    hour is still cut into pieces of about ``rows / N`` rows.
     """
     keys = _keys(key)
     order = [ts, *tiebreak]
     payload = list(dict.fromkeys([*order, *carry]))
     rec = F.struct(*[F.col(c) for c in payload])
     w_in = Window.partitionBy(*keys, "_bkt").orderBy(*order)
-    b = (df.withColumn("_bkt", time_bucket(ts, bucket_seconds))
+    if segments:
+        # range segments are contiguous in (key, ts, tiebreak) order, so the segment id is
+        # monotone in time within a key, exactly like a time bucket
+        based = df.repartitionByRange(segments, *keys, *order).withColumn(
+            "_bkt", F.spark_partition_id().cast("long"))
+    else:
+        based = df.withColumn("_bkt", time_bucket(ts, bucket_seconds))
+    b = (based
          .withColumn("_prev_in", F.lag(rec, 1).over(w_in))
          .withColumn("_is_last", F.lead(F.lit(1), 1).over(w_in).isNull()))
     # Last event of every (key, bucket) -> previous non-empty bucket's last event.
@@ -67,6 +80,7 @@ def islands(
     value: str,
     tiebreak: Sequence[str] = (),
     bucket_seconds: int = 3600,
+    segments: int | None = None,
 ) -> DataFrame:
     """Run-length encode ``value`` per key in (ts, tiebreak) order.
 
@@ -78,7 +92,8 @@ def islands(
     keys = _keys(key)
     order = [ts, *tiebreak]
     p = with_previous(df.select(*keys, *list(dict.fromkeys([*order, value]))), keys, ts, tiebreak,
-                      carry=[value], bucket_seconds=bucket_seconds, prefix="_p_", keep_bucket=True)
+                      carry=[value], bucket_seconds=bucket_seconds, prefix="_p_", keep_bucket=True,
+                      segments=segments)
     p = p.withColumn(
         "_chg",
         F.when(F.col("_p_" + ts).isNull(), F.lit(1))

@@ -29,6 +29,18 @@ def test_dedupe_with_hot_key_equals_plain_lag(spark):
     assert "hashpartitioning(user_id#" in p and "_bkt" in p.split("hashpartitioning(user_id#", 1)[1].split(")")[0]
 
 
+def test_row_balanced_segments_equal_time_buckets(spark):
+    e = hot_events(spark).select("event_id", "user_id", "event_type", "ts")
+    seg = fx.dedup_within_window(e, ["user_id", "event_type"], "ts", 60, ["event_id"], segments=7)
+    hours = fx.dedup_within_window(e, ["user_id", "event_type"], "ts", 60, ["event_id"])
+    assert rows(seg, "event_id") == rows(hours, "event_id")
+    p = seg._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(user_id" in p
+    runs_seg = islands(e, "user_id", "ts", "event_type", ["event_id"], segments=5)
+    runs_hour = islands(e, "user_id", "ts", "event_type", ["event_id"])
+    assert rows(runs_seg) == rows(runs_hour)
+
+
 def test_islands_with_hot_key_equals_row_number_difference(spark):
     e = hot_events(spark).select("event_id", "user_id", "event_type", "ts")
     ours = islands(e, "user_id", "ts", "event_type", ["event_id"], bucket_seconds=600)
