@@ -49,17 +49,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is configured by the deployment and must be on
-    shared storage; we only read it. When it is unset (local runs, tests) a
-    fresh scratch folder is created and registered.
+    shared storage; we only read it, and refuse to run without it (a
+    machine-local folder would not survive a lost executor). Only in local
+    mode (tests, the bench) is a scratch folder created when it is unset.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        if current is None:
+            sc.setCheckpointDir(configured)
         return configured
+    if current is not None:
+        return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
     local = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     try:
         spark.conf.set("spark.checkpoint.dir", local)
     except Exception:  # core setting may be read-only at runtime
