@@ -42,7 +42,7 @@ def dedup_window_profile(df: DataFrame, key, ts: str, tiebreak: Sequence[str] =
     are not counted.
     """
     p = with_previous(df, key, ts, tiebreak, bucket_seconds=bucket_seconds, prefix="_p_", segments=segments)
-    gap = (F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("_p_" + ts).cast("timestamp"))) / 6e7
+    gap = F.timestamp_diff("MICROSECOND", F.col("_p_" + ts), F.col(ts)) / 6e7
     label = None
     for b in bounds_minutes:
         cond = gap <= F.lit(b)
@@ -56,7 +56,8 @@ def dedup_within_window(df: DataFrame, key, ts: str, window_minutes: float, tieb
                         bucket_seconds: int = 3600, segments: int | None = None) -> DataFrame:
     """D4 (batch): drop an event when the previous same-key event is at most W earlier."""
     p = with_previous(df, key, ts, tiebreak, bucket_seconds=bucket_seconds, prefix="_p_", segments=segments)
-    gap_us = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("_p_" + ts).cast("timestamp"))
+    # wall-clock difference for timestamp_ntz (no session time-zone involved), instant difference otherwise
+    gap_us = F.timestamp_diff("MICROSECOND", F.col("_p_" + ts), F.col(ts))
     keep = F.col("_p_" + ts).isNull() | (gap_us > F.lit(int(window_minutes * 60_000_000)))
     return p.where(keep).drop("_p_" + ts)
 

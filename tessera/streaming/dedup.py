@@ -73,7 +73,7 @@ def microbatch_dedup_writer(target_path: str, keys: Sequence[str], ts: str, wind
             for k in keys:
                 e = F.col(k) == F.col("_r_" + k)
                 cond = e if cond is None else cond & e
-            gap = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("_r_ts").cast("timestamp"))
+            gap = F.timestamp_diff("MICROSECOND", F.col("_r_ts"), F.col(ts))
             cond = cond & (gap >= 0) & (gap <= w_us)
             b = b.join(r, cond, "left_anti")
             # Same event re-delivered (same key and time): already stored, drop.
