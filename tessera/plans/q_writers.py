@@ -10,6 +10,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tessera.operators import cumulative as cu
+from tessera.plans import sql_views as V
+from tessera.plans import standins as S
+from tessera.plans.q_cumulative import flat_players, players
 from tessera.plans.registry import register
 from tessera.session import ensure_checkpoint_dir
 from tessera.sources import writers as wr
@@ -85,6 +89,27 @@ def q_evolve_schema(spark, sf_dir):
     return r.select("host", "day", "hits", "unique_visitors")
 
 
+@register("cumulative_incremental_load", oracle="WITH " + V.PLAYER_SNAPSHOTS.replace("{as_of}", str(S.PLAYER_AS_OF))
+          + """ SELECT player_id, current_season, n_history, first_season, last_season, hist_pts, hist_gp,
+                 scoring_class, years_since_last, is_active FROM snap""")
+def q_cumulative_incremental_load(spark, sf_dir):
+    """Daily operation of a cumulative table stored partitioned by period.
+
+    Backfill up to the previous period, then run the one-period step reading
+    only partition p-1 (partition pruning) and write partition p by dynamic
+    overwrite -- twice, to show the load is idempotent.
+    """
+    path = _scratch(spark, "players")
+    p = S.PLAYER_AS_OF
+    wr.overwrite_partitions(players(spark, sf_dir, p - 1), path, ["current_season"])
+    for _ in range(2):
+        yesterday = spark.read.parquet(path).where(F.col("current_season") == p - 1)
+        today = cu.cumulative_step(yesterday, S.player_seasons(spark, sf_dir), "player_id", "season", ["gp", "pts"], p,
+                                   carry=["scoring_class"], history="season_stats", current="current_season")
+        wr.overwrite_partitions(today, path, ["current_season"])
+    return flat_players(spark.read.parquet(path))
+
+
 def _event_stream(spark, sf_dir):
     schema = read_table(spark, sf_dir, "events").schema
     return sd.read_event_stream(spark, stream_glob(sf_dir, "events"), schema)
