@@ -47,6 +47,25 @@ def clock_to_minutes(clock) -> Column:
     return mins + secs / F.lit(60.0)
 
 
+def day_range(df, ts: str, start=None, end=None) -> Column:
+    """``start <= to_date(ts) <= end`` written on the raw timestamp column.
+
+    Comparing the column itself with literals of its own type (instead of
+    wrapping it in ``to_date``) lets Parquet skip row groups: the predicate
+    appears under ``PushedFilters``.
+    """
+    import datetime as _dt
+
+    dtype = df.schema[ts].dataType
+    cond = F.lit(True)
+    if start is not None:
+        cond = cond & (F.col(ts) >= F.lit(str(start)).cast(dtype))
+    if end is not None:
+        nxt = _dt.date.fromisoformat(str(end)[:10]) + _dt.timedelta(days=1)
+        cond = cond & (F.col(ts) < F.lit(nxt.isoformat()).cast(dtype))
+    return cond
+
+
 def guarded_ratio(num, den, zero_as: float = 1.0) -> Column:
     """``num / den`` with a zero denominator replaced by ``zero_as``."""
     d = col_of(den)

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.expr import day_range
+
 # Activity windows over a 32-bit mask whose most significant
 # bit is the as-of day (bit 31 - d is set when the key was active d days earlier).
 MASK_32_DAYS = 0xFFFFFFFF
@@ -27,14 +29,10 @@ def _keys(key) -> list[str]:
 def active_days(events: DataFrame, key, ts: str, start=None, end=None) -> DataFrame:
     """Distinct (key, day) of activity, NULL keys dropped, optional day range."""
     keys = _keys(key)
-    d = events.select(*keys, F.to_date(ts).alias("day"))
+    e = events.where(day_range(events, ts, start, end))
     for k in keys:
-        d = d.where(F.col(k).isNotNull())
-    if start is not None:
-        d = d.where(F.col("day") >= F.to_date(F.lit(start)))
-    if end is not None:
-        d = d.where(F.col("day") <= F.to_date(F.lit(end)))
-    return d.distinct()
+        e = e.where(F.col(k).isNotNull())
+    return e.select(*keys, F.to_date(ts).alias("day")).distinct()
 
 
 def datelist_step(yesterday: DataFrame, events: DataFrame, key, ts: str, at: str,
@@ -160,14 +158,10 @@ def daily_counts(events: DataFrame, key, ts: str, count_col=None, start=None, en
                  name: str = "num_site_hits") -> DataFrame:
     """Per (key, day) event count (NULL keys dropped); partial aggregation before the shuffle."""
     keys = _keys(key)
-    e = events
+    e = events.where(day_range(events, ts, start, end))
     for k in keys:
         e = e.where(F.col(k).isNotNull())
     e = e.withColumn("_day", F.to_date(ts))
-    if start is not None:
-        e = e.where(F.col("_day") >= F.to_date(F.lit(start)))
-    if end is not None:
-        e = e.where(F.col("_day") <= F.to_date(F.lit(end)))
     cnt = F.count(F.lit(1)) if count_col is None else F.count(count_col)
     return e.groupBy(*keys, F.col("_day").alias("day")).agg(cnt.alias(name))
 

@@ -144,7 +144,7 @@ def bucketed_join(spark: SparkSession, left: DataFrame, right: DataFrame, key: s
 
 def retention_split(df: DataFrame, ts: str, cutoff: str, pii: Sequence[str], hash_pii: bool = True):
     """F8: split at the ``cutoff`` day: (recent rows unchanged, old rows with PII hashed or dropped)."""
-    old_cond = F.to_date(F.col(ts)) < F.to_date(F.lit(cutoff))
+    old_cond = F.col(ts) < F.lit(cutoff).cast(df.schema[ts].dataType)  # pushable to the scan
     recent = df.where(~old_cond)
     old = df.where(old_cond)
     if hash_pii:

@@ -10,6 +10,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tessera.functions.expr import day_range
 from tessera.operators import cumulative as cu
 from tessera.plans import sql_views as V
 from tessera.plans import standins as S
@@ -38,8 +39,8 @@ def _cust_state(o):
  SELECT * FROM s UNION ALL SELECT * FROM t WHERE o_custkey NOT IN (SELECT o_custkey FROM s)""")
 def q_upsert(spark, sf_dir):
     o = read_table(spark, sf_dir, "orders")
-    target = _cust_state(o.where(F.year("o_orderdate") <= 1999))
-    source = _cust_state(o.where(F.year("o_orderdate") >= 2000))
+    target = _cust_state(o.where(day_range(o, "o_orderdate", end="1999-12-31")))
+    source = _cust_state(o.where(day_range(o, "o_orderdate", start="2000-01-01")))
     return wr.upsert(target, source, "o_custkey")
 
 
@@ -58,7 +59,7 @@ def q_overwrite_partition(spark, sf_dir):
     e = read_table(spark, sf_dir, "events")
     wr.overwrite_partitions(_daily(e), path, ["day"])
     # Re-run three days: only those partitions are replaced, the result is unchanged.
-    redo = _daily(e.where(F.to_date("ts").between(F.lit("2024-01-10"), F.lit("2024-01-12"))))
+    redo = _daily(e.where(day_range(e, "ts", "2024-01-10", "2024-01-12")))
     wr.overwrite_partitions(redo, path, ["day"])
     return spark.read.parquet(path).select("host", "day", "hits")
 
@@ -67,8 +68,8 @@ def q_overwrite_partition(spark, sf_dir):
 def q_upsert_partitions(spark, sf_dir):
     path = _scratch(spark, "daily-merge")
     e = read_table(spark, sf_dir, "events")
-    wr.overwrite_partitions(_daily(e.where(F.to_date("ts") < F.lit("2024-01-20"))), path, ["day"])
-    wr.upsert_partitions(spark, path, _daily(e.where(F.to_date("ts") >= F.lit("2024-01-15"))), ["host", "day"], ["day"])
+    wr.overwrite_partitions(_daily(e.where(day_range(e, "ts", end="2024-01-19"))), path, ["day"])
+    wr.upsert_partitions(spark, path, _daily(e.where(day_range(e, "ts", start="2024-01-15"))), ["host", "day"], ["day"])
     return spark.read.parquet(path).select("host", "day", "hits")
 
 
@@ -79,9 +80,9 @@ def q_upsert_partitions(spark, sf_dir):
 def q_evolve_schema(spark, sf_dir):
     path = _scratch(spark, "evolve")
     e = read_table(spark, sf_dir, "events")
-    old = _daily(e.where(F.to_date("ts") < F.lit("2024-01-16")))
+    old = _daily(e.where(day_range(e, "ts", end="2024-01-15")))
     wr.overwrite_partitions(old, path, ["day"])
-    new = e.where(F.to_date("ts") >= F.lit("2024-01-16")).groupBy(
+    new = e.where(day_range(e, "ts", start="2024-01-16")).groupBy(
         F.col("event_type").alias("host"), F.to_date("ts").alias("day")).agg(
         F.count(F.lit(1)).alias("hits"), F.count_distinct("user_id").alias("unique_visitors"))
     wr.overwrite_partitions(new, path, ["day"])
