@@ -45,7 +45,7 @@ def main() -> None:
     out += [
         "", "At this size every query is dominated by per-stage overhead (0.1-0.3 s per stage in local mode); the",
         "loops' cost grows with the number of periods (one job and one checkpoint per step), the closed forms' does",
-        "not. Shape timings are single runs after one warm-up.", "",
+        "not. Shapes are timed like the queries (warm-up, then the median).", "",
         f"### Per-query seconds (sf0.1, median of {d['runs']})", "",
         "| query | s | query | s | query | s |", "| --- | --- | --- | --- | --- | --- |",
     ]
