@@ -129,6 +129,16 @@ def sample_fact(df: DataFrame, key: str, modulus: int, keep_below: int, method:
     return df.where(bucket < F.lit(keep_below))
 
 
+def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
+    """Bernoulli row sample (each row independently; reproducible for a fixed input layout)."""
+    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+
+
+def stratified_sample(df: DataFrame, column: str, fractions: dict, seed: int = 42) -> DataFrame:
+    """per-stratum Bernoulli sample (``sampleBy``); strata missing from ``fractions`` are dropped."""
+    return df.sampleBy(column, fractions=fractions, seed=seed)
+
+
 def bucketed_join(spark: SparkSession, left: DataFrame, right: DataFrame, key: str, n_buckets: int,
                   location: str, names: tuple[str, str], how: str = "inner") -> DataFrame:
     """write both sides bucketed and sorted on ``key``; the join then needs no Exchange.

@@ -110,6 +110,18 @@ def test_d1_d2_dedup_ties(spark):
     assert rows(fx.dedup_first(df, ["k"], ["o"])) == [("j", 2, "z"), ("k", 1, "a")]
 
 
+def test_sampling_variants(spark):
+    df = spark.range(2000).withColumn("g", (F.col("id") % 2).cast("string"))
+    whole = fx.sample_fact(df, "id", 10, 3, method="modulo")
+    assert whole.count() == 600
+    h = fx.sample_fact(df, "id", 10, 3)
+    assert 450 < h.count() < 750 and h.count() == fx.sample_fact(df, "id", 10, 3).count()  # deterministic
+    b = fx.sample_rows(df, 0.3)
+    assert 450 < b.count() < 750
+    s = fx.stratified_sample(df, "g", {"0": 0.5, "1": 0.0})
+    assert set(r.g for r in s.collect()) == {"0"}
+
+
 def test_quality_checks(spark):
     df = spark.createDataFrame([(1, "a", "x"), (2, "a", "y"), (2, None, "z")], "id int, c string, e string")
     kc = qa.key_check(df, ["id"]).collect()[0]
