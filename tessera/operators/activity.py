@@ -71,10 +71,15 @@ def datelist_backfill(events: DataFrame, key, ts: str, start: str, end: str,
     return s.select(*keys, dates, F.explode(F.sequence("day", "_u")).alias(date))
 
 
-def datelist_set(events: DataFrame, key, ts: str, dates: str = "active_dates") -> DataFrame:
-    """A3: per key the sorted distinct active dates (oldest first)."""
+def datelist_set(events: DataFrame, key, ts: str, dates: str = "active_dates", start=None, end=None) -> DataFrame:
+    """A3: per key the sorted distinct active dates (oldest first).
+
+    ``start`` / ``end`` restrict the scan to a day range (pushed to Parquet),
+    so an incremental run reads only the new days and merges them with
+    ``datelist_merge`` instead of rescanning all events.
+    """
     keys = _keys(key)
-    d = active_days(events, keys, ts)
+    d = active_days(events, keys, ts, start, end)
     return d.groupBy(*keys).agg(F.array_sort(F.collect_list("day")).alias(dates))
 
 

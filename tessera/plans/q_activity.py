@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.expr import day_range
 from tessera.operators import activity as ac
 from tessera.operators import quality as qa
 from tessera.operators.sequence import islands
@@ -93,8 +92,8 @@ def q_datelist_json(spark, sf_dir):
 def q_datelist_merge(spark, sf_dir):
     # Stored set = first half of the month, new batch = events from day 10 on (overlapping).
     e = read_table(spark, sf_dir, "events")
-    first = ac.datelist_set(e.where(day_range(e, "ts", end="2024-01-15")), "user_id", "ts")
-    second = ac.datelist_set(e.where(day_range(e, "ts", start="2024-01-10")), "user_id", "ts")
+    first = ac.datelist_set(e, "user_id", "ts", end="2024-01-15")
+    second = ac.datelist_set(e, "user_id", "ts", start="2024-01-10")
     m = ac.datelist_merge(first, second, "user_id")
     return m.select("user_id", F.size("active_dates").cast("bigint").alias("n_dates"),
                     _dates_key("active_dates").alias("dates_key"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import quality as qa
+from tessera.plans.q_facts import _FACT_SQL, fct_game_details
 from tessera.plans.registry import register
 from tessera.sources.tables import read_table
 
@@ -38,6 +39,20 @@ def q_key_check(spark, sf_dir):
     return qa.key_check(read_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@register("fact_key_check", oracle=_FACT_SQL + """,
+ k AS (SELECT dim_game_date, dim_player_id, dim_team_id, count(*) AS n,
+              count(*) FILTER (WHERE dim_game_date IS NULL OR dim_player_id IS NULL OR dim_team_id IS NULL) AS nulls
+       FROM fct GROUP BY 1, 2, 3)
+ SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(nulls) AS BIGINT) AS n_null_key_rows,
+        count(*) FILTER (WHERE n > 1) AS n_duplicate_keys,
+        CAST(coalesce(sum(n - 1) FILTER (WHERE n > 1), 0) AS BIGINT) AS n_extra_rows,
+        sum(nulls) = 0 AND count(*) FILTER (WHERE n > 1) = 0 AS is_valid
+ FROM k""")
+def q_fact_key_check(spark, sf_dir):
+    # The fact's declared key (date, player, team) checked after the dedupe on the business key.
+    return qa.key_check(fct_game_details(spark, sf_dir), ["dim_game_date", "dim_player_id", "dim_team_id"])
+
+
 @register("additivity_check", oracle="""
  SELECT (SELECT count(*) FROM (SELECT DISTINCT event_type, user_id FROM events WHERE user_id IS NOT NULL)) AS sum_of_slices,
         count(DISTINCT user_id) AS overall,
