@@ -36,7 +36,7 @@ def cumulative_backfill(
     fields: Sequence[str],
     as_of,
     carry: Sequence[str] = (),
-    history: str = "history",
+    history: str | None = "history",
     current: str = "current_period",
 ) -> DataFrame:
     """Every snapshot row (key, current) from a key's first fact up to ``as_of``.
@@ -45,7 +45,9 @@ def cumulative_backfill(
     keys, ``carry`` columns (taken from the latest fact, i.e. carried forward
     while inactive), ``history`` = array<struct<period, fields>> oldest first,
     ``last_period``, ``years_since_last`` (periods since the latest fact),
-    ``is_active`` and ``current``.
+    ``is_active`` and ``current``. ``history=None`` leaves the array out (the
+    state columns alone are what an SCD needs; the arrays of all snapshots
+    together grow with periods squared).
     """
     keys = _keys(key)
     is_date = is_date_type(facts, period)
@@ -53,13 +55,15 @@ def cumulative_backfill(
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     nxt = F.lead(F.col(period), 1).over(w)
     until = F.coalesce(period_add(nxt, -1, is_date), period_lit(as_of, is_date))
+    hist = ([F.collect_list(F.struct(*[F.col(period)] + [F.col(c) for c in fields])).over(running).alias(history)]
+            if history else [])
     f = (
         facts.where(F.col(period) <= period_lit(as_of, is_date))
         .select(
             *keys,
             *carry,
             F.col(period).alias("last_period"),
-            F.collect_list(F.struct(*[F.col(period)] + [F.col(c) for c in fields])).over(running).alias(history),
+            *hist,
             until.alias("_until"),
         )
         .withColumn(current, F.explode(F.sequence(F.col("last_period"), F.col("_until"))))
@@ -68,7 +72,7 @@ def cumulative_backfill(
     return f.select(
         *keys,
         *carry,
-        history,
+        *([history] if history else []),
         "last_period",
         gap.alias("years_since_last"),
         (gap == 0).alias("is_active"),

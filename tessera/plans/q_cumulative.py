@@ -14,10 +14,10 @@ PA = S.PLAYER_AS_OF
 AA = S.ACTOR_AS_OF
 
 
-def players(spark, sf_dir, as_of=PA):
+def players(spark, sf_dir, as_of=PA, with_history=True):
     ps = S.player_seasons(spark, sf_dir)
-    return cu.cumulative_backfill(ps, "player_id", "season", ["gp", "pts"], as_of,
-                                  carry=["scoring_class"], history="season_stats", current="current_season")
+    return cu.cumulative_backfill(ps, "player_id", "season", ["gp", "pts"], as_of, carry=["scoring_class"],
+                                  history="season_stats" if with_history else None, current="current_season")
 
 
 def flat_players(snap):
@@ -67,7 +67,8 @@ def q_threshold_class(spark, sf_dir):
  SELECT current_season, years_since_last, is_active, scoring_class, count(*) AS n_players
  FROM snap GROUP BY ALL""")
 def q_recency_state(spark, sf_dir):
-    return players(spark, sf_dir).groupBy("current_season", "years_since_last", "is_active", "scoring_class") \
+    return players(spark, sf_dir, with_history=False).groupBy("current_season", "years_since_last", "is_active",
+                                                              "scoring_class") \
         .agg(F.count(F.lit(1)).alias("n_players"))
 
 

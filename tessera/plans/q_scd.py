@@ -17,7 +17,8 @@ _SCD_COLS = "player_id, scoring_class, is_active, start_period, end_period, curr
 
 
 def players_scd(spark, sf_dir, as_of=PA):
-    return scd.scd2_backfill(players(spark, sf_dir, as_of), "player_id", "current_season", TRACKED, as_of)
+    snaps = players(spark, sf_dir, as_of, with_history=False)  # the SCD reads state columns only
+    return scd.scd2_backfill(snaps, "player_id", "current_season", TRACKED, as_of)
 
 
 @register("scd2_backfill", oracle="WITH " + V.PLAYER_SCD.replace("{as_of}", str(PA)) + f" SELECT {_SCD_COLS} FROM scd")
@@ -28,7 +29,7 @@ def q_scd2_backfill(spark, sf_dir):
 @register("scd2_incremental", oracle="WITH " + V.PLAYER_SCD.replace("{as_of}", str(PA)) + f" SELECT {_SCD_COLS} FROM scd")
 def q_scd2_incremental(spark, sf_dir):
     prev = players_scd(spark, sf_dir, PA - 1)
-    snap = players(spark, sf_dir, PA)
+    snap = players(spark, sf_dir, PA, with_history=False)
     return scd.scd2_incremental(prev, snap, "player_id", TRACKED, PA, period="current_season") \
         .select(*_SCD_COLS.split(", "))
 
