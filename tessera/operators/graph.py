@@ -100,24 +100,41 @@ def edges_bipartite(details: DataFrame) -> DataFrame:
     )
 
 
-def _blocked_pairs(rows: DataFrame, group: str, member: str, block_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Both sides of a within-group self-join, split into blocks for large groups.
-
-    A group of n members is cut into k = ceil(n / block_rows) blocks by a
-    hash of the member. Left rows are copied once per partner block and
-    right rows once per own-block partner, so the join key
-    (group, left block, right block) spreads one hot group over k*k tasks of
-    at most ``block_rows`` x ``block_rows`` rows; groups under the block size
-    are not copied at all. Every pair of members still meets exactly once.
+def _group_pairs(rows: DataFrame, group: str, member: str, block_rows: int, residual=None) -> DataFrame:
+    """All (a, b) member pairs with a.member > b.member inside each group, columns prefixed a_/b_.
+
+    Groups of at most ``block_rows`` members join the group-partitioned rows
+    with themselves (one shuffle, read by both sides). A larger group of n
+    members is cut into k = ceil(n / block_rows) blocks by a hash of the
+    member: left rows are copied once per partner block and right rows once
+    per own-block partner, so the join key (group, left block, right block)
+    spreads one hot group over k*k tasks of at most ``block_rows`` squared
+    pairs. Every pair of members meets exactly once; nothing is capped.
     """
+    cols = rows.columns
     sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
     r = rows.join(sizes, group).withColumn(
         "_k", F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(block_rows))).cast("int"))
-    r = r.withColumn("_blk", F.pmod(F.xxhash64(F.col(member)), F.col("_k")).cast("int"))
+
+    def pref(df, p, extra=()):
+        return df.select(*[F.col(c).alias(p + c) for c in [*cols, *extra]])
+
+    def cond(extra_keys=()):
+        c = (F.col("a_" + group) == F.col("b_" + group)) & (F.col("a_" + member) > F.col("b_" + member))
+        for k in extra_keys:
+            c = c & (F.col("a_" + k) == F.col("b_" + k))
+        return c if residual is None else c & residual
+
+    # one explicit shuffle by group that both sides of the small-group self-join read (reused exchange)
+    small = r.where(F.col("_k") == 1).select(*cols).repartition(group)
+    pairs_small = pref(small, "a_").join(pref(small, "b_"), cond(), "inner")
+    big = r.where(F.col("_k") > 1).withColumn("_blk", F.pmod(F.xxhash64(F.col(member)), F.col("_k")).cast("int"))
     partners = F.sequence(F.lit(0), F.col("_k") - 1)
-    left = r.withColumn("_lb", F.col("_blk")).withColumn("_rb", F.explode(partners))
-    right = r.withColumn("_rb", F.col("_blk")).withColumn("_lb", F.explode(partners))
-    return left.drop("_n", "_k", "_blk"), right.drop("_n", "_k", "_blk")
+    left = big.withColumn("_lb", F.col("_blk")).withColumn("_rb", F.explode(partners))
+    right = big.withColumn("_rb", F.col("_blk")).withColumn("_lb", F.explode(partners))
+    pairs_big = pref(left, "a_", ["_lb", "_rb"]).join(pref(right, "b_", ["_lb", "_rb"]), cond(["_lb", "_rb"]), "inner")
+    keep = [p + c for p in ("a_", "b_") for c in cols]
+    return pairs_small.select(*keep).unionByName(pairs_big.select(*keep))
 
 
 def edges_cooccurrence(details: DataFrame, require_distinct_names: bool = True, block_rows: int = 2048) -> DataFrame:
@@ -127,18 +144,12 @@ def edges_cooccurrence(details: DataFrame, require_distinct_names: bool = True,
     ``plays_against`` (a NULL abbreviation counts as different). Per pair and
     type: number of games and both players' points; a pair may own both
     types. Rows are deduped per (player, game) first; the self-join on the
-    game is blocked for large games (see ``_blocked_pairs``) and the pair
+    game is blocked for large games (see ``_group_pairs``) and the pair
     aggregate is a partial + final hash aggregate.
     """
     d = player_game_rows(details).select("game_id", "player_id", "player_name", "team_abbreviation", "pts")
-    left, right = _blocked_pairs(d, "game_id", "player_id", block_rows)
-    a = left.select(*[F.col(c).alias("a_" + c) for c in left.columns])
-    b = right.select(*[F.col(c).alias("b_" + c) for c in right.columns])
-    cond = ((F.col("a_game_id") == F.col("b_game_id")) & (F.col("a__lb") == F.col("b__lb"))
-            & (F.col("a__rb") == F.col("b__rb")) & (F.col("a_player_id") > F.col("b_player_id")))
-    if require_distinct_names:
-        cond = cond & (F.col("a_player_name") != F.col("b_player_name"))
-    j = a.join(b, cond, "inner")
+    names_differ = (F.col("a_player_name") != F.col("b_player_name")) if require_distinct_names else None
+    j = _group_pairs(d, "game_id", "player_id", block_rows, names_differ)
     etype = F.when(F.col("a_team_abbreviation") == F.col("b_team_abbreviation"), F.lit("shares_team")) \
         .otherwise(F.lit("plays_against"))
     g = j.groupBy(F.col("a_player_id").alias("subject_player_id"), F.col("b_player_id").alias("object_player_id"),
