@@ -56,20 +56,28 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key, pa
     """W1 on a partitioned Parquet path: merge the source into the partitions it touches.
 
     The partition columns must be part of the key. Only touched partitions
-    are read (partition pruning through a semi join on the partition values)
-    and rewritten (dynamic overwrite); the merged rows are first written to a
-    staging copy under the checkpoint folder so the overwrite never reads the
-    files it replaces, and a lost executor only re-runs its own tasks.
+    are read and rewritten (dynamic overwrite): their values -- one row per
+    partition, metadata-sized -- become literal predicates, so the scan is
+    pruned to those folders. The merged rows are first written to a staging
+    copy under the checkpoint folder so the overwrite never reads the files
+    it replaces, and a lost executor only re-runs its own tasks.
     """
     keys = _keys(key)
     assert_unique(source, keys)
-    touched = source.select(*partition_by).distinct()
+    touched = [tuple(r) for r in source.select(*partition_by).distinct().collect()]
     try:
         current = spark.read.parquet(path)
     except Exception:  # noqa: BLE001 -- first load: nothing to merge with
         overwrite_partitions(source, path, partition_by)
         return
-    cur = current.join(touched, list(partition_by), "left_semi")
+    pruned = None
+    for values in touched:
+        c = None
+        for col, v in zip(partition_by, values):
+            e = F.col(col).isNull() if v is None else F.col(col) == F.lit(v)
+            c = e if c is None else c & e
+        pruned = c if pruned is None else pruned | c
+    cur = current.where(pruned if pruned is not None else F.lit(False))
     merged = upsert(cur, source.select(*current.columns), keys, check_unique=False)
     staging = f"{spark.sparkContext.getCheckpointDir() or path + '_staging'}/upsert-{uuid.uuid4().hex}"
     merged.write.mode("overwrite").parquet(staging)
