@@ -116,12 +116,20 @@ def _event_stream(spark, sf_dir):
     return sd.read_event_stream(spark, stream_glob(sf_dir, "events"), schema)
 
 
-@register("stream_dedup")
+@register("stream_dedup", oracle="""
+ SELECT user_id, event_type, count(*) AS n_events, 1 AS n_kept FROM events GROUP BY 1, 2""")
 def q_stream_dedup(spark, sf_dir):
+    # The table file arrives as one micro-batch: the watermark cannot pass any kept event inside
+    # it, so exactly one event per key survives (which one is the stream's choice); the check is
+    # per key: events seen vs events kept.
     out = _scratch(spark, "stream-dedup")
     s = sd.stream_dedup(_event_stream(spark, sf_dir), ["user_id", "event_type"], "ts", "60 minutes")
     sd.run_available_now(s.select("event_id", "user_id", "event_type", "ts"), out + "/data", out + "/_ckpt")
-    return spark.read.parquet(out + "/data")
+    kept = spark.read.parquet(out + "/data").groupBy("user_id", "event_type").agg(
+        F.count(F.lit(1)).cast("int").alias("n_kept"))
+    seen = read_table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(
+        F.count(F.lit(1)).alias("n_events"))
+    return seen.join(kept, ["user_id", "event_type"], "left")
 
 
 @register("microbatch_dedup", oracle="""
