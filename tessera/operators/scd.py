@@ -123,23 +123,29 @@ def scd2_open_interval(
     S1 followed by ``scd2_close_open_end``).
     """
     keys = _keys(key)
+    is_date = is_date_type(snapshots, period)
     w = Window.partitionBy(*keys).orderBy(period)
     nxt = F.lead(F.col(period), 1).over(w)
     return snapshots.select(
         *keys, *tracked, F.col(period).alias(start),
-        F.coalesce(nxt - 1, F.lit(open_end)).alias(end),
+        F.coalesce(period_add(nxt, -1, is_date), period_lit(open_end, is_date)).alias(end),
         nxt.isNull().alias("is_current"),
     )
 
 
 def scd2_close_open_end(scd: DataFrame, key, start: str, end: str, open_end: int = 9999) -> DataFrame:
-    """Mark the latest interval of each key open (``open_end``, is_current)."""
+    """Mark the latest interval of each key open (``open_end``, is_current).
+
+    The window has no order and sees the intervals of one key (bounded by
+    its number of changes, not by its raw facts).
+    """
     keys = _keys(key)
+    is_date = is_date_type(scd, start)
     w = Window.partitionBy(*keys)
     latest = F.col(start) == F.max(start).over(w)
     return scd.select(
         *[c for c in scd.columns if c != end],
-        F.when(latest, F.lit(open_end)).otherwise(F.col(end)).alias(end),
+        F.when(latest, period_lit(open_end, is_date)).otherwise(F.col(end)).alias(end),
         latest.alias("is_current"),
     )
 
@@ -167,15 +173,20 @@ def scd2_merge_close(
     Changed entities: the current row closes at ``at - 1`` and a new current
     row opens at ``at``; new entities get a current row; everything else is
     unchanged. Re-running with the same snapshot is a no-op (idempotent).
+    Integer periods use ``open_end`` as the open end; for date periods pass a
+    date string (e.g. ``'9999-12-31'``).
     """
     keys = _keys(key)
+    is_date = is_date_type(snapshot, period)
+    at_l = period_lit(at, is_date)
+    open_l = period_lit(open_end, is_date)
     cols = [*keys, *tracked, start, end, "is_current"]
     history = scd.where(~F.col("is_current")).select(*cols)
     cur = scd.where(F.col("is_current")).select(
         *keys, *[F.col(c).alias("_c_" + c) for c in tracked],
         F.col(start).alias("_c_start"), F.col(end).alias("_c_end"), F.lit(True).alias("_c_present"),
     )
-    snap = snapshot.where(F.col(period) == F.lit(at)).select(
+    snap = snapshot.where(F.col(period) == at_l).select(
         *keys, *[F.col(c).alias("_t_" + c) for c in tracked], F.lit(True).alias("_t_present"),
     )
     j = cur.join(snap, keys, "full")
@@ -191,11 +202,11 @@ def scd2_merge_close(
                         F.lit(current).alias("is_current"))
 
     kept = rec("_c_", F.col("_c_start"), F.col("_c_end"), True)
-    closed = rec("_c_", F.col("_c_start"), F.lit(at - 1), False)
-    opened = rec("_t_", F.lit(at), F.lit(open_end), True)
+    closed = rec("_c_", F.col("_c_start"), period_add(at_l, -1, is_date), False)
+    opened = rec("_t_", at_l, open_l, True)
     rows = (
         F.when(has_c & has_t & same, F.array(kept))
-        .when(has_c & has_t & (F.col("_c_start") >= F.lit(at)), F.array(opened))
+        .when(has_c & has_t & (F.col("_c_start") >= at_l), F.array(opened))
         .when(has_c & has_t, F.array(closed, opened))
         .when(has_c, F.array(kept))
         .otherwise(F.array(opened))

@@ -150,6 +150,24 @@ def test_s5_full_reload_matches_s4(spark):
         ("average", True, 2002, 9999, True), ("good", False, 2001, 2001, False), ("good", True, 2000, 2000, False)]
 
 
+def test_scd2_with_date_periods(spark):
+    import datetime as dt
+    D = dt.date
+    snap = spark.createDataFrame([("k", D(2024, 1, 1), "a"), ("k", D(2024, 1, 2), "a"), ("k", D(2024, 1, 3), "b")],
+                                 "k string, day date, v string")
+    full = scd.scd2_full_reload(snap, "k", "day", ["v"], "2024-01-03", open_end="9999-12-31")
+    assert rows(full, "v", "start_date", "end_date", "is_current") == [
+        ("a", D(2024, 1, 1), D(2024, 1, 2), False), ("b", D(2024, 1, 3), D(9999, 12, 31), True)]
+    s3 = scd.scd2_open_interval(snap, "k", "day", ["v"], open_end="9999-12-31")
+    assert rows(s3, "start_date", "end_date") == [(D(2024, 1, 1), D(2024, 1, 1)), (D(2024, 1, 2), D(2024, 1, 2)),
+                                                  (D(2024, 1, 3), D(9999, 12, 31))]
+    before = scd.scd2_full_reload(snap.where("day <= '2024-01-02'"), "k", "day", ["v"], "2024-01-02",
+                                  open_end="9999-12-31")
+    merged = scd.scd2_merge_close(before, snap, "k", ["v"], "2024-01-03", period="day", open_end="9999-12-31")
+    assert rows(merged, "v", "start_date", "end_date", "is_current") == rows(full, "v", "start_date", "end_date",
+                                                                              "is_current")
+
+
 def test_scd_types_0_1_3(spark):
     df = spark.createDataFrame([("k", 1, "a"), ("k", 2, "b"), ("k", 3, "b"), ("k", 4, "c")], "k string, p int, v string")
     assert rows(scd.scd_type0(df, "k", ["v"], "p")) == [("k", "a", 3)]
