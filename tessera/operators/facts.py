@@ -27,7 +27,8 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
     shuffle, so a heavily duplicated key ships one row per map task.
     """
     ks = set(_keys(keys))
-    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    # column names sort ascending with NULLs last (as the tie-break); pass Column expressions for other orders
+    order_cols = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
     tie = [F.col(c).asc_nulls_last() for c in df.columns if c not in ks]
     w = Window.partitionBy(*keys).orderBy(*order_cols, *tie)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
