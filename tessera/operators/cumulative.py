@@ -138,10 +138,13 @@ def cumulative_step(
 def history_improvement(
     snapshots: DataFrame, key, history: str, measure: str, current: str, at, where=None,
     name: str = "improvement",
+    report: bool = False,
 ) -> DataFrame:
     """Last / first element of ``history.measure`` (zero denominator -> 1).
 
     No aggregation and no shuffle: both ends are read from the array.
+    ``report=True`` adds the final ordering of the report (ratio descending,
+    NULLs first as in the original); only a final report should sort.
     """
     keys = _keys(key)
     s = snapshots.where(F.col(current) == F.lit(at))
@@ -149,8 +152,9 @@ def history_improvement(
         s = s.where(where)
     last = F.try_element_at(F.col(history), F.lit(-1))[measure]
     first = F.try_element_at(F.col(history), F.lit(1))[measure]
-    return s.select(*keys, last.alias("last_value"), first.alias("first_value"),
-                    guarded_ratio(last, first).alias(name))
+    out = s.select(*keys, last.alias("last_value"), first.alias("first_value"),
+                   guarded_ratio(last, first).alias(name))
+    return out.orderBy(F.col(name).desc_nulls_first()) if report else out
 
 
 def history_unnest(snapshots: DataFrame, key, history: str, extra: Sequence[str] = ()) -> DataFrame:

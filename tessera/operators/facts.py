@@ -202,6 +202,11 @@ def factless_fact(df: DataFrame, who: str, ts: str) -> DataFrame:
     return df.select(who, F.to_date(ts).alias("day")).distinct()
 
 
+def factless_coverage(presence: DataFrame, who: str, by: str = "day") -> DataFrame:
+    """F12 report: how many distinct ``who`` occur per ``by`` value (coverage of a factless fact)."""
+    return presence.groupBy(by).agg(F.count_distinct(who).alias(f"n_{who}"))
+
+
 def olap_cube(df: DataFrame, dims: Sequence[str], measures: Sequence[Column], kind: str = "cube") -> DataFrame:
     """slice-and-dice groupings (cube / rollup) with ``grouping_id``."""
     g = df.cube(*dims) if kind == "cube" else df.rollup(*dims)

@@ -237,6 +237,13 @@ def q_factless_fact(spark, sf_dir):
     return fx.factless_fact(read_table(spark, sf_dir, "events"), "user_id", "ts")
 
 
+@register("factless_coverage", oracle="""
+ SELECT CAST(ts AS DATE) AS day, count(DISTINCT user_id) AS n_user_id FROM events GROUP BY 1""")
+def q_factless_coverage(spark, sf_dir):
+    presence = fx.factless_fact(read_table(spark, sf_dir, "events"), "user_id", "ts")
+    return fx.factless_coverage(presence, "user_id")
+
+
 @register("olap_cube", oracle="""
  SELECT o_orderstatus, o_orderpriority, CAST(GROUPING(o_orderstatus, o_orderpriority) AS BIGINT) AS grouping_id,
         count(*) AS n_orders, round(sum(o_totalprice), 2) AS sum_price
