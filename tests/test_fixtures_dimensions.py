@@ -83,6 +83,8 @@ def test_c5_improvement_fx1(spark):
     avg = cu.history_improvement(snap, "name", "stats", "pts", "current_season", 2003,
                                  where=F.col("scoring_class") == "average")
     assert rows(avg, "name", "improvement") == [("Bob", 12.0), ("Dan", 1.0)]
+    rep = cu.history_improvement(snap, "name", "stats", "pts", "current_season", 2003, report=True)
+    assert [r.name for r in rep.collect()] == ["Bob", "Dan", "Cat", "Ann"]  # 12, 1, 25/30, 5/21
 
 
 def test_c6_unnest_fx1(spark):
