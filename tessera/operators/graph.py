@@ -89,9 +89,9 @@ def vertex_type_counts(vertices: DataFrame) -> DataFrame:
     return vertices.groupBy("type").agg(F.count(F.lit(1)).alias("n_vertices"))
 
 
-def edges_bipartite(details: DataFrame) -> DataFrame:
+def edges_bipartite(details: DataFrame, dedup: bool = True) -> DataFrame:
     """Deduped player -> game ``plays_in`` edges with JSON properties."""
-    d = player_game_rows(details)
+    d = player_game_rows(details) if dedup else details
     return d.select(
         F.col("player_id").cast("string").alias("subject_identifier"), F.lit("player").alias("subject_type"),
         F.col("game_id").cast("string").alias("object_identifier"), F.lit("game").alias("object_type"),
@@ -137,7 +137,8 @@ def _group_pairs(rows: DataFrame, group: str, member: str, block_rows: int, resi
     return pairs_small.select(*keep).unionByName(pairs_big.select(*keep))
 
 
-def edges_cooccurrence(details: DataFrame, require_distinct_names: bool = True, block_rows: int = 2048) -> DataFrame:
+def edges_cooccurrence(details: DataFrame, require_distinct_names: bool = True, block_rows: int = 2048,
+                       dedup: bool = True) -> DataFrame:
     """Player-player edges from sharing a game, one-sided (subject id > object id).
 
     ``shares_team`` when both rows have the same team abbreviation, else
@@ -147,7 +148,8 @@ def edges_cooccurrence(details: DataFrame, require_distinct_names: bool = True,
     game is blocked for large games (see ``_group_pairs``) and the pair
     aggregate is a partial + final hash aggregate.
     """
-    d = player_game_rows(details).select("game_id", "player_id", "player_name", "team_abbreviation", "pts")
+    d = (player_game_rows(details) if dedup else details).select(
+        "game_id", "player_id", "player_name", "team_abbreviation", "pts")
     names_differ = (F.col("a_player_name") != F.col("b_player_name")) if require_distinct_names else None
     j = _group_pairs(d, "game_id", "player_id", block_rows, names_differ)
     etype = F.when(F.col("a_team_abbreviation") == F.col("b_team_abbreviation"), F.lit("shares_team")) \

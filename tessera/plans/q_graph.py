@@ -8,6 +8,7 @@ from tessera.operators import graph as gr
 from tessera.plans import sql_views as V
 from tessera.plans import standins as S
 from tessera.plans.registry import register
+from tessera.sources import writers as wr
 
 
 def _j(field: str, cast: str | None = None):
@@ -55,8 +56,21 @@ def team_vertices(spark, sf_dir):
     return gr.vertices_dedup(S.teams(spark, sf_dir))
 
 
-def player_edges(spark, sf_dir):
-    return gr.edges_cooccurrence(S.game_details(spark, sf_dir))
+def staged_rows(spark, sf_dir):
+    """The deduped (player, game) rows, written once for queries with several consumers.
+
+    The original pipeline inserts vertices and edges into tables and queries
+    those; likewise every branch here (vertex aggregate, pair sizes, small and
+    large games) scans this one staged copy instead of re-running the
+    scan + dedupe per branch.
+    """
+    return wr.stage(gr.player_game_rows(S.game_details(spark, sf_dir)), "player-game")
+
+
+def player_edges(spark, sf_dir, rows=None):
+    if rows is None:
+        rows = staged_rows(spark, sf_dir)
+    return gr.edges_cooccurrence(rows, dedup=False)
 
 
 @register("vertices_event", oracle="WITH " + V.GAMES + """
@@ -124,8 +138,9 @@ def q_edges_cooccurrence(spark, sf_dir):
  SELECT pv.player_name, max(dd.pts) AS max_pts
  FROM pv JOIN dd ON dd.player_id = pv.player_id GROUP BY 1""")
 def q_graph_max_property(spark, sf_dir):
-    v = player_vertices(spark, sf_dir)
-    e = gr.edges_bipartite(S.game_details(spark, sf_dir))
+    rows = staged_rows(spark, sf_dir)
+    v = gr.vertices_aggregate(rows, dedup=False)
+    e = gr.edges_bipartite(rows, dedup=False)
     return gr.graph_max_property(v, e, "player_name", "pts")
 
 
@@ -135,7 +150,8 @@ def q_graph_max_property(spark, sf_dir):
         round(pe.subject_points, 2) AS total_points, pe.num_games AS total_games
  FROM pv JOIN pe ON pe.subject_identifier = CAST(pv.player_id AS VARCHAR)""")
 def q_graph_edge_report(spark, sf_dir):
-    r = gr.graph_edge_report(player_vertices(spark, sf_dir), player_edges(spark, sf_dir))
+    rows = staged_rows(spark, sf_dir)
+    r = gr.graph_edge_report(gr.vertices_aggregate(rows, dedup=False), player_edges(spark, sf_dir, rows))
     return r.withColumn("avg_pts_per_game", F.round("avg_pts_per_game", 6)) \
         .withColumn("total_points", F.round("total_points", 2))
 

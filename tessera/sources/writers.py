@@ -84,6 +84,21 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key, pa
     overwrite_partitions(spark.read.parquet(staging), path, partition_by)
 
 
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write an intermediate once to a fresh folder under ``spark.checkpoint.dir`` and read it back.
+
+    For a result that several branches of a plan consume: they then scan
+    Parquet instead of each recomputing (and re-shuffling) its lineage, and a
+    lost executor after the write does not send the job back to the sources.
+    """
+    from tessera.session import ensure_checkpoint_dir
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Plain INSERT (not idempotent: a re-run duplicates rows). Contrast case only."""
     w = df.write.mode("append")
