@@ -8,7 +8,6 @@ share of the raw events: raw events are always pre-aggregated to
 
 from __future__ import annotations
 
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -144,8 +143,8 @@ def activity_flags(mask) -> list[Column]:
     def any_bits(const):
         return F.bit_count(m.bitwiseAND(F.lit(const).cast("long"))) > 0
 
-    return [any_bits(MASK_32_DAYS).alias("is_monthly_active"), any_bits(MASK_28_DAYS).alias("is_28d_active"),
-            any_bits(MASK_7_DAYS).alias("is_weekly_active"), any_bits(MASK_1_DAY).alias("is_daily_active")]
+    return [any_bits(MASK_32_DAYS).alias("dim_is_monthly_active"), any_bits(MASK_28_DAYS).alias("dim_is_28d_active"),
+            any_bits(MASK_7_DAYS).alias("dim_is_weekly_active"), any_bits(MASK_1_DAY).alias("dim_is_daily_active")]
 
 
 def month_day_bitmap(datelists: DataFrame, key, dates: str, out: str = "datelist_int") -> DataFrame:

@@ -126,10 +126,10 @@ def q_activity_bitmask(spark, sf_dir):
 
 
 @register("activity_flags", oracle=_MASK_SQL + f"""
- SELECT user_id, mask, bit_count(mask & {ac.MASK_32_DAYS}) > 0 AS is_monthly_active,
-        bit_count(mask & {ac.MASK_28_DAYS}) > 0 AS is_28d_active,
-        bit_count(mask & {ac.MASK_7_DAYS}) > 0 AS is_weekly_active,
-        bit_count(mask & {ac.MASK_1_DAY}) > 0 AS is_daily_active
+ SELECT user_id, mask, bit_count(mask & {ac.MASK_32_DAYS}) > 0 AS dim_is_monthly_active,
+        bit_count(mask & {ac.MASK_28_DAYS}) > 0 AS dim_is_28d_active,
+        bit_count(mask & {ac.MASK_7_DAYS}) > 0 AS dim_is_weekly_active,
+        bit_count(mask & {ac.MASK_1_DAY}) > 0 AS dim_is_daily_active
  FROM m""")
 def q_activity_flags(spark, sf_dir):
     s = ac.datelist_set(purchases(spark, sf_dir), "user_id", "ts")
@@ -143,10 +143,10 @@ def q_activity_flags(spark, sf_dir):
               CAST(coalesce(sum(CAST(pow(2, 32 - (DATE '{AS_OF}' - day)) AS BIGINT))
                    FILTER (WHERE day BETWEEN DATE '{START}' AND DATE '{AS_OF}'), 0) AS BIGINT) & 4294967295 AS mask
        FROM d GROUP BY 1)
- SELECT user_id, mask, bit_count(mask) > 0 AS is_monthly_active,
-        bit_count(mask & {ac.MASK_28_DAYS}) > 0 AS is_28d_active,
-        bit_count(mask & {ac.MASK_7_DAYS}) > 0 AS is_weekly_active,
-        bit_count(mask & {ac.MASK_1_DAY}) > 0 AS is_daily_active
+ SELECT user_id, mask, bit_count(mask) > 0 AS dim_is_monthly_active,
+        bit_count(mask & {ac.MASK_28_DAYS}) > 0 AS dim_is_28d_active,
+        bit_count(mask & {ac.MASK_7_DAYS}) > 0 AS dim_is_weekly_active,
+        bit_count(mask & {ac.MASK_1_DAY}) > 0 AS dim_is_daily_active
  FROM m""")
 def q_activity_flags_as_written(spark, sf_dir):
     # The original 2^(32 - d) formula over the month-to-date calendar (30 days to 2024-01-30).

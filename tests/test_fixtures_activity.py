@@ -24,7 +24,7 @@ FX6 = [  # active dates, mask, daily, weekly, 32-day, 28-day (as of 2023-01-31)
 def test_fx6_mask_and_flags(spark):
     df = spark.createDataFrame([(i, d) for i, (d, *_r) in enumerate(FX6)], "k int, dates array<date>")
     m = df.select("k", ac.activity_bitmask("dates", "2023-01-31").alias("mask"))
-    out = {r.k: (r.mask, r.is_daily_active, r.is_weekly_active, r.is_monthly_active, r.is_28d_active)
+    out = {r.k: (r.mask, r.dim_is_daily_active, r.dim_is_weekly_active, r.dim_is_monthly_active, r.dim_is_28d_active)
            for r in m.select("k", "mask", *ac.activity_flags("mask")).collect()}
     for i, (_d, mask, daily, weekly, monthly, d28) in enumerate(FX6):
         assert out[i] == (mask, daily, weekly, monthly, d28), i
@@ -34,7 +34,7 @@ def test_t13_as_written_mask_reads_yesterday(spark):
     df = spark.createDataFrame([(1, [D(2023, 1, 31)]), (2, [D(2023, 1, 30)]), (3, [D(2023, 1, 1)])],
                                "k int, dates array<date>")
     m = df.select("k", ac.activity_bitmask("dates", "2023-01-31", as_written=True).alias("mask"))
-    got = {r.k: (r.mask, r.is_daily_active) for r in m.select("k", "mask", *ac.activity_flags("mask")).collect()}
+    got = {r.k: (r.mask, r.dim_is_daily_active) for r in m.select("k", "mask", *ac.activity_flags("mask")).collect()}
     # today's bit (2^32) falls off; yesterday takes the MSB; day 1 of the month is 2^2
     assert got == {1: (0, False), 2: (2 ** 31, True), 3: (4, False)}
 
