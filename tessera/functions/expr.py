@@ -16,6 +16,11 @@ def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def key_list(key) -> list[str]:
+    """A key given as one column name or a sequence of names, as a list."""
+    return [key] if isinstance(key, str) else list(key)
+
+
 def threshold_class(value, thresholds: Sequence[tuple[float, str]], else_label: str) -> Column:
     """Ordered strict ``>`` thresholds -> label; the else-label also catches NULL.
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.expr import day_range
+from tessera.functions.expr import key_list as _keys
 
 # Activity windows over a 32-bit mask whose most significant
 # bit is the as-of day (bit 31 - d is set when the key was active d days earlier).
@@ -21,10 +22,6 @@ MASK_7_DAYS = 0xFE000000
 MASK_1_DAY = 0x80000000
 
 
-def _keys(key) -> list[str]:
-    return [key] if isinstance(key, str) else list(key)
-
-
 def active_days(events: DataFrame, key, ts: str, start=None, end=None) -> DataFrame:
     """Distinct (key, day) of activity, NULL keys dropped, optional day range."""
     keys = _keys(key)

@@ -23,10 +23,7 @@ from tessera.functions.expr import (
     period_lit,
     threshold_class,
 )
-
-
-def _keys(key) -> list[str]:
-    return [key] if isinstance(key, str) else list(key)
+from tessera.functions.expr import key_list as _keys
 
 
 def cumulative_backfill(

@@ -8,13 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.expr import clock_to_minutes, text_flag
+from tessera.functions.expr import key_list as _keys
 from tessera.operators.sequence import with_previous
 
 
-def _keys(key) -> list[str]:
-    return [key] if isinstance(key, str) else list(key)
-
-
 def duplicate_audit(df: DataFrame, keys: Sequence[str], name: str = "n_rows") -> DataFrame:
     """Keys that occur more than once (partial + final count, like HAVING count > 1)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) > 1)

@@ -14,10 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.expr import is_date_type, null_safe_changed, period_add, period_lit
-
-
-def _keys(key) -> list[str]:
-    return [key] if isinstance(key, str) else list(key)
+from tessera.functions.expr import key_list as _keys
 
 
 def scd2_backfill(

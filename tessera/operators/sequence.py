@@ -17,9 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _keys(key) -> list[str]:
-    return [key] if isinstance(key, str) else list(key)
+from tessera.functions.expr import key_list as _keys
 
 
 def time_bucket(ts: str, bucket_seconds: int) -> Column:

@@ -152,6 +152,16 @@ def test_s5_full_reload_matches_s4(spark):
         ("average", True, 2002, 9999, True), ("good", False, 2001, 2001, False), ("good", True, 2000, 2000, False)]
 
 
+def test_cumulative_backfill_with_date_periods(spark):
+    import datetime as dt
+    D = dt.date
+    facts = spark.createDataFrame([("u", D(2024, 1, 1), 1.0), ("u", D(2024, 1, 3), 2.0)], "k string, day date, v double")
+    snap = cu.cumulative_backfill(facts, "k", "day", ["v"], "2024-01-04", current="as_of_day")
+    got = rows(snap.select("as_of_day", F.size("history").alias("n"), "years_since_last", "is_active"))
+    assert got == [(D(2024, 1, 1), 1, 0, True), (D(2024, 1, 2), 1, 1, False), (D(2024, 1, 3), 2, 0, True),
+                   (D(2024, 1, 4), 2, 1, False)]
+
+
 def test_scd2_with_date_periods(spark):
     import datetime as dt
     D = dt.date
