@@ -51,12 +51,14 @@ def datelist_step(yesterday: DataFrame, events: DataFrame, key, ts: str, at: str
 
 
 def datelist_backfill(events: DataFrame, key, ts: str, start: str, end: str,
-                      dates: str = "dates_active", date: str = "date") -> DataFrame:
+                      dates: str = "dates_active", date: str = "date", emit_from=None) -> DataFrame:
     """A2: every daily date-list snapshot from ``start`` to ``end`` in one pass.
 
     Interval form: per key, the running list of active days (one window on
     the key) and the next active day; each active day is expanded to the days
     it stays the latest. Equal to iterating ``datelist_step`` day by day.
+    ``emit_from`` keeps only snapshot days ``>= emit_from`` (``emit_from=end``:
+    the as-of snapshot alone) without shortening the lists.
     """
     keys = _keys(key)
     d = active_days(events, keys, ts, start, end)
@@ -64,7 +66,12 @@ def datelist_backfill(events: DataFrame, key, ts: str, start: str, end: str,
     until = F.coalesce(F.date_sub(F.lead("day", 1).over(w), 1), F.to_date(F.lit(end)))
     run = F.collect_list("day").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     s = d.select(*keys, F.reverse(run).alias(dates), "day", until.alias("_u"))
-    return s.select(*keys, dates, F.explode(F.sequence("day", "_u")).alias(date))
+    first = F.col("day")
+    if emit_from is not None:
+        lo = F.to_date(F.lit(emit_from))
+        s = s.where(F.col("_u") >= lo)
+        first = F.greatest(first, lo)
+    return s.select(*keys, dates, F.explode(F.sequence(first, "_u")).alias(date))
 
 
 def datelist_set(events: DataFrame, key, ts: str, dates: str = "active_dates", start=None, end=None) -> DataFrame:

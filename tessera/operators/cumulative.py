@@ -35,6 +35,7 @@ def cumulative_backfill(
     carry: Sequence[str] = (),
     history: str | None = "history",
     current: str = "current_period",
+    emit_from=None,
 ) -> DataFrame:
     """Every snapshot row (key, current) from a key's first fact up to ``as_of``.
 
@@ -44,7 +45,9 @@ def cumulative_backfill(
     ``last_period``, ``years_since_last`` (periods since the latest fact),
     ``is_active`` and ``current``. ``history=None`` leaves the array out (the
     state columns alone are what an SCD needs; the arrays of all snapshots
-    together grow with periods squared).
+    together grow with periods squared). ``emit_from`` emits only snapshots
+    with ``current >= emit_from`` (e.g. ``emit_from=as_of`` gives the latest
+    snapshot alone) while histories still cover every earlier fact.
     """
     keys = _keys(key)
     is_date = is_date_type(facts, period)
@@ -63,8 +66,13 @@ def cumulative_backfill(
             *hist,
             until.alias("_until"),
         )
-        .withColumn(current, F.explode(F.sequence(F.col("last_period"), F.col("_until"))))
     )
+    first = F.col("last_period")
+    if emit_from is not None:
+        lo = period_lit(emit_from, is_date)
+        f = f.where(F.col("_until") >= lo)  # intervals ending before emit_from produce nothing
+        first = F.greatest(first, lo)
+    f = f.withColumn(current, F.explode(F.sequence(first, F.col("_until"))))
     gap = period_diff(F.col(current), F.col("last_period"), is_date)
     return f.select(
         *keys,

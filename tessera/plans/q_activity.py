@@ -48,7 +48,7 @@ def q_datelist_backfill(spark, sf_dir):
 @register("datelist_step", oracle=f"SELECT * FROM ({_DATELIST_SQL}) WHERE date = DATE '{AS_OF}'")
 def q_datelist_step(spark, sf_dir):
     e = purchases(spark, sf_dir)
-    y = ac.datelist_backfill(e, "user_id", "ts", START, "2024-01-29")
+    y = ac.datelist_backfill(e, "user_id", "ts", START, "2024-01-29", emit_from="2024-01-29")  # yesterday only
     return flat_datelist(ac.datelist_step(y, e, "user_id", "ts", AS_OF))
 
 

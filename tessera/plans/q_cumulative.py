@@ -14,10 +14,11 @@ PA = S.PLAYER_AS_OF
 AA = S.ACTOR_AS_OF
 
 
-def players(spark, sf_dir, as_of=PA, with_history=True):
+def players(spark, sf_dir, as_of=PA, with_history=True, emit_from=None):
     ps = S.player_seasons(spark, sf_dir)
     return cu.cumulative_backfill(ps, "player_id", "season", ["gp", "pts"], as_of, carry=["scoring_class"],
-                                  history="season_stats" if with_history else None, current="current_season")
+                                  history="season_stats" if with_history else None, current="current_season",
+                                  emit_from=emit_from)
 
 
 def flat_players(snap):
@@ -48,7 +49,7 @@ def q_cumulative_backfill(spark, sf_dir):
           + f" SELECT {_SNAP_COLS} FROM snap WHERE current_season = {PA}")
 def q_cumulative_step(spark, sf_dir):
     # Yesterday = snapshot at PA-1 (backfilled), today = facts of PA.
-    y = players(spark, sf_dir, PA - 1)
+    y = players(spark, sf_dir, PA - 1, emit_from=PA - 1)  # only yesterday's snapshot is read
     ps = S.player_seasons(spark, sf_dir)
     t = cu.cumulative_step(y, ps, "player_id", "season", ["gp", "pts"], PA, carry=["scoring_class"],
                            history="season_stats", current="current_season")
@@ -80,7 +81,8 @@ def q_recency_state(spark, sf_dir):
         round(last_value / CASE WHEN first_value = 0 THEN 1 ELSE first_value END, 6) AS improvement
  FROM lastf WHERE cls = 'star'""")
 def q_history_improvement(spark, sf_dir):
-    r = cu.history_improvement(players(spark, sf_dir), "player_id", "season_stats", "pts", "current_season", PA,
+    r = cu.history_improvement(players(spark, sf_dir, emit_from=PA), "player_id", "season_stats", "pts",
+                               "current_season", PA,
                                where=F.col("scoring_class") == "star")
     return r.withColumn("improvement", F.round("improvement", 6))
 
@@ -90,7 +92,7 @@ def q_history_improvement(spark, sf_dir):
         season, gp, pts
  FROM ps WHERE season <= {PA}""")
 def q_history_unnest(spark, sf_dir):
-    snap = players(spark, sf_dir).where(F.col("current_season") == PA)
+    snap = players(spark, sf_dir, emit_from=PA)  # the as-of snapshot only
     return cu.history_unnest(snap, "player_id", "season_stats")
 
 

@@ -40,6 +40,15 @@ def test_c2_backfill_fx1(spark):
     assert _flat(snapshots(spark)) == sorted(EXPECTED_FX1, key=lambda t: tuple(str(x) for x in t))
 
 
+def test_c2_emit_from_keeps_whole_history(spark):
+    latest = cu.cumulative_backfill(seasons(spark), "name", "season", ["pts"], 2003, carry=["scoring_class"],
+                                    history="stats", current="current_season", emit_from=2003)
+    assert _flat(latest) == [r for r in sorted(EXPECTED_FX1, key=lambda t: tuple(str(x) for x in t)) if r[1] == 2003]
+    mid = cu.cumulative_backfill(seasons(spark), "name", "season", ["pts"], 2003, carry=["scoring_class"],
+                                 history="stats", current="current_season", emit_from=2002)
+    assert {r[1] for r in _flat(mid)} == {2002, 2003} and len(_flat(mid)) == 7
+
+
 def test_c1_step_iterated_equals_backfill(spark):
     facts = seasons(spark)
     snap, parts = None, []
