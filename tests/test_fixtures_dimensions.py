@@ -84,6 +84,27 @@ def test_s2_incremental_equals_backfill(spark):
     assert rows(inc, *COLS) == sorted(S1_EXPECTED, key=lambda t: tuple(str(x) for x in t))
 
 
+def test_s2_missing_entity_keeps_closed_row_and_new_entity_opens(spark):
+    prev = spark.createDataFrame([("a", "x", 1, 2), ("b", "y", 1, 2), ("c", "z", 1, 1)],
+                                 "k string, v string, start_period int, end_period int")
+    snap = spark.createDataFrame([("a", "x", 3), ("d", "w", 3)], "k string, v string, current_period int")
+    out = scd.scd2_incremental(prev, snap, "k", ["v"], 3)
+    assert rows(out, "k", "v", "start_period", "end_period") == [
+        ("a", "x", 1, 3),   # unchanged: extended
+        ("b", "y", 1, 2),   # missing from the snapshot: keeps its closed interval (T5)
+        ("c", "z", 1, 1),   # historical: untouched
+        ("d", "w", 3, 3),   # new entity
+    ]
+
+
+def test_s4_new_entity_and_missing_entity(spark):
+    cur = spark.createDataFrame([("a", "x", 1, 9999, True), ("b", "y", 1, 9999, True)],
+                                "k string, v string, start_date int, end_date int, is_current boolean")
+    snap = spark.createDataFrame([("a", "x", 2), ("c", "z", 2)], "k string, v string, current_period int")
+    out = scd.scd2_merge_close(cur, snap, "k", ["v"], 2)
+    assert rows(out) == [("a", "x", 1, 9999, True), ("b", "y", 1, 9999, True), ("c", "z", 2, 9999, True)]
+
+
 def test_c5_improvement_fx1(spark):
     snap = snapshots(spark)
     star = cu.history_improvement(snap, "name", "stats", "pts", "current_season", 2003,
