@@ -25,6 +25,8 @@ def test_no_cartesian_or_nested_loop(spark, name):
     p = plan(QUERIES[name](spark, SF_SMALL))
     assert "CartesianProduct" not in p
     assert "BroadcastNestedLoopJoin" not in p
+    # no Python in the row path: no (Arrow/batch) Python evaluation nodes
+    assert "EvalPython" not in p and "FlatMapGroupsInPandas" not in p and "MapInPandas" not in p
 
 
 def test_scd2_backfill_single_exchange_after_facts(spark):
