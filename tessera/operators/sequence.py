@@ -39,8 +39,12 @@ def with_previous(
     """Add ``prev_<ts>`` and ``prev_<c>`` for ``c`` in ``carry``: the previous event of the same key.
 
     Order is (ts, *tiebreak); the first event of a key gets NULLs. With
-    ``keep_bucket`` the helper columns ``_bkt`` and ``_is_last`` (last event
-    of its bucket) are kept for further bucket-level work.
+    ``keep_bucket`` the helper column ``_bkt`` is kept for further
+    bucket-level work.
+
+    The bucket summaries (last event per key and bucket) come from an
+    aggregate with map-side partial aggregation, so the events themselves are
+    shuffled once, for the in-bucket window.
 
     Buckets are hours (``bucket_seconds``) by default. With ``segments=N`` they
     are the N row-balanced ranges of a ``repartitionByRange(key, ts, ...)``
@@ -59,15 +63,15 @@ def with_previous(
             "_bkt", F.spark_partition_id().cast("long"))
     else:
         based = df.withColumn("_bkt", time_bucket(ts, bucket_seconds))
-    b = (based
-         .withColumn("_prev_in", F.lag(rec, 1).over(w_in))
-         .withColumn("_is_last", F.lead(F.lit(1), 1).over(w_in).isNull()))
-    # Last event of every (key, bucket) -> previous non-empty bucket's last event.
+    b = based.withColumn("_prev_in", F.lag(rec, 1).over(w_in))
+    # Last event of every (key, bucket): the struct max orders by (ts, *tiebreak) first.
+    last = based.groupBy(*keys, "_bkt").agg(F.max(rec).alias("_last"))
+    # ... and for each bucket, the last event of the previous non-empty bucket.
     w_b = Window.partitionBy(*keys).orderBy("_bkt")
-    summ = b.where("_is_last").select(*keys, "_bkt", F.lag(rec, 1).over(w_b).alias("_prev_bkt"))
+    summ = last.select(*keys, "_bkt", F.lag("_last", 1).over(w_b).alias("_prev_bkt"))
     j = b.join(summ, [*keys, "_bkt"], "left")
     prev = F.coalesce(F.col("_prev_in"), F.col("_prev_bkt"))
-    extra = ["_bkt", "_is_last"] if keep_bucket else []
+    extra = ["_bkt"] if keep_bucket else []
     return j.select(*df.columns, *extra, *[prev[c].alias(prefix + c) for c in list(dict.fromkeys([ts, *carry]))])
 
 
@@ -100,9 +104,11 @@ def islands(
     )
     w_in = Window.partitionBy(*keys, "_bkt").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     p = p.withColumn("_run_in", F.sum("_chg").over(w_in))
-    # the last row of a bucket carries the bucket's number of changes
+    # changes per bucket (p is already partitioned by key and bucket: no shuffle), then the
+    # changes in all earlier buckets of the key as the bucket's offset
     w_b = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    per_b = p.where("_is_last").select(*keys, "_bkt", F.coalesce(F.sum("_run_in").over(w_b), F.lit(0)).alias("_off"))
+    per_b = p.groupBy(*keys, "_bkt").agg(F.sum("_chg").alias("_n")).select(
+        *keys, "_bkt", F.coalesce(F.sum("_n").over(w_b), F.lit(0)).alias("_off"))
     r = p.join(per_b, [*keys, "_bkt"], "left").withColumn("run", F.col("_off") + F.col("_run_in"))
     return r.groupBy(*keys, "run").agg(
         F.first(value).alias(value),
