@@ -56,8 +56,11 @@ def microbatch_dedup_writer(target_path: str, keys: Sequence[str], ts: str, wind
         spark = batch.sparkSession
         b = with_session_timestamps(batch)
         b = dedup_within_window(b, list(keys), ts, window_minutes).withColumn(partition_col, F.to_date(ts))
+        # one micro-batch is read twice (its days, then the merge): keep it instead of recomputing
+        b = b.persist()
         days = [r[0] for r in b.select(partition_col).distinct().collect()]  # at most a few days per batch
         if not days:
+            b.unpersist()
             return
         lo = min(days)
         try:
@@ -85,6 +88,7 @@ def microbatch_dedup_writer(target_path: str, keys: Sequence[str], ts: str, wind
         out = b if old is None else old.unionByName(b.select(*old.columns))
         staging = f"{target_path.rstrip('/')}_staging/batch={batch_id}"
         out.write.mode("overwrite").parquet(staging)
+        b.unpersist()
         (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition_col).parquet(target_path))
 
