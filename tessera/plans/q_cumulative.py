@@ -15,7 +15,7 @@ AA = S.ACTOR_AS_OF
 
 
 def players(spark, sf_dir, as_of=PA, with_history=True, emit_from=None):
-    ps = S.player_seasons(spark, sf_dir)
+    ps = S.player_seasons(spark, sf_dir, last_year=as_of)  # the as-of bound reaches the scan
     return cu.cumulative_backfill(ps, "player_id", "season", ["gp", "pts"], as_of, carry=["scoring_class"],
                                   history="season_stats" if with_history else None, current="current_season",
                                   emit_from=emit_from)
@@ -50,7 +50,7 @@ def q_cumulative_backfill(spark, sf_dir):
 def q_cumulative_step(spark, sf_dir):
     # Yesterday = snapshot at PA-1 (backfilled), today = facts of PA.
     y = players(spark, sf_dir, PA - 1, emit_from=PA - 1)  # only yesterday's snapshot is read
-    ps = S.player_seasons(spark, sf_dir)
+    ps = S.player_seasons(spark, sf_dir, first_year=PA, last_year=PA)  # today's facts: one year of orders
     t = cu.cumulative_step(y, ps, "player_id", "season", ["gp", "pts"], PA, carry=["scoring_class"],
                            history="season_stats", current="current_season")
     return flat_players(t)

@@ -105,7 +105,8 @@ def q_cumulative_incremental_load(spark, sf_dir):
     wr.overwrite_partitions(players(spark, sf_dir, p - 1), path, ["current_season"])
     for _ in range(2):
         yesterday = spark.read.parquet(path).where(F.col("current_season") == p - 1)
-        today = cu.cumulative_step(yesterday, S.player_seasons(spark, sf_dir), "player_id", "season", ["gp", "pts"], p,
+        today = cu.cumulative_step(yesterday, S.player_seasons(spark, sf_dir, first_year=p, last_year=p),
+                                   "player_id", "season", ["gp", "pts"], p,
                                    carry=["scoring_class"], history="season_stats", current="current_season")
         wr.overwrite_partitions(today, path, ["current_season"])
     return flat_players(spark.read.parquet(path))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.expr import threshold_class
+from tessera.functions.expr import day_range, threshold_class
 from tessera.sources.tables import read_table
 
 # Fixed values of the stand-in bindings.
@@ -26,9 +26,18 @@ ACTOR_AS_OF = 2001
 EVENTS_AS_OF = "2024-01-30"
 
 
-def player_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(player_id, season, gp, pts, scoring_class): one row per customer-year of orders."""
+def player_seasons(spark: SparkSession, sf_dir: str, first_year: int | None = None,
+                   last_year: int | None = None) -> DataFrame:
+    """(player_id, season, gp, pts, scoring_class): one row per customer-year of orders.
+
+    A year range becomes a range on ``o_orderdate`` itself, so it reaches the
+    Parquet scan (a filter on ``year(o_orderdate)`` would not).
+    """
     o = read_table(spark, sf_dir, "orders")
+    if first_year is not None or last_year is not None:
+        o = o.where(day_range(o, "o_orderdate",
+                              None if first_year is None else f"{first_year}-01-01",
+                              None if last_year is None else f"{last_year}-12-31"))
     # Average in whole cents (integer division) so every engine gets the same double.
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
     f = o.groupBy(F.col("o_custkey").alias("player_id"), F.year("o_orderdate").alias("season")).agg(
