@@ -97,7 +97,7 @@ def q_history_unnest(spark, sf_dir):
 
 
 def actors(spark, sf_dir, as_of=AA):
-    af = S.actor_films(spark, sf_dir)
+    af = S.actor_films(spark, sf_dir, last_year=as_of)
     return cu.cumulative_collection(
         af, "actor_id", "year", ["film", "votes", "rating", "filmid"], "rating", as_of,
         S.QUALITY_THRESHOLDS, S.QUALITY_ELSE, carry=["actor"],

@@ -47,9 +47,11 @@ def player_seasons(spark: SparkSession, sf_dir: str, first_year: int | None = No
     return f.withColumn("scoring_class", threshold_class("pts", SCORING_THRESHOLDS, SCORING_ELSE))
 
 
-def actor_films(spark: SparkSession, sf_dir: str) -> DataFrame:
+def actor_films(spark: SparkSession, sf_dir: str, last_year: int | None = None) -> DataFrame:
     """(actor_id, actor, year, film, votes, rating, filmid): one row per line item."""
     li = read_table(spark, sf_dir, "lineitem")
+    if last_year is not None:
+        li = li.where(day_range(li, "l_shipdate", None, f"{last_year}-12-31"))
     film_id = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
     return li.select(
         F.col("l_partkey").alias("actor_id"),
