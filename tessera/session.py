@@ -18,6 +18,9 @@ DEFAULT_CONF = {
     # spark.sql.shuffle.partitions is set per deployment (high on a cluster).
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
+    # streaming dedupe state (keys x watermark delay) lives off-heap in RocksDB, not in the JVM heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
