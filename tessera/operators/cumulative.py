@@ -228,7 +228,12 @@ def cumulative_collection(
 
 
 def latest_snapshot(snapshots: DataFrame, key, current: str) -> DataFrame:
-    """One row per entity, last period wins (hash aggregate, map-side combine)."""
+    """One row per entity, last period wins.
+
+    ``max_by`` as a partial + final aggregate (map-side combine: one row per
+    entity and map task crosses the shuffle). The struct buffer makes Spark
+    plan it sort-based rather than hash-based.
+    """
     keys = _keys(key)
     others = [c for c in snapshots.columns if c not in keys]
     return (

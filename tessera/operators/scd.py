@@ -227,7 +227,7 @@ def scd_type0(snapshots: DataFrame, key, attrs: Sequence[str], period: str) -> D
 
 
 def scd_type1(snapshots: DataFrame, key, attrs: Sequence[str], period: str) -> DataFrame:
-    """Overwrite with the latest value (hash aggregate with map-side combine)."""
+    """Overwrite with the latest value (``max_by``, partial + final aggregate with map-side combine)."""
     keys = _keys(key)
     return snapshots.groupBy(*keys).agg(
         F.max_by(F.struct(*attrs, F.col(period).alias("updated_period")), F.col(period)).alias("_s")
