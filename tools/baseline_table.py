@@ -39,7 +39,10 @@ def main() -> None:
         "Data: `/root/testdata/sf0.1` (600,000 lineitem, 150,000 orders, 100,000 events; one Parquet row group per",
         "table, so every scan stage is a single task here). Each query runs to completion into the `noop` sink",
         f"(nothing collected); one warm-up, then the median of {d['runs']} runs (`bench.py`). Queries that write tables",
-        f"or run streams are timed once. All {len(q)} registered queries: **{d['value']:.1f} s total**.", "",
+        f"or run streams are timed once. All {len(q)} registered queries: **{d['value']:.1f} s total**.",
+        "The same code measured between 58 s and 84 s total over the round's full runs on this shared machine",
+        "(every query, including untouched ones and the reference shapes, moved together by up to 1.4x), so",
+        "compare ratios within one run rather than single numbers across runs.", "",
         "### Closed forms vs the reference's shapes on the same data (seconds)", "",
         "| key | this design | seconds | shuffle MB | reference's shape on Spark | seconds | shuffle MB |",
         "| --- | --- | --- | --- | --- | --- | --- |",
