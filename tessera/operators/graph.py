@@ -168,6 +168,16 @@ def edges_cooccurrence(details: DataFrame, require_distinct_names: bool = True,
     )
 
 
+def build_graph(details: DataFrame, games: DataFrame, teams: DataFrame, rows: DataFrame | None = None):
+    """The whole graph: (vertices, edges) with the game, player and team vertex sets and the
+    ``plays_in`` and player-player edge sets. ``rows`` may pass pre-deduped (player, game)
+    rows (e.g. staged once) so both edge sets read them without a second dedupe."""
+    r = rows if rows is not None else player_game_rows(details)
+    vertices = vertices_union(vertices_event(games), vertices_aggregate(r, dedup=False), vertices_dedup(teams))
+    edges = edges_bipartite(r, dedup=False).unionByName(edges_cooccurrence(r, dedup=False))
+    return vertices, edges
+
+
 def graph_max_property(vertices: DataFrame, edges: DataFrame, vertex_prop: str, edge_prop: str,
                        cast: str = "double") -> DataFrame:
     """Vertex JOIN edge on (id, type); max of an edge property per vertex property."""

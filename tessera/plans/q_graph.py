@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tessera.operators import graph as gr
 from tessera.plans import sql_views as V
 from tessera.plans import standins as S
 from tessera.plans.registry import register
+from tessera.session import ensure_checkpoint_dir
 from tessera.sources import writers as wr
 
 
@@ -167,6 +170,35 @@ def q_vertex_degree(spark, sf_dir):
     return gr.vertex_degree(player_edges(spark, sf_dir))
 
 
+@register("graph_tables", oracle=_DD + """,
+ counts AS (
+   SELECT 'vertices' AS graph_table, 'game' AS type, count(*) AS n_rows FROM orders
+   UNION ALL SELECT 'vertices', 'player', count(*) FROM pv
+   UNION ALL SELECT 'vertices', 'team', count(DISTINCT n_nationkey) FROM nation
+   UNION ALL SELECT 'edges', 'plays_in', count(*) FROM dd
+   UNION ALL SELECT 'edges', edge_type, count(*) FROM pe GROUP BY edge_type
+ )
+ SELECT graph_table, type, n_rows, n_rows AS n_keys FROM counts""")
+def q_graph_tables(spark, sf_dir):
+    """The graph written as two tables (vertices partitioned by type, edges by edge type) and read
+    back: rows and distinct primary keys per partition."""
+    rows = staged_rows(spark, sf_dir)
+    vertices, edges = gr.build_graph(None, S.games(spark, sf_dir), S.teams(spark, sf_dir), rows=rows)
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/graph-{uuid.uuid4().hex}"
+    # partitioned folders by type (no shuffle: each task writes the types it holds)
+    wr.overwrite_partitions(vertices, base + "/vertices", ["type"])
+    wr.overwrite_partitions(edges, base + "/edges", ["edge_type"])
+    v = spark.read.parquet(base + "/vertices")
+    e = spark.read.parquet(base + "/edges")
+    vk = v.groupBy("type").agg(F.count(F.lit(1)).alias("n_rows"),
+                               F.count_distinct("identifier").alias("n_keys"))
+    ek = e.groupBy(F.col("edge_type").alias("type")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("subject_identifier", "subject_type", "object_identifier", "object_type").alias("n_keys"))
+    return vk.select(F.lit("vertices").alias("graph_table"), "type", "n_rows", "n_keys").unionByName(
+        ek.select(F.lit("edges").alias("graph_table"), "type", "n_rows", "n_keys"))
+
+
 @register("neighbours", oracle=_DD + """
  SELECT subject_identifier AS vertex, 'player' AS vertex_type, object_identifier AS neighbour, edge_type FROM pe
  UNION ALL

@@ -8,7 +8,7 @@ from tessera.plans.registry import QUERIES, load_all
 load_all()
 
 WRITE_QUERIES = {"bucketed_join", "overwrite_partition", "upsert_partitions", "evolve_schema", "stream_dedup",
-                 "microbatch_dedup", "cumulative_incremental_load"}
+                 "microbatch_dedup", "cumulative_incremental_load", "graph_tables"}
 
 
 def plan(df) -> str:
