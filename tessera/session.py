@@ -48,6 +48,20 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def size_shuffle_partitions(spark: SparkSession, input_bytes: int, target_bytes: int = 256 * 1024 * 1024,
+                            minimum: int = 200) -> int:
+    """Set ``spark.sql.shuffle.partitions`` so one partition of the biggest input is ~``target_bytes``.
+
+    E.g. 100 TB at 256 MB -> ~400k initial partitions; AQE then coalesces
+    small post-shuffle partitions to ``advisoryPartitionSizeInBytes`` and
+    splits skewed ones, so the initial number only has to be large enough
+    that no partition spills heavily.
+    """
+    n = max(minimum, -(-int(input_bytes) // int(target_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
