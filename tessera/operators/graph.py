@@ -146,7 +146,9 @@ def edges_cooccurrence(details: DataFrame, require_distinct_names: bool = True,
     type: number of games and both players' points; a pair may own both
     types. Rows are deduped per (player, game) first; the self-join on the
     game is blocked for large games (see ``_group_pairs``) and the pair
-    aggregate is a partial + final hash aggregate.
+    aggregate is a partial + final hash aggregate. The deduped rows feed
+    three branches (group sizes, small and large groups): on large inputs pass
+    ``player_game_rows`` staged once (``writers.stage``) with ``dedup=False``.
     """
     d = (player_game_rows(details) if dedup else details).select(
         "game_id", "player_id", "player_name", "team_abbreviation", "pts")
