@@ -25,6 +25,13 @@ def q_duplicate_audit(spark, sf_dir):
     return fx.duplicate_audit(read_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@register("duplicate_audit_details", oracle="WITH " + V.GAME_DETAILS + """
+ SELECT game_id, team_id, player_id, count(*) AS n_rows FROM gd GROUP BY 1, 2, 3 HAVING count(*) > 1""")
+def q_duplicate_audit_details(spark, sf_dir):
+    # the fact lab's check: (game, team, player) keys that occur more than once in the details
+    return fx.duplicate_audit(S.game_details(spark, sf_dir), ["game_id", "team_id", "player_id"])
+
+
 @register("dedup_first", oracle=f"""
  SELECT * EXCLUDE (rn) FROM (
    SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
