@@ -76,6 +76,15 @@ def test_mask_bit_count_equals_active_days_in_window(spark):
     assert _violations(m, F.col("bits") != F.col("days")) == 0
 
 
+def test_mask_hof_equals_calendar_shape(spark):
+    """A5: the higher-order mask equals the per-user calendar expansion of the original shape."""
+    from tessera.plans.q_activity import q_activity_bitmask
+    from tessera.plans.reference_shapes import calendar_bitmask
+    ours = {r.user_id: r.mask for r in q_activity_bitmask(spark, SF_MID).collect()}
+    shape = {r.user_id: r.mask for r in calendar_bitmask(spark, SF_MID).collect()}
+    assert ours == shape and len(ours) == 150
+
+
 def test_cooccurrence_one_sided_and_game_counts_consistent(spark):
     gd = S.game_details(spark, SF_MID)
     edges = gr.edges_cooccurrence(gd)
