@@ -85,6 +85,25 @@ def test_mask_hof_equals_calendar_shape(spark):
     assert ours == shape and len(ours) == 150
 
 
+def test_loop_shapes_equal_closed_forms(spark):
+    """The as-written day loops (checkpointed per step) give the closed forms' results on the test data."""
+    from conftest import SF_SMALL, rows
+    from tessera.plans import reference_shapes as R
+    from tessera.plans.q_activity import purchases
+    loop = R.loop_datelist(spark, SF_SMALL)
+    closed = ac.datelist_backfill(purchases(spark, SF_SMALL), "user_id", "ts", "2024-01-01", "2024-01-30")
+    assert rows(loop, "user_id", "date", "dates_active") == rows(closed, "user_id", "date", "dates_active")
+    arrays = R.loop_array_metrics(spark, SF_SMALL)
+    counts = ac.daily_counts(read_events(spark, SF_SMALL), "user_id", "ts")
+    back = ac.array_metric_backfill(counts, "user_id", "2024-01-30", "site_hits")
+    assert rows(arrays, "user_id", "metric_array") == rows(back, "user_id", "metric_array")
+
+
+def read_events(spark, sf_dir):
+    from tessera.sources.tables import read_table
+    return read_table(spark, sf_dir, "events")
+
+
 def test_cooccurrence_one_sided_and_game_counts_consistent(spark):
     gd = S.game_details(spark, SF_MID)
     edges = gr.edges_cooccurrence(gd)
