@@ -1,9 +1,10 @@
 """Run registered Spark queries and their DuckDB oracles side by side.
 
-Usage: python tools/oracle_check.py [sf_dir] [name ...]
+Usage: python tools/oracle_check.py [--exact] [sf_dir] [name ...]
 
 Compares row count, column names and an order-insensitive hash of the
-values (floats rounded to 6 decimals), like the round's correctness gate.
+values (floats rounded to 6 decimals; ``--exact`` hashes ``repr`` of every
+float instead), like the round's correctness gate.
 """
 
 from __future__ import annotations
@@ -23,13 +24,16 @@ from tessera.session import build_session  # noqa: E402
 from tessera.sources.tables import TABLES, table_path  # noqa: E402
 
 
+EXACT = False
+
+
 def norm(v):
     if v is None:
         return "∅"
     if isinstance(v, float):
         if math.isnan(v):
             return "∅"
-        return f"{round(v, 6):.6f}"
+        return repr(v) if EXACT else f"{round(v, 6):.6f}"
     if hasattr(v, "isoformat"):
         return v.isoformat()
     if hasattr(v, "item"):
@@ -44,7 +48,10 @@ def digest(rows, cols):
 
 
 def main():
+    global EXACT
     args = sys.argv[1:]
+    if args and args[0] == "--exact":
+        EXACT, args = True, args[1:]
     sf_dir = "/root/testdata/sf0.01"
     if args and args[0].startswith("/"):
         sf_dir, args = args[0], args[1:]
