@@ -200,20 +200,25 @@ def array_metric_step(yesterday: DataFrame, counts: DataFrame, key, day: str, me
 
 
 def array_metric_backfill(counts: DataFrame, key, through_day: str, metric_name: str,
-                          value: str = "num_site_hits", array_col: str = "metric_array") -> DataFrame:
+                          value: str = "num_site_hits", array_col: str = "metric_array",
+                          from_month: str | None = None) -> DataFrame:
     """The array of every key-month up to ``through_day`` in one pass (= A8 iterated from day 1).
 
-    Per key-month a day -> value map, read back through ``sequence(1, N)``.
+    Per key-month a day -> value map, read back through ``sequence(1, N)``:
+    N = day of ``through_day`` for its month, the month's length for earlier
+    months (``from_month`` .. the month before; default: ``through_day``'s month only).
     """
     keys = _keys(key)
     end = F.to_date(F.lit(through_day))
-    month = F.trunc(end, "MM")
-    n = F.datediff(end, month) + 1
-    c = counts.where((F.col("day") >= month) & (F.col("day") <= end))
-    g = c.groupBy(*keys).agg(F.map_from_entries(F.collect_list(
+    last_month = F.trunc(end, "MM")
+    first = F.trunc(F.to_date(F.lit(from_month)), "MM") if from_month else last_month
+    c = counts.where((F.col("day") >= first) & (F.col("day") <= end))
+    g = c.groupBy(*keys, F.trunc("day", "MM").alias("month_start")).agg(F.map_from_entries(F.collect_list(
         F.struct(F.dayofmonth("day").alias("k"), F.col(value).cast("long").alias("v")))).alias("_m"))
+    n = F.when(F.col("month_start") == last_month, F.datediff(end, last_month) + 1) \
+        .otherwise(F.dayofmonth(F.last_day("month_start")))
     arr = F.transform(F.sequence(F.lit(1), n), lambda i: F.coalesce(F.col("_m")[i], F.lit(0).cast("long")))
-    return g.select(*keys, month.alias("month_start"), F.lit(metric_name).alias("metric_name"), arr.alias(array_col))
+    return g.select(*keys, "month_start", F.lit(metric_name).alias("metric_name"), arr.alias(array_col))
 
 
 def array_metric_totals(arrays: DataFrame, array_col: str = "metric_array") -> DataFrame:

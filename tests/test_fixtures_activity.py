@@ -101,6 +101,15 @@ def test_a9_backfill_equals_iterated_a8(spark):
         ("u1", [5, 0, 0, 2]), ("u2", [0, 1, 0, 0])]
 
 
+def test_a9_backfill_across_months(spark):
+    c = spark.createDataFrame([("u1", D(2023, 1, 30), 5), ("u1", D(2023, 2, 2), 1)],
+                              "user_id string, day date, num_site_hits bigint")
+    back = ac.array_metric_backfill(c, "user_id", "2023-02-03", "site_hits", from_month="2023-01-01")
+    got = {str(r.month_start): r.metric_array for r in back.collect()}
+    assert got["2023-01-01"] == [0] * 29 + [5, 0]  # January: 31 slots
+    assert got["2023-02-01"] == [0, 1, 0]          # February up to the 3rd
+
+
 def test_fx8_run_length(spark):
     def rle(values):
         data = [("k", f"2024-01-01 00:{i:02d}:00", i, v) for i, v in enumerate(values)]
