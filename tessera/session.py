@@ -70,8 +70,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     machine-local folder would not survive a lost executor). Only in local
     mode (tests, the bench) is a scratch folder created when it is unset.
     """
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client, the server's setting applies
+        if configured:
+            return configured
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if configured:
         if current is None:

@@ -78,7 +78,7 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key, pa
         pruned = c if pruned is None else pruned | c
     cur = current.where(pruned if pruned is not None else F.lit(False))
     merged = upsert(cur, source.select(*current.columns), keys, check_unique=False)
-    staging = f"{spark.sparkContext.getCheckpointDir() or path + '_staging'}/upsert-{uuid.uuid4().hex}"
+    staging = f"{ensure_checkpoint_dir(spark).rstrip('/')}/upsert-{uuid.uuid4().hex}"
     merged.write.mode("overwrite").parquet(staging)
     overwrite_partitions(spark.read.parquet(staging), path, partition_by)
 
