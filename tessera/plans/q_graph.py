@@ -98,9 +98,9 @@ def q_vertices_aggregate(spark, sf_dir):
 
 
 @register("vertices_dedup", oracle="""
- SELECT DISTINCT CAST(n_nationkey AS VARCHAR) AS identifier, 'team' AS type, substring(n_name, 1, 3) AS abbreviation,
-        n_name AS nickname, n_regionkey AS city, 1900 + n_nationkey AS year_founded
- FROM nation""")
+ SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS identifier, 'team' AS type, substring(c_mktsegment, 1, 3) AS abbreviation,
+        c_name AS nickname, c_nationkey AS city, CAST(1900 + c_custkey % 100 AS INTEGER) AS year_founded
+ FROM customer""")
 def q_vertices_dedup(spark, sf_dir):
     v = team_vertices(spark, sf_dir)
     return v.select("identifier", "type", _j("abbreviation"), _j("nickname"), _j("city", "int"),
@@ -110,7 +110,7 @@ def q_vertices_dedup(spark, sf_dir):
 @register("vertex_type_counts", oracle="""
  SELECT 'game' AS type, count(*) AS n_vertices FROM orders
  UNION ALL SELECT 'player', count(DISTINCT l_suppkey) FROM lineitem
- UNION ALL SELECT 'team', count(DISTINCT n_nationkey) FROM nation""")
+ UNION ALL SELECT 'team', count(DISTINCT c_custkey) FROM customer""")
 def q_vertex_type_counts(spark, sf_dir):
     v = gr.vertices_union(game_vertices(spark, sf_dir), player_vertices(spark, sf_dir), team_vertices(spark, sf_dir))
     return gr.vertex_type_counts(v)
@@ -174,7 +174,7 @@ def q_vertex_degree(spark, sf_dir):
  counts AS (
    SELECT 'vertices' AS graph_table, 'game' AS type, count(*) AS n_rows FROM orders
    UNION ALL SELECT 'vertices', 'player', count(*) FROM pv
-   UNION ALL SELECT 'vertices', 'team', count(DISTINCT n_nationkey) FROM nation
+   UNION ALL SELECT 'vertices', 'team', count(DISTINCT c_custkey) FROM customer
    UNION ALL SELECT 'edges', 'plays_in', count(*) FROM dd
    UNION ALL SELECT 'edges', edge_type, count(*) FROM pe GROUP BY edge_type
  )
