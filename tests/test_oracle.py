@@ -10,7 +10,10 @@ from conftest import SF_SMALL
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
+import oracle_check  # noqa: E402
 from oracle_check import digest  # noqa: E402
+
+oracle_check.EXACT = True  # hash repr() of every float: no rounding tolerance
 from tessera.plans.registry import ORACLES, QUERIES, load_all  # noqa: E402
 from tessera.sources.tables import TABLES, table_path  # noqa: E402
 
