@@ -20,6 +20,16 @@ from pyspark.sql import functions as F
 from tessera.functions.expr import key_list as _keys
 
 
+def _null_safe_left_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Left join on ``on`` with NULL = NULL (windows group NULL keys together, so must the join)."""
+    r = right.select(*[F.col(c).alias("_r_" + c) if c in on else F.col(c) for c in right.columns])
+    cond = None
+    for c in on:
+        e = F.col(c).eqNullSafe(F.col("_r_" + c))
+        cond = e if cond is None else cond & e
+    return left.join(r, cond, "left").drop(*["_r_" + c for c in on])
+
+
 def time_bucket(ts: str, bucket_seconds: int) -> Column:
     """Monotone bucket number of a timestamp (ntz or session-zone)."""
     return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(bucket_seconds * 1_000_000)).cast("long")
@@ -69,7 +79,7 @@ def with_previous(
     # ... and for each bucket, the last event of the previous non-empty bucket.
     w_b = Window.partitionBy(*keys).orderBy("_bkt")
     summ = last.select(*keys, "_bkt", F.lag("_last", 1).over(w_b).alias("_prev_bkt"))
-    j = b.join(summ, [*keys, "_bkt"], "left")
+    j = _null_safe_left_join(b, summ, [*keys, "_bkt"])
     prev = F.coalesce(F.col("_prev_in"), F.col("_prev_bkt"))
     extra = ["_bkt"] if keep_bucket else []
     return j.select(*df.columns, *extra, *[prev[c].alias(prefix + c) for c in list(dict.fromkeys([ts, *carry]))])
@@ -109,7 +119,7 @@ def islands(
     w_b = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     per_b = p.groupBy(*keys, "_bkt").agg(F.sum("_chg").alias("_n")).select(
         *keys, "_bkt", F.coalesce(F.sum("_n").over(w_b), F.lit(0)).alias("_off"))
-    r = p.join(per_b, [*keys, "_bkt"], "left").withColumn("run", F.col("_off") + F.col("_run_in"))
+    r = _null_safe_left_join(p, per_b, [*keys, "_bkt"]).withColumn("run", F.col("_off") + F.col("_run_in"))
     return r.groupBy(*keys, "run").agg(
         F.first(value).alias(value),
         F.count(F.lit(1)).alias("run_length"),

@@ -29,6 +29,16 @@ def test_dedupe_with_hot_key_equals_plain_lag(spark):
     assert "hashpartitioning(user_id#" in p and "_bkt" in p.split("hashpartitioning(user_id#", 1)[1].split(")")[0]
 
 
+def test_null_keys_are_one_sequence_like_a_plain_window(spark):
+    e = read_table(spark, SF_MID, "events").select("event_id", "event_type", "ts").withColumn(
+        "user_id", F.when(F.col("event_id") % 2 == 0, F.lit(None).cast("long")).otherwise(F.lit(7)))
+    ours = fx.dedup_within_window(e, ["user_id", "event_type"], "ts", 60, ["event_id"], bucket_seconds=600)
+    w = Window.partitionBy("user_id", "event_type").orderBy("ts", "event_id")
+    gap = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lag("ts").over(w).cast("timestamp"))
+    plain = e.withColumn("_g", gap).where(F.col("_g").isNull() | (F.col("_g") > 3_600_000_000)).drop("_g")
+    assert rows(ours, "event_id") == rows(plain, "event_id")
+
+
 def test_row_balanced_segments_equal_time_buckets(spark):
     e = hot_events(spark).select("event_id", "user_id", "event_type", "ts")
     seg = fx.dedup_within_window(e, ["user_id", "event_type"], "ts", 60, ["event_id"], segments=7)
