@@ -46,7 +46,7 @@ def dedup_window_profile(df: DataFrame, key, ts: str, tiebreak: Sequence[str] =
         cond = gap <= F.lit(b)
         label = F.when(cond, F.lit(f"<={b} min")) if label is None else label.when(cond, F.lit(f"<={b} min"))
     label = label.otherwise(F.lit(f">{bounds_minutes[-1]} min"))
-    return p.where(F.col("_p_" + ts).isNotNull()).groupBy(label.alias("gap_bucket")).agg(
+    return p.where(gap.isNotNull()).groupBy(label.alias("gap_bucket")).agg(
         F.count(F.lit(1)).alias("n_events"))
 
 
@@ -56,7 +56,8 @@ def dedup_within_window(df: DataFrame, key, ts: str, window_minutes: float, tieb
     p = with_previous(df, key, ts, tiebreak, bucket_seconds=bucket_seconds, prefix="_p_", segments=segments)
     # wall-clock difference for timestamp_ntz (no session time-zone involved), instant difference otherwise
     gap_us = F.timestamp_diff("MICROSECOND", F.col("_p_" + ts), F.col(ts))
-    keep = F.col("_p_" + ts).isNull() | (gap_us > F.lit(int(window_minutes * 60_000_000)))
+    # no previous event, or no time to compare (NULL ts): nothing proves a duplicate, keep it
+    keep = gap_us.isNull() | (gap_us > F.lit(int(window_minutes * 60_000_000)))
     return p.where(keep).drop("_p_" + ts)
 
 

@@ -30,6 +30,11 @@ def _null_safe_left_join(left: DataFrame, right: DataFrame, on: list[str]) -> Da
     return left.join(r, cond, "left").drop(*["_r_" + c for c in on])
 
 
+def _asc(cols):
+    """Ascending with NULLs last (SQL's default order; an event without a time sorts after the rest)."""
+    return [F.col(c).asc_nulls_last() for c in cols]
+
+
 def time_bucket(ts: str, bucket_seconds: int) -> Column:
     """Monotone bucket number of a timestamp (ntz or session-zone)."""
     return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(bucket_seconds * 1_000_000)).cast("long")
@@ -65,11 +70,11 @@ def with_previous(
     order = [ts, *tiebreak]
     payload = list(dict.fromkeys([*order, *carry]))
     rec = F.struct(*[F.col(c) for c in payload])
-    w_in = Window.partitionBy(*keys, "_bkt").orderBy(*order)
+    w_in = Window.partitionBy(*keys, "_bkt").orderBy(*_asc(order))
     if segments:
         # range segments are contiguous in (key, ts, tiebreak) order, so the segment id is
         # monotone in time within a key, exactly like a time bucket
-        based = df.repartitionByRange(segments, *keys, *order).withColumn(
+        based = df.repartitionByRange(segments, *keys, *_asc(order)).withColumn(
             "_bkt", F.spark_partition_id().cast("long"))
     else:
         based = df.withColumn("_bkt", time_bucket(ts, bucket_seconds))
@@ -77,7 +82,7 @@ def with_previous(
     # Last event of every (key, bucket): the struct max orders by (ts, *tiebreak) first.
     last = based.groupBy(*keys, "_bkt").agg(F.max(rec).alias("_last"))
     # ... and for each bucket, the last event of the previous non-empty bucket.
-    w_b = Window.partitionBy(*keys).orderBy("_bkt")
+    w_b = Window.partitionBy(*keys).orderBy(F.col("_bkt").asc_nulls_last())
     summ = last.select(*keys, "_bkt", F.lag("_last", 1).over(w_b).alias("_prev_bkt"))
     j = _null_safe_left_join(b, summ, [*keys, "_bkt"])
     prev = F.coalesce(F.col("_prev_in"), F.col("_prev_bkt"))
@@ -112,11 +117,11 @@ def islands(
         .when(~F.col(value).eqNullSafe(F.col("_p_" + value)), F.lit(1))
         .otherwise(F.lit(0)),
     )
-    w_in = Window.partitionBy(*keys, "_bkt").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w_in = Window.partitionBy(*keys, "_bkt").orderBy(*_asc(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     p = p.withColumn("_run_in", F.sum("_chg").over(w_in))
     # changes per bucket (p is already partitioned by key and bucket: no shuffle), then the
     # changes in all earlier buckets of the key as the bucket's offset
-    w_b = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    w_b = Window.partitionBy(*keys).orderBy(F.col("_bkt").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     per_b = p.groupBy(*keys, "_bkt").agg(F.sum("_chg").alias("_n")).select(
         *keys, "_bkt", F.coalesce(F.sum("_n").over(w_b), F.lit(0)).alias("_off"))
     r = _null_safe_left_join(p, per_b, [*keys, "_bkt"]).withColumn("run", F.col("_off") + F.col("_run_in"))

@@ -39,6 +39,19 @@ def test_null_keys_are_one_sequence_like_a_plain_window(spark):
     assert rows(ours, "event_id") == rows(plain, "event_id")
 
 
+def test_null_timestamps_sort_last_like_sql(spark):
+    e = read_table(spark, SF_MID, "events").select("event_id", "user_id", "event_type", "ts").withColumn(
+        "ts", F.when(F.col("event_id") % 50 == 0, F.lit(None).cast("timestamp_ntz")).otherwise(F.col("ts")))
+    ours = fx.dedup_within_window(e, ["user_id", "event_type"], "ts", 60, ["event_id"])
+    w = Window.partitionBy("user_id", "event_type").orderBy(F.col("ts").asc_nulls_last(), "event_id")
+    gap = F.timestamp_diff("MICROSECOND", F.lag("ts").over(w), F.col("ts"))
+    plain = e.withColumn("_g", gap).where(F.col("_g").isNull() | (F.col("_g") > 3_600_000_000)).drop("_g")
+    assert rows(ours, "event_id") == rows(plain, "event_id")
+    prof = dict(rows(fx.dedup_window_profile(e, ["user_id", "event_type"], "ts", ["event_id"])))
+    assert sum(prof.values()) == e.count() - e.select("user_id", "event_type").distinct().count() - \
+        e.where(F.col("ts").isNull()).count()
+
+
 def test_row_balanced_segments_equal_time_buckets(spark):
     e = hot_events(spark).select("event_id", "user_id", "event_type", "ts")
     seg = fx.dedup_within_window(e, ["user_id", "event_type"], "ts", 60, ["event_id"], segments=7)
