@@ -235,7 +235,8 @@ def monthly_activity_reduced(events: DataFrame, key: str, ts: str, who: str, slo
     One scan: (key, month, day) aggregate, then one (month, key) aggregate
     building a day -> (hits, visitors) map read through ``sequence(1, 31)``.
     """
-    e = events.where(F.col(key).isNotNull()).select(key, who, F.to_date(ts).alias("_d"))
+    # an event without a time has no day slot (and a NULL day cannot be a map key)
+    e = events.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(key, who, F.to_date(ts).alias("_d"))
     daily = e.groupBy(key, F.trunc("_d", "MM").alias("month"), F.dayofmonth("_d").alias("day")).agg(
         F.count(F.lit(1)).alias("hits"), F.count_distinct(who).alias("uv"))
     g = daily.groupBy("month", key).agg(F.map_from_entries(F.collect_list(

@@ -123,7 +123,8 @@ def test_fx8_run_length(spark):
 
 def test_fx10_reduced_month(spark):
     data = [("h", "a", "2023-01-01 01:00:00"), ("h", "a", "2023-01-01 02:00:00"), ("h", "b", "2023-01-01 03:00:00"),
-            ("h", None, "2023-01-01 04:00:00"), ("h", "a", "2023-01-31 05:00:00"), (None, "a", "2023-01-05 00:00:00")]
+            ("h", None, "2023-01-01 04:00:00"), ("h", "a", "2023-01-31 05:00:00"), (None, "a", "2023-01-05 00:00:00"),
+            ("h", "a", None)]  # no time, no day slot
     ev = spark.createDataFrame(data, "host string, user_id string, ts string").withColumn("ts", F.to_timestamp("ts"))
     r = ac.monthly_activity_reduced(ev, "host", "ts", "user_id").collect()
     assert len(r) == 1
