@@ -105,6 +105,47 @@ def scd2_incremental(
     return historical.unionByName(moved).withColumn(stamp, at_l)
 
 
+def scd2_catch_up(
+    scd: DataFrame,
+    snapshots: DataFrame,
+    key,
+    tracked: Sequence[str],
+    first,
+    last,
+    period: str = "current_period",
+    start: str = "start_period",
+    end: str = "end_period",
+    stamp: str = "current_period",
+) -> DataFrame:
+    """S2 for several periods at once: advance an SCD-2 (as of ``first - 1``) to ``last``.
+
+    The intervals still open at ``first - 1`` become seed rows in front of the
+    snapshots of ``first..last``; one gaps-and-islands pass over seeds plus
+    new snapshots (a window per key over at most ``last - first + 2`` rows)
+    extends, closes and opens intervals; older history passes through. The
+    same as applying ``scd2_incremental`` period by period, without the loop.
+    """
+    keys = _keys(key)
+    is_date = is_date_type(snapshots, period)
+    first_l, last_l = period_lit(first, is_date), period_lit(last, is_date)
+    seed_end = period_add(first_l, -1, is_date)
+    historical = scd.where(F.col(end) < seed_end).select(*keys, *tracked, start, end)
+    seeds = scd.where(F.col(end) == seed_end).select(
+        *keys, *tracked, F.col(end).alias("_p"), F.col(start).alias("_seed_start"))
+    new = snapshots.where(F.col(period).between(first_l, last_l)).select(
+        *keys, *tracked, F.col(period).alias("_p"), F.lit(None).cast(seeds.schema["_seed_start"].dataType)
+        .alias("_seed_start"))
+    s = seeds.unionByName(new)
+    w = Window.partitionBy(*keys).orderBy("_p")
+    s = s.select("*", *[F.lag(c, 1).over(w).alias("_prev_" + c) for c in tracked],
+                 F.row_number().over(w).alias("_rn"))
+    flag = F.when(F.col("_rn") == 1, F.lit(0)).when(null_safe_changed(tracked), F.lit(1)).otherwise(F.lit(0))
+    s = s.withColumn("_streak", F.sum(flag).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    moved = s.groupBy(*keys, "_streak", *tracked).agg(
+        F.coalesce(F.min("_seed_start"), F.min("_p")).alias(start), F.max("_p").alias(end))
+    return historical.unionByName(moved.select(*keys, *tracked, start, end)).withColumn(stamp, last_l)
+
+
 def scd2_open_interval(
     snapshots: DataFrame,
     key,

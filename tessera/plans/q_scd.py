@@ -35,6 +35,15 @@ def q_scd2_incremental(spark, sf_dir):
         .select(*_SCD_COLS.split(", "))
 
 
+@register("scd2_catch_up", oracle="WITH " + V.PLAYER_SCD.replace("{as_of}", str(PA)) + f" SELECT {_SCD_COLS} FROM scd")
+def q_scd2_catch_up(spark, sf_dir):
+    # three missed periods applied in one pass to the SCD as of PA-3
+    prev = players_scd(spark, sf_dir, PA - 3)
+    snap = players(spark, sf_dir, PA, with_history=False, emit_from=PA - 2)
+    return scd.scd2_catch_up(prev, snap, "player_id", TRACKED, PA - 2, PA, period="current_season") \
+        .select(*_SCD_COLS.split(", "))
+
+
 _ACTOR_SQL = "WITH " + V.ACTOR_SNAPSHOTS.replace("{as_of}", str(AA))
 _ACTOR_SCD = _ACTOR_SQL + """,
 a_flag AS (

@@ -56,6 +56,18 @@ def test_incremental_scd_equals_backfill(spark, data, cut):
     assert rows(inc, *cols) == rows(full, *cols)
 
 
+@SETTINGS
+@given(data=facts_strategy, cut=st.integers(2000, 2003))
+def test_catch_up_equals_backfill(spark, data, cut):
+    snaps = cu.cumulative_backfill(_facts(spark, data), "k", "p", ["v"], 2005, carry=["cls"])
+    full = scd.scd2_backfill(snaps, "k", "current_period", ["cls", "is_active"], 2005)
+    prev = scd.scd2_backfill(snaps, "k", "current_period", ["cls", "is_active"], cut)
+    prev = spark.createDataFrame(prev.collect(), prev.schema)
+    caught = scd.scd2_catch_up(prev, snaps, "k", ["cls", "is_active"], cut + 1, 2005)
+    cols = ("k", "cls", "is_active", "start_period", "end_period")
+    assert rows(caught, *cols) == rows(full, *cols)
+
+
 events_strategy = st.lists(
     st.tuples(st.sampled_from(["u", "v"]), st.integers(0, 600), st.sampled_from(["x", "y"])),
     min_size=1, max_size=25,
