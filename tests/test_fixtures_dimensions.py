@@ -84,6 +84,14 @@ def test_s2_incremental_equals_backfill(spark):
     assert rows(inc, *COLS) == sorted(S1_EXPECTED, key=lambda t: tuple(str(x) for x in t))
 
 
+def test_catch_up_two_periods_fx1(spark):
+    snap = snapshots(spark)
+    prev = scd.scd2_backfill(snap, "name", "current_season", ["scoring_class", "is_active"], 2001)
+    caught = scd.scd2_catch_up(prev, snap, "name", ["scoring_class", "is_active"], 2002, 2003)
+    assert rows(caught, *COLS) == sorted(S1_EXPECTED, key=lambda t: tuple(str(x) for x in t))
+    assert {r.current_period for r in caught.collect()} == {2003}
+
+
 def test_s2_missing_entity_keeps_closed_row_and_new_entity_opens(spark):
     prev = spark.createDataFrame([("a", "x", 1, 2), ("b", "y", 1, 2), ("c", "z", 1, 1)],
                                  "k string, v string, start_period int, end_period int")
