@@ -87,7 +87,8 @@ def test_s2_incremental_equals_backfill(spark):
 def test_catch_up_two_periods_fx1(spark):
     snap = snapshots(spark)
     prev = scd.scd2_backfill(snap, "name", "current_season", ["scoring_class", "is_active"], 2001)
-    caught = scd.scd2_catch_up(prev, snap, "name", ["scoring_class", "is_active"], 2002, 2003)
+    caught = scd.scd2_catch_up(prev, snap, "name", ["scoring_class", "is_active"], 2002, 2003,
+                               period="current_season")
     assert rows(caught, *COLS) == sorted(S1_EXPECTED, key=lambda t: tuple(str(x) for x in t))
     assert {r.current_period for r in caught.collect()} == {2003}
 
