@@ -20,14 +20,11 @@ from pyspark.sql import functions as F
 from tessera.functions.expr import key_list as _keys
 
 
-def _null_safe_left_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Left join on ``on`` with NULL = NULL (windows group NULL keys together, so must the join)."""
-    r = right.select(*[F.col(c).alias("_r_" + c) if c in on else F.col(c) for c in right.columns])
-    cond = None
-    for c in on:
-        e = F.col(c).eqNullSafe(F.col("_r_" + c))
-        cond = e if cond is None else cond & e
-    return left.join(r, cond, "left").drop(*["_r_" + c for c in on])
+# The key travels as one struct column ``_k``: windows partition on it and the bucket joins use
+# plain equality on it, so the join reuses the windows' partitioning (no second shuffle of the
+# events), and a key with NULL parts still matches itself (struct equality compares fields
+# with NULL = NULL, the way a window groups NULL keys together).
+_K = "_k"
 
 
 def _asc(cols):
@@ -70,7 +67,7 @@ def with_previous(
     order = [ts, *tiebreak]
     payload = list(dict.fromkeys([*order, *carry]))
     rec = F.struct(*[F.col(c) for c in payload])
-    w_in = Window.partitionBy(*keys, "_bkt").orderBy(*_asc(order))
+    w_in = Window.partitionBy(_K, "_bkt").orderBy(*_asc(order))
     if segments:
         # range segments are contiguous in (key, ts, tiebreak) order, so the segment id is
         # monotone in time within a key, exactly like a time bucket
@@ -78,15 +75,16 @@ def with_previous(
             "_bkt", F.spark_partition_id().cast("long"))
     else:
         based = df.withColumn("_bkt", time_bucket(ts, bucket_seconds))
+    based = based.withColumn(_K, F.struct(*keys))
     b = based.withColumn("_prev_in", F.lag(rec, 1).over(w_in))
     # Last event of every (key, bucket): the struct max orders by (ts, *tiebreak) first.
-    last = based.groupBy(*keys, "_bkt").agg(F.max(rec).alias("_last"))
+    last = based.groupBy(_K, "_bkt").agg(F.max(rec).alias("_last"))
     # ... and for each bucket, the last event of the previous non-empty bucket.
-    w_b = Window.partitionBy(*keys).orderBy(F.col("_bkt").asc_nulls_last())
-    summ = last.select(*keys, "_bkt", F.lag("_last", 1).over(w_b).alias("_prev_bkt"))
-    j = _null_safe_left_join(b, summ, [*keys, "_bkt"])
+    w_b = Window.partitionBy(_K).orderBy(F.col("_bkt").asc_nulls_last())
+    summ = last.select(_K, "_bkt", F.lag("_last", 1).over(w_b).alias("_prev_bkt"))
+    j = b.join(summ, [_K, "_bkt"], "left")
     prev = F.coalesce(F.col("_prev_in"), F.col("_prev_bkt"))
-    extra = ["_bkt"] if keep_bucket else []
+    extra = [_K, "_bkt"] if keep_bucket else []
     return j.select(*df.columns, *extra, *[prev[c].alias(prefix + c) for c in list(dict.fromkeys([ts, *carry]))])
 
 
@@ -117,14 +115,15 @@ def islands(
         .when(~F.col(value).eqNullSafe(F.col("_p_" + value)), F.lit(1))
         .otherwise(F.lit(0)),
     )
-    w_in = Window.partitionBy(*keys, "_bkt").orderBy(*_asc(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = (Window.unboundedPreceding, Window.currentRow)
+    w_in = Window.partitionBy(_K, "_bkt").orderBy(*_asc(order)).rowsBetween(*running)
     p = p.withColumn("_run_in", F.sum("_chg").over(w_in))
     # changes per bucket (p is already partitioned by key and bucket: no shuffle), then the
     # changes in all earlier buckets of the key as the bucket's offset
-    w_b = Window.partitionBy(*keys).orderBy(F.col("_bkt").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    per_b = p.groupBy(*keys, "_bkt").agg(F.sum("_chg").alias("_n")).select(
-        *keys, "_bkt", F.coalesce(F.sum("_n").over(w_b), F.lit(0)).alias("_off"))
-    r = _null_safe_left_join(p, per_b, [*keys, "_bkt"]).withColumn("run", F.col("_off") + F.col("_run_in"))
+    w_b = Window.partitionBy(_K).orderBy(F.col("_bkt").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    per_b = p.groupBy(_K, "_bkt").agg(F.sum("_chg").alias("_n")).select(
+        _K, "_bkt", F.coalesce(F.sum("_n").over(w_b), F.lit(0)).alias("_off"))
+    r = p.join(per_b, [_K, "_bkt"], "left").withColumn("run", F.col("_off") + F.col("_run_in"))
     return r.groupBy(*keys, "run").agg(
         F.first(value).alias(value),
         F.count(F.lit(1)).alias("run_length"),

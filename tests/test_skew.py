@@ -26,7 +26,8 @@ def test_dedupe_with_hot_key_equals_plain_lag(spark):
     plain = e.withColumn("_g", gap).where(F.col("_g").isNull() | (F.col("_g") > 3_600_000_000)).drop("_g")
     assert rows(ours, "event_id") == rows(plain, "event_id")
     p = ours._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(user_id#" in p and "_bkt" in p.split("hashpartitioning(user_id#", 1)[1].split(")")[0]
+    # events are partitioned by (key, time bucket), the key travelling as one struct column
+    assert "hashpartitioning(_k#" in p and "_bkt" in p.split("hashpartitioning(_k#", 1)[1].split(")")[0]
 
 
 def test_null_keys_are_one_sequence_like_a_plain_window(spark):
