@@ -1,0 +1 @@
+"""Streaming (watermark) and micro-batch (foreachBatch) dedupe."""
