@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm.decontaminate import op10_decontaminate
 from tessera.llm.line_runs import op8_line_runs
+from tessera.llm.minmax_dedup import op3_minmax_dedup
 from tessera.llm.quality_forest import op9_quality_forest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_minmax_dedup": op3_minmax_dedup,
     "op8_line_runs": op8_line_runs,
     "op9_quality_forest": op9_quality_forest,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLES: dict[str, str] = {
