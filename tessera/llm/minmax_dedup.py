@@ -255,3 +255,11 @@ def op3_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents linked at a 3-word shingle similarity of 0.85 or more."""
     return near_duplicates(documents(spark, sf_dir), k=3, percent=85) \
         .select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns, but for near duplicates of a smaller doc_id."""
+    gone = staged(near_duplicates(docs, k, percent).where("not kept").select("doc_id", ROW).distinct(), "near-copies")
+    rows = docs.select(F.struct("*").alias("_doc"), F.col("doc_id").cast("long").alias("doc_id"),
+                       F.xxhash64(F.col("text").cast("string")).alias(ROW))
+    return rows.join(gone, ["doc_id", ROW], "left_anti").select(*[F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])

@@ -202,3 +202,25 @@ def op9_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts and verdict of every document."""
     return judge(documents(spark, sf_dir), read_table(spark, sf_dir, "labels")) \
         .select("doc_id", *_COUNTS, "base_failed", "kept", "anomaly")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, good_loss: float = GOOD_LOSS) -> DataFrame:
+    """The rows of ``docs``, all columns, that pass the base rule and the forest.
+
+    Verdicts are made where the rows are, from the same statistics, so no text is shuffled.
+    """
+    stats = staged(rule_statistics(docs), "quality")
+    forest = fit_forest(stats)
+    threshold = calibrate(score_rows(stats, forest), labels, good_loss)
+    shared = docs.sparkSession.sparkContext.broadcast((forest, threshold))
+
+    def run(batches):
+        grown, limit = shared.value
+        for b, texts in chunks(batches):
+            s = text_statistics(texts)
+            bad = (s["n_words"] < MIN_WORDS) | (100 * s["n_repeat_words"] > MAX_REPEAT_PCT * s["n_words"])
+            if grown is not None:
+                bad |= grown.score(np.column_stack([s[f] for f in FEATURES])) >= limit
+            yield b.filter(pa.array(~bad))
+
+    return docs.mapInArrow(run, docs.schema)

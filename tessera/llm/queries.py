@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm.decontaminate import op10_decontaminate
 from tessera.llm.line_runs import op8_line_runs
 from tessera.llm.minmax_dedup import op3_minmax_dedup
+from tessera.llm.packing import op6_packing
 from tessera.llm.quality_forest import op9_quality_forest
+from tessera.llm.token_output import op1_token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_output": op1_token_output,
     "op3_minmax_dedup": op3_minmax_dedup,
+    "op6_packing": op6_packing,
     "op8_line_runs": op8_line_runs,
     "op9_quality_forest": op9_quality_forest,
     "op10_decontaminate": op10_decontaminate,
