@@ -60,4 +60,9 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return stage(df, name)
 
 
-__all__ = ["ROW", "documents", "id_and_text", "ship", "shuffle_partitions", "staged"]
+def sent_to_all(small: DataFrame, row_bytes: int, limit: int = 64 << 20) -> DataFrame:
+    """``small`` marked for broadcast if its counted rows take at most ``limit`` bytes, else as it is (a shuffle join)."""
+    return F.broadcast(small) if small.count() * row_bytes <= limit else small
+
+
+__all__ = ["ROW", "documents", "id_and_text", "sent_to_all", "ship", "shuffle_partitions", "staged"]

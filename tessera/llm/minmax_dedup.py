@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.components import components
 from tessera.llm.exchange import buckets_for, group_edges, pack, packed_schema, reduce_buckets, unpack
-from tessera.llm.frames import ROW, documents, id_and_text, staged
+from tessera.llm.frames import ROW, documents, id_and_text, sent_to_all, staged
 from tessera.llm.textnum import U64, Chunk, chunks, distinct_per_doc, mix, shingles
 
 MISS = 1e-6
@@ -226,7 +226,8 @@ def _verified(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, k: int, pe
                 ["node", "cluster", "side", "places", "set"])
 
     kept = "node long, cluster long, side int, places array<struct<low:int,high:int,task:long>>"
-    sets = id_and_text(docs).join(place, ["doc_id", ROW]).select("text", "node", "cluster", "side", "places") \
+    place = staged(place, "places")
+    sets = id_and_text(docs).join(sent_to_all(place, row_bytes=200), ["doc_id", ROW]).select("text", "node", "cluster", "side", "places") \
         .mapInArrow(as_sets, f"{kept}, set binary") \
         .select("node", "cluster", "side", "set", F.explode("places").alias("p")) \
         .select("node", "cluster", "side", "set", "p.low", "p.high", "p.task")
@@ -262,4 +263,4 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     gone = staged(near_duplicates(docs, k, percent).where("not kept").select("doc_id", ROW).distinct(), "near-copies")
     rows = docs.select(F.struct("*").alias("_doc"), F.col("doc_id").cast("long").alias("doc_id"),
                        F.xxhash64(F.col("text").cast("string")).alias(ROW))
-    return rows.join(gone, ["doc_id", ROW], "left_anti").select(*[F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])
+    return rows.join(sent_to_all(gone, row_bytes=50), ["doc_id", ROW], "left_anti").select(*[F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])

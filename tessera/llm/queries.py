@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.decontaminate import op10_decontaminate
+from tessera.llm.html_extract import op2_html_extract
 from tessera.llm.line_runs import op8_line_runs
 from tessera.llm.minmax_dedup import op3_minmax_dedup
 from tessera.llm.packing import op6_packing
@@ -15,6 +16,7 @@ from tessera.llm.token_output import op1_token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
+    "op2_html_extract": op2_html_extract,
     "op3_minmax_dedup": op3_minmax_dedup,
     "op6_packing": op6_packing,
     "op8_line_runs": op8_line_runs,

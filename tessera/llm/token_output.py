@@ -8,12 +8,12 @@ each value as they are and the high bits in unary: about ``2 + log2(u / n)``
 bits a value. A sample of every 64th one of the unary part lets ``select`` jump
 near any value, so offsets need no table of 64-bit numbers.
 
-Documents are range-partitioned and sorted by doc_id; a partition is a shard.
+Texts are encoded where they are read; their ids are dealt out by doc_id range
+and sorted by doc_id, and a range is a shard.
 The only figures that meet on the driver are one id count for each shard.
 
 Defined cases: a NULL or empty text has the end id only; NULL doc_ids come
-first; rows with one doc_id are ordered by the hash of their text and then the
-text; a text longer than a segment is a segment of its own; an empty table
+first; rows with one doc_id are ordered by the hash of their text; a text longer than a segment is a segment of its own; an empty table
 gives no segments; other columns are ignored.
 """
 
@@ -118,33 +118,45 @@ def decode_segment(data: bytes) -> tuple[list[int | None], EliasFano, np.ndarray
 def write_ids(docs: DataFrame, path: str, vocabulary_path: str | None = None, kind: str = KIND, end: int = END,
               shards: int | None = None, segment_ids: int = SEGMENT_IDS) -> None:
     """Encode every text and write the segments to ``path`` (any store that Spark writes)."""
-    n = shards or shuffle_partitions(docs.sparkSession)
+    spark = docs.sparkSession
+    n = shards or shuffle_partitions(spark)
+    rows = id_and_text(docs)
+    cuts = rows.select(F.percentile_approx("doc_id", [i / n for i in range(1, n)])).first()[0] if n > 1 else None
+    cuts = spark.sparkContext.broadcast(np.array(sorted(set(cuts or [])), np.int64))  # one a shard
 
-    def segments(batches):
+    def encode(batches):
         enc = encoder(vocabulary_path or vocabulary(VOCABULARY), kind)
+        for b, _ in chunks(batches):
+            ids = enc.encode([t or "" for t in b.column("text").to_pylist()], end)
+            known = b.column("doc_id").fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), b.column(ROW), pa.array(np.searchsorted(cuts.value, known).astype(np.int32)),
+                 pa.array(ids, pa.binary())], ["doc_id", ROW, "shard", "ids"])
+
+    def segments(batches):
+        dtype = encoder(vocabulary_path or vocabulary(VOCABULARY), kind).dtype
         shard, base, number = TaskContext.get().partitionId(), 0, 0
         ids, docs_, size = [], [], 0
 
         def row():
             return pa.RecordBatch.from_arrays(
                 [pa.array([shard], pa.int32()), pa.array([number], pa.int32()), pa.array([base], pa.int64()),
-                 pa.array([size], pa.int64()), pa.array([encode_segment(docs_, ids, enc.dtype)], pa.binary())],
+                 pa.array([size], pa.int64()), pa.array([encode_segment(docs_, ids, dtype)], pa.binary())],
                 ["shard", "number", "base", "n_ids", "segment"])
 
-        for b, _ in chunks(batches):
-            texts = [t or "" for t in b.column("text").to_pylist()]
-            for d, x in zip(b.column("doc_id").to_pylist(), enc.encode(texts, end)):
-                if ids and size + len(x) // enc.dtype.itemsize > segment_ids:
+        for b in batches:
+            for d, x in zip(b.column("doc_id").to_pylist(), b.column("ids").to_pylist()):
+                if ids and size + len(x) // dtype.itemsize > segment_ids:
                     yield row()
                     base, number, ids, docs_, size = base + size, number + 1, [], [], 0
                 ids.append(x)
                 docs_.append(d)
-                size += len(x) // enc.dtype.itemsize
+                size += len(x) // dtype.itemsize
         if ids:
             yield row()
 
-    id_and_text(docs).repartitionByRange(n, F.col("doc_id").asc_nulls_first(), ROW) \
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), ROW, "text") \
+    rows.mapInArrow(encode, f"doc_id long, {ROW} long, shard int, ids binary") \
+        .repartitionById(n, F.col("shard")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), ROW) \
         .mapInArrow(segments, "shard int, number int, base long, n_ids long, segment binary") \
         .write.option("compression", "zstd").parquet(path)
 
