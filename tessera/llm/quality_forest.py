@@ -151,8 +151,10 @@ class Forest:
 
 def fit_forest(stats: DataFrame, trees: int = TREES, sample: int = SAMPLE, seed: int = 7) -> Forest | None:
     """Forest over at most ``trees * sample`` rows: those with the least hash of their statistics and id."""
-    rows = stats.select(F.xxhash64(F.lit(seed), "doc_id", "n_words", "word_chars").alias("_h"), *FEATURES) \
-        .orderBy("_h", *FEATURES).limit(trees * sample).select(*FEATURES).toPandas().to_numpy(float)
+    hashed = stats.select(F.xxhash64(F.lit(seed), "doc_id", "n_words", "word_chars").alias("_h"), *FEATURES)
+    share = min(1.0, 1.5 * trees * sample / max(1, stats.count()))  # tasks send about as many rows as are wanted
+    rows = hashed.where(F.col("_h") <= int(-(1 << 63) + share * ((1 << 64) - 2048))).orderBy("_h", *FEATURES) \
+        .limit(trees * sample).select(*FEATURES).toPandas().to_numpy(float)
     return Forest(rows, trees, sample, seed) if len(rows) else None
 
 
