@@ -6,19 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm.bloom_lm import op5_bloom_lm
+from tessera.llm.bwt_dedup import op7_bwt_dedup
 from tessera.llm.decontaminate import op10_decontaminate
 from tessera.llm.html_extract import op2_html_extract
 from tessera.llm.line_runs import op8_line_runs
 from tessera.llm.minmax_dedup import op3_minmax_dedup
 from tessera.llm.packing import op6_packing
 from tessera.llm.quality_forest import op9_quality_forest
+from tessera.llm.recompression import op4_recompression
 from tessera.llm.token_output import op1_token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
     "op2_html_extract": op2_html_extract,
     "op3_minmax_dedup": op3_minmax_dedup,
+    "op4_recompression": op4_recompression,
+    "op5_bloom_lm": op5_bloom_lm,
     "op6_packing": op6_packing,
+    "op7_bwt_dedup": op7_bwt_dedup,
     "op8_line_runs": op8_line_runs,
     "op9_quality_forest": op9_quality_forest,
     "op10_decontaminate": op10_decontaminate,

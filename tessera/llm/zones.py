@@ -110,13 +110,19 @@ def zone_rows(batches, zones_of: Callable[[list[bytes]], tuple], places: bool, n
         yield from pack(firsts, 1, firsts["keys"], n)
 
 
-def repeats_and_asked(docs: DataFrame, zones_of: Callable[[list[bytes]], tuple], places: bool) -> DataFrame:
-    """Step 1, packed by document: zones that repeat (state 0) and zones asked for (state 2)."""
+def repeats_and_asked(docs: DataFrame, zones_of: Callable[[list[bytes]], tuple], places: bool,
+                      hot: int = 5000) -> DataFrame:
+    """Step 1, packed by document: zones that repeat (state 0) and zones asked for (state 2).
+
+    A key with more than ``hot`` zones asked for gives them the key 0: their windows are compared one by one.
+    """
     n = buckets_for(docs)
 
     def meet(table):
         repeats, firsts = settle(unpack(table, 1), places)
         asked = take(firsts, contested(firsts))
+        _, size = group_edges(asked["keys"])
+        asked["keys"] = np.where(np.repeat(size, size) > hot, U64(0), asked["keys"])
         repeats = join([repeats, unpack(table, 0)])
         return pa.Table.from_batches([*pack(repeats, 0, doc_key(repeats), n), *pack(asked, 2, doc_key(asked), n)],
                                      schema=pa.schema([("bucket", pa.int32()), ("state", pa.int32())]
