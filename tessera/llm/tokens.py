@@ -13,42 +13,79 @@ import re
 import zlib
 
 import numpy as np
+import regex
 
-CACHE = 300_000  # distinct pieces that a worker remembers; beyond it starts anew
+CACHE = 400_000  # distinct pieces, and distinct pre-tokens, that a worker remembers; beyond it starts anew
 _PLAIN = re.compile(r"[\t\n\r -~¡-¬®-ÿ]*\Z")
-# How the two tokenizers split a text before their merges.
+# How the two tokenizers split a text before their merges, and pieces that no such split crosses.
 _PIECE = {"word": re.compile(r"\S+"), "byte": re.compile(r"\s*\S+|\s+\Z")}
+_PRE_TOKEN = {
+    "word": regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"),
+    "byte": regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"),
+}
+_PROBE = "It's l'été, don't 'tis 12 3.4 (x)  y\n\n z--w !! Ça ªb µm ½ "
+
+
+def _byte_letters() -> str:
+    """The letter that stands for each byte: itself if it prints in Latin-1, else the next one from 256 on."""
+    printed = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    out, n = [], 256
+    for b in range(256):
+        out.append(chr(b if b in printed else n))
+        n += b not in printed
+    return "".join(out)
+
+
+_LETTERS = _byte_letters()
 
 
 class Encoder:
-    """Ids as little-endian arrays; ``kind`` is 'word' (white space dropped) or 'byte' (white space kept)."""
+    """Ids as little-endian arrays; ``kind`` is 'word' (lower case, white space dropped) or 'byte' (text kept as it is).
+
+    The pre-tokens of a new piece go straight to the library's merge model,
+    once each. That this gives what the whole tokenizer gives is tried on a
+    probe when the encoder is made; if not, pieces are encoded whole.
+    """
 
     def __init__(self, path: str, kind: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.split = _PIECE[kind].findall
+        self.split, self.pre_split, self.lower = _PIECE[kind].findall, _PRE_TOKEN[kind].findall, kind == "word"
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.cache: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.by_model = b"".join(map(self._piece, self.split(_PROBE))) == self._whole([_PROBE])[0]
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
+    def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in
                 self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _piece(self, piece: str) -> bytes:
+        out = []
+        for t in self.pre_split(piece.lower() if self.lower else piece):
+            ids = self.known.get(t)
+            if ids is None:
+                letters = t if t.isascii() and t.isalnum() else "".join([_LETTERS[b] for b in t.encode()])
+                ids = self.known[t] = np.array([x.id for x in self.model.tokenize(letters)], self.dtype).tobytes()
+            out.append(ids)
+        return b"".join(out)
+
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """Ids of each text with ``end`` appended, as bytes of ``dtype``."""
         last = np.array([end], self.dtype).tobytes()
         plain = [bool(_PLAIN.match(t)) and not any(s in t for s in self.special) for t in texts]
         pieces = [self.split(t) if p else None for t, p in zip(texts, plain)]
-        if len(self.cache) > CACHE:
-            self.cache.clear()
+        for known in (self.cache, self.known):
+            if len(known) > CACHE:
+                known.clear()
         new = list({x for p in pieces if p for x in p if x not in self.cache})
-        for i in range(0, len(new), 20_000):
-            self.cache.update(zip(new[i:i + 20_000], self._ids(new[i:i + 20_000])))
+        self.cache.update(zip(new, map(self._piece, new) if self.by_model else self._whole(new)))
         get = self.cache.__getitem__
-        return [(b"".join(map(get, p)) if p is not None else self._ids([t])[0]) + last for t, p in zip(texts, pieces)]
+        return [(b"".join(map(get, p)) if p is not None else self._whole([t])[0]) + last for t, p in zip(texts, pieces)]
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
