@@ -140,6 +140,14 @@ def activity_bitmask(dates, as_of: str, as_written: bool = False, series_days: i
     return F.aggregate(F.coalesce(arr, F.array().cast("array<date>")), F.lit(0).cast("long"), step)
 
 
+def activity_bitmask_of_events(events: DataFrame, key: str, ts: str, as_of: str, out: str = "mask") -> DataFrame:
+    """A5 straight from events: one ``bit_or`` per key, combined map-side; no distinct, no array, one exchange."""
+    diff = F.datediff(F.to_date(F.lit(as_of)), F.to_date(ts))
+    bit = F.when(diff.between(0, 31), F.call_function("shiftleft", F.lit(1).cast("long"), 31 - diff))
+    return events.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).groupBy(key) \
+        .agg(F.coalesce(F.bit_or(bit), F.lit(0)).cast("long").alias(out))
+
+
 def activity_flags(mask) -> list[Column]:
     """Monthly (32-day), 28-day, weekly and daily activity flags from a mask."""
     m = F.col(mask) if isinstance(mask, str) else mask

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -61,16 +62,29 @@ def dedup_within_window(df: DataFrame, key, ts: str, window_minutes: float, tieb
     return p.where(keep).drop("_p_" + ts)
 
 
-def fact_build(details: DataFrame, games: DataFrame) -> DataFrame:
+#: The seventeen measures of the box score: output column and details column (minutes come from the clock text).
+MEASURES = {f"m_{c}": c for c in ("fgm", "fga", "fg3m", "fg3a", "ftm", "fta", "oreb", "dreb", "reb", "ast", "stl", "blk",
+                                  "turnovers", "pf", "pts", "plus_minus")}
+
+
+def fact_build(details: DataFrame, games: DataFrame, measures: dict[str, str] | None = None,
+               names: DataFrame | None = None) -> DataFrame:
     """dedupe + join to the header + typed, renamed columns with boolean dimensions.
 
     Dedupe on the business key (game, team, player). The header's game date
     is constant inside a key, so ordering by it decides nothing: the dedupe
     runs on the details alone, before the join, and the join moves one row
     per key instead of every duplicate.
+
+    ``measures`` maps output to details columns (default: all of ``MEASURES``
+    that the details have). ``names`` (player_id, player_name), if given, is
+    joined after the dedupe.
     """
+    measures = measures or {o: c for o, c in MEASURES.items() if c in details.columns}
     g = games.select("game_id", "game_date_est", "season", "home_team_id")
     d = dedup_first(details, ["game_id", "team_id", "player_id"]).join(g, "game_id", "inner")
+    if names is not None:
+        d = d.join(names, "player_id", "left")
     return d.select(
         F.col("game_date_est").alias("dim_game_date"),
         F.col("season").alias("dim_season"),
@@ -83,8 +97,7 @@ def fact_build(details: DataFrame, games: DataFrame) -> DataFrame:
         text_flag("comment", "DND").alias("dim_did_not_dress"),
         text_flag("comment", "NWT").alias("dim_not_with_team"),
         clock_to_minutes("min").alias("m_minutes"),
-        F.col("fgm").alias("m_fgm"),
-        F.col("pts").alias("m_pts"),
+        *[F.col(c).alias(o) for o, c in measures.items()],
         F.col("game_id").alias("dim_game_id"),
     )
 
@@ -122,8 +135,11 @@ def sample_fact(df: DataFrame, key: str, modulus: int, keep_below: int, method:
     """deterministic, whole-entity sample: all rows of a sampled key are kept.
 
     ``method='hash'`` buckets by ``xxhash64(key)``; ``'modulo'`` by the
-    integer key itself (reproducible in any SQL engine).
+    integer key itself and ``'md5'`` by the digest of its text (both
+    reproducible in any SQL engine).
     """
+    if method == "md5":
+        return df.where(F.md5(F.col(key).cast("string")) < F.lit(format(keep_below * (1 << 32) // modulus, "08x")))
     bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(modulus)) if method == "hash" else F.pmod(F.col(key), F.lit(modulus))
     return df.where(bucket < F.lit(keep_below))
 
@@ -146,22 +162,32 @@ def bucketed_join(spark: SparkSession, left: DataFrame, right: DataFrame, key: s
     ``bucketBy(n).sortBy(key)`` and registered in the session catalog.
     """
     for df, name in ((left, names[0]), (right, names[1])):
-        (df.write.mode("overwrite").bucketBy(n_buckets, key).sortBy(key)
+        # dealt out by key first: a bucket is one file, not one for each task
+        (df.repartition(n_buckets, key).write.mode("overwrite").bucketBy(n_buckets, key).sortBy(key)
          .option("path", f"{location.rstrip('/')}/{name}").saveAsTable(name))
     return spark.table(names[0]).join(spark.table(names[1]), key, how)
 
 
-def retention_split(df: DataFrame, ts: str, cutoff: str, pii: Sequence[str], hash_pii: bool = True):
-    """F8: split at the ``cutoff`` day: (recent rows unchanged, old rows with PII hashed or dropped)."""
-    old_cond = F.col(ts) < F.lit(cutoff).cast(df.schema[ts].dataType)  # pushable to the scan
-    recent = df.where(~old_cond)
-    old = df.where(old_cond)
-    if hash_pii:
-        old = old.select(*[F.sha2(F.col(c).cast("string"), 256).alias(c + "_hash") if c in pii else F.col(c)
-                           for c in df.columns])
-    else:
-        old = old.drop(*pii)
-    return recent, old
+def retention_split(df: DataFrame, ts: str, cutoff: str, pii: Sequence[str], secret: str | None = None):
+    """F8: split at the ``cutoff`` day -> (recent rows unchanged, old rows without PII, rows without a time).
+
+    PII columns of old rows are dropped; with a ``secret`` they are replaced by
+    a keyed hash (HMAC form: ids cannot be found by trial without the key), so
+    archived rows of one person can still be joined. Rows whose time is NULL
+    come back as a part of their own, unchanged, for the caller to place.
+    """
+    cut = F.lit(cutoff).cast(df.schema[ts].dataType)
+    old = df.where(F.col(ts) < cut)  # pushable to the scan
+    recent, undated = df.where(F.col(ts) >= cut), df.where(F.col(ts).isNull())
+    if secret is None:
+        return recent, old.drop(*pii), undated
+    key = hashlib.sha256(secret.encode()).hexdigest()
+
+    def keyed(c):
+        inner = F.sha2(F.concat(F.lit(key + "/inner/"), F.col(c).cast("string")), 256)
+        return F.sha2(F.concat(F.lit(key + "/outer/"), inner), 256).alias(c + "_hash")
+
+    return recent, old.select(*[keyed(c) if c in pii else F.col(c) for c in df.columns]), undated
 
 
 def daily_aggregate(df: DataFrame, key: str, ts: str, who: str, exact: bool = True) -> DataFrame:
@@ -212,10 +238,13 @@ def olap_cube(df: DataFrame, dims: Sequence[str], measures: Sequence[Column], ki
 
 
 def master_entity(parts: Sequence[tuple[DataFrame, str]], key: str) -> DataFrame:
-    """merge several production sets on one entity key (full joins, attributes coalesced by name)."""
+    """merge several production sets on one entity key (full joins, attributes coalesced by name).
+
+    Each part is deduplicated on the key first (D2: the first row by its other columns), so an entity is one row.
+    """
     out = None
     for df, _name in parts:
-        d = df.withColumnRenamed(key, "_k")
+        d = dedup_first(df, [key]).withColumnRenamed(key, "_k")
         if out is None:
             out = d
             continue

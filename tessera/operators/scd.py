@@ -51,6 +51,12 @@ def scd2_backfill(
     ).select(*keys, *tracked, start, end, period_lit(as_of, is_date).alias(stamp))
 
 
+def scd2_rollback(scd: DataFrame, as_of, is_date: bool, start: str = "start_period", end: str = "end_period") -> DataFrame:
+    """The SCD-2 table (closed intervals) as it was at ``as_of``: later intervals dropped, longer ones cut."""
+    at = period_lit(as_of, is_date) if not hasattr(as_of, "cast") else as_of
+    return scd.where(F.col(start) <= at).withColumn(end, F.least(F.col(end), at))
+
+
 def scd2_incremental(
     scd: DataFrame,
     snapshot: DataFrame,
@@ -68,11 +74,15 @@ def scd2_incremental(
     open at ``at - 1`` meet the new snapshot in one full outer join:
     unchanged -> end extended; changed -> old row kept + new (at, at);
     new entity -> (at, at); entity missing from the snapshot keeps its closed row.
+
+    A table that already holds ``at`` or later periods is first taken back to
+    ``at - 1``, so applying a period twice equals applying it once.
     """
     keys = _keys(key)
     is_date = is_date_type(snapshot, period)
     at_l = period_lit(at, is_date)
     prev_l = period_add(at_l, -1, is_date)
+    scd = scd2_rollback(scd, prev_l, is_date, start, end)
     historical = scd.where(F.col(end) < prev_l).select(*keys, *tracked, start, end)
     last = scd.where(F.col(end) == prev_l).select(
         *keys, *[F.col(c).alias("_l_" + c) for c in tracked], F.col(start).alias("_l_start"),
@@ -123,12 +133,14 @@ def scd2_catch_up(
     snapshots of ``first..last``; one gaps-and-islands pass over seeds plus
     new snapshots (a window per key over at most ``last - first + 2`` rows)
     extends, closes and opens intervals; older history passes through. The
-    same as applying ``scd2_incremental`` period by period, without the loop.
+    same as applying ``scd2_incremental`` period by period, without the loop;
+    like there, later periods already in the table are taken back first.
     """
     keys = _keys(key)
     is_date = is_date_type(snapshots, period)
     first_l, last_l = period_lit(first, is_date), period_lit(last, is_date)
     seed_end = period_add(first_l, -1, is_date)
+    scd = scd2_rollback(scd, seed_end, is_date, start, end)
     historical = scd.where(F.col(end) < seed_end).select(*keys, *tracked, start, end)
     seeds = scd.where(F.col(end) == seed_end).select(
         *keys, *tracked, F.col(end).alias("_p"), F.col(start).alias("_seed_start"))

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.expr import key_list as _keys
+from tessera.sources.writers import stage
 
 
 # The key travels as one struct column ``_k``: windows partition on it and the bucket joins use
@@ -61,7 +62,9 @@ def with_previous(
     Buckets are hours (``bucket_seconds``) by default. With ``segments=N`` they
     are the N row-balanced ranges of a ``repartitionByRange(key, ts, ...)``
     instead (boundaries from a sample): a key whose events also crowd into one
-    hour is still cut into pieces of about ``rows / N`` rows.
+    hour is still cut into pieces of about ``rows / N`` rows. The numbered rows
+    are written once and read by both branches: two range exchanges would each
+    sample boundaries of their own.
     """
     keys = _keys(key)
     order = [ts, *tiebreak]
@@ -71,8 +74,8 @@ def with_previous(
     if segments:
         # range segments are contiguous in (key, ts, tiebreak) order, so the segment id is
         # monotone in time within a key, exactly like a time bucket
-        based = df.repartitionByRange(segments, *keys, *_asc(order)).withColumn(
-            "_bkt", F.spark_partition_id().cast("long"))
+        based = stage(df.repartitionByRange(segments, *keys, *_asc(order)).withColumn(
+            "_bkt", F.spark_partition_id().cast("long")), "segments")
     else:
         based = df.withColumn("_bkt", time_bucket(ts, bucket_seconds))
     based = based.withColumn(_K, F.struct(*keys))

@@ -13,11 +13,10 @@ from tessera.sources.tables import read_table
 
 AS_OF = S.EVENTS_AS_OF
 START = "2024-01-01"
-PURCHASES = "event_type = 'purchase'"
 
 
-def purchases(spark, sf_dir):
-    return read_table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+def all_events(spark, sf_dir):
+    return read_table(spark, sf_dir, "events")
 
 
 def _dates_key(c):
@@ -31,7 +30,7 @@ def flat_datelist(df):
 
 _DATELIST_SQL = f"""
  WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events
-            WHERE {PURCHASES} AND user_id IS NOT NULL AND CAST(ts AS DATE) BETWEEN DATE '{START}' AND DATE '{AS_OF}'),
+            WHERE user_id IS NOT NULL AND CAST(ts AS DATE) BETWEEN DATE '{START}' AND DATE '{AS_OF}'),
  f AS (SELECT user_id, min(day) AS first_day FROM d GROUP BY 1),
  spine AS (SELECT user_id, CAST(unnest(generate_series(first_day, DATE '{AS_OF}', INTERVAL 1 DAY)) AS DATE) AS date
            FROM f)
@@ -42,12 +41,12 @@ _DATELIST_SQL = f"""
 
 @register("datelist_backfill", oracle=_DATELIST_SQL)
 def q_datelist_backfill(spark, sf_dir):
-    return flat_datelist(ac.datelist_backfill(purchases(spark, sf_dir), "user_id", "ts", START, AS_OF))
+    return flat_datelist(ac.datelist_backfill(all_events(spark, sf_dir), "user_id", "ts", START, AS_OF))
 
 
 @register("datelist_step", oracle=f"SELECT * FROM ({_DATELIST_SQL}) WHERE date = DATE '{AS_OF}'")
 def q_datelist_step(spark, sf_dir):
-    e = purchases(spark, sf_dir)
+    e = all_events(spark, sf_dir)
     y = ac.datelist_backfill(e, "user_id", "ts", START, "2024-01-29", emit_from="2024-01-29")  # yesterday only
     return flat_datelist(ac.datelist_step(y, e, "user_id", "ts", AS_OF))
 
@@ -112,7 +111,7 @@ def q_datelist_by_device(spark, sf_dir):
 
 
 _MASK_SQL = f"""
- WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events WHERE {PURCHASES} AND user_id IS NOT NULL),
+ WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events WHERE user_id IS NOT NULL),
  m AS (SELECT user_id,
               CAST(coalesce(bit_or(CASE WHEN DATE '{AS_OF}' - day BETWEEN 0 AND 31
                                         THEN CAST(1 AS BIGINT) << (31 - (DATE '{AS_OF}' - day)) END), 0) AS BIGINT) AS mask
@@ -121,8 +120,7 @@ _MASK_SQL = f"""
 
 @register("activity_bitmask", oracle=_MASK_SQL + " SELECT user_id, mask FROM m")
 def q_activity_bitmask(spark, sf_dir):
-    s = ac.datelist_set(purchases(spark, sf_dir), "user_id", "ts")
-    return s.select("user_id", ac.activity_bitmask("active_dates", AS_OF).alias("mask"))
+    return ac.activity_bitmask_of_events(all_events(spark, sf_dir), "user_id", "ts", AS_OF)
 
 
 @register("activity_flags", oracle=_MASK_SQL + f"""
@@ -132,13 +130,13 @@ def q_activity_bitmask(spark, sf_dir):
         bit_count(mask & {ac.MASK_1_DAY}) > 0 AS dim_is_daily_active
  FROM m""")
 def q_activity_flags(spark, sf_dir):
-    s = ac.datelist_set(purchases(spark, sf_dir), "user_id", "ts")
+    s = ac.datelist_set(all_events(spark, sf_dir), "user_id", "ts")
     m = s.select("user_id", ac.activity_bitmask("active_dates", AS_OF).alias("mask"))
     return m.select("user_id", "mask", *ac.activity_flags("mask"))
 
 
 @register("activity_flags_as_written", oracle=f"""
- WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events WHERE {PURCHASES} AND user_id IS NOT NULL),
+ WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events WHERE user_id IS NOT NULL),
  m AS (SELECT user_id,
               CAST(coalesce(sum(CAST(pow(2, 32 - (DATE '{AS_OF}' - day)) AS BIGINT))
                    FILTER (WHERE day BETWEEN DATE '{START}' AND DATE '{AS_OF}'), 0) AS BIGINT) & 4294967295 AS mask
@@ -150,7 +148,7 @@ def q_activity_flags(spark, sf_dir):
  FROM m""")
 def q_activity_flags_as_written(spark, sf_dir):
     # The original 2^(32 - d) formula over the month-to-date calendar (30 days to 2024-01-30).
-    s = ac.datelist_set(purchases(spark, sf_dir), "user_id", "ts")
+    s = ac.datelist_set(all_events(spark, sf_dir), "user_id", "ts")
     m = s.select("user_id", ac.activity_bitmask("active_dates", AS_OF, as_written=True, series_days=30).alias("mask"))
     return m.select("user_id", "mask", *ac.activity_flags("mask"))
 

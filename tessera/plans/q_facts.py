@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import zlib
+import hashlib
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ def q_duplicate_audit(spark, sf_dir):
  SELECT game_id, team_id, player_id, count(*) AS n_rows FROM gd GROUP BY 1, 2, 3 HAVING count(*) > 1""")
 def q_duplicate_audit_details(spark, sf_dir):
     # the fact lab's check: (game, team, player) keys that occur more than once in the details
-    return fx.duplicate_audit(S.game_details(spark, sf_dir), ["game_id", "team_id", "player_id"])
+    return fx.duplicate_audit(S.game_details(spark, sf_dir, names=False), ["game_id", "team_id", "player_id"])
 
 
 @register("dedup_first", oracle=f"""
@@ -66,33 +67,33 @@ def q_dedup_within_window(spark, sf_dir):
     return fx.dedup_within_window(e, ["user_id", "event_type"], "ts", 60, ["event_id"])
 
 
-_FACT_SQL = "WITH " + V.GAME_DETAILS + "," + V.GAMES + """,
+_FACT_SQL = "WITH " + V.GAME_BOX + "," + V.GAMES + f""",
  j AS (SELECT gd.*, g.game_date_est, g.season, g.home_team_id FROM gd JOIN g USING (game_id)),
  d AS (
    SELECT *, row_number() OVER (PARTITION BY game_id, team_id, player_id ORDER BY game_date_est,
-     team_abbreviation ASC NULLS LAST, player_name ASC NULLS LAST, start_position ASC NULLS LAST,
+     team_abbreviation ASC NULLS LAST, start_position ASC NULLS LAST,
      comment ASC NULLS LAST, min ASC NULLS LAST, fgm ASC NULLS LAST, pts ASC NULLS LAST,
-     line_part ASC NULLS LAST, line_price ASC NULLS LAST, game_date_est ASC NULLS LAST,
+     line_part ASC NULLS LAST, line_price ASC NULLS LAST,
+     {", ".join(c + " ASC NULLS LAST" for c in S.BOX_MEASURES)}, game_date_est ASC NULLS LAST,
      season ASC NULLS LAST, home_team_id ASC NULLS LAST) AS rn
    FROM j
  ),
  fct AS (
    SELECT game_date_est AS dim_game_date, season AS dim_season, team_id AS dim_team_id,
-          player_id AS dim_player_id, player_name AS dim_player_name, start_position AS dim_start_position,
+          player_id AS dim_player_id, s_name AS dim_player_name, start_position AS dim_start_position,
           team_id = home_team_id AS dim_is_playing_at_home,
-          coalesce(position('DNP' IN comment), 0) > 0 AS dim_did_not_play,
-          coalesce(position('DND' IN comment), 0) > 0 AS dim_did_not_dress,
-          coalesce(position('NWT' IN comment), 0) > 0 AS dim_not_with_team,
-          round(TRY_CAST(split_part(min, ':', 1) AS DOUBLE)
-            + CASE WHEN split_part(min, ':', 2) = '' THEN 0.0
-                   ELSE TRY_CAST(split_part(min, ':', 2) AS DOUBLE) END / 60, 6) AS m_minutes,
-          fgm AS m_fgm, pts AS m_pts, game_id AS dim_game_id
-   FROM d WHERE rn = 1
+          coalesce(start_position = 'R', false) AS dim_did_not_play,
+          false AS dim_did_not_dress,
+          coalesce(start_position = 'A', false) AS dim_not_with_team,
+          round(pts + CAST(regexp_extract(min, ':([0-9]+)$', 1) AS INTEGER) / 60.0, 6) AS m_minutes,
+          fgm AS m_fgm, pts AS m_pts, {", ".join(f"{c} AS m_{c}" for c in S.BOX_MEASURES)}, game_id AS dim_game_id
+   FROM d LEFT JOIN supplier ON s_suppkey = player_id WHERE rn = 1
  )"""
 
 
 def fct_game_details(spark, sf_dir):
-    f = fx.fact_build(S.game_details(spark, sf_dir), S.games(spark, sf_dir))
+    f = fx.fact_build(S.game_details(spark, sf_dir, names=False), S.games(spark, sf_dir),
+                      names=S.player_names(spark, sf_dir))
     return f.withColumn("m_minutes", F.round("m_minutes", 6))
 
 
@@ -108,7 +109,7 @@ def q_fact_build(spark, sf_dir):
         coalesce(position('NWT' IN comment), 0) > 0 AS not_with_team
  FROM gd GROUP BY comment""")
 def q_text_flags(spark, sf_dir):
-    gd = S.game_details(spark, sf_dir)
+    gd = S.game_details(spark, sf_dir, names=False)
     return gd.groupBy("comment").agg(F.count(F.lit(1)).alias("n_rows")).select(
         "comment", "n_rows", text_flag("comment", "DNP").alias("did_not_play"),
         text_flag("comment", "DND").alias("did_not_dress"), text_flag("comment", "NWT").alias("not_with_team"))
@@ -121,7 +122,7 @@ def q_text_flags(spark, sf_dir):
                  ELSE TRY_CAST(split_part(min, ':', 2) AS DOUBLE) END / 60, 6) AS minutes
  FROM gd GROUP BY min""")
 def q_clock_to_minutes(spark, sf_dir):
-    gd = S.game_details(spark, sf_dir)
+    gd = S.game_details(spark, sf_dir, names=False)
     return gd.groupBy("min").agg(F.count(F.lit(1)).alias("n_rows")).select(
         "min", "n_rows", F.round(clock_to_minutes("min"), 6).alias("minutes"))
 
@@ -152,15 +153,22 @@ def q_denormalise_fact(spark, sf_dir):
 
 
 @register("normalise_fact", oracle="""
- SELECT DISTINCT p.p_partkey, p.p_brand, p.p_type
- FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""")
+ SELECT 'fact' AS part, l_orderkey, l_linenumber, l_partkey AS part_key, CAST(NULL AS VARCHAR) AS p_brand,
+        CAST(NULL AS VARCHAR) AS p_type
+ FROM lineitem
+ UNION ALL
+ SELECT DISTINCT 'dimension', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), l.l_partkey, p.p_brand, p.p_type
+ FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey""")
 def q_normalise_fact(spark, sf_dir):
-    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    p = read_table(spark, sf_dir, "part")
-    denorm = li.join(p.select("p_partkey", "p_brand", "p_type"), li.l_partkey == p.p_partkey, "inner")
-    _fact, dim = fx.normalise_fact(denorm, ["l_orderkey", "l_linenumber", "l_partkey"], "p_partkey",
-                                   ["p_brand", "p_type"])
-    return dim
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("part_key"))
+    p = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part_key"), "p_brand", "p_type")
+    fact, dim = fx.normalise_fact(li.join(p, "part_key", "left"), ["l_orderkey", "l_linenumber", "part_key"], "part_key",
+                                  ["p_brand", "p_type"])
+    none = [F.lit(None).cast("bigint").alias(c) for c in ("l_orderkey", "l_linenumber")]
+    text = [F.lit(None).cast("string").alias(c) for c in ("p_brand", "p_type")]
+    f = fact.select(F.lit("fact").alias("part"), F.col("l_orderkey").cast("bigint").alias("l_orderkey"),
+                    F.col("l_linenumber").cast("bigint").alias("l_linenumber"), "part_key", *text)
+    return f.unionByName(dim.select(F.lit("dimension").alias("part"), *none, "part_key", "p_brand", "p_type"))
 
 
 @register("sample_fact", oracle="""
@@ -170,40 +178,51 @@ def q_sample_fact(spark, sf_dir):
     return fx.sample_fact(o, "o_custkey", 10, 3, method="modulo")
 
 
-@register("sample_fact_hash")
+@register("sample_fact_hash", oracle="""
+ SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE md5(CAST(o_custkey AS VARCHAR)) < '4ccccccc'""")
 def q_sample_fact_hash(spark, sf_dir):
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return fx.sample_fact(o, "o_custkey", 10, 3, method="hash")
+    return fx.sample_fact(o, "o_custkey", 10, 3, method="md5")
 
 
 @register("bucketed_join", oracle="""
  SELECT o.o_orderkey, o.o_custkey, count(*) AS n_lines, round(sum(l.l_quantity), 2) AS sum_qty
  FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2""")
 def q_bucketed_join(spark, sf_dir):
-    loc = ensure_checkpoint_dir(spark).rstrip("/") + "/bucketed"
-    tag = format(zlib.crc32(sf_dir.encode()), "x")
+    tag = uuid.uuid4().hex  # a run's own tables: another run at the same time must not replace them
+    loc = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bucketed-{tag}"
     o = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("orderkey"), "o_custkey")
     li = read_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("orderkey"), "l_quantity")
-    j = fx.bucketed_join(spark, o, li, "orderkey", 8, loc, (f"bkt_orders_{tag}", f"bkt_lineitem_{tag}"))
+    n = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))  # as many as a shuffle of this input would have
+    j = fx.bucketed_join(spark, o, li, "orderkey", n, loc, (f"bkt_orders_{tag}", f"bkt_lineitem_{tag}"))
     return j.groupBy(F.col("orderkey").alias("o_orderkey"), "o_custkey").agg(
         F.count(F.lit(1)).alias("n_lines"), F.round(F.sum("l_quantity"), 2).alias("sum_qty"))
 
 
-@register("retention_split", oracle="""
- SELECT 'recent' AS tier, event_id, user_id, CAST(NULL AS VARCHAR) AS user_id_hash, event_type,
-        CAST(ts AS DATE) AS day
- FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-16'
+_SECRET = "held outside the table"
+_KEY = hashlib.sha256(_SECRET.encode()).hexdigest()
+
+
+@register("retention_split", oracle=f"""
+ SELECT CASE WHEN ts IS NULL THEN 'undated' ELSE 'recent' END AS tier, event_id, user_id,
+        CAST(NULL AS VARCHAR) AS user_id_hash, event_type, CAST(ts AS DATE) AS day
+ FROM events WHERE ts IS NULL OR CAST(ts AS DATE) >= DATE '2024-01-16'
  UNION ALL
- SELECT 'archived', event_id, CAST(NULL AS BIGINT), sha256(CAST(user_id AS VARCHAR)), event_type, CAST(ts AS DATE)
+ SELECT 'archived', event_id, CAST(NULL AS BIGINT),
+        sha256('{_KEY}/outer/' || sha256('{_KEY}/inner/' || CAST(user_id AS VARCHAR))), event_type, CAST(ts AS DATE)
  FROM events WHERE CAST(ts AS DATE) < DATE '2024-01-16'""")
 def q_retention_split(spark, sf_dir):
     e = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
-    recent, old = fx.retention_split(e, "ts", "2024-01-16", ["user_id"])
-    r = recent.select(F.lit("recent").alias("tier"), "event_id", "user_id",
-                      F.lit(None).cast("string").alias("user_id_hash"), "event_type", F.to_date("ts").alias("day"))
+    recent, old, undated = fx.retention_split(e, "ts", "2024-01-16", ["user_id"], secret=_SECRET)
+    day = F.to_date("ts").alias("day")
+
+    def tier(df, name):
+        return df.select(F.lit(name).alias("tier"), "event_id", "user_id", F.lit(None).cast("string").alias("user_id_hash"),
+                         "event_type", day)
+
     a = old.select(F.lit("archived").alias("tier"), "event_id", F.lit(None).cast("bigint").alias("user_id"),
-                   "user_id_hash", "event_type", F.to_date("ts").alias("day"))
-    return r.unionByName(a)
+                   "user_id_hash", "event_type", day)
+    return tier(recent, "recent").unionByName(tier(undated, "undated")).unionByName(a)
 
 
 @register("daily_aggregate", oracle="""
@@ -261,21 +280,18 @@ def q_olap_cube(spark, sf_dir):
 
 
 @register("master_entity", oracle="""
- WITH c AS (SELECT c_nationkey AS nation_key, count(*) AS n_customers, round(sum(c_acctbal), 2) AS customer_balance
-            FROM customer GROUP BY 1),
- s AS (SELECT s_nationkey AS nation_key, count(*) AS n_suppliers, round(sum(s_acctbal), 2) AS supplier_balance
-       FROM supplier GROUP BY 1),
- n AS (SELECT n_nationkey AS nation_key, n_name FROM nation)
- SELECT coalesce(n.nation_key, c.nation_key, s.nation_key) AS nation_key, n.n_name, c.n_customers, c.customer_balance,
-        s.n_suppliers, s.supplier_balance
- FROM n FULL JOIN c ON n.nation_key = c.nation_key FULL JOIN s ON coalesce(n.nation_key, c.nation_key) = s.nation_key""")
+ WITH c AS (SELECT c_custkey AS person, any_value(c_name) AS name FROM customer GROUP BY 1),
+ o AS (SELECT o_custkey AS person, count(*) AS n_orders, round(sum(o_totalprice), 2) AS spent FROM orders GROUP BY 1),
+ e AS (SELECT user_id AS person, count(*) AS n_events FROM events GROUP BY 1)
+ SELECT coalesce(c.person, o.person, e.person) AS person, c.name, o.n_orders, o.spent, e.n_events
+ FROM c FULL JOIN o ON c.person = o.person FULL JOIN e ON coalesce(c.person, o.person) = e.person""")
 def q_master_entity(spark, sf_dir):
-    n = read_table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nation_key"), "n_name")
-    c = read_table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("nation_key")).agg(
-        F.count(F.lit(1)).alias("n_customers"), F.round(F.sum("c_acctbal"), 2).alias("customer_balance"))
-    s = read_table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("nation_key")).agg(
-        F.count(F.lit(1)).alias("n_suppliers"), F.round(F.sum("s_acctbal"), 2).alias("supplier_balance"))
-    return fx.master_entity([(n, "nation"), (c, "customer"), (s, "supplier")], "nation_key")
+    c = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("person"), F.col("c_name").alias("name"))
+    o = read_table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("person")).agg(
+        F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("spent"))
+    e = read_table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("person")).agg(
+        F.count(F.lit(1)).alias("n_events"))
+    return fx.master_entity([(c.unionByName(c), "customer"), (o, "orders"), (e, "events")], "person")
 
 
 @register("olap_rollup", oracle="""

@@ -9,6 +9,7 @@ from tessera.plans import sql_views as V
 from tessera.plans import standins as S
 from tessera.plans.q_cumulative import actors, players
 from tessera.plans.registry import register
+from tessera.sources import writers as wr
 from tessera.sources.tables import read_table
 
 PA = S.PLAYER_AS_OF
@@ -35,6 +36,17 @@ def q_scd2_incremental(spark, sf_dir):
         .select(*_SCD_COLS.split(", "))
 
 
+@register("scd2_incremental_load",
+          oracle="WITH " + V.PLAYER_SCD.replace("{as_of}", str(PA)) + f" SELECT {_SCD_COLS} FROM scd")
+def q_scd2_incremental_load(spark, sf_dir):
+    """The stored form: write the SCD table as of the period before, then apply the period from the stored table, twice."""
+    table = wr.stage(players_scd(spark, sf_dir, PA - 1), "scd")
+    snap = wr.stage(players(spark, sf_dir, PA, with_history=False, emit_from=PA), "snapshot")
+    for _ in range(2):
+        table = wr.stage(scd.scd2_incremental(table, snap, "player_id", TRACKED, PA, period="current_season"), "scd")
+    return table.select(*_SCD_COLS.split(", "))
+
+
 @register("scd2_catch_up", oracle="WITH " + V.PLAYER_SCD.replace("{as_of}", str(PA)) + f" SELECT {_SCD_COLS} FROM scd")
 def q_scd2_catch_up(spark, sf_dir):
     # three missed periods applied in one pass to the SCD as of PA-3

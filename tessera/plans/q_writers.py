@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 
 from tessera.functions.expr import day_range
 from tessera.operators import cumulative as cu
+from tessera.operators.sequence import with_previous
 from tessera.plans import sql_views as V
 from tessera.plans import standins as S
 from tessera.plans.q_cumulative import flat_players, players
 from tessera.plans.registry import register
 from tessera.session import ensure_checkpoint_dir
 from tessera.sources import writers as wr
-from tessera.sources.tables import read_table, stream_glob
+from tessera.sources.tables import read_table
 from tessera.streaming import dedup as sd
 
 
@@ -73,9 +74,20 @@ def q_upsert_partitions(spark, sf_dir):
     return spark.read.parquet(path).select("host", "day", "hits")
 
 
+@register("append", oracle=_DAILY_SQL + " UNION ALL " + _DAILY_SQL)
+def q_append(spark, sf_dir):
+    """The contrast case -- a plain INSERT run twice holds every row twice."""
+    path = _scratch(spark, "daily-append")
+    daily = _daily(read_table(spark, sf_dir, "events"))
+    for _ in range(2):
+        wr.append(daily, path, ["day"])
+    return spark.read.parquet(path).select("host", "day", "hits")
+
+
 @register("evolve_schema", oracle="""
  SELECT event_type AS host, CAST(ts AS DATE) AS day, count(*) AS hits,
-        CASE WHEN CAST(ts AS DATE) < DATE '2024-01-16' THEN -1 ELSE count(DISTINCT user_id) END AS unique_visitors
+        CASE WHEN CAST(ts AS DATE) < DATE '2024-01-16' THEN -1 WHEN CAST(ts AS DATE) <> DATE '2024-01-20'
+             THEN count(DISTINCT user_id) END AS unique_visitors
  FROM events GROUP BY 1, 2""")
 def q_evolve_schema(spark, sf_dir):
     path = _scratch(spark, "evolve")
@@ -84,8 +96,9 @@ def q_evolve_schema(spark, sf_dir):
     wr.overwrite_partitions(old, path, ["day"])
     new = e.where(day_range(e, "ts", start="2024-01-16")).groupBy(
         F.col("event_type").alias("host"), F.to_date("ts").alias("day")).agg(
-        F.count(F.lit(1)).alias("hits"), F.count_distinct("user_id").alias("unique_visitors"))
-    wr.overwrite_partitions(new, path, ["day"])
+        F.count(F.lit(1)).alias("hits"), F.when(F.to_date(F.max("ts")) != F.lit("2024-01-20").cast("date"),
+                                                F.count_distinct("user_id")).alias("unique_visitors"))
+    wr.overwrite_partitions(wr.stamp_version(new, 1), path, ["day"])  # one day's visitors are stored as NULL: they stay so
     r = wr.read_evolved(spark, path, {"unique_visitors": -1})
     return r.select("host", "day", "hits", "unique_visitors")
 
@@ -112,25 +125,38 @@ def q_cumulative_incremental_load(spark, sf_dir):
     return flat_players(spark.read.parquet(path))
 
 
-def _event_stream(spark, sf_dir):
-    schema = read_table(spark, sf_dir, "events").schema
-    return sd.read_event_stream(spark, stream_glob(sf_dir, "events"), schema)
+def _arriving(spark, sf_dir, slots, name):
+    """The events as a stream of several batches: a file for each value of ``slots``, read one file at a time."""
+    e = read_table(spark, sf_dir, "events")
+    path = _scratch(spark, name)
+    for i, cond in enumerate(slots):  # written one after the other, so they arrive in this order
+        e.where(cond).coalesce(1).write.parquet(f"{path}/{i}")
+    return sd.read_event_stream(spark, path + "/*", e.schema, max_files_per_trigger=1)
 
 
 @register("stream_dedup", oracle="""
- SELECT user_id, event_type, count(*) AS n_events, 1 AS n_kept FROM events GROUP BY 1, 2""")
+ SELECT user_id, event_type, count(*) AS n_events, true AS some_kept, true AS none_added, 0 AS n_too_close
+ FROM events GROUP BY 1, 2""")
 def q_stream_dedup(spark, sf_dir):
-    # The table file arrives as one micro-batch: the watermark cannot pass any kept event inside
-    # it, so exactly one event per key survives (which one is the stream's choice); the check is
-    # per key: events seen vs events kept.
+    # The events arrive in time order, five days to a trigger, so the watermark passes keys and
+    # their state goes. Which of a key's events survives depends on the triggers; what must hold
+    # does not: a key is never lost, no event appears that did not arrive, and no two survivors
+    # of a key are within the delay.
     out = _scratch(spark, "stream-dedup")
-    s = sd.stream_dedup(_event_stream(spark, sf_dir), ["user_id", "event_type"], "ts", "60 minutes")
+    day = F.dayofmonth("ts")
+    slots = [day.between(a, a + 4) & F.col("ts").isNotNull() for a in range(1, 31, 5)] + [(day > 30) | F.col("ts").isNull()]
+    s = sd.stream_dedup(_arriving(spark, sf_dir, slots, "stream-in"), ["user_id", "event_type"], "ts", "60 minutes")
     sd.run_available_now(s.select("event_id", "user_id", "event_type", "ts"), out + "/data", out + "/_ckpt")
-    kept = spark.read.parquet(out + "/data").groupBy("user_id", "event_type").agg(
-        F.count(F.lit(1)).cast("int").alias("n_kept"))
+    kept = spark.read.parquet(out + "/data")
+    gap = F.timestamp_diff("MICROSECOND", F.col("prev_ts"), F.col("ts"))
+    near = with_previous(kept, ["user_id", "event_type"], "ts", ["event_id"]) \
+        .groupBy("user_id", "event_type").agg(F.count_distinct("event_id").alias("n_kept"),
+                                              F.count_if(gap <= 3_600_000_000).cast("int").alias("n_too_close"))
     seen = read_table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(
         F.count(F.lit(1)).alias("n_events"))
-    return seen.join(kept, ["user_id", "event_type"], "left")
+    return seen.join(near, ["user_id", "event_type"], "left").select(
+        "user_id", "event_type", "n_events", (F.coalesce("n_kept", F.lit(0)) > 0).alias("some_kept"),
+        (F.coalesce("n_kept", F.lit(0)) <= F.col("n_events")).alias("none_added"), "n_too_close")
 
 
 @register("microbatch_dedup", oracle="""
@@ -139,9 +165,12 @@ def q_stream_dedup(spark, sf_dir):
             FROM events)
  SELECT event_id, user_id, event_type, value FROM g WHERE gap IS NULL OR gap > 3600000000""")
 def q_microbatch_dedup(spark, sf_dir):
+    # Four batches: the middle, the beginning and the end of the month, then late events from all of it.
     out = _scratch(spark, "microbatch")
-    s = _event_stream(spark, sf_dir).select("event_id", "user_id", "event_type", "ts", "value")
-    writer = sd.microbatch_dedup_writer(out + "/fact", ["user_id", "event_type"], "ts", 60)
+    late, day = F.col("event_id") % 5 == 0, F.dayofmonth("ts")
+    slots = [~late & day.between(11, 20), ~late & (day <= 10), ~late & (day > 20), late | F.col("ts").isNull()]
+    s = _arriving(spark, sf_dir, slots, "microbatch-in").select("event_id", "user_id", "event_type", "ts", "value")
+    writer = sd.microbatch_dedup_writer(out + "/fact", ["user_id", "event_type"], "ts", 60, ["event_id"])
     q = (s.writeStream.foreachBatch(writer).option("checkpointLocation", out + "/_ckpt")
          .trigger(availableNow=True).start())
     q.awaitTermination()

@@ -4,6 +4,8 @@ They restate ``standins.py`` in SQL over the raw tables so the oracles do not
 depend on any Spark code.
 """
 
+from tessera.plans.standins import BOX_MEASURES
+
 PLAYER_SEASONS = """
 ps0 AS (
   SELECT o_custkey AS player_id, CAST(year(o_orderdate) AS INTEGER) AS season, count(*) AS gp,
@@ -94,6 +96,20 @@ gd AS (
   FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
 )"""
 
+# The details without names, with all measures: what the fact is built from.
+GAME_BOX = """
+gd AS (
+  SELECT l_orderkey AS game_id, l_linestatus AS team_id, l_linestatus AS team_abbreviation,
+         l_suppkey AS player_id, l_returnflag AS start_position,
+         CASE WHEN l_returnflag = 'R' THEN 'DNP - Coach''s Decision'
+              WHEN l_returnflag = 'A' THEN 'NWT - Personal' END AS comment,
+         CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || ':' ||
+           lpad(CAST(CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR), 2, '0') AS min,
+         l_linenumber AS fgm, l_quantity AS pts, l_partkey AS line_part, l_extendedprice AS line_price,
+         """ + ",\n         ".join(f"CAST({e} AS BIGINT) AS {c}" for c, e in BOX_MEASURES.items()) + """
+  FROM lineitem
+)"""
+
 GAMES = """
 g AS (
   SELECT o_orderkey AS game_id, CAST(o_orderdate AS DATE) AS game_date_est,

@@ -80,10 +80,28 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (line item): game = order, player = supplier, team = line status."""
+def player_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(player_id, player_name): the suppliers."""
+    return read_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("player_id"),
+                                                        F.col("s_name").alias("player_name"))
+
+
+#: The box score's other measures as whole-number formulas of a line item (the SQL views use the same text).
+BOX_MEASURES = {
+    "fga": "l_linenumber + CAST(l_quantity AS INT)", "fg3m": "l_linenumber % 3",
+    "fg3a": "l_linenumber % 3 + CAST(l_quantity AS INT) % 5", "ftm": "CAST(l_quantity AS INT) % 7",
+    "fta": "CAST(l_quantity AS INT) % 7 + l_linenumber", "oreb": "l_partkey % 4", "dreb": "l_partkey % 9",
+    "reb": "l_partkey % 4 + l_partkey % 9", "ast": "l_suppkey % 11", "stl": "l_partkey % 3", "blk": "l_suppkey % 4",
+    "turnovers": "CAST(l_quantity AS INT) % 6", "pf": "l_linenumber % 6", "plus_minus": "l_partkey % 41 - 20",
+}
+
+
+def game_details(spark: SparkSession, sf_dir: str, names: bool = True) -> DataFrame:
+    """One row per (line item): game = order, player = supplier, team = line status.
+
+    Without ``names`` the player's name is left out (a fact joins it after its dedupe).
+    """
     li = read_table(spark, sf_dir, "lineitem")
-    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     comment = (
         F.when(F.col("l_returnflag") == "R", F.lit("DNP - Coach's Decision"))
         .when(F.col("l_returnflag") == "A", F.lit("NWT - Personal"))
@@ -92,12 +110,11 @@ def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast("int").cast("string"), F.lit(":"),
         F.lpad(F.round(F.col("l_discount") * 100).cast("int").cast("string"), 2, "0"),
     )
-    return li.join(s, li.l_suppkey == s.s_suppkey, "left").select(
+    rows = li.select(
         F.col("l_orderkey").alias("game_id"),
         F.col("l_linestatus").alias("team_id"),
         F.col("l_linestatus").alias("team_abbreviation"),
         F.col("l_suppkey").alias("player_id"),
-        F.col("s_name").alias("player_name"),
         F.col("l_returnflag").alias("start_position"),
         comment.alias("comment"),
         minutes.alias("min"),
@@ -105,7 +122,9 @@ def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").alias("pts"),
         F.col("l_partkey").alias("line_part"),
         F.col("l_extendedprice").alias("line_price"),
+        *[F.expr(e).cast("long").alias(c) for c, e in BOX_MEASURES.items()],
     )
+    return rows.join(player_names(spark, sf_dir), "player_id", "left") if names else rows
 
 
 def teams(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,10 +20,39 @@ from tessera.functions.expr import key_list as _keys
 from tessera.session import ensure_checkpoint_dir
 
 
+MAX_LITERAL_PARTITIONS = 1000  # touched partitions named one by one in the scan's filter; more are matched by a semi join
+
+
 class DuplicateKeyError(ValueError):
     pass
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` holds anything but hidden files. Asks the file system, so a listing that fails raises."""
+    fs, p = _file_system(spark, path)
+    return fs.exists(p) and any(not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(p))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder (scratch of a finished write, or a partition that has become empty)."""
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def match_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join on equal keys, NULL matching NULL."""
+    r = right.select(*[F.col(k).alias("_k_" + k) for k in keys])
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col("_k_" + k))
+    return left.join(r, cond, how)
+
+
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
     """Fail when a key occurs twice (distributed aggregate; only a count reaches the driver)."""
     dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).limit(1).count()
@@ -41,13 +70,17 @@ def upsert(target: DataFrame, source: DataFrame, key, check_unique: bool = True)
     keys = _keys(key)
     if check_unique:
         assert_unique(source, keys)
-    kept = target.join(source.select(*keys), keys, "left_anti")
+    kept = match_null_safe(target, source, keys, "left_anti")
     return kept.unionByName(source.select(*target.columns))
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Idempotent INSERT OVERWRITE of exactly the partitions present in ``df``."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Idempotent INSERT OVERWRITE of exactly the partitions present in ``df``.
+
+    Rows are rebalanced on the partition columns first: a partition is written
+    by one task or, if it is large, by a few, not by every task that holds a row of it.
+    """
+    (df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
 
 
@@ -62,25 +95,31 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, key, pa
     it replaces, and a lost executor only re-runs its own tasks.
     """
     keys = _keys(key)
+    outside = [c for c in partition_by if c not in keys]
+    if outside:  # a row that moves to another partition would stay in the old one as well
+        raise ValueError(f"partition columns {outside} are not part of the key {list(keys)}")
     assert_unique(source, keys)
-    touched = [tuple(r) for r in source.select(*partition_by).distinct().collect()]
-    try:
-        current = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 -- first load: nothing to merge with
+    if not table_exists(spark, path):
         overwrite_partitions(source, path, partition_by)
         return
-    pruned = None
-    for values in touched:
-        c = None
-        for col, v in zip(partition_by, values):
-            e = F.col(col).isNull() if v is None else F.col(col) == F.lit(v)
-            c = e if c is None else c & e
-        pruned = c if pruned is None else pruned | c
-    cur = current.where(pruned if pruned is not None else F.lit(False))
+    current = spark.read.parquet(path)  # a table that cannot be read is an error, never an empty table
+    values = source.select(*partition_by).distinct()
+    touched = [tuple(r) for r in values.limit(MAX_LITERAL_PARTITIONS + 1).collect()]
+    if len(touched) <= MAX_LITERAL_PARTITIONS:
+        pruned = F.lit(False)
+        for row in touched:
+            c = F.lit(True)
+            for col, v in zip(partition_by, row):
+                c = c & (F.col(col).isNull() if v is None else F.col(col) == F.lit(v))
+            pruned = pruned | c
+        cur = current.where(pruned)
+    else:
+        cur = match_null_safe(current, values, partition_by, "left_semi")
     merged = upsert(cur, source.select(*current.columns), keys, check_unique=False)
     staging = f"{ensure_checkpoint_dir(spark).rstrip('/')}/upsert-{uuid.uuid4().hex}"
     merged.write.mode("overwrite").parquet(staging)
     overwrite_partitions(spark.read.parquet(staging), path, partition_by)
+    remove(spark, staging)
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -109,9 +148,26 @@ def add_column(df: DataFrame, name: str, default, dtype: str) -> DataFrame:
     return df.withColumn(name, F.lit(default).cast(dtype))
 
 
+VERSION = "_schema_version"
+
+
+def stamp_version(df: DataFrame, version: int) -> DataFrame:
+    """Rows written after the table's columns changed carry the number of the schema they were written under."""
+    return df.withColumn(VERSION, F.lit(version))
+
+
 def read_evolved(spark: SparkSession, path: str, defaults: dict | None = None) -> DataFrame:
-    """Read files written with different schemas (Parquet ``mergeSchema``), filling defaults."""
+    """Read files written with different schemas (Parquet ``mergeSchema``), filling defaults.
+
+    ``defaults`` maps a column to its default, or to (default, version) for a
+    column added by that schema version (1 if not given). As with ``ADD COLUMN
+    ... DEFAULT``, only rows older than the column get it; a NULL stored since
+    then stays NULL. Rows without a version are the oldest.
+    """
     df = spark.read.option("mergeSchema", "true").parquet(path)
+    version = F.coalesce(F.col(VERSION), F.lit(0)) if VERSION in df.columns else F.lit(0)
     for c, v in (defaults or {}).items():
-        df = df.withColumn(c, F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType)))
-    return df
+        value, since = v if isinstance(v, tuple) else (v, 1)
+        filled = F.when(version < since, F.coalesce(F.col(c), F.lit(value).cast(df.schema[c].dataType)))
+        df = df.withColumn(c, filled.otherwise(F.col(c)))
+    return df.drop(VERSION)

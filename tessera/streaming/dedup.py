@@ -3,13 +3,14 @@
 The stream rule keeps an event unless an event with the same key was
 *kept* within the watermark delay; state per key is dropped once the
 watermark passes, so memory is bounded by keys x delay (the reason the
-window is kept at 15-60 minutes). Results depend on batch boundaries, so
-tests check properties, not exact rows (the batch rule with exact rows is
-``operators.facts.dedup_within_window``).
+window is kept at 15-60 minutes). Its results depend on batch boundaries, so
+tests check properties, not exact rows. The micro-batch writer gives the exact
+rows of ``operators.facts.dedup_within_window`` whatever the batches.
 """
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.facts import dedup_within_window
 from tessera.sources.tables import with_session_timestamps
+from tessera.sources.writers import overwrite_partitions, remove, stage, table_exists
 
 
 def stream_dedup(stream: DataFrame, keys: Sequence[str], ts: str, delay: str = "60 minutes") -> DataFrame:
@@ -41,55 +43,46 @@ def run_available_now(df: DataFrame, sink_path: str, checkpoint: str, mode: str
 
 
 def microbatch_dedup_writer(target_path: str, keys: Sequence[str], ts: str, window_minutes: float,
-                            partition_col: str = "day", lookback_days: int = 1):
-    """A ``foreachBatch`` function deduping each micro-batch and merging it into the fact.
-
-    Per batch: (1) within-batch dedupe with the gap rule; (2) anti join on
-    the key against the target's recent partitions only (the batch's days
-    and ``lookback_days`` before, pruned at the scan) for events within the
-    window of an already stored one; (3) dynamic overwrite of the touched
-    partitions with the old rows plus the survivors. Re-running a batch id
-    is idempotent because stored duplicates are filtered out again.
+                            tiebreak: Sequence[str] = (), partition_col: str = "day"):
+    """A ``foreachBatch`` function that keeps the fact equal to the batch rule (D4) over all events so far.
+
+    Events are logged beside the fact, partitioned by day and batch, so a
+    replayed batch replaces its own rows. The survivors of every day that the
+    batch can change -- its days, and the window's length after them, since a
+    late event can remove a stored later one -- are then recomputed from the
+    logged days around them and overwrite the fact's partitions. Keys match
+    NULL with NULL; events without a time have a partition of their own and all
+    stay. The log grows with the events; days that no late event can reach any
+    more may be removed from it.
     """
+    reach = 1 + int(window_minutes // 1440)
+    log_path = target_path.rstrip("/") + "_events"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        b = with_session_timestamps(batch)
-        b = dedup_within_window(b, list(keys), ts, window_minutes).withColumn(partition_col, F.to_date(ts))
-        # one micro-batch is read twice (its days, then the merge): keep it instead of recomputing
-        b = b.persist()
-        days = [r[0] for r in b.select(partition_col).distinct().collect()]  # at most a few days per batch
-        if not days:
-            b.unpersist()
+        b = with_session_timestamps(batch).withColumn(partition_col, F.to_date(ts)).withColumn("_batch", F.lit(batch_id))
+        overwrite_partitions(b, log_path, [partition_col, "_batch"])
+        if not table_exists(spark, log_path):
             return
-        lo = min(days)
-        try:
-            stored = spark.read.parquet(target_path)
-            recent = stored.where(F.col(partition_col) >= F.date_sub(F.lit(lo), lookback_days))
-        except Exception:  # noqa: BLE001 -- empty target
-            stored = None
-            recent = None
-        if recent is not None:
-            w_us = int(window_minutes * 60_000_000)
-            r = recent.select(*[F.col(k).alias("_r_" + k) for k in keys], F.col(ts).alias("_r_ts"))
-            cond = None
-            for k in keys:
-                e = F.col(k) == F.col("_r_" + k)
-                cond = e if cond is None else cond & e
-            gap = F.timestamp_diff("MICROSECOND", F.col("_r_ts"), F.col(ts))
-            cond = cond & (gap >= 0) & (gap <= w_us)
-            b = b.join(r, cond, "left_anti")
-            # Same event re-delivered (same key and time): already stored, drop.
-            exact = recent.select(*keys, ts)
-            b = b.join(exact, [*keys, ts], "left_anti")
-        old = None
-        if stored is not None:
-            old = stored.where(F.col(partition_col).isin(days))
-        out = b if old is None else old.unionByName(b.select(*old.columns))
-        staging = f"{target_path.rstrip('/')}_staging/batch={batch_id}"
-        out.write.mode("overwrite").parquet(staging)
-        b.unpersist()
-        (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition_col).parquet(target_path))
+        log = spark.read.parquet(log_path)
+        mine = [r[0] for r in log.where(F.col("_batch") == batch_id).select(partition_col).distinct().collect()]
+        if not mine:
+            return
+        day = datetime.timedelta(days=1)
+        changed = sorted({d + i * day for d in mine if d is not None for i in range(reach + 1)})
+        around = sorted({d - i * day for d in changed for i in range(reach + 1)})
+        columns = [c for c in log.columns if c != "_batch"]
+        # a day's events are compared with those up to a window before them
+        kept = dedup_within_window(log.where(F.col(partition_col).isin(around)).select(*columns), list(keys), ts,
+                                   window_minutes, list(tiebreak)).where(F.col(partition_col).isin(changed))
+        if None in mine:
+            kept = kept.unionByName(log.where(F.col(partition_col).isNull()).select(*columns))
+        kept = stage(kept, "survivors")
+        left = {r[0] for r in kept.select(partition_col).distinct().collect()}
+        if left:
+            overwrite_partitions(kept, target_path, [partition_col])
+        for d in changed:  # a late event may leave a day without survivors
+            if d not in left and table_exists(spark, f"{target_path.rstrip('/')}/{partition_col}={d}"):
+                remove(spark, f"{target_path.rstrip('/')}/{partition_col}={d}")
 
     return write_batch

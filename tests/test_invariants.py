@@ -89,9 +89,9 @@ def test_loop_shapes_equal_closed_forms(spark):
     """The as-written day loops (checkpointed per step) give the closed forms' results on the test data."""
     from conftest import SF_SMALL, rows
     from tessera.plans import reference_shapes as R
-    from tessera.plans.q_activity import purchases
+    from tessera.plans.q_activity import all_events
     loop = R.loop_datelist(spark, SF_SMALL)
-    closed = ac.datelist_backfill(purchases(spark, SF_SMALL), "user_id", "ts", "2024-01-01", "2024-01-30")
+    closed = ac.datelist_backfill(all_events(spark, SF_SMALL), "user_id", "ts", "2024-01-01", "2024-01-30")
     assert rows(loop, "user_id", "date", "dates_active") == rows(closed, "user_id", "date", "dates_active")
     arrays = R.loop_array_metrics(spark, SF_SMALL)
     counts = ac.daily_counts(read_events(spark, SF_SMALL), "user_id", "ts")

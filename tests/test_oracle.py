@@ -33,8 +33,7 @@ def test_every_query_is_registered_with_entry():
     own = {k for k in e.queries() if k != "pipeline" and not k.startswith("op")}  # the corpus operators have tests of their own
     assert own == set(QUERIES)
     assert set(e.oracle_sql()) <= set(e.queries())
-    # only the hash sample is rows-only (xxhash64 has no DuckDB twin)
-    assert set(QUERIES) - set(ORACLES) == {"sample_fact_hash"}
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_runs(spark):

@@ -49,9 +49,34 @@ def test_w4_schema_evolution(spark):
     path = tempfile.mkdtemp(prefix="w4-", dir="/tmp") + "/t"
     wr.overwrite_partitions(spark.createDataFrame([("a", "d1")], "k string, day string"), path, ["day"])
     new = wr.add_column(spark.createDataFrame([("b", "d2")], "k string, day string"), "score", 7, "int")
-    wr.overwrite_partitions(new, path, ["day"])
+    new = new.unionByName(spark.createDataFrame([("c", "d2", None)], "k string, day string, score int"))
+    wr.overwrite_partitions(wr.stamp_version(new, 1), path, ["day"])
     out = wr.read_evolved(spark, path, {"score": 0})
-    assert rows(out, "k", "score") == [("a", 0), ("b", 7)]
+    assert rows(out, "k", "score") == [("a", 0), ("b", 7), ("c", None)]  # a stored NULL is no missing column
+
+
+def test_w1_unreadable_target_raises_and_keeps_its_rows(spark):
+    path = tempfile.mkdtemp(prefix="w1-", dir="/tmp") + "/t"
+    df = spark.createDataFrame([("a", 1, "p1"), ("b", 2, "p1")], "k string, v int, p string")
+    wr.overwrite_partitions(df, path, ["p"])
+    df.select("k").write.parquet(path + "/stray")  # a folder that is no partition
+    src = spark.createDataFrame([("c", 3, "p1")], "k string, v int, p string")
+    with pytest.raises(Exception):
+        wr.upsert_partitions(spark, path, src, ["k", "p"], ["p"])
+    assert rows(spark.read.parquet(path + "/p=p1"), "k", "v") == [("a", 1), ("b", 2)]
+
+
+def test_w1_null_keys_match_and_partitions_belong_to_the_key(spark):
+    t = spark.createDataFrame([(None, 1), ("b", 2)], "k string, v int")
+    s = spark.createDataFrame([(None, 9)], "k string, v int")
+    assert rows(wr.upsert(t, s, "k")) == [(None, 9), ("b", 2)]
+    path = tempfile.mkdtemp(prefix="w1-", dir="/tmp") + "/t"
+    src = spark.createDataFrame([("a", 1, "p1"), (None, 2, "p1")], "k string, v int, p string")
+    for _ in range(2):
+        wr.upsert_partitions(spark, path, src, ["k", "p"], ["p"])
+    assert spark.read.parquet(path).count() == 2
+    with pytest.raises(ValueError):
+        wr.upsert_partitions(spark, path, src, ["k"], ["p"])
 
 
 def test_d5_stream_dedup_properties(spark):
@@ -86,27 +111,47 @@ def test_d5_stream_dedup_properties(spark):
         assert t0 in ts and t0 + dt.timedelta(minutes=300) in ts
 
 
-def test_d6_microbatch_dedup_matches_batch_rule(spark):
+def _arrive(spark, src, batches, schema="event_id long, user_id string, event_type string, ts timestamp_ntz"):
+    for i, data in enumerate(batches):
+        spark.createDataFrame(data, schema).coalesce(1).write.parquet(os.path.join(src, f"part{i}"))
+    return sd.read_event_stream(spark, src + "/*", schema, max_files_per_trigger=1)
+
+
+def _run(stream, writer, checkpoint):
+    q = stream.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+
+
+@pytest.mark.parametrize("order", [[0, 1, 2], [2, 1, 0], [1, 2, 0]])
+def test_d6_microbatch_dedup_equals_the_batch_rule_in_any_order(spark, order):
     base = tempfile.mkdtemp(prefix="d6-", dir="/tmp")
-    src = os.path.join(base, "in")
     t0 = dt.datetime(2024, 1, 1)
-    batches = [[0, 50], [100], [300, 320]]
-    eid = 0
-    for i, batch in enumerate(batches):
-        data = []
-        for m in batch:
-            data.append((eid, "k", "click", t0 + dt.timedelta(minutes=m)))
-            eid += 1
-        spark.createDataFrame(data, "event_id long, user_id string, event_type string, ts timestamp_ntz") \
-            .coalesce(1).write.mode("overwrite").parquet(os.path.join(src, f"part{i}"))
-    schema = "event_id long, user_id string, event_type string, ts timestamp_ntz"
-    stream = sd.read_event_stream(spark, src + "/*", schema, max_files_per_trigger=1)
-    writer = sd.microbatch_dedup_writer(os.path.join(base, "fact"), ["user_id", "event_type"], "ts", 60)
-    q = stream.writeStream.foreachBatch(writer).option("checkpointLocation", os.path.join(base, "ckpt")) \
-        .trigger(availableNow=True).start()
-    q.awaitTermination()
+    batches = [[(i, "k", "click", t0 + dt.timedelta(minutes=m)) for i, m in b]
+               for b in ([(0, 0), (1, 50)], [(2, 100), (5, 1500)], [(3, 300), (4, 320)])]
+    stream = _arrive(spark, os.path.join(base, "in"), [batches[i] for i in order])
+    _run(stream, sd.microbatch_dedup_writer(os.path.join(base, "fact"), ["user_id", "event_type"], "ts", 60, ["event_id"]),
+         os.path.join(base, "ckpt"))
     got = sorted(r.event_id for r in spark.read.parquet(os.path.join(base, "fact")).collect())
-    # batch 0: 0 kept, 50 dropped (gap 50 in batch). batch 1: 100 is checked against the *stored*
-    # events (0 -> gap 100 > W) and kept. batch 2: 300 kept, 320 dropped (gap 20 in batch).
-    assert got == [0, 2, 3]
-    assert spark.read.parquet(os.path.join(base, "fact")).where(F.col("event_id") == 3).count() == 1
+    assert got == [0, 3, 5]  # 50 and 100 follow another event within the hour, 320 as well
+
+
+def test_d6_late_event_empties_a_stored_day(spark):
+    base = tempfile.mkdtemp(prefix="d6-", dir="/tmp")
+    t = dt.datetime(2024, 1, 2, 0, 10)
+    batches = [[(0, "k", "click", t)], [(1, "k", "click", t - dt.timedelta(minutes=20))]]
+    stream = _arrive(spark, os.path.join(base, "in"), batches)
+    _run(stream, sd.microbatch_dedup_writer(os.path.join(base, "fact"), ["user_id"], "ts", 60, ["event_id"]),
+         os.path.join(base, "ckpt"))
+    assert [r.event_id for r in spark.read.parquet(os.path.join(base, "fact")).collect()] == [1]
+
+
+def test_d6_replay_with_null_key_and_null_time(spark):
+    base = tempfile.mkdtemp(prefix="d6-", dir="/tmp")
+    t = dt.datetime(2024, 1, 2)
+    schema = "event_id long, user_id string, ts timestamp"
+    first = spark.createDataFrame([(0, None, t), (1, "k", None), (2, "k", t)], schema)
+    second = spark.createDataFrame([(3, None, None), (4, None, t + dt.timedelta(minutes=5))], schema)
+    write = sd.microbatch_dedup_writer(os.path.join(base, "fact"), ["user_id"], "ts", 60, ["event_id"])
+    for batch, number in ((first, 0), (second, 1), (second, 1), (first, 0)):
+        write(batch, number)
+    assert sorted(r.event_id for r in spark.read.parquet(os.path.join(base, "fact")).collect()) == [0, 1, 2, 3]
