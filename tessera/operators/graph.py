@@ -100,41 +100,41 @@ def edges_bipartite(details: DataFrame, dedup: bool = True) -> DataFrame:
     )
 
 
+SALTS = 32  # parts that a group's rows meet the block counts in
+
+
 def _group_pairs(rows: DataFrame, group: str, member: str, block_rows: int, residual=None) -> DataFrame:
     """All (a, b) member pairs with a.member > b.member inside each group, columns prefixed a_/b_.
 
-    Groups of at most ``block_rows`` members join the group-partitioned rows
-    with themselves (one shuffle, read by both sides). A larger group of n
-    members is cut into k = ceil(n / block_rows) blocks by a hash of the
-    member: left rows are copied once per partner block and right rows once
-    per own-block partner, so the join key (group, left block, right block)
-    spreads one hot group over k*k tasks of at most ``block_rows`` squared
-    pairs. Every pair of members meets exactly once; nothing is capped.
+    A group of n members is cut into k = ceil(n / block_rows) blocks by a hash
+    of the member (one block for most groups): left rows are copied once per
+    partner block and right rows once per own-block partner, so the join key
+    (group, left block, right block) spreads one hot group over k*k tasks of
+    at most ``block_rows`` squared pairs. Every pair of members meets exactly
+    once; nothing is capped.
+
+    Only groups of more than one block have a row in the table of block counts
+    (at most rows / block_rows of them). Rows meet it on (group, salt), so the
+    members of a hot group are not gathered to learn its size.
     """
     cols = rows.columns
-    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    r = rows.join(sizes, group).withColumn(
-        "_k", F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(block_rows))).cast("int"))
-
-    def pref(df, p, extra=()):
-        return df.select(*[F.col(c).alias(p + c) for c in [*cols, *extra]])
-
-    def cond(extra_keys=()):
-        c = (F.col("a_" + group) == F.col("b_" + group)) & (F.col("a_" + member) > F.col("b_" + member))
-        for k in extra_keys:
-            c = c & (F.col("a_" + k) == F.col("b_" + k))
-        return c if residual is None else c & residual
-
-    # one explicit shuffle by group that both sides of the small-group self-join read (reused exchange)
-    small = r.where(F.col("_k") == 1).select(*cols).repartition(group)
-    pairs_small = pref(small, "a_").join(pref(small, "b_"), cond(), "inner")
-    big = r.where(F.col("_k") > 1).withColumn("_blk", F.pmod(F.xxhash64(F.col(member)), F.col("_k")).cast("int"))
+    many = rows.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("_k")) \
+        .where(F.col("_k") > 1).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    r = rows.withColumn("_salt", F.pmod(F.xxhash64(F.col(member)), F.lit(SALTS)).cast("int")) \
+        .join(many, [group, "_salt"], "left").withColumn("_k", F.coalesce("_k", F.lit(1))) \
+        .withColumn("_blk", F.pmod(F.xxhash64(F.lit("block"), F.col(member)), F.col("_k")).cast("int"))
+
+    def pref(df, p):
+        return df.select(*[F.col(c).alias(p + c) for c in [*cols, "_lb", "_rb"]])
+
     partners = F.sequence(F.lit(0), F.col("_k") - 1)
-    left = big.withColumn("_lb", F.col("_blk")).withColumn("_rb", F.explode(partners))
-    right = big.withColumn("_rb", F.col("_blk")).withColumn("_lb", F.explode(partners))
-    pairs_big = pref(left, "a_", ["_lb", "_rb"]).join(pref(right, "b_", ["_lb", "_rb"]), cond(["_lb", "_rb"]), "inner")
-    keep = [p + c for p in ("a_", "b_") for c in cols]
-    return pairs_small.select(*keep).unionByName(pairs_big.select(*keep))
+    left = pref(r.withColumn("_lb", F.col("_blk")).withColumn("_rb", F.explode(partners)), "a_")
+    right = pref(r.withColumn("_rb", F.col("_blk")).withColumn("_lb", F.explode(partners)), "b_")
+    c = F.col("a_" + member) > F.col("b_" + member)
+    for k in (group, "_lb", "_rb"):
+        c = c & (F.col("a_" + k) == F.col("b_" + k))
+    pairs = left.join(right, c if residual is None else c & residual, "inner")
+    return pairs.select(*[p + c for p in ("a_", "b_") for c in cols])
 
 
 def edges_cooccurrence(details: DataFrame, require_distinct_names: bool = True, block_rows: int = 2048,
@@ -147,7 +147,7 @@ def edges_cooccurrence(details: DataFrame, require_distinct_names: bool = True,
     types. Rows are deduped per (player, game) first; the self-join on the
     game is blocked for large games (see ``_group_pairs``) and the pair
     aggregate is a partial + final hash aggregate. The deduped rows feed
-    three branches (group sizes, small and large groups): on large inputs pass
+    three branches (group sizes, left and right rows): on large inputs pass
     ``player_game_rows`` staged once (``writers.stage``) with ``dedup=False``.
     """
     d = (player_game_rows(details) if dedup else details).select(

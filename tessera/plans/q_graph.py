@@ -97,6 +97,17 @@ def q_vertices_aggregate(spark, sf_dir):
                     teams.alias("teams"))
 
 
+@register("vertices_aggregate_as_written", oracle="WITH " + V.GAME_DETAILS + """
+ SELECT CAST(player_id AS VARCHAR) AS identifier, 'player' AS type, max(player_name) AS player_name,
+        count(*) AS number_of_games, round(sum(pts), 2) AS total_points
+ FROM gd GROUP BY player_id""")
+def q_vertices_aggregate_as_written(spark, sf_dir):
+    # raw rows, repeated (player, game) rows included, as the original script counts them
+    v = gr.vertices_aggregate(S.game_details(spark, sf_dir), dedup=False)
+    return v.select("identifier", "type", _j("player_name"), _j("number_of_games", "bigint"),
+                    F.round(F.get_json_object("properties", "$.total_points").try_cast("double"), 2).alias("total_points"))
+
+
 @register("vertices_dedup", oracle="""
  SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS identifier, 'team' AS type, substring(c_mktsegment, 1, 3) AS abbreviation,
         c_name AS nickname, c_nationkey AS city, CAST(1900 + c_custkey % 100 AS INTEGER) AS year_founded

@@ -85,7 +85,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if current is not None:
         return current
-    if not sc.master.startswith("local"):
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
     local = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
