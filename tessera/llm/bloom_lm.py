@@ -33,8 +33,8 @@ from tessera.llm.frames import ROW, documents, id_and_text, staged
 from tessera.llm.textnum import U64, Chunk, chunks, mix
 
 GROUP_BYTES = 192 << 20
-BITS = 10  # of a filter for each entry
-PROBES = 6
+BITS = 8  # of a filter for each entry: about 2 % false positives
+PROBES = 5
 FLUSH = 3_000_000  # tokens that a task counts before it sends
 _END, _BEGIN = mix(np.array([1, 2], U64))
 _WORD, _PAIR, _FOLLOW = U64(0x1D8E4E27C47D124F), U64(0x2545F4914F6CDD1D), U64(0x3C79AC492BA7B653)
@@ -241,9 +241,11 @@ def groups(model: DataFrame, n: int, limit: int = GROUP_BYTES):
         high = low + 1
         while high < n and size[low:high + 1].sum() <= limit:
             high += 1
-        rows = model.where((F.col("bucket") >= low) & (F.col("bucket") < high)) \
-            .select("bucket", "name", "filter", "words", "counts").collect()
-        yield model.sparkSession.sparkContext.broadcast(Group([tuple(r) for r in rows], low, high, n)), high == n
+        group = Group([tuple(r) for r in model.where((F.col("bucket") >= low) & (F.col("bucket") < high))
+                       .select("bucket", "name", "filter", "words", "counts").collect()], low, high, n)
+        shared = model.sparkSession.sparkContext.broadcast(group)
+        del group
+        yield shared, high == n
         low = high
 
 
