@@ -1,27 +1,27 @@
 """Token ids of whole texts with the tokenizers library.
 
-Real text repeats its words, so a task encodes each distinct piece of text once
-and joins the ids. Pieces end where the tokenizer's own splitting always ends
-(at white space), so the ids equal those of the whole text; a text with
-characters outside printable ASCII and Latin-1 letters is encoded whole.
+Real text repeats its words, so a worker merges each distinct pre-token once and
+joins the ids. Pre-tokens are those of the tokenizer's own splitting, which its
+merges never cross, so the ids equal those of the whole text; a text with
+characters outside printable ASCII and Latin-1 is encoded whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 
 import numpy as np
-import regex
 
-CACHE = 400_000  # distinct pieces, and distinct pre-tokens, that a worker remembers; beyond it starts anew
+CACHE = 600_000  # distinct pre-tokens that a worker remembers; beyond it starts anew
 _PLAIN = re.compile(r"[\t\n\r -~¡-¬®-ÿ]*\Z")
-# How the two tokenizers split a text before their merges, and pieces that no such split crosses.
-_PIECE = {"word": re.compile(r"\S+"), "byte": re.compile(r"\s*\S+|\s+\Z")}
+# How the two tokenizers split a text before their merges, for the letters and numbers of Latin-1.
+_L, _N = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾"
 _PRE_TOKEN = {
-    "word": regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"),
-    "byte": regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"),
+    "word": re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\s{_L}{_N}]+"),
+    "byte": re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+"),
 }
 _PROBE = "It's l'été, don't 'tis 12 3.4 (x)  y\n\n z--w !! Ça ªb µm ½ "
 
@@ -36,15 +36,15 @@ def _byte_letters() -> str:
     return "".join(out)
 
 
-_LETTERS = _byte_letters()
+_LETTERS = dict(enumerate(_byte_letters()))
 
 
 class Encoder:
     """Ids as little-endian arrays; ``kind`` is 'word' (lower case, white space dropped) or 'byte' (text kept as it is).
 
-    The pre-tokens of a new piece go straight to the library's merge model,
-    once each. That this gives what the whole tokenizer gives is tried on a
-    probe when the encoder is made; if not, pieces are encoded whole.
+    A text is split into its pre-tokens here, and each distinct one goes to the
+    library's merge model once. That this gives what the whole tokenizer gives
+    is tried on a probe when the encoder is made; if not, texts are encoded whole.
     """
 
     def __init__(self, path: str, kind: str):
@@ -54,38 +54,33 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.split, self.pre_split, self.lower = _PIECE[kind].findall, _PRE_TOKEN[kind].findall, kind == "word"
+        self.split, self.lower = _PRE_TOKEN[kind].findall, kind == "word"
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.cache: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
-        self.by_model = b"".join(map(self._piece, self.split(_PROBE))) == self._whole([_PROBE])[0]
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in
-                self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _piece(self, piece: str) -> bytes:
-        out = []
-        for t in self.pre_split(piece.lower() if self.lower else piece):
-            ids = self.known.get(t)
-            if ids is None:
-                letters = t if t.isascii() and t.isalnum() else "".join([_LETTERS[b] for b in t.encode()])
-                ids = self.known[t] = np.array([x.id for x in self.model.tokenize(letters)], self.dtype).tobytes()
-            out.append(ids)
-        return b"".join(out)
+        self.by_model = self._joined([self._split(_PROBE)])[0] == self._whole(_PROBE)
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def _split(self, text: str) -> list[str]:
+        return self.split(text.lower() if self.lower else text)
+
+    def _joined(self, texts: list[list[str]]) -> list[bytes]:
+        if len(self.known) > CACHE:
+            self.known.clear()
+        code = "<%d" + ("H" if self.dtype.itemsize == 2 else "I")
+        for t in set().union(*texts).difference(self.known):
+            ids = [x.id for x in self.model.tokenize(t.encode().decode("latin-1").translate(_LETTERS))]
+            self.known[t] = struct.pack(code % len(ids), *ids)
+        get = self.known.__getitem__
+        return [b"".join(map(get, t)) for t in texts]
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """Ids of each text with ``end`` appended, as bytes of ``dtype``."""
         last = np.array([end], self.dtype).tobytes()
-        plain = [bool(_PLAIN.match(t)) and not any(s in t for s in self.special) for t in texts]
-        pieces = [self.split(t) if p else None for t, p in zip(texts, plain)]
-        for known in (self.cache, self.known):
-            if len(known) > CACHE:
-                known.clear()
-        new = list({x for p in pieces if p for x in p if x not in self.cache})
-        self.cache.update(zip(new, map(self._piece, new) if self.by_model else self._whole(new)))
-        get = self.cache.__getitem__
-        return [(b"".join(map(get, p)) if p is not None else self._whole([t])[0]) + last for t, p in zip(texts, pieces)]
+        plain = [self.by_model and bool(_PLAIN.match(t)) and not any(s in t for s in self.special) for t in texts]
+        joined = iter(self._joined([self._split(t) for t, p in zip(texts, plain) if p]))
+        return [(next(joined) if p else self._whole(t)) + last for t, p in zip(texts, plain)]
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
