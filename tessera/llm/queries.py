@@ -30,7 +30,44 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontaminate": op10_decontaminate,
 }
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORD = r"'[^\x20\x09-\x0D]+'"
+
 ORACLES: dict[str, str] = {
+    "op3_minmax_dedup": f"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, regexp_extract_all({_LOWER}, {_WORD}) AS ws FROM documents),
+        s AS (
+          SELECT DISTINCT doc_id, unnest(
+            CASE WHEN len(ws) >= 3 THEN list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' '))
+                 WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+        p AS (
+          SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id
+          GROUP BY 1, 2),
+        l AS (
+          SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+        e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+        r AS (SELECT doc_id AS d, doc_id AS t FROM documents UNION SELECT r.d, e.b FROM r JOIN e ON e.a = r.t),
+        c AS (SELECT d, min(t) AS component_id FROM r GROUP BY 1)
+        SELECT c.d AS doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, component_id = c.d AS kept
+        FROM c LEFT JOIN n ON n.doc_id = c.d""",
+    "op4_recompression": f"""
+        WITH w AS (
+          SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) AS ws FROM documents),
+        g AS (
+          SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS g
+          FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)),
+        m AS (SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY g) AS f FROM g) WHERE f < doc_id),
+        gone AS (SELECT DISTINCT doc_id, i + k AS i FROM m, range(13) t(k)),
+        x AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS word FROM w),
+        k AS (
+          SELECT x.doc_id, count(gone.i) AS n_removed,
+                 string_agg(word, ' ' ORDER BY x.i) FILTER (gone.i IS NULL) AS kept
+          FROM x LEFT JOIN gone ON gone.doc_id = x.doc_id AND gone.i = x.i GROUP BY 1)
+        SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM w LEFT JOIN k ON k.doc_id = w.doc_id""",
     "op8_line_runs": r"""
         WITH l AS (
           SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
