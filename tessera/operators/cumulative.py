@@ -184,6 +184,7 @@ def cumulative_collection(
     class_col: str = "quality_class",
     current: str = "current_period",
     avg_digits: int | None = None,
+    emit_from=None,
 ) -> DataFrame:
     """Variable-size batch per (key, period) concatenated over periods.
 
@@ -218,7 +219,12 @@ def cumulative_collection(
         F.sum("_n").over(running).alias("n_items"),
         avg.alias("avg_" + measure),
         until.alias("_until"),
-    ).withColumn(current, F.explode(F.sequence(F.col("last_period"), F.col("_until"))))
+    )
+    begin = F.col("last_period")
+    if emit_from is not None:
+        begin = F.greatest(begin, period_lit(emit_from, is_date))
+        s = s.where(F.col("_until") >= period_lit(emit_from, is_date))
+    s = s.withColumn(current, F.explode(F.sequence(begin, F.col("_until"))))
     return s.select(
         *keys, *carry, *([items] if items else []), "n_items", "avg_" + measure,
         threshold_class(F.col("avg_" + measure), thresholds, else_label).alias(class_col),

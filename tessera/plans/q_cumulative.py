@@ -96,12 +96,12 @@ def q_history_unnest(spark, sf_dir):
     return cu.history_unnest(snap, "player_id", "season_stats")
 
 
-def actors(spark, sf_dir, as_of=AA):
+def actors(spark, sf_dir, as_of=AA, emit_from=None, items=None):
     af = S.actor_films(spark, sf_dir, last_year=as_of)
     return cu.cumulative_collection(
         af, "actor_id", "year", ["film", "votes", "rating", "filmid"], "rating", as_of,
         S.QUALITY_THRESHOLDS, S.QUALITY_ELSE, carry=["actor"],
-        current="current_year", avg_digits=9,
+        current="current_year", avg_digits=9, emit_from=emit_from, items=items,
     )
 
 
@@ -116,10 +116,19 @@ def q_cumulative_collection(spark, sf_dir):
                     F.col("avg_rating"), "quality_class", "is_active")
 
 
+@register("cumulative_collection_items", oracle=_ACTOR_SQL + f"""
+ SELECT actor_id, {AA} AS current_year, filmid, votes, rating FROM af WHERE year <= {AA}""")
+def q_cumulative_collection_items(spark, sf_dir):
+    # the concatenated item array of the latest snapshot, one row per element
+    a = actors(spark, sf_dir, emit_from=AA, items="films")
+    return a.select("actor_id", "current_year", F.inline("films")).select("actor_id", "current_year", "filmid", "votes",
+                                                                          "rating")
+
+
 @register("latest_snapshot", oracle=_ACTOR_SQL + f"""
  SELECT actor_id, current_year, n_films, quality_class, is_active FROM actors_c WHERE current_year = {AA}""")
 def q_latest_snapshot(spark, sf_dir):
-    a = cu.latest_snapshot(actors(spark, sf_dir), "actor_id", "current_year")
+    a = cu.latest_snapshot(actors(spark, sf_dir, emit_from=AA), "actor_id", "current_year")
     return a.select("actor_id", "current_year", F.col("n_items").alias("n_films"),
                     "quality_class", "is_active")
 

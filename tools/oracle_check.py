@@ -57,7 +57,7 @@ def main():
         sf_dir, args = args[0], args[1:]
     load_all()
     names = args or sorted(QUERIES)
-    spark = build_session("local[8]", 8)
+    spark = build_session(os.environ.get("ORACLE_MASTER", "local[8]"), 8)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{table_path(sf_dir, t)}')")
