@@ -35,7 +35,7 @@ def loop_cumulative(spark, sf_dir):
 
 def loop_datelist(spark, sf_dir):
     """A2 as the day-by-day loop of A1."""
-    e = read_table(spark, sf_dir, "events").where(F.col("event_type") == "purchase").select("user_id", "ts").checkpoint()
+    e = read_table(spark, sf_dir, "events").select("user_id", "ts").checkpoint()
     days = [f"2024-01-{d:02d}" for d in range(1, 31)]
     y = ac.datelist_backfill(e.where(F.lit(False)), "user_id", "ts", days[0], days[0])
     parts = []
@@ -50,7 +50,7 @@ def loop_datelist(spark, sf_dir):
 
 def calendar_bitmask(spark, sf_dir):
     """A5 as a per-user expansion over the 32-day calendar with ``array_contains`` and a sum."""
-    s = ac.datelist_set(read_table(spark, sf_dir, "events").where(F.col("event_type") == "purchase"), "user_id", "ts")
+    s = ac.datelist_set(read_table(spark, sf_dir, "events"), "user_id", "ts")
     as_of = F.to_date(F.lit(S.EVENTS_AS_OF))
     x = s.select("user_id", "active_dates", F.explode(F.sequence(F.date_sub(as_of, 31), as_of)).alias("d"))
     v = F.when(F.array_contains("active_dates", F.col("d")),
