@@ -32,7 +32,7 @@ from tessera.llm.exchange import bucket_of, buckets_for, group_edges
 from tessera.llm.frames import ROW, documents, id_and_text, staged
 from tessera.llm.textnum import U64, Chunk, chunks, mix
 
-GROUP_BYTES = 192 << 20
+GROUP_BYTES = 128 << 20
 BITS = 8  # of a filter for each entry: about 2 % false positives
 PROBES = 5
 FLUSH = 3_000_000  # tokens that a task counts before it sends
@@ -100,25 +100,35 @@ def build(items: np.ndarray, levels: np.ndarray) -> bytes:
 
 
 class Group:
-    """Some neighbouring buckets of the model: their filters and exact word counts."""
+    """Some neighbouring buckets of the model: their filters and exact word counts.
 
-    def __init__(self, rows: list, low: int, high: int, n: int):
+    Arrays are allocated at their known sizes and filled row by row, so the
+    driver never holds a group twice.
+    """
+
+    def __init__(self, low: int, high: int, n: int, sizes: dict[str, np.ndarray]):
+        """``sizes``: bytes by bucket (all n) of the item filters, the follower filters and the words."""
         self.low, self.high, self.n = low, high, n
-        parts = {k: [b""] * (high - low) for k in ("items", "follow")}
-        keys, counts = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
-        for bucket, name, filter_, k, c in rows:
-            parts[name][bucket - low] = bytes(filter_)
-            if k:
-                keys.append(np.frombuffer(k, U64))
-                counts.append(np.frombuffer(c, np.int64))
         self.data, self.at, self.blocks = {}, {}, {}
-        for name, p in parts.items():
-            size = np.array([len(x) for x in p], np.int64)
-            self.data[name] = np.frombuffer(b"".join(p), np.uint8)
+        for name in ("items", "follow"):
+            size = sizes[name][low:high]
+            self.data[name] = np.zeros(int(size.sum()), np.uint8)
             self.at[name], self.blocks[name] = np.cumsum(size) - size, size // 64
-        self.words, self.counts = np.concatenate(keys), np.concatenate(counts)
+        words = sizes["words"][low:high] // 8
+        self.words, self.counts = np.zeros(int(words.sum()), U64), np.zeros(int(words.sum()), np.uint32)
+        self.word_at = np.cumsum(words) - words
+
+    def put(self, bucket: int, name: str, filter_: bytes, words: bytes | None, counts: bytes | None) -> None:
+        at = self.at[name][bucket - self.low]
+        self.data[name][at:at + len(filter_)] = np.frombuffer(filter_, np.uint8)
+        if words:
+            at, k = self.word_at[bucket - self.low], np.frombuffer(words, U64)
+            self.words[at:at + len(k)], self.counts[at:at + len(k)] = k, np.frombuffer(counts, np.uint32)
+
+    def done(self) -> Group:
         order = np.argsort(self.words)
-        self.words, self.counts = self.words[order], self.counts[order].astype(np.uint32)
+        self.words, self.counts = self.words[order], self.counts[order]
+        return self
 
     def level(self, name: str, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(indexes of the items in this group's buckets, their levels) by repeated probes."""
@@ -205,7 +215,7 @@ def train(docs: DataFrame) -> tuple[DataFrame, int]:
         real = w != _BEGIN
         before, follow = np.unique(follow_key(p), return_counts=True)
         out = [pa.table({"bucket": [table.column("bucket")[0].as_py()], "name": ["items"], "filter": [filter_],
-                         "words": [w[real].tobytes()], "counts": [c[real].tobytes()],
+                         "words": [w[real].tobytes()], "counts": [c[real].astype(np.uint32).tobytes()],
                          "tokens": [int(c[real].sum())], "distinct": [int(real.sum())]}, schema=schema)]
         for b in _send(3, before, follow, item(_FOLLOW, before), n):
             k = b.num_rows
@@ -232,18 +242,22 @@ def train(docs: DataFrame) -> tuple[DataFrame, int]:
 
 def groups(model: DataFrame, n: int, limit: int = GROUP_BYTES):
     """The model's buckets in groups of at most ``limit`` bytes (one bucket at least)."""
-    size = np.zeros(n, np.int64)
-    for r in model.groupBy("bucket").agg(F.sum(F.octet_length("filter") + F.coalesce(F.octet_length("words"), F.lit(0))
-                                               + F.coalesce(F.octet_length("counts"), F.lit(0))).alias("b")).collect():
-        size[r["bucket"]] = r["b"]  # one row a bucket
+    sizes = {k: np.zeros(n, np.int64) for k in ("items", "follow", "words")}
+    for b, name, f, w in model.select("bucket", "name", F.octet_length("filter"),
+                                      F.coalesce(F.octet_length("words"), F.lit(0))).collect():  # two rows a bucket
+        sizes[name][b] = f
+        sizes["words"][b] += w
+    size = sizes["items"] + sizes["follow"] + sizes["words"] * 3 // 2
     low = 0
     while low < n:
         high = low + 1
         while high < n and size[low:high + 1].sum() <= limit:
             high += 1
-        group = Group([tuple(r) for r in model.where((F.col("bucket") >= low) & (F.col("bucket") < high))
-                       .select("bucket", "name", "filter", "words", "counts").collect()], low, high, n)
-        shared = model.sparkSession.sparkContext.broadcast(group)
+        group = Group(low, high, n, sizes)
+        for r in model.where((F.col("bucket") >= low) & (F.col("bucket") < high)) \
+                .select("bucket", "name", "filter", "words", "counts").toLocalIterator():  # a few buckets at a time
+            group.put(*r)
+        shared = model.sparkSession.sparkContext.broadcast(group.done())
         del group
         yield shared, high == n
         low = high

@@ -214,7 +214,9 @@ def test_filter_levels_are_never_too_low():
     counts = rng.integers(1, 200, size=4000)
     levels = bloom_lm.levels_of(counts)
     items = items[bloom_lm.bucket_of(items, 1) == 0]
-    group = bloom_lm.Group([(0, "items", bloom_lm.build(items, levels), b"", b"")], 0, 1, 1)
+    made = bloom_lm.build(items, levels)
+    group = bloom_lm.Group(0, 1, 1, {"items": np.array([len(made)]), "follow": np.array([0]), "words": np.array([0])})
+    group.put(0, "items", made, None, None)
     _, got = group.level("items", items)
     assert (got >= levels).all() and (got == levels).mean() > 0.9
     _, other = group.level("items", rng.integers(1 << 63, size=4000).astype(np.uint64))
