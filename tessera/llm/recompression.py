@@ -21,7 +21,6 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 
 import numpy as np
 import pyarrow as pa
