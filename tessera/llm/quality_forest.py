@@ -3,14 +3,13 @@
 ``rule_statistics`` reads every text once and gives one row of statistics per
 document. ``fit_forest`` grows isolation trees on a bounded sample of those
 rows; a row's anomaly score is ``2 ** (-mean path length / c(sample size))``.
-``calibrate`` picks the score threshold from labelled rows: the lowest one at
-which at most ``good_loss`` of the labelled good documents would be rejected.
-Only score histograms of fixed size reach the driver.
+``calibrate`` picks the score threshold from labelled rows of both kinds. Only
+score histograms of fixed size reach the driver.
 
 Defined cases: a NULL or empty text has zero words and fails the base rule; a
 NULL doc_id is scored like any row and never joins a label; repeated rows get
-equal results; without labelled good rows nothing but the base rule rejects;
-an empty table gives an empty result. Extra columns are ignored.
+equal results; without labelled rows of both kinds nothing but the base rule
+rejects; an empty table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +29,7 @@ from tessera.sources.tables import read_table
 SYMBOLS = "#*$%&|<>"
 FEATURES = ("word_length", "symbol_rate", "symbols_per_word", "repeat_rate", "adjacent_rate")
 TREES, SAMPLE = 100, 256  # rows that the forest is fitted on: at most TREES * SAMPLE
-GOOD_LOSS = 0.002
+GOOD_LOSS, WEIGHT = 0.01, 20.0
 BINS = 4000
 MIN_WORDS, MAX_REPEAT_PCT = 10, 20
 
@@ -177,18 +176,24 @@ def base_failed():
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
 
 
-def calibrate(scored: DataFrame, labels: DataFrame, good_loss: float = GOOD_LOSS) -> float:
-    """Lowest threshold whose rejections hold at most ``good_loss`` of the labelled good rows that pass the base rule."""
-    good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    bins = scored.where(~base_failed()).join(good, "doc_id") \
-        .groupBy(F.floor(F.col("anomaly") * BINS).cast("int").alias("bin")).count().collect()  # BINS rows at most
-    if not bins:
+def calibrate(scored: DataFrame, labels: DataFrame, good_loss: float = GOOD_LOSS, weight: float = WEIGHT) -> float:
+    """Score from which rows are rejected, chosen on the labelled rows that pass the base rule.
+
+    It minimises the share of bad rows kept plus ``weight`` times the share of
+    good rows rejected, among thresholds that reject at most ``good_loss`` of
+    the good ones; without labelled rows of both kinds nothing is rejected.
+    """
+    known = labels.where("quality in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), "quality").distinct()
+    bins = scored.where(~base_failed()).join(known, "doc_id") \
+        .groupBy("quality", F.floor(F.col("anomaly") * BINS).cast("int").alias("bin")).count().collect()  # 2 * BINS rows
+    counts = np.zeros((2, BINS + 2))
+    for q, b, n in bins:
+        counts[q, b] = n
+    if not counts.sum(axis=1).all():
         return math.inf
-    counts = np.zeros(BINS + 1)
-    for b, n in bins:
-        counts[b] = n
-    above = counts[::-1].cumsum()[::-1]  # good rows in this bin or a higher one
-    return float(np.flatnonzero(above <= good_loss * counts.sum())[0]) / BINS if above[-1] == 0 else math.inf
+    bad, good = counts[:, ::-1].cumsum(axis=1)[:, ::-1] / counts.sum(axis=1, keepdims=True)  # share in this bin or above
+    cost = np.where(good <= good_loss, 1 - bad + weight * good, np.inf)
+    return float(len(cost) - 1 - np.argmin(cost[::-1])) / BINS
 
 
 def judge(docs: DataFrame, labels: DataFrame, good_loss: float = GOOD_LOSS) -> DataFrame:
