@@ -193,7 +193,8 @@ def calibrate(scored: DataFrame, labels: DataFrame, good_loss: float = GOOD_LOSS
         return math.inf
     bad, good = counts[:, ::-1].cumsum(axis=1)[:, ::-1] / counts.sum(axis=1, keepdims=True)  # share in this bin or above
     cost = np.where(good <= good_loss, 1 - bad + weight * good, np.inf)
-    return float(len(cost) - 1 - np.argmin(cost[::-1])) / BINS
+    least = np.flatnonzero(cost == cost.min())
+    return float(least[len(least) // 2]) / BINS  # amid thresholds that do equally well
 
 
 def judge(docs: DataFrame, labels: DataFrame, good_loss: float = GOOD_LOSS) -> DataFrame:
