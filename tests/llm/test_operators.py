@@ -334,7 +334,7 @@ def test_forest_finds_anomalies():
 def test_quality_verdicts(spark):
     good = [(i, " ".join(f"word{(i * 7 + j) % 90}" for j in range(60))) for i in range(300)]
     bad = [(1000 + i, " ".join(f"w#%{j}$$&&" for j in range(i, i + 40))) for i in range(20)]
-    labels = spark.createDataFrame([(d, 1) for d, _ in good[:200]] + [(d, 0) for d, _ in bad[:10]], "doc_id long, quality int")
+    labels = spark.createDataFrame([(d, 1) for d, _ in good[:200]] + [(d, 0) for d, _ in bad[::2]], "doc_id long, quality int")
     docs = frame(spark, good + bad + [(5000, None), (5001, "too short")])
     got = {r.doc_id: (r.base_failed, r.kept) for r in quality_forest.judge(docs, labels).collect()}
     assert all(got[d][1] for d, _ in good) and not any(got[d][1] for d, _ in bad)
