@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.exchange import bucket_of, buckets_for, group_edges
-from tessera.llm.frames import ROW, id_and_text, sent_to_all, staged
+from tessera.llm.frames import ROW, id_and_text, staged
 from tessera.llm.textnum import U64, chunks, mix
 
 #: Columns of a zone: name and type. ``state`` is 0 for a repeat, 1 for a zone to be compared, 2 for one to be asked for.
@@ -174,4 +174,4 @@ def asked_zones(b: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.n
             np.frombuffer(b.column("keys")[i].as_py() or b"", U64))
 
 
-__all__ = ["PACKED", "asked_zones", "by_document", "repeats_and_asked", "sent_to_all", "with_zones"]
+__all__ = ["PACKED", "asked_zones", "by_document", "repeats_and_asked", "with_zones"]
