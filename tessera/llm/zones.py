@@ -74,15 +74,22 @@ def doc_key(z: Zones) -> np.ndarray:
     return mix(z["docs"].view(U64))
 
 
+def differs(*columns: np.ndarray) -> np.ndarray:
+    """Which rows differ in some column from the row before."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return new
+
+
 def settle(z: Zones, places: bool) -> tuple[Zones, Zones]:
     """(repeats, firsts) among zones: a repeat has the key and fragment of an earlier one.
 
-    With ``places`` the first is one zone; without, all zones of the least document are firsts.
+    With ``places`` the first is one zone; without, all zones of the least document are firsts. Zones of one place
+    (rows given twice) count as one.
     """
-    order = np.lexsort((z["starts"], z["docs"], z["fragments"], z["keys"]))
-    z = take(z, order)
-    new = np.ones(len(order), bool)
-    new[1:] = (z["keys"][1:] != z["keys"][:-1]) | (z["fragments"][1:] != z["fragments"][:-1])
+    z = take(z, np.lexsort((z["tags"], z["starts"], z["docs"], z["fragments"], z["keys"])))
+    z = take(z, differs(z["keys"], z["fragments"], z["docs"], z["starts"], z["tags"]))
+    new = differs(z["keys"], z["fragments"])
     first = new if places else z["docs"] == z["docs"][np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
     return take(z, ~first), take(z, first)
 
@@ -174,4 +181,4 @@ def asked_zones(b: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.n
             np.frombuffer(b.column("keys")[i].as_py() or b"", U64))
 
 
-__all__ = ["PACKED", "asked_zones", "by_document", "repeats_and_asked", "with_zones"]
+__all__ = ["PACKED", "asked_zones", "by_document", "differs", "repeats_and_asked", "with_zones"]

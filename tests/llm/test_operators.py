@@ -195,6 +195,17 @@ def test_repeats_odd_cases(odd, empty):
     assert sum(r.n_removed for r in bwt_dedup.cut_repeats(odd).collect() if r.doc_id is None) == 0
 
 
+@pytest.mark.parametrize("hot", [5000, 1])
+def test_a_row_given_twice_keeps_its_bytes(spark, monkeypatch, hot):
+    whole = bwt_dedup.Z.repeats_and_asked
+    monkeypatch.setattr(bwt_dedup.Z, "repeats_and_asked", lambda *a, **b: whole(*a, **b, hot=hot))
+    twice = ROWS[6:40]  # with repeats in themselves, of each other and of rows given once
+    got = bwt_dedup.cut_repeats(frame(spark, ROWS + twice)).select("doc_id", "n_bytes", "n_removed", "removed", "kept").collect()
+    want = brute.byte_repeats(ROWS)
+    assert sorted((r[0], r[1], r[2], len(r[3]), brute.sha(bytes(r[4]))) for r in got) == \
+        sorted((d, *want[d]) for d, _ in ROWS + twice)
+
+
 # ---- 5 language model
 
 def test_language_model(docs):
