@@ -79,7 +79,7 @@ def dedup_lines(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT, m
 
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/line-keys-{uuid.uuid4().hex}"
     rows.select("_id", "_row", batch.alias("_batch"), F.posexplode("_lines").alias("_pos", "_line")) \
-        .withColumn("_key", line_key(F.col("_line"))).where(F.char_length("_key") >= min_chars) \
+        .withColumn("_key", line_key(F.col("_line"))).where((F.char_length("_key") >= min_chars) & F.col("_id").isNotNull()) \
         .select("_id", "_row", "_batch", "_pos", F.xxhash64("_key").alias("_h1"),
                 F.xxhash64(F.lit("second"), "_key").alias("_h2")) \
         .write.partitionBy("_batch").parquet(folder)

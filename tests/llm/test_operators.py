@@ -327,6 +327,16 @@ def test_line_dedup_odd_cases(odd, empty):
     assert line_runs.dedup_lines(empty).columns[:9] == empty.columns and line_runs.dedup_lines(empty).count() == 0
 
 
+def test_lines_held_by_a_row_without_id(spark):
+    """The line of a NULL row goes from the second of two documents in later batches; the NULL rows keep theirs."""
+    line = "a line that several documents hold"
+    rows = [(i, f"own line of document {i}") for i in range(40)] + [(50, f"{line}\nfifty"), (51, f"{line}\nfifty-one")]
+    nulls = [(None, line), (None, f"{line}\n{line}")]
+    got = line_runs.dedup_lines(frame(spark, rows + nulls)).select("doc_id", "text", "_n_lines", "_n_dropped").collect()
+    assert {r[0]: tuple(r[1:]) for r in got if r[0] is not None} == lines_expected(rows)
+    assert sorted(tuple(r[1:]) for r in got if r[0] is None) == [(line, 1, 0), (f"{line}\n{line}", 2, 0)]
+
+
 # ---- 9 quality rules
 
 def test_rule_counts(docs):
