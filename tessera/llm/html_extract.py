@@ -2,17 +2,18 @@
 
 Every element subtree gets a hash of its tag, class, texts and children. Spark
 counts for each host on how many of its different pages a subtree occurs; those
-on many of them are the site's template and are deleted, along with elements
-that HTML itself marks as menus, notices, forms and the like. Pages with equal
-text count once, so copies of an article do not make it a template. A template
-occurs on at least ``SHARE`` of a host's pages, so a host has at most
-``1 / SHARE`` times as many templates as a page has elements: the table of
-templates grows with the hosts, not the pages. Pages meet it by a join on host
-and salt: Spark broadcasts it while it is small, and salted copies keep the
-pages of a large host apart when it is not.
+on at least ``MIN_PAGES`` are the site's template and are deleted, however many
+pages the host has: templates rotate, so each may stand on few of them. Pages
+with equal text count once, so copies of an article do not make it a template.
+The words and tags that mark menus, notices, forms and the like only add to it.
 
 Inside ``article`` or ``main`` a subtree must recur on ``MAIN_SHARE`` of the
-pages to be deleted; a page that has such an element gives its text only.
+pages to be deleted, as revised articles share headings and paragraphs there; a
+page that has such an element gives its text only.
+
+Each page gets its own templates only: its subtrees meet the recurring ones by
+a join on host and subtree, salted by the page for large hosts, and go back to
+it by a hash of host and html.
 
 Defined cases: NULL or empty html gives an empty text; a page without a host
 has no template; a page cut off in a tag loses that tag only; unclosed and
@@ -34,10 +35,10 @@ from tessera.llm.frames import ship, staged
 from tessera.llm.textnum import chunks
 from tessera.sources.tables import read_table
 
-SHARE, MAIN_SHARE = 0.2, 0.5  # of the different pages of a host
-MIN_PAGES = 4
-MIN_MAIN_PAGES = 10
+MIN_PAGES = 4  # different pages of a host
+MIN_MAIN_PAGES, MAIN_SHARE = 10, 0.5
 PAGES_PER_SALT = 20_000
+BROADCAST = 64 << 20  # bytes of the pages' templates; more are joined by shuffle
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -201,64 +202,72 @@ class Page:
 
 
 def subtree_hashes(pages: DataFrame) -> DataFrame:
-    """host, content (hash of the page's text) and the hashes of its subtrees outside and inside of the main element."""
+    """_page, _host, content (hash of the page's text) and its subtrees' hashes outside and inside of the main element."""
     def run(batches):
         for b, sources in chunks(batches, "html"):
             read = [Page(s.decode()) for s in sources]
             yield pa.RecordBatch.from_arrays(
-                [b.column("host"), pa.array([_digest(p.text()) for p in read], pa.int64()),
+                [b.column("_page"), b.column("_host"), pa.array([_digest(p.text()) for p in read], pa.int64()),
                  pa.array([[d for d, inside in p.subtrees if not inside] for p in read], pa.list_(pa.int64())),
                  pa.array([[d for d, inside in p.subtrees if inside] for p in read], pa.list_(pa.int64()))],
-                ["host", "content", "outer", "inner"])
-
-    return pages.where("host <> ''").select("host", "html") \
-        .mapInArrow(run, "host string, content long, outer array<long>, inner array<long>")
-
-
-def site_templates(pages: DataFrame, share: float = SHARE, main_share: float = MAIN_SHARE) -> DataFrame:
-    """host, salts, outer and inner template hashes; at most 1 / share times the elements of a page for each host."""
-    once = staged(subtree_hashes(pages).groupBy("host", "content")
-                  .agg(F.any_value("outer").alias("outer"), F.any_value("inner").alias("inner"),
-                       F.count("*").alias("rows")), "subtrees")
-    hosts = once.groupBy("host").agg(F.count("*").alias("pages"),
-                                     F.ceil(F.sum("rows") / PAGES_PER_SALT).cast("int").alias("salts"))
-    seen = once.select("host", F.lit(False).alias("inside"), F.explode("outer").alias("subtree")) \
-        .unionByName(once.select("host", F.lit(True).alias("inside"), F.explode("inner").alias("subtree"))) \
-        .groupBy("host", "inside", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_PAGES)
-    many = F.when(F.col("inside"), (F.col("n") >= MIN_MAIN_PAGES) & (F.col("n") >= main_share * F.col("pages"))) \
-        .otherwise(F.col("n") >= share * F.col("pages"))
-    found = seen.join(hosts, "host").where(many).groupBy("host") \
+                ["_page", "_host", "content", "outer", "inner"])
+
+    return pages.where("_host IS NOT NULL").select("_page", "_host", "html") \
+        .mapInArrow(run, "_page long, _host long, content long, outer array<long>, inner array<long>")
+
+
+def _subtrees(pages: DataFrame, *columns: str) -> DataFrame:
+    return pages.select(*columns, F.lit(False).alias("inside"), F.explode("outer").alias("subtree")) \
+        .unionByName(pages.select(*columns, F.lit(True).alias("inside"), F.explode("inner").alias("subtree")))
+
+
+def site_templates(read: DataFrame, min_pages: int = MIN_PAGES, main_share: float = MAIN_SHARE) -> DataFrame:
+    """_host, inside and subtree of what recurs on the different pages of a host."""
+    once = staged(read.groupBy("_host", "content")
+                  .agg(F.any_value("outer").alias("outer"), F.any_value("inner").alias("inner")), "contents")
+    hosts = once.groupBy("_host").agg(F.count("*").alias("pages"))
+    seen = _subtrees(once, "_host").groupBy("_host", "inside", "subtree").agg(F.count("*").alias("n")) \
+        .where(F.when(F.col("inside"), F.col("n") >= MIN_MAIN_PAGES).otherwise(F.col("n") >= min_pages))
+    return seen.join(hosts, "_host").where(~F.col("inside") | (F.col("n") >= main_share * F.col("pages"))) \
+        .select("_host", "inside", "subtree")
+
+
+def page_templates(pages: DataFrame) -> DataFrame:
+    """_page and the hashes to delete from it outside and inside of the main element."""
+    read = staged(subtree_hashes(pages).groupBy("_page")
+                  .agg(*[F.any_value(c).alias(c) for c in ("_host", "content", "outer", "inner")]), "subtrees")
+    salts = read.groupBy("_host").agg(F.ceil(F.count("*") / PAGES_PER_SALT).cast("int").alias("salts")).where("salts > 1")
+    salts = staged(salts, "salts")
+    found = site_templates(read).join(salts, "_host", "left") \
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
+    own = _subtrees(read.join(salts, "_host", "left")
+                    .withColumn("salt", F.pmod("_page", F.coalesce("salts", F.lit(1))).cast("int")), "_page", "_host", "salt")
+    return own.join(staged(found, "templates"), ["_host", "salt", "inside", "subtree"]).groupBy("_page") \
         .agg(F.collect_list(F.when(~F.col("inside"), F.col("subtree"))).alias("outer"),
              F.collect_list(F.when(F.col("inside"), F.col("subtree"))).alias("inner"))
-    return hosts.select("host", "salts").join(found, "host", "left")
 
 
-def extract(pages: DataFrame) -> DataFrame:
+def extract(pages: DataFrame, broadcast_bytes: int = BROADCAST) -> DataFrame:
     """page_id, url and the main text of every page."""
     ship(pages.sparkSession)
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
-    rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html"), host.alias("host"))
-    templates = staged(site_templates(rows).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-                       .drop("salts"), "templates")
-    salts = templates.groupBy("host").agg(F.count("*").alias("salts")).where("salts > 1")
-    salted = rows.join(salts, "host", "left") \
-        .withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("salts", F.lit(1))).cast("int"))
+    rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html"), host.alias("host")) \
+        .withColumn("_host", F.when(F.col("host") != "", F.xxhash64("host"))) \
+        .withColumn("_page", F.xxhash64("host", "html")).drop("host")
+    templates = staged(page_templates(rows), "page-templates")
+    size = templates.agg(F.sum((F.size("outer") + F.size("inner")) * 8 + 100)).first()[0] or 0
+    templates = F.broadcast(templates) if size <= broadcast_bytes else templates.hint("shuffle_hash")
 
     def run(batches):
         for b, sources in chunks(batches, "html"):
-            sets: dict = {}
-            texts = []
-            for s, h, o, i in zip(sources, *(b.column(c).to_pylist() for c in ("host", "outer", "inner"))):
-                if h not in sets:
-                    sets[h] = (frozenset(o or ()), frozenset(i or ()))
-                texts.append(Page(s.decode(), *sets[h]).text())
+            texts = [Page(s.decode(), frozenset(o or ()), frozenset(i or ())).text()
+                     for s, o, i in zip(sources, *(b.column(c).to_pylist() for c in ("outer", "inner")))]
             yield pa.RecordBatch.from_arrays(
                 [b.column("page_id"), b.column("url"), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     schema = f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long"
-    return salted.join(templates, ["host", "salt"], "left").select("page_id", "url", "html", "host", "outer", "inner") \
-        .mapInArrow(run, schema)
+    return rows.join(templates, "_page", "left").select("page_id", "url", "html", "outer", "inner").mapInArrow(run, schema)
 
 
 def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

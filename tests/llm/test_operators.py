@@ -118,6 +118,25 @@ def test_site_templates_are_deleted(spark):
     assert got[200][1:] == ("", 0) and got[201][1] == "no host" and got[None][1] == "x"
 
 
+@pytest.mark.parametrize("limit,per_salt", [(1 << 20, 20_000), (0, 50)])
+def test_rotating_templates_without_names(spark, monkeypatch, limit, per_salt):
+    """Each of the 20 boxes and 30 closing lines of a large host is on 3 to 5 % of its pages."""
+    monkeypatch.setattr(html_extract, "PAGES_PER_SALT", per_salt)
+
+    def body(i):
+        return (f"<div class=x{i % 20}><p>Box {i % 20} offers</p></div><p>own text {i}</p>"
+                f"<p>shared by three {i // 3}</p><section>Closing line {i % 30}</section>")
+
+    rows = [(i, f"https://large.example/{i}", page(body(i))) for i in range(300)]
+    rows += [(1000 + i, f"https://large.example/m{i}", page(f"<article><h1>Title {i % 5}</h1><p>article {i}</p></article>"))
+             for i in range(100)]  # headings inside of articles are no template
+    rows += [(2000 + i, f"https://small.example/{i}", page(f"<p>Box 1 offers</p><p>small {i}</p>")) for i in range(3)]
+    got = found(html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), limit), "page_id")
+    assert all(got[i][1] == f"own text {i} shared by three {i // 3}" for i in range(300))
+    assert all(got[1000 + i][1] == f"Title {i % 5} article {i}" for i in range(100))
+    assert all(got[2000 + i][1] == f"Box 1 offers small {i}" for i in range(3))
+
+
 # ---- 3 near duplicates
 
 @pytest.mark.parametrize("k,percent", [(3, 85), (5, 80)])
