@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.frames import ROW, documents, id_and_text, ship
-from tessera.llm.textnum import U64, Chunk, chunks, grams
+from tessera.llm.textnum import SMALL_CHUNK, U64, Chunk, chunks, grams
 from tessera.sources.tables import read_table
 
 SHINGLE = 5
@@ -183,7 +183,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
 
     def matcher(index):
         def run(batches):
-            for b, texts in chunks(batches):
+            for b, texts in chunks(batches, limit=SMALL_CHUNK):
                 found = find(texts, index.value, similarity)
                 ids, keys = b.column("doc_id").to_pylist(), b.column(ROW).to_pylist()
                 cols = list(zip(*[(ids[f[0]], keys[f[0]], *f[1:]) for f in found])) or [[]] * 7
@@ -205,7 +205,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = SIM
 
     def keeper(index):
         def run(batches):
-            for b, texts in chunks(batches):
+            for b, texts in chunks(batches, limit=SMALL_CHUNK):
                 hit = np.zeros(len(texts), bool)
                 hit[[f[0] for f in find(texts, index.value, similarity)]] = True
                 yield b.filter(pa.array(~hit))

@@ -16,11 +16,12 @@ ROW = "_row"
 
 
 _shipped: set[str] = set()
-
+BATCH_BYTES = 16 << 20  # of rows that Spark hands to Python at a time, whatever their number
 
 def ship(spark: SparkSession) -> None:
     """Give the executors' Python this package (once per application), wherever it was imported from."""
     sc = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if sc.applicationId in _shipped:
         return
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tessera.llm.components import components
 from tessera.llm.exchange import buckets_for, group_edges, pack, packed_schema, reduce_buckets, unpack
 from tessera.llm.frames import ROW, documents, id_and_text, sent_to_all, staged
-from tessera.llm.textnum import U64, Chunk, chunks, distinct_per_doc, mix, shingles
+from tessera.llm.textnum import SMALL_CHUNK, U64, Chunk, chunks, distinct_per_doc, mix, shingles
 
 MISS = 1e-6
 BLOCK = 500
@@ -85,7 +85,7 @@ def signatures(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
     """doc_id, _row, n_shingles, node (hash of the shingle set; 0 for none) and the band keys."""
     def run(batches):
         scheme = MinMax(bands, rows)
-        for b, texts in chunks(batches):
+        for b, texts in chunks(batches, limit=SMALL_CHUNK):
             sets = _sets(texts, k)
             node = [int(mix(mix(s).sum(dtype=U64, keepdims=True) + U64(len(s)))[0]) if len(s) else 0 for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -219,7 +219,7 @@ def _verified(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, k: int, pe
         .agg(F.collect_list(F.struct("low", "high", "task")).alias("places"))
 
     def as_sets(batches):
-        for b, texts in chunks(batches):
+        for b, texts in chunks(batches, limit=SMALL_CHUNK):
             yield pa.RecordBatch.from_arrays(
                 [b.column(x) for x in ("node", "cluster", "side", "places")]
                 + [pa.array([s.tobytes() for s in _sets(texts, k)], pa.binary())],

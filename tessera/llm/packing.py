@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.frames import documents, id_and_text, staged
-from tessera.llm.textnum import chunks
+from tessera.llm.textnum import SMALL_CHUNK, chunks
 from tessera.llm.tokens import crc, encoder, vocabulary
 
 VOCABULARY, KIND, END = "byte_bpe_50k.json", "byte", 0
@@ -130,7 +130,7 @@ def tokenised(docs: DataFrame, window: int, vocabulary_path: str | None, kind: s
     def run(batches):
         enc = encoder(vocabulary_path or vocabulary(VOCABULARY), kind)
         task, seen, n_chunks = TaskContext.get().partitionId(), np.zeros(window, np.int64), 0
-        for b, _ in chunks(batches):
+        for b, _ in chunks(batches, limit=SMALL_CHUNK):
             rows = []
             for x in enc.encode([t or "" for t in b.column("text").to_pylist()], end):
                 ids = np.frombuffer(x, enc.dtype)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.frames import documents, id_and_text, staged
-from tessera.llm.textnum import Chunk, chunks, covered, distinct_per_doc, grams
+from tessera.llm.textnum import SMALL_CHUNK, Chunk, chunks, covered, distinct_per_doc, grams
 from tessera.sources.tables import read_table
 
 #: The characters that count as symbols.
@@ -91,7 +91,7 @@ def text_statistics(texts: list[bytes]) -> dict[str, np.ndarray]:
 def rule_statistics(docs: DataFrame) -> DataFrame:
     """doc_id, the rule counts and the forest features of every document."""
     def run(batches):
-        for b, texts in chunks(batches):
+        for b, texts in chunks(batches, limit=SMALL_CHUNK):
             s = text_statistics(texts)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id")] + [pa.array(s[x].astype(np.int64)) for x in _COUNTS]
@@ -224,7 +224,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, good_loss: float = GOOD_LOSS)
 
     def run(batches):
         grown, limit = shared.value
-        for b, texts in chunks(batches):
+        for b, texts in chunks(batches, limit=SMALL_CHUNK):
             s = text_statistics(texts)
             bad = (s["n_words"] < MIN_WORDS) | (100 * s["n_repeat_words"] > MAX_REPEAT_PCT * s["n_words"])
             if grown is not None:

@@ -15,6 +15,7 @@ from tessera.llm.minmax_dedup import op3_minmax_dedup
 from tessera.llm.packing import op6_packing
 from tessera.llm.quality_forest import op9_quality_forest
 from tessera.llm.recompression import op4_recompression
+from tessera.llm.spelling import op11_spelling_variants
 from tessera.llm.token_output import op1_token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -28,12 +29,47 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_runs": op8_line_runs,
     "op9_quality_forest": op9_quality_forest,
     "op10_decontaminate": op10_decontaminate,
+    "op11_spelling_variants": op11_spelling_variants,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORD = r"'[^\x20\x09-\x0D]+'"
 
+_UP_TO_Y = "".join(map(chr, range(0xC0, 0x100)))
+
 ORACLES: dict[str, str] = {
+    "op11_spelling_variants": f"""
+        WITH RECURSIVE bits(b, c, k) AS (  -- the checksum's table: each byte, eight shifts
+          SELECT b, b, 0 FROM range(256) t(b) UNION ALL
+          SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+        tab AS (SELECT list(c ORDER BY b) AS tab FROM bits WHERE k = 8),
+        r AS (
+          SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-z{_UP_TO_Y}]+')) AS w FROM documents),
+        d AS (
+          SELECT coalesce(doc_id::VARCHAR, '') || ':' || w AS s, w, count(*) AS n FROM r WHERE length(w) >= 7 GROUP BY 1, 2),
+        h AS (
+          SELECT w, n, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+            string_split(s, ''), lambda ch: CASE WHEN unicode(ch) < 128 THEN [unicode(ch)::BIGINT]
+                                                 ELSE [195::BIGINT, unicode(ch)::BIGINT - 64] END))),
+            lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]))) AS h FROM d, tab),
+        v AS (
+          SELECT CASE WHEN h % 31 = 0 THEN left(w, (h % length(w))::INT) || substr(w, (h % length(w))::INT + 2) ELSE w END AS w,
+                 n FROM h),
+        words AS (SELECT w, sum(n)::BIGINT AS n, length(w) AS l FROM v WHERE length(w) >= 7 GROUP BY 1 HAVING sum(n) >= 2),
+        gaps AS (
+          SELECT w, n, l, i, left(w, i - 1) || substr(w, i + 1) AS g FROM (SELECT *, unnest(range(1, l + 1)) AS i FROM words)),
+        pairs AS (
+          SELECT a.w, b.w AS o, b.n AS on_ FROM gaps a JOIN gaps b ON a.g = b.g AND a.i = b.i AND a.l = b.l AND a.w <> b.w
+          UNION SELECT a.w, b.w, b.n FROM gaps a JOIN words b ON a.g = b.w
+          UNION SELECT b.w, a.w, a.n FROM gaps a JOIN words b ON a.g = b.w),
+        near AS (
+          SELECT w, count(*) AS n_near, max(on_) AS most, arg_min(o, (-on_, o)) AS o FROM pairs GROUP BY 1),
+        f AS (
+          SELECT words.w, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * n THEN o END AS form,
+                 CASE WHEN most >= 10 * n THEN most END AS form_n FROM words LEFT JOIN near USING (w)),
+        chain(w, here) AS (SELECT w, w FROM f UNION ALL SELECT c.w, f.form FROM chain c JOIN f ON f.w = c.here WHERE form IS NOT NULL),
+        root AS (SELECT c.w, c.here AS root FROM chain c JOIN f ON f.w = c.here WHERE f.form IS NULL)
+        SELECT f.w AS word, form, root, n, n_near, form_n FROM f JOIN root USING (w)""",
     "op3_minmax_dedup": f"""
         WITH RECURSIVE w AS (
           SELECT doc_id, regexp_extract_all({_LOWER}, {_WORD}) AS ws FROM documents),

@@ -7,12 +7,14 @@ without a Python loop over words.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 3_000_000
+SMALL_CHUNK = 1_000_000  # for work that keeps nothing between chunks: a third of the arrays at a time
 U64 = np.uint64
 _M1, _M2 = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
 _P = U64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
@@ -41,7 +43,7 @@ _powers: dict[str, np.ndarray] = {}
 
 def _powers_up_to(n: int) -> tuple[np.ndarray, np.ndarray]:
     if "p" not in _powers or len(_powers["p"]) < n:
-        size = max(n, CHUNK_BYTES + 65536)
+        size = max(n, SMALL_CHUNK + 65536)
         for name, base in (("p", _P), ("i", _P_INV)):
             a = np.full(size, base, U64)
             a[0] = 1
@@ -52,16 +54,32 @@ def _powers_up_to(n: int) -> tuple[np.ndarray, np.ndarray]:
 def chunks(batches: Iterator[pa.RecordBatch], text: str = "text",
            limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Cut batches into runs of rows with at most ``limit`` text bytes (one row at least); NULL text -> b''."""
-    for b in batches:
-        texts = [t or b"" for t in b.column(text).cast(pa.binary()).to_pylist()]
-        at, size = 0, 0
-        for i, t in enumerate(texts):
-            if i > at and size + len(t) > limit:
-                yield b.slice(at, i - at), texts[at:i]
-                at, size = i, 0
-            size += len(t)
-        if at < len(texts):
-            yield b.slice(at), texts[at:]
+    try:
+        for b in batches:
+            column = b.column(text).cast(pa.binary())
+            at, size, texts = 0, 0, []
+            for i in range(len(column)):
+                t = column[i].as_py() or b""
+                if texts and size + len(t) > limit:
+                    yield b.slice(at, i - at), texts
+                    at, size, texts = i, 0, []
+                texts.append(t)
+                size += len(t)
+            if texts:
+                yield b.slice(at), texts
+            del b, column, texts
+    finally:
+        release()
+
+
+def release() -> None:
+    """Give back what a task has used: workers live on, and their memory counts beside the executor's heap."""
+    _powers.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # no glibc
+        pass
 
 
 class Chunk:

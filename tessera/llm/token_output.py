@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.frames import ROW, documents, id_and_text, shuffle_partitions
-from tessera.llm.textnum import chunks
+from tessera.llm.textnum import SMALL_CHUNK, chunks
 from tessera.llm.tokens import crc, encoder, vocabulary
 from tessera.session import ensure_checkpoint_dir
 
@@ -126,7 +126,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary_path: str | None = None, ki
 
     def encode(batches):
         enc = encoder(vocabulary_path or vocabulary(VOCABULARY), kind)
-        for b, _ in chunks(batches):
+        for b, _ in chunks(batches, limit=SMALL_CHUNK):
             ids = enc.encode([t or "" for t in b.column("text").to_pylist()], end)
             known = b.column("doc_id").fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(

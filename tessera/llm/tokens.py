@@ -15,7 +15,8 @@ import zlib
 
 import numpy as np
 
-CACHE = 600_000  # distinct pre-tokens that a worker remembers; beyond it starts anew
+CACHE_BYTES = 48 << 20  # of pre-tokens and their ids that a worker remembers; beyond it starts anew
+ENTRY_BYTES = 150  # of one of them, besides its ids
 _PLAIN = re.compile(r"[\t\n\r -~¡-¬®-ÿ]*\Z")
 # How the two tokenizers split a text before their merges, for the letters and numbers of Latin-1.
 _L, _N = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾"
@@ -39,6 +40,24 @@ def _byte_letters() -> str:
 _LETTERS = dict(enumerate(_byte_letters()))
 
 
+class _Known(dict):
+    """Ids of the pre-tokens met so far, as bytes; an unknown one goes to the merge model."""
+
+    def __init__(self, model, code: str):
+        super().__init__()
+        self.tokenize, self.code, self.room = model.tokenize, code, CACHE_BYTES
+
+    def __missing__(self, t: str) -> bytes:
+        if self.room < 0:
+            self.clear()
+            self.room = CACHE_BYTES
+        letters = t if t.isascii() and t.isalnum() else t.encode().decode("latin-1").translate(_LETTERS)
+        ids = [x.id for x in self.tokenize(letters)]
+        self[t] = out = struct.pack(f"<{len(ids)}{self.code}", *ids)
+        self.room -= ENTRY_BYTES + len(out)
+        return out
+
+
 class Encoder:
     """Ids as little-endian arrays; ``kind`` is 'word' (lower case, white space dropped) or 'byte' (text kept as it is).
 
@@ -56,30 +75,21 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.split, self.lower = _PRE_TOKEN[kind].findall, kind == "word"
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
-        self.by_model = self._joined([self._split(_PROBE)])[0] == self._whole(_PROBE)
+        self.known = _Known(self.model, "H" if self.dtype.itemsize == 2 else "I")
+        self.by_model = self._joined([_PROBE])[0] == self._whole(_PROBE)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _split(self, text: str) -> list[str]:
-        return self.split(text.lower() if self.lower else text)
-
-    def _joined(self, texts: list[list[str]]) -> list[bytes]:
-        if len(self.known) > CACHE:
-            self.known.clear()
-        code = "<%d" + ("H" if self.dtype.itemsize == 2 else "I")
-        for t in set().union(*texts).difference(self.known):
-            ids = [x.id for x in self.model.tokenize(t.encode().decode("latin-1").translate(_LETTERS))]
-            self.known[t] = struct.pack(code % len(ids), *ids)
+    def _joined(self, texts: list[str]) -> list[bytes]:
         get = self.known.__getitem__
-        return [b"".join(map(get, t)) for t in texts]
+        return [b"".join(map(get, self.split(t.lower() if self.lower else t))) for t in texts]
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """Ids of each text with ``end`` appended, as bytes of ``dtype``."""
         last = np.array([end], self.dtype).tobytes()
         plain = [self.by_model and bool(_PLAIN.match(t)) and not any(s in t for s in self.special) for t in texts]
-        joined = iter(self._joined([self._split(t) for t, p in zip(texts, plain) if p]))
+        joined = iter(self._joined([t for t, p in zip(texts, plain) if p]))
         return [(next(joined) if p else self._whole(t)) + last for t, p in zip(texts, plain)]
 
 
