@@ -15,6 +15,7 @@ from tessera.llm.minmax_dedup import op3_minmax_dedup
 from tessera.llm.packing import op6_packing
 from tessera.llm.quality_forest import op9_quality_forest
 from tessera.llm.recompression import op4_recompression
+from tessera.llm.repacking import op12_best_fit
 from tessera.llm.spelling import op11_spelling_variants
 from tessera.llm.token_output import op1_token_output
 
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_forest": op9_quality_forest,
     "op10_decontaminate": op10_decontaminate,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_best_fit": op12_best_fit,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
