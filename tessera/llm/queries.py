@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm.ball_search import op13_ranked_search
 from tessera.llm.bloom_lm import op5_bloom_lm
 from tessera.llm.bwt_dedup import op7_bwt_dedup
 from tessera.llm.decontaminate import op10_decontaminate
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontaminate": op10_decontaminate,
     "op11_spelling_variants": op11_spelling_variants,
     "op12_best_fit": op12_best_fit,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -39,7 +41,29 @@ _WORD = r"'[^\x20\x09-\x0D]+'"
 
 _UP_TO_Y = "".join(map(chr, range(0xC0, 0x100)))
 
+_TERM = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+
 ORACLES: dict[str, str] = {
+    "op13_ranked_search": f"""
+        WITH d AS (
+          SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, {_TERM}) AS ts FROM documents),
+        s AS (SELECT count(*) AS n_docs, sum(len(ts))::BIGINT AS total FROM d WHERE len(ts) > 0),
+        q AS (
+          SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, {_TERM})) AS t FROM benchmark),
+        t AS (
+          SELECT r, doc_id, len(ts) AS n, t, count(*) AS tf FROM (SELECT r, doc_id, ts, unnest(ts) AS t FROM d)
+          WHERE t IN (SELECT t FROM q) GROUP BY 1, 2, 3, 4),
+        w AS (
+          SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+          FROM t, s GROUP BY t, n_docs),
+        v AS (
+          SELECT r, doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // total))) AS v
+          FROM t JOIN w USING (t), s),
+        g AS (
+          SELECT item_id, r, doc_id, sum(v)::BIGINT AS score FROM q JOIN v USING (t) GROUP BY 1, 2, 3 HAVING sum(v) > 0),
+        k AS (
+          SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank FROM g)
+        SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10""",
     "op11_spelling_variants": f"""
         WITH RECURSIVE bits(b, c, k) AS (  -- the checksum's table: each byte, eight shifts
           SELECT b, b, 0 FROM range(256) t(b) UNION ALL
