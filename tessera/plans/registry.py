@@ -34,6 +34,7 @@ def load_all() -> None:
     """Import every query module so that its ``register`` calls run."""
     from tessera.plans import (  # noqa: F401
         q_activity,
+        q_corrections,
         q_cumulative,
         q_facts,
         q_graph,

@@ -27,13 +27,16 @@ EVENTS_AS_OF = "2024-01-30"
 
 
 def player_seasons(spark: SparkSession, sf_dir: str, first_year: int | None = None,
-                   last_year: int | None = None) -> DataFrame:
+                   last_year: int | None = None, where=None) -> DataFrame:
     """(player_id, season, gp, pts, scoring_class): one row per customer-year of orders.
 
     A year range becomes a range on ``o_orderdate`` itself, so it reaches the
-    Parquet scan (a filter on ``year(o_orderdate)`` would not).
+    Parquet scan (a filter on ``year(o_orderdate)`` would not). ``where`` is a
+    further condition on orders.
     """
     o = read_table(spark, sf_dir, "orders")
+    if where is not None:
+        o = o.where(where)
     if first_year is not None or last_year is not None:
         o = o.where(day_range(o, "o_orderdate",
                               None if first_year is None else f"{first_year}-01-01",
