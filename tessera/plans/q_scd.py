@@ -104,6 +104,18 @@ def q_scd2_merge_close(spark, sf_dir):
                                 period="current_year").select(*_A_COLS)
 
 
+@register("scd2_merge_close_load", oracle=_ACTOR_SCD + " SELECT * FROM a_scd")
+def q_scd2_merge_close_load(spark, sf_dir):
+    """The stored form: the last three years merged into the stored table, then the first of them once more (late), and the rest."""
+    a = wr.stage(actors(spark, sf_dir), "actors")
+    tracked = ["quality_class", "is_active"]
+    table = wr.stage(scd.scd2_full_reload(a.where(F.col("current_year") <= AA - 3), "actor_id", "current_year", tracked,
+                                          AA - 3), "scd")
+    for year in (AA - 2, AA - 1, AA, AA - 2, AA - 1, AA, AA):
+        table = wr.stage(scd.scd2_merge_close(table, a, "actor_id", tracked, year, period="current_year"), "scd")
+    return table.select(*_A_COLS)
+
+
 @register("scd_type0", oracle="WITH " + V.PLAYER_SEASONS + """,
  f AS (SELECT player_id, arg_min(scoring_class, season) AS first_class FROM ps GROUP BY 1)
  SELECT f.player_id, f.first_class AS scoring_class,
@@ -141,11 +153,22 @@ def q_scd_type3(spark, sf_dir):
     return scd.scd_type3(S.player_seasons(spark, sf_dir), "player_id", "scoring_class", "season")
 
 
-@register("scd2_as_of", oracle="WITH " + V.PLAYER_SCD.replace("{as_of}", str(PA)) + """
+_AS_OF_SQL = "WITH " + V.PLAYER_SCD.replace("{as_of}", str(PA)) + """
  SELECT o.o_orderkey, o.o_custkey, CAST(year(o.o_orderdate) AS INTEGER) AS order_year,
         s.scoring_class, s.is_active
  FROM orders o LEFT JOIN scd s
-   ON s.player_id = o.o_custkey AND year(o.o_orderdate) BETWEEN s.start_period AND s.end_period""")
+   ON s.player_id = o.o_custkey AND year(o.o_orderdate) BETWEEN s.start_period AND s.end_period"""
+
+
+@register("scd2_as_of_scan", oracle=_AS_OF_SQL)
+def q_scd2_as_of_scan(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey",
+                                                   F.year("o_orderdate").alias("order_year"))
+    return scd.scd2_as_of_scan(o, "o_custkey", "order_year", players_scd(spark, sf_dir), "player_id",
+                               "start_period", "end_period", ["scoring_class", "is_active"])
+
+
+@register("scd2_as_of", oracle=_AS_OF_SQL)
 def q_scd2_as_of(spark, sf_dir):
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey",
                                                    F.year("o_orderdate").alias("order_year"))
