@@ -36,6 +36,7 @@ def load_all() -> None:
         q_activity,
         q_corrections,
         q_cumulative,
+        q_distincts,
         q_facts,
         q_graph,
         q_quality,

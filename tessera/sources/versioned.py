@@ -28,7 +28,7 @@ import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.expr import key_list as _keys
@@ -42,6 +42,14 @@ class ConcurrentWriteError(RuntimeError):
     """Another writer committed the version that this write would have become."""
 
 
+class CheckFailedError(ValueError):
+    """Rows that were to be published break a rule; ``counts`` has the number of such rows for each rule."""
+
+    def __init__(self, counts: dict[str, int]):
+        super().__init__(f"not published: {counts}")
+        self.counts = counts
+
+
 class VersionedTable:
     """A Parquet table in versions, with one row for each ``key`` (which need not hold the partition columns)."""
 
@@ -102,7 +110,10 @@ class VersionedTable:
     def _written(self, rows: DataFrame, write: str) -> DataFrame:
         """Write ``rows`` to files of their own and return their entries for the list of live files."""
         order = [*self.partition_by, *[k for k in self.key if k not in self.partition_by]]
-        w = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("w", F.lit(write)).write
+        return self._stored(rows.repartitionByRange(*order).sortWithinPartitions(*order), write)
+
+    def _stored(self, rows: DataFrame, write: str) -> DataFrame:
+        w = rows.withColumn("w", F.lit(write)).write
         for k in self.key:
             if k not in self.partition_by:
                 w = w.option(f"parquet.bloom.filter.enabled#{k}", "true")
@@ -128,6 +139,32 @@ class VersionedTable:
         before, write = (self.versions() or [0])[-1], uuid.uuid4().hex
         return self._commit(self._written(rows, write), write, before)
 
+    def publish(self, rows: DataFrame, rules: dict | None = None) -> int:
+        """Q2, Q4 before publishing: a new version of ``rows`` alone, unless a key occurs twice or a row breaks a rule.
+
+        ``rules`` maps names to conditions that every row must meet (NULL
+        breaks them). Rows are shuffled once, by key; repeated keys and broken
+        rules are counted by observed metrics while the files are written, and
+        the version is committed only if all counts are 0. Else
+        ``CheckFailedError`` tells the counts, the written files are removed
+        and the table is unchanged.
+        """
+        if "duplicate_keys" in (rules or {}):
+            raise ValueError("duplicate_keys is the name of the key's own rule")
+        before, write = (self.versions() or [0])[-1], uuid.uuid4().hex
+        seen = Observation()
+        repeated = F.row_number().over(Window.partitionBy(*self.key).orderBy(F.lit(1)))
+        broken = [F.count_if(~F.coalesce(c, F.lit(False))).alias(n) for n, c in (rules or {}).items()]
+        checked = rows.withColumn("_copy", repeated).observe(
+            seen, F.count_if(F.col("_copy") > 1).alias("duplicate_keys"), *broken).drop("_copy")
+        live = self._stored(checked, write)
+        counts = {n: c for n, c in seen.get.items() if c}
+        if counts:
+            fs, p = _file_system(self.spark, f"{self.path}/data/w={write}")
+            fs.delete(p, True)
+            raise CheckFailedError(counts)
+        return self._commit(live, write, before)
+
     def _holding(self, live: DataFrame, keys: DataFrame, on: list[str]) -> list[str]:
         """Names of the live files that hold one of the keys."""
         first = self.key[0]

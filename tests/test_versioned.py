@@ -3,6 +3,7 @@
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from tessera.sources import versioned
@@ -122,3 +123,15 @@ def test_empty_tables(spark):
     assert t.replace(spark.createDataFrame([("x",)], "k string")) == t.versions()[-1]
     t.upsert(spark.createDataFrame([("b", 1)], "k string, v int"))
     assert rows(t.read()) == [("b", 1)]
+
+
+def test_publish_only_what_holds(spark):
+    t = table(spark)
+    good = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, v int")
+    assert t.publish(good, {"positive": F.col("v") > 0}) == 1
+    with pytest.raises(versioned.CheckFailedError) as e:
+        t.publish(spark.createDataFrame([("a", 1), ("a", 2), ("b", -1), ("c", None)], "k string, v int"), {"positive": F.col("v") > 0})
+    assert e.value.counts == {"duplicate_keys": 1, "positive": 2}
+    assert t.versions() == [1] and rows(t.read()) == ordered([("a", 1), ("b", 2), (None, 3)])
+    assert t.expire(keep=1, grace_hours=-1) == []  # nothing was left behind
+    assert t.publish(good.where("k = 'a'")) == 2 and rows(t.read()) == [("a", 1)]
