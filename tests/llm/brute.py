@@ -114,12 +114,13 @@ def leaks(rows, items, similarity=0.8):
             if not m:
                 continue
             want = Counter(tuple(t[a:a + k]) for a in range(m - k + 1))
-            for s in range(len(w) - m + 1):
-                have = Counter(tuple(w[a:a + k]) for a in range(s, s + m - k + 1))
+            size = min(m, len(w))  # a shorter document is one window
+            for s in range(len(w) - size + 1 if size >= k else 0):
+                have = Counter(tuple(w[a:a + k]) for a in range(s, s + size - k + 1))
                 low = sum((want & have).values())
-                sim = low / (2 * (m - k + 1) - low)
+                sim = low / (m - k + 1 + size - k + 1 - low)
                 if sim >= similarity and ((d, i) not in out or (-sim, s) < (-out[d, i][2], out[d, i][0])):
-                    out[d, i] = (s, m, sim)
+                    out[d, i] = (s, size, sim)
     return out
 
 

@@ -410,15 +410,61 @@ def test_leaks(spark):
     assert kept.schema == frame(spark, rows).schema
 
 
+def test_leaks_short_documents_and_repeated_shingles(spark):
+    """Documents of fewer words than an item, and texts whose shingles repeat (where the fingerprint bound does not hold)."""
+    item = " ".join(f"v{i}" for i in range(60))
+    w = item.split()
+    chant = " ".join(["da"] * 6 + [f"x{i}" for i in range(60)] + ["da"] * 6)
+    rows = [(1, item), (2, " ".join(w[:-2])), (3, " ".join(w[5:])), (4, " ".join(w[:40])), (5, " ".join(w[:50])), (6, "v1 v2"),
+            (7, chant.replace("x15", "y")), (8, "da " * 40), (9, " ".join(w[3:] + ["z"] * 200)), (10, "one two")]
+    items = [(0, item), (1, chant), (2, "da " * 30), (3, "one two three four five six"), (4, "one two")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.start_word, r.n_words, r.similarity)
+           for r in decontaminate.contaminated(frame(spark, rows), benchmark).collect()}
+    want = brute.leaks(rows, items)
+    assert got == want and {(2, 0), (3, 0), (5, 0), (7, 1), (8, 2), (10, 4)} <= set(got) and (4, 0) not in got
+
+
+def test_leaks_query(spark):
+    from tessera.llm.queries import QUERIES
+    at = "/root/testdata/sf0.001"
+    rows, items = ([tuple(r) for r in spark.read.parquet(f"{at}/{t}.parquet").select(c, "text").collect()]
+                   for t, c in (("documents", "doc_id"), ("benchmark", "item_id")))
+    got = {(r.doc_id, r.item_id) for r in QUERIES["op10_decontaminate"](spark, at).collect()}
+    assert got == set(brute.leaks(rows, items)) and got
+
+
 def test_hamming_index_finds_all_within_the_radius():
     rng = np.random.default_rng(4)
     items = decontaminate.Items(9, list(range(40)), [rng.integers(1 << 63, size=9).astype(np.uint64) for _ in range(40)])
-    flips = [rng.choice(64, rng.integers(0, 40), replace=False) for _ in range(500)]
-    prints = np.array([int(items.prints[i % 40]) ^ sum(1 << int(b) for b in f) for i, f in enumerate(flips)], np.uint64)
-    w, i, d = items.candidates(prints)
-    want = {(a, b) for a in range(500) for b in range(40)
-            if bin(int(prints[a]) ^ int(items.prints[b])).count("1") <= decontaminate.RADIUS}
-    assert set(zip(w.tolist(), i.tolist())) == want
+    flips = np.zeros((500, decontaminate.BITS), np.uint8)
+    for f in flips:
+        f[rng.choice(decontaminate.BITS, rng.integers(0, 120), replace=False)] = 1
+    prints = items.prints[np.arange(500) % 40] ^ np.packbits(flips, axis=1).view(np.uint32)
+    w, i, d = items.candidates(prints, np.zeros(500, bool))
+    bits = np.unpackbits((prints[:, None] ^ items.prints[None]).view(np.uint8).reshape(500, 40, -1), axis=2).sum(axis=2)
+    assert set(zip(w.tolist(), i.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(bits <= items.radius))))
+    assert (d == bits[w, i]).all()
+
+
+def test_blocks_are_selective_and_lose_nothing_at_the_similarity():
+    rng = np.random.default_rng(5)
+    items = decontaminate.Items(30, list(range(300)), [rng.integers(1 << 63, size=30).astype(np.uint64) for _ in range(300)])
+    other = np.concatenate([decontaminate.fingerprint(decontaminate.bit_signs(rng.integers(1 << 63, size=26).astype(np.uint64))
+                                                      .sum(axis=0, dtype=np.int32, keepdims=True)) for _ in range(300)])
+    passed = np.zeros((300, 300), bool)
+    for b in range(decontaminate.BLOCKS):
+        passed |= np.bitwise_count(other[:, b, None] ^ items.prints[None, :, b]) <= items.radius // decontaminate.BLOCKS
+    assert passed.mean() < 0.01
+    missed = 0
+    for _ in range(2000):  # pairs at the threshold: 8 of 9 shingles shared
+        n = int(rng.integers(9, 60))
+        m = int(np.ceil(16 * n / 18 - 1e-9))
+        g = rng.integers(1 << 63, size=2 * n - m).astype(np.uint64)
+        a, b = (decontaminate.fingerprint(decontaminate.bit_signs(x).sum(axis=0, dtype=np.int32, keepdims=True))
+                for x in (g[:n], np.concatenate([g[:m], g[n:]])))
+        missed += int(np.bitwise_count(a ^ b).sum()) > items.radius
+    assert missed == 0
 
 
 def test_leaks_odd_cases(spark, odd, empty):
