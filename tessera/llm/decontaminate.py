@@ -8,7 +8,7 @@ shingles from running bit sums. ``BLOCKS`` blocks of 32 bits index the items of
 that length so that every fingerprint within ``RADIUS`` bits is found: by the
 pigeonhole principle some block then differs in at most ``RADIUS // BLOCKS``
 bits, which 0.1 % of unrelated blocks do (0.8 % of fingerprints in one of
-eight). Candidates are verified by the exact weighted Jaccard similarity of
+eight; 1.3 % where an even number of shingles leaves sums of 0). Candidates are verified by the exact weighted Jaccard similarity of
 their shingles (counts as weights), 0.8 or more by default.
 
 The radius follows from the similarity: of two windows with Jaccard similarity

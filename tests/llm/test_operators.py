@@ -455,7 +455,7 @@ def test_blocks_are_selective_and_lose_nothing_at_the_similarity():
     passed = np.zeros((300, 300), bool)
     for b in range(decontaminate.BLOCKS):
         passed |= np.bitwise_count(other[:, b, None] ^ items.prints[None, :, b]) <= items.radius // decontaminate.BLOCKS
-    assert passed.mean() < 0.01
+    assert passed.mean() < 0.015  # even numbers of shingles; 0.97 % with odd ones
     missed = 0
     for _ in range(2000):  # pairs at the threshold: 8 of 9 shingles shared
         n = int(rng.integers(9, 60))
