@@ -4,9 +4,13 @@ A document gives full windows and a tail shorter than a window. Only the
 histogram of tail lengths (fewer bins than a window has tokens) reaches the
 driver: combinations of two or three lengths that fill a window are enumerated,
 repeat counts are solved by non-negative least squares against the histogram,
-rounded down and capped by the lengths still free. Tails left over are packed
-greedily, longest first: laid end to end and cut where a window is full, so
-only the very last window has padding.
+rounded, and capped by the lengths still free. What rounding down leaves is
+solved again as a histogram of its own; once that places little, counts are
+rounded up, largest first, until no combination of the lengths left fills a
+window. (Of the tails of the given tables that places 78 % at 200 documents,
+87 % at 1,000 and 99 % at 10,000.) Tails left over are packed greedily, longest
+first: laid end to end and cut where a window is full, so only the very last
+window has padding.
 
 A tail knows its place from its rank among the tails of its length: a running
 number in its task plus the count of that length in earlier tasks. No length,
@@ -19,6 +23,8 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -31,6 +37,7 @@ from tessera.llm.tokens import crc, encoder, vocabulary
 
 VOCABULARY, KIND, END = "byte_bpe_50k.json", "byte", 0
 WINDOW = 1024
+LITTLE = 0.1  # share of the tails that rounding down must place, to be done once more
 _TOKENS = "doc_id long, doc_tokens long, task int, tail int, rank long, first_chunk long, chunk_crcs array<long>, " \
           "tail_ids binary, width int"
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -85,14 +92,16 @@ class Plan:
         free[0] = 0
         slots: dict[int, list[tuple[int, int, int, int]]] = {}  # length: (first rank, per window, sequence, offset)
         sequence = first_sequence
-        combos = combinations(np.flatnonzero(free), window)
-        if len(combos):
+        up = False
+        while len(combos := combinations(np.flatnonzero(free), window)):
             x = repeat_counts(combos, free)
+            before = int(free.sum())
             for i in np.argsort(-x, kind="stable"):
-                if x[i] < 1:
+                wanted = math.ceil(x[i]) if up else math.floor(x[i])
+                if not wanted:
                     break
                 parts, uses = np.unique(combos[i][combos[i] > 0], return_counts=True)
-                n = int(min(np.floor(x[i]), (free[parts] // uses).min()))
+                n = int(min(wanted, (free[parts] // uses).min()))
                 if n <= 0:
                     continue
                 offset = 0
@@ -101,6 +110,10 @@ class Plan:
                     free[length] -= n * use
                     offset += length * use
                 sequence += n
+            placed = before - int(free.sum())
+            if up and not placed:
+                break
+            up = up or placed < LITTLE * before
         self.slots = {k: np.array(v, np.int64) for k, v in slots.items()}
         self.placed = histogram - free  # tails in combinations, by length
         self.rest_at = np.zeros(window + 1, np.int64)  # where a length's leftovers start, longest length first

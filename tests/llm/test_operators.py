@@ -301,13 +301,47 @@ def test_packing_one_length(spark):
     check_pieces(rows, packing.pack(frame(spark, rows), 12).collect(), 12)
 
 
+ODD = [(None, ROWS[40][1]), (None, None), (40, ROWS[40][1]), (40, ROWS[40][1]), (41, "one two three " * 20),
+       (41, "four five six " * 30), (42, ROWS[40][1])]
+
+
 def test_packing_odd_cases(odd, empty):
+    """Every token of every row is in as many pieces as there are such rows, and each piece has its row's ids."""
     got = packing.pack(odd, 16).collect()
-    assert sum(r.length for r in got if r.start + r.length == r.doc_tokens or True) == \
-        sum({(r.doc_id, r.doc_tokens, r.sequence_id, r.offset): r.length for r in got}.values())
+    wanted = {}
+    for d, x in ODD:
+        ids = expected_ids([(d, x)], "byte_bpe_50k.json", 0)[d]
+        wanted.setdefault((d, len(ids)), []).append(ids)
+    assert len(wanted) == 5  # no two different texts of an id are equally long
+    for (d, n), copies in wanted.items():
+        times = np.zeros(n, int)
+        for r in got:
+            if (r.doc_id, r.doc_tokens) == (d, n):
+                times[r.start:r.start + r.length] += 1
+                part = copies[0][r.start:r.start + r.length]
+                assert r.ids == part.tobytes() and r.ids_crc32 == zlib.crc32(part.tobytes())
+        assert (times == len(copies)).all()
+    assert sum(r.length for r in got) == sum(n * len(c) for (_, n), c in wanted.items())
+    ends = {}
+    for r in got:
+        ends.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in ends.values():
+        parts.sort()
+        assert [o for o, _ in parts] == np.cumsum([0] + [n for _, n in parts])[:-1].tolist() and sum(n for _, n in parts) <= 16
+    assert sum(sum(n for _, n in parts) < 16 for parts in ends.values()) <= 1
     assert packing.pack(empty, 16).count() == 0
 
 
+def test_packing_places_most_tails_by_least_squares(spark):
+    for at, share in (("0.001", 0.75), ("0.01", 0.85), ("0.1", 0.95)):
+        texts = [(i, r.text) for i, r in enumerate(spark.read.parquet(f"/root/testdata/sf{at}/documents.parquet").select("text").collect())]
+        enc = encoder(vocabulary("byte_bpe_50k.json"), "byte")
+        sizes = np.array([len(x) // enc.dtype.itemsize for x in enc.encode([t or "" for _, t in texts], 0)])
+        histogram = np.bincount(sizes % 1024, minlength=1024)
+        histogram[0] = 0
+        assert packing.Plan(histogram, 1024, 0).placed.sum() >= share * histogram.sum()
+
+
 def test_least_squares_fits_a_solvable_histogram():
     histogram = np.zeros(100, np.int64)
     histogram[[30, 70, 50, 25]] = [40, 40, 10, 20]
