@@ -3,13 +3,18 @@
 Every element subtree gets a hash of its tag, class, texts and children. Spark
 counts for each host on how many of its different pages a subtree occurs; those
 on at least ``MIN_PAGES`` are the site's template and are deleted, however many
-pages the host has: templates rotate, so each may stand on few of them. Pages
-with equal text count once, so copies of an article do not make it a template.
-The words and tags that mark menus, notices, forms and the like only add to it.
-
-Inside ``article`` or ``main`` a subtree must recur on ``MAIN_SHARE`` of the
-pages to be deleted, as revised articles share headings and paragraphs there; a
-page that has such an element gives its text only.
+pages the host has: templates rotate, so each may stand on few of them. Copies
+and revisions of one article count as one page, so that they do not make its
+paragraphs a template: ``SIGNATURES`` min-hashes of the four-word shingles of a
+page's long texts are compared within the host, and pages that share one, in
+``HOPS`` steps, get one label. The words and tags that mark menus, notices,
+forms and the like only add to the templates.
+
+Different articles also share single sentences (licence lines, quotations). So
+a paragraph or heading without class or id, and any subtree inside ``article``
+or ``main``, must recur on ``MAIN_SHARE`` of the host's articles to be deleted
+by itself; it goes with a larger template around it. A page that has such a
+main element gives its text only, after the templates are gone.
 
 Each page gets its own templates only: its subtrees meet the recurring ones by
 a join on host and subtree, salted by the page for large hosts, and go back to
@@ -27,16 +32,19 @@ import hashlib
 import html
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.frames import ship, staged
-from tessera.llm.textnum import chunks
+from tessera.llm.textnum import SMALL_CHUNK, U64, Chunk, chunks, mix, shingles
 from tessera.sources.tables import read_table
 
 MIN_PAGES = 4  # different pages of a host
 MIN_MAIN_PAGES, MAIN_SHARE = 10, 0.5
+SIGNATURES, HOPS = 4, 2
+LONG = 12  # words of a text that goes into the signature; menus, adverts and notices are shorter
 PAGES_PER_SALT = 20_000
 BROADCAST = 64 << 20  # bytes of the pages' templates; more are joined by shuffle
 
@@ -68,6 +76,7 @@ NAMES = frozenset("ad ads advert adverts advertisement advertising sponsor spons
                   "disclaimer skip login".split())
 OUTER_NAMES = NAMES | {"header"}
 MAIN = frozenset(["article", "main"])
+PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())  # texts, if they have no class or id
 
 
 def _digest(*parts: str) -> int:
@@ -107,7 +116,7 @@ class Page:
         self.stack = [_Open("", "", 0, False, False)]
         self.main: list[tuple[int, int]] = []
         self.subtrees: set[tuple[int, bool]] = set()
-        self.cut = False
+        self.long: list[str] = []
         self._read(source)
 
     def _read(self, source: str) -> None:
@@ -140,8 +149,10 @@ class Page:
     def _text(self, text: str) -> None:
         text = html.unescape(text)
         self.out.append(text)
-        if words := " ".join(text.split()):
-            self.stack[-1].parts.append(words)
+        if words := text.split():
+            self.stack[-1].parts.append(" ".join(words))
+            if len(words) >= LONG and not self.stack[-1].junk:
+                self.long += words
 
     def _start(self, tag: str, attributes: str) -> None:
         if tag not in INLINE:
@@ -183,16 +194,17 @@ class Page:
         parent = self.stack[-1]
         digest = _digest(e.tag, e.name, *map(str, e.parts))
         parent.parts.append(f"\1{digest}")
+        strict = e.inside or e.tag in PLAIN and not e.name.strip()
         if e.tag in ("html", "body") or e.tag in MAIN and not e.junk and not parent.inside:
             if e.tag in MAIN:
                 self.main.append((e.start, len(self.out)))
-        elif e.junk or digest in (self.main_templates if e.inside else self.templates):
+        elif e.junk or digest in (self.main_templates if strict else self.templates):
             del self.out[e.start:]
             self.out.append(" " if e.tag not in INLINE else "")
             while self.main and self.main[-1][0] >= e.start:
                 self.main.pop()
         elif e.tag not in INLINE and e.parts:
-            self.subtrees.add((digest, e.inside))
+            self.subtrees.add((digest, strict))
         if e.tag not in INLINE:
             self.out.append(" ")
 
@@ -201,19 +213,41 @@ class Page:
         return main or " ".join("".join(self.out).split())
 
 
+def signatures(pages: list[Page], contents: list[int]) -> list[list[int]]:
+    """``SIGNATURES`` min-hashes of each page's long texts; of its whole text, if it has no long ones."""
+    c = Chunk([" ".join(p.long).encode("utf-8", "replace") for p in pages], lower=True)
+    keys, page = shingles(c, c.hashes(), 4)
+    have, start = np.unique(page, return_index=True)
+    out = np.repeat(np.array(contents, np.int64)[:, None], SIGNATURES, axis=1)
+    for i in range(SIGNATURES if len(have) else 0):
+        out[have, i] = np.minimum.reduceat(mix(keys ^ mix(np.array([i + 1], U64))), start).view(np.int64)
+    return out.tolist()
+
+
 def subtree_hashes(pages: DataFrame) -> DataFrame:
-    """_page, _host, content (hash of the page's text) and its subtrees' hashes outside and inside of the main element."""
+    """_page, _host, signatures of the page's article and its subtrees' hashes outside and inside of the main element."""
     def run(batches):
-        for b, sources in chunks(batches, "html"):
+        for b, sources in chunks(batches, "html", SMALL_CHUNK):
             read = [Page(s.decode()) for s in sources]
             yield pa.RecordBatch.from_arrays(
-                [b.column("_page"), b.column("_host"), pa.array([_digest(p.text()) for p in read], pa.int64()),
+                [b.column("_page"), b.column("_host"),
+                 pa.array(signatures(read, [_digest(p.text()) for p in read]), pa.list_(pa.int64())),
                  pa.array([[d for d, inside in p.subtrees if not inside] for p in read], pa.list_(pa.int64())),
                  pa.array([[d for d, inside in p.subtrees if inside] for p in read], pa.list_(pa.int64()))],
-                ["_page", "_host", "content", "outer", "inner"])
+                ["_page", "_host", "signatures", "outer", "inner"])
 
     return pages.where("_host IS NOT NULL").select("_page", "_host", "html") \
-        .mapInArrow(run, "_page long, _host long, content long, outer array<long>, inner array<long>")
+        .mapInArrow(run, "_page long, _host long, signatures array<long>, outer array<long>, inner array<long>")
+
+
+def article_labels(read: DataFrame, hops: int = HOPS) -> DataFrame:
+    """_page and label: the least page that it reaches in ``hops`` steps over pages of its host with an equal signature."""
+    label = read.select("_page", "_host", F.col("_page").alias("label"), F.posexplode("signatures").alias("i", "signature"))
+    for _ in range(hops):
+        least = label.groupBy("_host", "i", "signature").agg(F.min("label").alias("least"))
+        nearer = label.join(least, ["_host", "i", "signature"]).groupBy("_page").agg(F.min("least").alias("label"))
+        label = staged(label.drop("label").join(nearer, "_page"), "labels")
+    return label.where("i = 0").select("_page", "label")
 
 
 def _subtrees(pages: DataFrame, *columns: str) -> DataFrame:
@@ -222,11 +256,10 @@ def _subtrees(pages: DataFrame, *columns: str) -> DataFrame:
 
 
 def site_templates(read: DataFrame, min_pages: int = MIN_PAGES, main_share: float = MAIN_SHARE) -> DataFrame:
-    """_host, inside and subtree of what recurs on the different pages of a host."""
-    once = staged(read.groupBy("_host", "content")
-                  .agg(F.any_value("outer").alias("outer"), F.any_value("inner").alias("inner")), "contents")
-    hosts = once.groupBy("_host").agg(F.count("*").alias("pages"))
-    seen = _subtrees(once, "_host").groupBy("_host", "inside", "subtree").agg(F.count("*").alias("n")) \
+    """_host, inside and subtree of what recurs on the different articles of a host."""
+    known = staged(read.join(article_labels(read), "_page"), "labelled")
+    hosts = known.groupBy("_host").agg(F.count_distinct("label").alias("pages"))
+    seen = _subtrees(known, "_host", "label").groupBy("_host", "inside", "subtree").agg(F.count_distinct("label").alias("n")) \
         .where(F.when(F.col("inside"), F.col("n") >= MIN_MAIN_PAGES).otherwise(F.col("n") >= min_pages))
     return seen.join(hosts, "_host").where(~F.col("inside") | (F.col("n") >= main_share * F.col("pages"))) \
         .select("_host", "inside", "subtree")
@@ -235,7 +268,7 @@ def site_templates(read: DataFrame, min_pages: int = MIN_PAGES, main_share: floa
 def page_templates(pages: DataFrame) -> DataFrame:
     """_page and the hashes to delete from it outside and inside of the main element."""
     read = staged(subtree_hashes(pages).groupBy("_page")
-                  .agg(*[F.any_value(c).alias(c) for c in ("_host", "content", "outer", "inner")]), "subtrees")
+                  .agg(*[F.any_value(c).alias(c) for c in ("_host", "signatures", "outer", "inner")]), "subtrees")
     salts = read.groupBy("_host").agg(F.ceil(F.count("*") / PAGES_PER_SALT).cast("int").alias("salts")).where("salts > 1")
     salts = staged(salts, "salts")
     found = site_templates(read).join(salts, "_host", "left") \
@@ -259,7 +292,7 @@ def extract(pages: DataFrame, broadcast_bytes: int = BROADCAST) -> DataFrame:
     templates = F.broadcast(templates) if size <= broadcast_bytes else templates.hint("shuffle_hash")
 
     def run(batches):
-        for b, sources in chunks(batches, "html"):
+        for b, sources in chunks(batches, "html", SMALL_CHUNK):
             texts = [Page(s.decode(), frozenset(o or ()), frozenset(i or ())).text()
                      for s, o, i in zip(sources, *(b.column(c).to_pylist() for c in ("outer", "inner")))]
             yield pa.RecordBatch.from_arrays(

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tessera.llm import bloom_lm, bwt_dedup, decontaminate, html_extract, line_runs, minmax_dedup, packing
 from tessera.llm import quality_forest, recompression, token_output
@@ -137,6 +138,66 @@ def test_rotating_templates_without_names(spark, monkeypatch, limit, per_salt):
     assert all(got[2000 + i][1] == f"Box 1 offers small {i}" for i in range(3))
 
 
+def test_templates_leave_articles_alone_without_the_main_element(spark):
+    """The pages with ``article`` and ``main`` renamed: the templates found then cost no article text."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    want = found(html_extract.extract(pages), "page_id")
+    stripped = pages.withColumn("html", F.regexp_replace("html", r"<(/?)(article|main)\b", "<$1div"))
+    got = found(html_extract.extract(stripped), "page_id")
+    assert sum(got[k] == v for k, v in want.items()) >= 0.99 * len(want)
+    assert all(len(got[k][1]) >= 0.95 * len(v[1]) for k, v in want.items())
+
+
+def test_revised_articles_are_one_page(spark):
+    """Twelve revisions of an article in unnamed elements keep their text; a box on four different articles goes."""
+    rng = np.random.default_rng(2)
+    words = [f"w{i}" for i in range(400)]
+    base = [[words[rng.integers(400)] for _ in range(40)] for _ in range(6)]
+
+    def revision(i):
+        texts = [list(p) for p in base]
+        texts[i % 6][i] = f"changed{i}"
+        return "<div class=body>" + "".join(f"<div class=s{j}>{' '.join(p)}</div>" for j, p in enumerate(texts)) + "</div>"
+
+    def other(i):
+        return "<div class=body>" + " ".join(words[rng.integers(400)] for _ in range(60)) + "</div>"
+
+    rows = [(i, f"https://r.example/{i}", page(revision(i))) for i in range(12)]
+    rows += [(100 + i, f"https://r.example/o{i}", page(other(i) + "<div class=x>Ten offers today</div>")) for i in range(4)]
+    got = found(html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")), "page_id")
+    assert all(len(got[i][1].split()) == 240 for i in range(12))
+    assert all("offers" not in got[100 + i][1] and len(got[100 + i][1].split()) == 60 for i in range(4))
+
+
+def test_template_counts_match_brute_force(spark):
+    """Templates of the given pages, with the labels of the articles as they are, counted again in plain Python."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    host = F.regexp_extract("url", "//([^/?#:]+)", 1)
+    rows = pages.select("html", F.xxhash64(host).alias("_host"), F.xxhash64(host, "html").alias("_page"))
+    read = html_extract.subtree_hashes(rows).distinct().cache()
+    label = found(html_extract.article_labels(read), "_page")
+    seen, articles = {}, {}
+    for r in read.collect():
+        articles.setdefault(r._host, set()).add(label[r._page])
+        for inside, hashes in ((False, r.outer), (True, r.inner)):
+            for h in hashes:
+                seen.setdefault((r._host, inside, h), set()).add(label[r._page])
+    want = {k for k, v in seen.items() if (len(v) >= max(10, 0.5 * len(articles[k[0]])) if k[1] else len(v) >= 2)}
+    got = {(r._host, r.inside, r.subtree) for r in html_extract.site_templates(read, min_pages=2).collect()}
+    assert got == want and got
+
+
+def test_html_odd_cases(spark):
+    schema = "page_id long, url string, html string, _page string, _host string, inside int, subtree string, label string"
+    rows = [(1, "https://a.example/", page("<p>same</p>"), "a", "b", 1, "c", "d")] * 3 + [(1, None, None, None, None, None, None, None)]
+    long = "<article><p>" + "word &amp; " * 400_000 + "</p></article>"  # beyond a chunk
+    got = html_extract.extract(spark.createDataFrame([*rows, (2, "https://a.example/", long, "", "", 1, "", "")], schema))
+    assert sorted((r.page_id, r.text[:6], r.n_chars) for r in got.collect()) \
+        == [(1, "", 0), (1, "same", 4), (1, "same", 4), (1, "same", 4), (2, "word &", 400_000 * 7 - 1)]
+    assert got.columns == ["page_id", "url", "text", "n_chars"]
+    assert html_extract.extract(spark.createDataFrame([], schema)).count() == 0
+
+
 # ---- 3 near duplicates
 
 @pytest.mark.parametrize("k,percent", [(3, 85), (5, 80)])
