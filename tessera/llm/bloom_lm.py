@@ -1,30 +1,47 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Counts are quantised to levels (level j stands for counts from 2**(j-1) up to
-2**j - 1) and an item with level j is entered j times, as (item, 1) to
-(item, j); a query probes (item, 1), (item, 2), ... up to the first miss, so a
-false positive can only raise a level. Items are words, pairs of neighbouring
-words, and for each word the number of different words that follow it. The
-model is the pair probability with Witten-Bell smoothing,
-``(c(vw) + T(v) P(w)) / (c(v) + T(v))``, where P is the add-one word
-probability from exact counts (``base_score`` is the sum of its logs).
-
-Spark counts items in buckets of their hash; a bucket's reducer enters them
+The model is the pair probability with Witten-Bell smoothing,
+``(c(vw) + T(v) P(w)) / (c(v) + T(v))``, where T(v) is the number of different
+words that follow v and P the add-one word probability. Pair counts and T come
+from Bloom filters by repeated membership probes: counts are quantised to the
+levels of ``EDGES`` (1, 2, 3, 4, 6, 8, 12, ...) and a pair of level j is entered
+j times; a query probes level 1, 2, ... up to the first miss and takes the
+level's lower edge, bounded by the exact counts of both words and by what T(v)
+leaves (every other follower takes at least one of v's occurrences). Word counts are
+exact (``base_score`` is the sum of the logs of P).
+
+So that the result is a probability, the sum of p over all words after one word
+must not pass 1 by much. Lower edges never sum to more than c(v), T is the same
+above and below the line, and a false hit at level 1 would add 1 / (c(v) + T(v))
+for each of V words: level 1 gets ``STRONG`` bits of test in every 64-bit word
+probed, and as many words as it takes for one false hit in 2**MARGIN times the
+bytes of training text, which V cannot reach; so few words have a false
+follower at all, whatever the size. Higher levels are probed for true pairs only and have ``BITS`` bits an entry.
+
+Spark counts pairs in buckets of their hash; a bucket's reducer enters them
 into that bucket's own filter, so the model grows with the corpus and is never
-built in one place. Scoring ships the buckets to the tasks in groups of at most
-``GROUP_BYTES``: one group while the model is small, else the texts are read
-once for each group and the levels found so far are kept beside them.
+built in one place. Scoring ships the buckets in groups of at most
+``GROUP_BYTES``, each a file that the driver fills bucket by bucket and that
+the workers of an executor map into memory together: one group while the model
+is small, else the texts are read once for each group and the levels found so
+far are kept beside them.
 
 Defined cases: a NULL or empty text is the end token alone; a NULL doc_id
-belongs to the training texts; repeated rows are counted each time; with no
-training text every word is unknown; an empty table gives an empty result;
-other columns are ignored.
+belongs to the training texts; repeated rows are counted each time; a long text
+is read whole, as a chunk of its own; with no training text every word is
+unknown; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+import os
+import tempfile
+import uuid
+
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,9 +49,12 @@ from tessera.llm.exchange import bucket_of, buckets_for, group_edges
 from tessera.llm.frames import documents, id_and_text, staged
 from tessera.llm.textnum import U64, Chunk, chunks, mix
 
-GROUP_BYTES = 128 << 20
-BITS = 8  # of a filter for each entry: about 2 % false positives
-PROBES = 5
+GROUP_BYTES = 512 << 20
+STRONG, MARGIN = 6, 6  # bits tested in each 64-bit word of the first level; bits of test beyond the size of the text
+BITS = 16  # of the other levels' filters for each entry: about 0.2 % false positives
+PROBES = 7  # of 9 bits of a hash each
+#: Least counts of the levels.
+EDGES = np.array(sorted([1 << i for i in range(60)] + [3 << i for i in range(58)]), np.int64)
 FLUSH = 3_000_000  # tokens that a task counts before it sends
 _END, _BEGIN = mix(np.array([1, 2], U64))
 _WORD, _PAIR, _FOLLOW = U64(0x1D8E4E27C47D124F), U64(0x2545F4914F6CDD1D), U64(0x3C79AC492BA7B653)
@@ -71,12 +91,43 @@ def follow_key(before: np.ndarray) -> np.ndarray:
 
 
 def levels_of(counts: np.ndarray) -> np.ndarray:
-    return np.floor(np.log2(np.maximum(counts, 1))).astype(np.uint8) + np.uint8(1)
+    return np.searchsorted(EDGES, counts, side="right").astype(np.uint8)
 
 
 def expected(level: np.ndarray) -> np.ndarray:
-    """Mean of the counts that a level stands for; 0 for level 0."""
-    return np.where(level > 0, 1.5 * 2.0 ** (level.astype(float) - 1) - 0.5, 0.0)
+    """Least count that a level stands for; 0 for level 0."""
+    return np.where(level > 0, EDGES[np.maximum(level.astype(np.int64), 1) - 1], 0).astype(float)
+
+
+def _masks() -> np.ndarray:
+    """4096 words of 64 bits with ``STRONG`` bits set."""
+    rng = np.random.default_rng(17)
+    bits = np.argsort(rng.random((4096, 64)), axis=1)[:, :STRONG].astype(U64)
+    return np.bitwise_or.reduce(U64(1) << bits, axis=1)
+
+
+MASKS = _masks()
+
+
+def strong_words(text_bytes: int) -> int:
+    """64-bit words to probe for a pair, so that about one unrelated pair in ``2**MARGIN * text_bytes`` passes."""
+    return max(2, math.ceil((math.log2(max(text_bytes, 2)) + MARGIN) / STRONG))
+
+
+def _strong(items: np.ndarray, i: int, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of the word and the bits to set or test there, in the ``i``-th probe."""
+    h = mix(items + U64(((i + 1) * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF))
+    return (((h >> U64(32)) * size.astype(U64)) >> U64(32)).astype(np.int64), MASKS[(h & U64(4095)).astype(np.int64)]
+
+
+def build_strong(items: np.ndarray, words: int) -> bytes:
+    """Filter of the pairs themselves: half of its bits are set."""
+    size = max(1, math.ceil(len(items) * words * STRONG / math.log(2) / 64))
+    data = np.zeros(size, U64)
+    for i in range(words):
+        place, mask = _strong(items, i, np.array(size))
+        np.bitwise_or.at(data, place, mask)
+    return data.tobytes()
 
 
 def _probes(items: np.ndarray, level: int, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -87,61 +138,91 @@ def _probes(items: np.ndarray, level: int, blocks: np.ndarray) -> tuple[np.ndarr
     return block.astype(np.int64) * 64, bits
 
 
-def build(items: np.ndarray, levels: np.ndarray) -> bytes:
-    """Filter of some items with their levels."""
-    entries = int(levels.sum())
+def build(items: np.ndarray, levels: np.ndarray, first: int = 1) -> bytes:
+    """Filter of some items with their levels from ``first`` on."""
+    entries = int(np.maximum(levels.astype(np.int64) - (first - 1), 0).sum())
     n = max(1, -(-entries * BITS // 512))
     data = np.zeros(n * 64, np.uint8)
-    for level in range(1, int(levels.max(initial=0)) + 1):
+    for level in range(first, int(levels.max(initial=0)) + 1):
         block, bits = _probes(items[levels >= level], level, np.array(n))
         np.bitwise_or.at(data, (block[:, None] + (bits >> U64(3)).astype(np.int64)).ravel(),
                          (np.uint8(1) << (bits & U64(7)).astype(np.uint8)).ravel())
     return data.tobytes()
 
 
+_PARTS = {"pairs": U64, "levels": np.uint8, "follow": np.uint8, "words": U64, "counts": np.uint32}
+
+
 class Group:
-    """Some neighbouring buckets of the model: their filters and exact word counts.
+    """Some neighbouring buckets of the model in one file: filters, and exact word counts sorted by word.
 
-    Arrays are allocated at their known sizes and filled row by row, so the
-    driver never holds a group twice.
+    The driver fills the file through a map, bucket by bucket, so it never holds
+    a group; a worker maps it, too, and shares it with the executor's others.
     """
 
-    def __init__(self, low: int, high: int, n: int, sizes: dict[str, np.ndarray]):
-        """``sizes``: bytes by bucket (all n) of the item filters, the follower filters and the words."""
-        self.low, self.high, self.n = low, high, n
-        self.data, self.at, self.blocks = {}, {}, {}
-        for name in ("items", "follow"):
-            size = sizes[name][low:high]
-            self.data[name] = np.zeros(int(size.sum()), np.uint8)
-            self.at[name], self.blocks[name] = np.cumsum(size) - size, size // 64
-        words = sizes["words"][low:high] // 8
-        self.words, self.counts = np.zeros(int(words.sum()), U64), np.zeros(int(words.sum()), np.uint32)
-        self.word_at = np.cumsum(words) - words
-
-    def put(self, bucket: int, name: str, filter_: bytes, words: bytes | None, counts: bytes | None) -> None:
-        at = self.at[name][bucket - self.low]
-        self.data[name][at:at + len(filter_)] = np.frombuffer(filter_, np.uint8)
-        if words:
-            at, k = self.word_at[bucket - self.low], np.frombuffer(words, U64)
-            self.words[at:at + len(k)], self.counts[at:at + len(k)] = k, np.frombuffer(counts, np.uint32)
+    def __init__(self, low: int, high: int, n: int, probes: int, sizes: dict[str, np.ndarray], path: str):
+        """``sizes``: bytes by bucket (all n) of each part."""
+        self.low, self.high, self.n, self.probes = low, high, n, probes
+        self.path, self.name, self.parts = path, os.path.basename(path), None
+        self.at, self.length, self.start, end = {}, {}, {}, 0
+        for part, kind in _PARTS.items():
+            size = sizes[part][low:high] // np.dtype(kind).itemsize
+            self.at[part], self.length[part] = np.cumsum(size) - size, size
+            self.start[part], end = end, end + -(-int(size.sum()) * np.dtype(kind).itemsize // 64) * 64
+        with open(path, "wb") as f:
+            f.truncate(max(end, 1))
+        self.parts = self._map(path, "r+")
+
+    def _map(self, path: str, mode: str) -> dict[str, np.ndarray]:
+        whole = np.memmap(path, np.uint8, mode)
+        return {part: whole[self.start[part]:self.start[part] + int(self.length[part].sum()) * np.dtype(kind).itemsize].view(kind)
+                for part, kind in _PARTS.items()}
+
+    def __getstate__(self):
+        return self.__dict__ | {"parts": None}
+
+    def part(self, name: str) -> np.ndarray:
+        if self.parts is None:
+            local = SparkFiles.get(self.name)
+            self.parts = self._map(local if os.path.exists(local) else self.path, "r")
+        return self.parts[name]
+
+    def put(self, bucket: int, **values: bytes | None) -> None:
+        for name, value in values.items():
+            if value:
+                at = int(self.at[name][bucket - self.low])
+                value = np.frombuffer(value, _PARTS[name])
+                self.part(name)[at:at + len(value)] = value
 
     def done(self) -> Group:
-        order = np.argsort(self.words)
-        self.words, self.counts = self.words[order], self.counts[order]
+        words, counts = self.part("words"), self.part("counts")
+        order = np.argsort(words)
+        words[:], counts[:] = words[order], counts[order]
         return self
 
-    def level(self, name: str, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(indexes of the items in this group's buckets, their levels) by repeated probes."""
+    def _own(self, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         bucket = bucket_of(items, self.n)
         own = np.flatnonzero((bucket >= self.low) & (bucket < self.high))
-        bucket = bucket[own] - self.low
-        blocks, at, data = self.blocks[name][bucket], self.at[name][bucket], self.data[name]
+        return own, bucket[own] - self.low
+
+    def level(self, name: str, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(indexes of the items in this group's buckets, their levels) by repeated probes; ``name``: pairs or follow."""
+        own, bucket = self._own(items)
         out = np.zeros(len(own), np.uint8)
-        live = np.flatnonzero(blocks > 0)
-        level = 1
+        live, level = np.arange(len(own)), 1
+        if name == "pairs":
+            size, at, data = self.length[name], self.at[name], self.part(name)
+            live = live[size[bucket] > 0]
+            for i in range(self.probes):
+                place, mask = _strong(items[own[live]], i, size[bucket[live]])
+                live = live[(data[place + at[bucket[live]]] & mask) == mask]
+            out[live], level = 1, 2
+        part = "levels" if name == "pairs" else name
+        blocks, at, data = self.length[part] // 64, self.at[part], self.part(part)
+        live = live[blocks[bucket[live]] > 0]
         while len(live):
-            block, bits = _probes(items[own[live]], level, blocks[live])
-            place = (block + at[live])[:, None] + (bits >> U64(3)).astype(np.int64)
+            block, bits = _probes(items[own[live]], level, blocks[bucket[live]])
+            place = (block + at[bucket[live]])[:, None] + (bits >> U64(3)).astype(np.int64)
             hit = ((data[place] >> (bits & U64(7)).astype(np.uint8)) & 1).all(axis=1)
             live = live[hit]
             out[live] = level
@@ -150,12 +231,12 @@ class Group:
 
     def count(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(indexes of the words in this group's buckets, exact counts)."""
-        bucket = bucket_of(item(_WORD, words), self.n)
-        own = np.flatnonzero((bucket >= self.low) & (bucket < self.high))
-        at = np.searchsorted(self.words, words[own])
-        at[at == len(self.words)] = 0
-        found = self.words[at] == words[own] if len(self.words) else np.zeros(len(own), bool)
-        return own, np.where(found, self.counts[at] if len(self.counts) else 0, 0)
+        own, _ = self._own(item(_WORD, words))
+        known, counts = self.part("words"), self.part("counts")
+        at = np.searchsorted(known, words[own])
+        at[at == len(known)] = 0
+        found = known[at] == words[own] if len(known) else np.zeros(len(own), bool)
+        return own, np.where(found, counts[at] if len(counts) else 0, 0)
 
 
 def _send(kind: int, keys: np.ndarray, counts: np.ndarray, items: np.ndarray, n: int):
@@ -181,12 +262,15 @@ def _sums(table: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
     return keys[start], np.add.reduceat(counts, start) if len(start) else counts
 
 
-_MODEL = "bucket int, name string, filter binary, words binary, counts binary, tokens long, distinct long"
+_MODEL = "bucket int, name string, pairs binary, levels binary, follow binary, words binary, counts binary, " \
+         "tokens long, distinct long, begins long, probes int"
 
 
 def train(docs: DataFrame) -> tuple[DataFrame, int]:
     """(model, buckets): one or two rows a bucket, with its filters and exact word counts."""
     n = buckets_for(docs)
+    training = docs.where(~held_out(F.col("doc_id")))
+    probes = strong_words(training.agg(F.sum(F.octet_length(F.col("text").cast("string")) + 1)).first()[0] or 0)
 
     def count(batches):
         words, pairs = [], []
@@ -208,32 +292,34 @@ def train(docs: DataFrame) -> tuple[DataFrame, int]:
         if words:
             yield from flush()
 
+    def row(bucket, name, **values):
+        return pa.table({f.name: [{"bucket": bucket, "name": name, "tokens": 0, "distinct": 0, "begins": 0, "probes": probes,
+                                   **values}.get(f.name)] for f in schema}, schema=schema)
+
     def enter(table):
+        bucket = table.column("bucket")[0].as_py()
         w, c = _sums(table, 1)
         p, d = _sums(table, 2)
-        filter_ = build(np.concatenate([item(_WORD, w), item(_PAIR, p)]), levels_of(np.concatenate([c, d])))
+        items, level = item(_PAIR, p), levels_of(d)
         real = w != _BEGIN
         before, follow = np.unique(follow_key(p), return_counts=True)
-        out = [pa.table({"bucket": [table.column("bucket")[0].as_py()], "name": ["items"], "filter": [filter_],
-                         "words": [w[real].tobytes()], "counts": [c[real].astype(np.uint32).tobytes()],
-                         "tokens": [int(c[real].sum())], "distinct": [int(real.sum())]}, schema=schema)]
+        out = [row(bucket, "items", pairs=build_strong(items, probes), levels=build(items[level > 1], level[level > 1], 2),
+                   words=w[real].tobytes(), counts=c[real].astype(np.uint32).tobytes(), tokens=int(c[real].sum()),
+                   distinct=int(real.sum()), begins=int(c[~real].sum()))]
         for b in _send(3, before, follow, item(_FOLLOW, before), n):
-            k = b.num_rows
-            out.append(pa.table({"bucket": b.column("bucket"), "name": ["next"] * k, "filter": [None] * k,
-                                 "words": b.column("keys"), "counts": b.column("counts"), "tokens": [0] * k,
-                                 "distinct": [0] * k}, schema=schema))
+            out += [row(to, "next", words=k, counts=x) for to, k, x in
+                    zip(*(b.column(c).to_pylist() for c in ("bucket", "keys", "counts")))]
         return pa.concat_tables(out)
 
     def follow(table):
         keys, counts = _sums(table.rename_columns({"words": "keys"})
                              .append_column("kind", pa.array([3] * table.num_rows)), 3)
-        return pa.table({"bucket": [table.column("bucket")[0].as_py()], "name": ["follow"],
-                         "filter": [build(item(_FOLLOW, keys), levels_of(counts))], "words": [None], "counts": [None],
-                         "tokens": [0], "distinct": [0]}, schema=schema)
+        return row(table.column("bucket")[0].as_py(), "follow", follow=build(item(_FOLLOW, keys), levels_of(counts)))
 
-    schema = pa.schema([("bucket", pa.int32()), ("name", pa.string()), ("filter", pa.binary()), ("words", pa.binary()),
-                        ("counts", pa.binary()), ("tokens", pa.int64()), ("distinct", pa.int64())])
-    texts = id_and_text(docs.where(~held_out(F.col("doc_id")))).select("text")
+    schema = pa.schema([("bucket", pa.int32()), ("name", pa.string()),
+                        *[(c, pa.binary()) for c in ("pairs", "levels", "follow", "words", "counts")],
+                        *[(c, pa.int64()) for c in ("tokens", "distinct", "begins")], ("probes", pa.int32())])
+    texts = id_and_text(training).select("text")
     entered = staged(texts.mapInArrow(count, _COUNTS).groupBy("bucket").applyInArrow(enter, _MODEL), "lm-items")
     followed = entered.where("name = 'next'").select("bucket", "name", "words", "counts").groupBy("bucket") \
         .applyInArrow(follow, _MODEL)
@@ -242,34 +328,35 @@ def train(docs: DataFrame) -> tuple[DataFrame, int]:
 
 def groups(model: DataFrame, n: int, limit: int = GROUP_BYTES):
     """The model's buckets in groups of at most ``limit`` bytes (one bucket at least)."""
-    sizes = {k: np.zeros(n, np.int64) for k in ("items", "follow", "words")}
-    for b, name, f, w in model.select("bucket", "name", F.octet_length("filter"),
-                                      F.coalesce(F.octet_length("words"), F.lit(0))).collect():  # two rows a bucket
-        sizes[name][b] = f
-        sizes["words"][b] += w
-    size = sizes["items"] + sizes["follow"] + sizes["words"] * 3 // 2
-    low = 0
+    sc = model.sparkSession.sparkContext
+    sizes, probes = {k: np.zeros(n, np.int64) for k in _PARTS}, 1
+    for b, k, *each in model.select("bucket", "probes", *[F.coalesce(F.octet_length(c), F.lit(0)) for c in _PARTS]) \
+            .collect():  # two rows a bucket
+        probes = k
+        for part, size in zip(_PARTS, each):
+            sizes[part][b] += size
+    size = sum(sizes.values())
+    folder, low = tempfile.mkdtemp(prefix="tessera-lm-"), 0  # the driver's; Spark's file server hands the files out
     while low < n:
         high = low + 1
         while high < n and size[low:high + 1].sum() <= limit:
             high += 1
-        group = Group(low, high, n, sizes)
-        for r in model.where((F.col("bucket") >= low) & (F.col("bucket") < high)) \
-                .select("bucket", "name", "filter", "words", "counts").toLocalIterator():  # a few buckets at a time
-            group.put(*r)
-        shared = model.sparkSession.sparkContext.broadcast(group.done())
-        del group
+        group = Group(low, high, n, probes, sizes, os.path.join(folder, f"lm-{uuid.uuid4().hex}.bin"))
+        for b, *values in model.where((F.col("bucket") >= low) & (F.col("bucket") < high)) \
+                .select("bucket", *_PARTS).toLocalIterator():  # a few buckets at a time
+            group.put(b, **dict(zip(_PARTS, values)))
+        sc.addFile(group.done().path)
+        shared = sc.broadcast(group)  # without the file's content
         yield shared, high == n
         low = high
 
 
-_STATE = {"pair": np.uint8, "context": np.uint8, "follow": np.uint8, "count": np.uint32}
+_STATE = {"pair": np.uint8, "follow": np.uint8, "count": np.uint32}
 
 
 def _look(group: Group, tokens: np.ndarray, before: np.ndarray, state: dict[str, np.ndarray]) -> None:
-    """Fill in what this group knows of each token: levels of its pair, of the word before it, and exact counts."""
-    for name, values, kind, ask in (("pair", pair_key(before, tokens), _PAIR, "items"),
-                                    ("context", before, _WORD, "items"),
+    """Fill in what this group knows of each token: levels of its pair and of the word before it, and exact counts."""
+    for name, values, kind, ask in (("pair", pair_key(before, tokens), _PAIR, "pairs"),
                                     ("follow", follow_key(before), _FOLLOW, "follow"), ("count", tokens, None, "")):
         each, back = np.unique(values, return_inverse=True)
         own, found = group.count(each) if kind is None else group.level(ask, item(kind, each))
@@ -278,11 +365,20 @@ def _look(group: Group, tokens: np.ndarray, before: np.ndarray, state: dict[str,
         state[name] = np.maximum(state[name], known[back])
 
 
+def probability(word: np.ndarray, context: np.ndarray, pair: np.ndarray, follow: np.ndarray, n_train: int,
+                n_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(P of the words, p of the words after their contexts) from exact counts and the pairs' and followers' levels."""
+    single = (word + 1.0) / (n_train + n_words + 1)
+    others = np.clip(expected(follow), 1, np.maximum(context, 1))
+    seen = np.minimum(expected(pair), np.minimum(word, context - others + 1))
+    return single, np.where(context > 0, (seen + others * single) / np.maximum(context + others, 1), single)
+
+
 def score(docs: DataFrame, model: DataFrame, n: int, limit: int = GROUP_BYTES) -> DataFrame:
     """Per document row: held_out, n_tokens, n_known, train_tokens, base_score and score."""
     spark = docs.sparkSession
-    total = model.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
-    n_train, n_words = int(total[0]), int(total[1])
+    n_train, n_words, begins = map(int, model.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "distinct", "begins")])
+                                   .first())
     rows = id_and_text(docs).withColumn("held_out", held_out(F.col("doc_id"))) \
         .select("doc_id", "text", "held_out", *[F.lit(None).cast("binary").alias(s) for s in _STATE])
     columns = ["doc_id", "held_out"]
@@ -310,13 +406,12 @@ def score(docs: DataFrame, model: DataFrame, n: int, limit: int = GROUP_BYTES) -
                 state = state_of(b, 0, tokens)
                 if group is not None:
                     _look(group.value, tokens, before, state)
-                c = state["count"].astype(float)
-                base = np.log10((c + 1) / (n_train + n_words + 1))
-                context = expected(state["context"])
-                pair = np.minimum(expected(state["pair"]), context)
-                follow = np.clip(expected(state["follow"]), 1, np.maximum(context, 1))
-                p = np.where(context > 0, (pair + follow * 10.0 ** base) / (context + follow), 10.0 ** base)
-                sums = [np.add.reduceat(x, first[:-1]) for x in (base, np.log10(p))] if len(texts) else [[], []]
+                word = state["count"].astype(np.int64)
+                context = np.empty_like(word)
+                context[1:] = word[:-1]
+                context[first[:-1]] = begins
+                base, p = probability(word, context, state["pair"], state["follow"], n_train, n_words)
+                sums = [np.add.reduceat(x, first[:-1]) for x in (np.log10(base), np.log10(p))] if len(texts) else [[], []]
                 known = np.add.reduceat((state["count"] > 0).astype(np.int64), first[:-1])
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id"), b.column("held_out"), pa.array(np.diff(first)), pa.array(known),

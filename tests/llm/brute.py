@@ -85,6 +85,28 @@ def base_scores(rows):
                 sum(math.log10((count[w] + 1) / (n + v + 1)) for w in t)) for d, t in tokens.items()}
 
 
+def pair_scores(rows):
+    """doc_id -> log10 of the Witten-Bell probability of the text, from exact counts."""
+    tokens = {d: WORD.findall(lower(x)) + [None] for d, x in rows}
+    train = [t for d, t in tokens.items() if zlib.crc32(str(d).encode()) % 7 != 2]
+    count = Counter(w for t in train for w in t)
+    pair = Counter(p for t in train for p in zip(["<begin>", *t[:-1]], t))
+    context, follow = Counter(), Counter()
+    for (v, _), c in pair.items():
+        context[v] += c
+        follow[v] += 1
+    n, size = sum(count.values()), len(count)
+    out = {}
+    for d, t in tokens.items():
+        out[d] = 0.0
+        for v, w in zip(["<begin>", *t[:-1]], t):
+            p = (count[w] + 1) / (n + size + 1)
+            if context[v]:
+                p = (pair[v, w] + follow[v] * p) / (context[v] + follow[v])
+            out[d] += math.log10(p)
+    return out
+
+
 def rules(text):
     """(words, word_chars, symbols, dup lines, repeat words, base_failed)."""
     text = text or ""

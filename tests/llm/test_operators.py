@@ -1,5 +1,6 @@
 """Every corpus operator against its brute-force version, with the odd cases of its docstring."""
 
+import math
 import zlib
 
 import brute
@@ -299,21 +300,70 @@ def test_language_model(docs):
     assert sum(x[5] for x in one.values()) > sum(x[4] for x in one.values())
 
 
-def test_filter_levels_are_never_too_low():
+def a_group(tmp_path, n=1, probes=4, **parts):
+    """A model of one bucket."""
+    sizes = {k: np.array([len(parts.get(k, b""))]) for k in bloom_lm._PARTS}
+    group = bloom_lm.Group(0, 1, n, probes, sizes, str(tmp_path / "group.bin"))
+    group.put(0, **parts)
+    return group.done()
+
+
+def test_filter_levels_are_never_too_low(tmp_path):
     rng = np.random.default_rng(1)
     items = rng.integers(1 << 63, size=4000).astype(np.uint64)
     counts = rng.integers(1, 200, size=4000)
     levels = bloom_lm.levels_of(counts)
-    items = items[bloom_lm.bucket_of(items, 1) == 0]
-    made = bloom_lm.build(items, levels)
-    group = bloom_lm.Group(0, 1, 1, {"items": np.array([len(made)]), "follow": np.array([0]), "words": np.array([0])})
-    group.put(0, "items", made, None, None)
-    _, got = group.level("items", items)
+    assert (bloom_lm.expected(levels) <= counts).all() and (bloom_lm.expected(levels) > counts / 1.5).all()
+    group = a_group(tmp_path, follow=bloom_lm.build(items, levels))
+    _, got = group.level("follow", items)
     assert (got >= levels).all() and (got == levels).mean() > 0.9
-    _, other = group.level("items", rng.integers(1 << 63, size=4000).astype(np.uint64))
+    _, other = group.level("follow", rng.integers(1 << 63, size=4000).astype(np.uint64))
     assert (other == 0).mean() > 0.9
 
 
+def test_first_level_hits_no_other_pair(tmp_path):
+    rng = np.random.default_rng(2)
+    items = rng.integers(1 << 63, size=50_000).astype(np.uint64)
+    levels = bloom_lm.levels_of(rng.integers(1, 4, size=50_000))
+    more = levels > 1
+    group = a_group(tmp_path, pairs=bloom_lm.build_strong(items, 4), levels=bloom_lm.build(items[more], levels[more], 2))
+    _, got = group.level("pairs", items)
+    assert (got >= levels).all() and (got == levels).mean() > 0.95
+    _, other = group.level("pairs", rng.integers(1 << 63, size=2_000_000).astype(np.uint64))
+    assert (other > 0).sum() <= 3  # of 2 ** 21 tries at one in 2 ** 24
+    assert [bloom_lm.strong_words(1 << b) for b in (10, 18, 24, 30, 36)] == [3, 4, 5, 6, 7]
+
+
+@pytest.mark.parametrize("at", ["0.001", "0.01"])
+def test_probabilities_sum_to_one(spark, at):
+    """After contexts of every frequency the probabilities of all words, and of an unknown one, sum to at most 1.05."""
+    texts = spark.read.parquet(f"/root/testdata/sf{at}/documents.parquet")
+    model, n = bloom_lm.train(texts)
+    n_train, n_words, begins = map(int, model.agg(*[F.sum(c) for c in ("tokens", "distinct", "begins")]).first())
+    (shared, last), = bloom_lm.groups(model, n)
+    group = shared.value
+    words, counts = np.array(group.part("words")), np.array(group.part("counts")).astype(np.int64)
+    assert last and len(words) == n_words and counts.sum() == n_train
+    rng, sums = np.random.default_rng(3), []
+    order = np.argsort(counts, kind="stable")
+    picked = [*order[rng.integers(len(order), size=40)], *order[-20:]]
+    for v in picked:
+        state = {k: np.zeros(n_words, t) for k, t in bloom_lm._STATE.items()}
+        bloom_lm._look(group, words, np.full(n_words, words[v]), state)
+        _, p = bloom_lm.probability(counts, np.full(n_words, counts[v]), state["pair"], state["follow"], n_train, n_words)
+        others = np.clip(bloom_lm.expected(state["follow"][:1]), 1, counts[v])[0]
+        sums.append(p.sum() + others / (n_train + n_words + 1) / (counts[v] + others))
+    assert max(sums) <= 1.05 and min(sums) > 0.6 and np.mean(sums) > 0.9
+
+
+def test_score_is_near_the_exact_model(docs):
+    """Against Witten-Bell with exact counts, per token."""
+    got = found(bloom_lm.score(docs, *bloom_lm.train(docs)))
+    off = {d: (got[d][5] - want) / got[d][1] for d, want in brute.pair_scores(ROWS).items()}
+    assert all(v[5] <= 0 for v in got.values())
+    assert max(map(abs, off.values())) < math.log10(1.5) and abs(np.mean(list(off.values()))) < 0.03  # a level spans a factor of 1.5
+
+
 def test_language_model_odd_cases(odd, empty):
     model, n = bloom_lm.train(odd)
     assert bloom_lm.score(odd, model, n).count() == 7
