@@ -2,29 +2,30 @@
 
 The model is the pair probability with Witten-Bell smoothing,
 ``(c(vw) + T(v) P(w)) / (c(v) + T(v))``, where T(v) is the number of different
-words that follow v and P the add-one word probability. Pair counts and T come
-from Bloom filters by repeated membership probes: counts are quantised to the
-levels of ``EDGES`` (1, 2, 3, 4, 6, 8, 12, ...) and a pair of level j is entered
-j times; a query probes level 1, 2, ... up to the first miss and takes the
-level's lower edge, bounded by the exact counts of both words and by what T(v)
-leaves (every other follower takes at least one of v's occurrences). Word counts are
-exact (``base_score`` is the sum of the logs of P).
+words that follow v and P the add-one word probability. Pair counts come from a
+Bloom filter by repeated membership probes: counts are quantised to the levels
+of ``EDGES`` (1, 2, 3, 4, 6, 8, 12, ...) and a pair of level j is entered j
+times; a query probes level 1, 2, ... up to the first miss and takes the level's
+lower edge, bounded by the exact counts of both words and by what T(v) leaves
+(every other follower takes at least one of v's occurrences). Words have a table
+of exact c and T beside the filter (``base_score`` is the sum of the logs of P).
 
 So that the result is a probability, the sum of p over all words after one word
 must not pass 1 by much. Lower edges never sum to more than c(v), T is the same
-above and below the line, and a false hit at level 1 would add 1 / (c(v) + T(v))
-for each of V words: level 1 gets ``STRONG`` bits of test in every 64-bit word
-probed, and as many words as it takes for one false hit in 2**MARGIN times the
-bytes of training text, which V cannot reach; so few words have a false
-follower at all, whatever the size. Higher levels are probed for true pairs only and have ``BITS`` bits an entry.
-
-Spark counts pairs in buckets of their hash; a bucket's reducer enters them
-into that bucket's own filter, so the model grows with the corpus and is never
-built in one place. Scoring ships the buckets in groups of at most
-``GROUP_BYTES``, each a file that the driver fills bucket by bucket and that
-the workers of an executor map into memory together: one group while the model
-is small, else the texts are read once for each group and the levels found so
-far are kept beside them.
+above and below the line, and a false hit at level 1 adds 1 / (c(v) + T(v)). A
+pair's level 1 is therefore entered with as many probes as it takes for the V
+words after v to add ``SLACK`` to the sum by false hits (less for v below
+``RARE``, where a single one weighs much): many for rare v, few for frequent
+ones, 18 bits of test on average where one size for all would take over 30. V
+is estimated by a sketch that travels with the counts. Higher levels are
+probed for true pairs only and have ``BITS`` bits an entry.
+
+Spark counts words and pairs in buckets of the first word's hash; a bucket's
+reducer makes that bucket's own filter and table, so the model grows with the
+corpus and is never built in one place. Scoring broadcasts the buckets in groups
+of at most ``GROUP_BYTES``, which the driver fills bucket by bucket in a mapped
+file: one group while the model is small, else the texts are read once for each
+group and the levels found so far are kept beside them.
 
 Defined cases: a NULL or empty text is the end token alone; a NULL doc_id
 belongs to the training texts; repeated rows are counted each time; a long text
@@ -37,28 +38,29 @@ from __future__ import annotations
 import math
 import os
 import tempfile
-import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.exchange import bucket_of, buckets_for, group_edges
 from tessera.llm.frames import documents, id_and_text, staged
-from tessera.llm.textnum import U64, Chunk, chunks, mix
+from tessera.llm.textnum import SMALL_CHUNK, U64, Chunk, chunks, mix
 
-GROUP_BYTES = 512 << 20
-STRONG, MARGIN = 6, 6  # bits tested in each 64-bit word of the first level; bits of test beyond the size of the text
-BITS = 16  # of the other levels' filters for each entry: about 0.2 % false positives
+GROUP_BYTES = 256 << 20
+STRONG = 4  # bits tested in each 64-bit word of the first level
+SLACK = 0.02  # of the sum of p after a word that may come from false hits
+RARE = 100  # occurrences and followers below which false hits must be rarer still, as each weighs more
+BITS = 12  # of the other levels' filters for each entry: about 0.5 % false positives
 PROBES = 7  # of 9 bits of a hash each
+SKETCH = 10  # log2 of the registers of the sketch of distinct words: 3 % error
 #: Least counts of the levels.
 EDGES = np.array(sorted([1 << i for i in range(60)] + [3 << i for i in range(58)]), np.int64)
 FLUSH = 3_000_000  # tokens that a task counts before it sends
 _END, _BEGIN = mix(np.array([1, 2], U64))
-_WORD, _PAIR, _FOLLOW = U64(0x1D8E4E27C47D124F), U64(0x2545F4914F6CDD1D), U64(0x3C79AC492BA7B653)
-_COUNTS = "bucket int, kind int, keys binary, counts binary"
+_CONTEXT, _PAIR = U64(0x1D8E4E27C47D124F), U64(0x2545F4914F6CDD1D)
+_COUNTS = "bucket int, kind int, keys binary, counts binary, sketch binary"
 
 
 def held_out(doc_id) -> F.Column:
@@ -82,12 +84,25 @@ def pair_key(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return (before & U64(0xFFFFFFFF00000000)) | (tokens >> U64(32))
 
 
-def item(kind: U64, keys: np.ndarray) -> np.ndarray:
-    return mix(keys ^ kind)
+def context_key(keys: np.ndarray) -> np.ndarray:
+    """Of a word, or of the first word of a pair: what both are dealt out by."""
+    return mix((keys & U64(0xFFFFFFFF00000000)) ^ _CONTEXT)
 
 
-def follow_key(before: np.ndarray) -> np.ndarray:
-    return before & U64(0xFFFFFFFF00000000)
+def sketch_of(words: np.ndarray) -> np.ndarray:
+    """Registers that tell the number of distinct words (the most leading zeros in each of 2**SKETCH parts)."""
+    h = mix(words ^ _PAIR)
+    rest = (h << U64(SKETCH)) | U64((1 << SKETCH) - 1)
+    out = np.zeros(1 << SKETCH, np.uint8)
+    np.maximum.at(out, (h >> U64(64 - SKETCH)).astype(np.int64), (64 - np.frexp(rest.astype(float))[1] + 1).astype(np.uint8))
+    return out
+
+
+def distinct(sketch: np.ndarray) -> float:
+    m = len(sketch)
+    raw = 0.7213 / (1 + 1.079 / m) * m * m / (2.0 ** -sketch.astype(float)).sum()
+    empty = int((sketch == 0).sum())
+    return m * math.log(m / empty) if empty and raw < 2.5 * m else raw
 
 
 def levels_of(counts: np.ndarray) -> np.ndarray:
@@ -109,9 +124,11 @@ def _masks() -> np.ndarray:
 MASKS = _masks()
 
 
-def strong_words(text_bytes: int) -> int:
-    """64-bit words to probe for a pair, so that about one unrelated pair in ``2**MARGIN * text_bytes`` passes."""
-    return max(2, math.ceil((math.log2(max(text_bytes, 2)) + MARGIN) / STRONG))
+def strong_words(words: float, context: np.ndarray, follow: np.ndarray) -> np.ndarray:
+    """64-bit words to probe for a pair whose first word has these counts, with ``words`` words in all."""
+    mass = (context + follow).astype(float)  # what one false hit is a part of
+    bits = np.log2(np.maximum(words, 2) * 1.1 / (SLACK * mass * np.minimum(1, mass / RARE)))
+    return np.clip(np.ceil(bits / STRONG), 1, 64 // STRONG).astype(np.uint8)
 
 
 def _strong(items: np.ndarray, i: int, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -120,12 +137,12 @@ def _strong(items: np.ndarray, i: int, size: np.ndarray) -> tuple[np.ndarray, np
     return (((h >> U64(32)) * size.astype(U64)) >> U64(32)).astype(np.int64), MASKS[(h & U64(4095)).astype(np.int64)]
 
 
-def build_strong(items: np.ndarray, words: int) -> bytes:
-    """Filter of the pairs themselves: half of its bits are set."""
-    size = max(1, math.ceil(len(items) * words * STRONG / math.log(2) / 64))
+def build_strong(items: np.ndarray, words: np.ndarray) -> bytes:
+    """Filter of the pairs themselves, each with its number of probes: half of its bits are set."""
+    size = max(1, math.ceil(int(words.sum()) * STRONG / math.log(2) / 64))
     data = np.zeros(size, U64)
-    for i in range(words):
-        place, mask = _strong(items, i, np.array(size))
+    for i in range(int(words.max(initial=0))):
+        place, mask = _strong(items[words > i], i, np.array(size))
         np.bitwise_or.at(data, place, mask)
     return data.tobytes()
 
@@ -150,97 +167,82 @@ def build(items: np.ndarray, levels: np.ndarray, first: int = 1) -> bytes:
     return data.tobytes()
 
 
-_PARTS = {"pairs": U64, "levels": np.uint8, "follow": np.uint8, "words": U64, "counts": np.uint32}
+_PARTS = {"pairs": U64, "levels": np.uint8, "words": U64, "counts": np.uint32, "follow": np.uint32, "probes": np.uint8}
+_TABLE = ("words", "counts", "follow", "probes")
 
 
 class Group:
-    """Some neighbouring buckets of the model in one file: filters, and exact word counts sorted by word.
+    """Some neighbouring buckets of the model: the filters, and the words' table sorted by word.
 
-    The driver fills the file through a map, bucket by bucket, so it never holds
-    a group; a worker maps it, too, and shares it with the executor's others.
+    The driver fills a mapped file bucket by bucket, so that it never holds a group.
     """
 
-    def __init__(self, low: int, high: int, n: int, probes: int, sizes: dict[str, np.ndarray], path: str):
+    def __init__(self, low: int, high: int, n: int, sizes: dict[str, np.ndarray], path: str):
         """``sizes``: bytes by bucket (all n) of each part."""
-        self.low, self.high, self.n, self.probes = low, high, n, probes
-        self.path, self.name, self.parts = path, os.path.basename(path), None
-        self.at, self.length, self.start, end = {}, {}, {}, 0
+        self.low, self.high, self.n, self.parts, self.at, self.length = low, high, n, {}, {}, {}
         for part, kind in _PARTS.items():
             size = sizes[part][low:high] // np.dtype(kind).itemsize
             self.at[part], self.length[part] = np.cumsum(size) - size, size
-            self.start[part], end = end, end + -(-int(size.sum()) * np.dtype(kind).itemsize // 64) * 64
-        with open(path, "wb") as f:
-            f.truncate(max(end, 1))
-        self.parts = self._map(path, "r+")
-
-    def _map(self, path: str, mode: str) -> dict[str, np.ndarray]:
-        whole = np.memmap(path, np.uint8, mode)
-        return {part: whole[self.start[part]:self.start[part] + int(self.length[part].sum()) * np.dtype(kind).itemsize].view(kind)
-                for part, kind in _PARTS.items()}
+            self.parts[part] = np.memmap(f"{path}-{part}", kind, "w+", shape=max(1, int(size.sum())))[:int(size.sum())]
 
     def __getstate__(self):
-        return self.__dict__ | {"parts": None}
-
-    def part(self, name: str) -> np.ndarray:
-        if self.parts is None:
-            local = SparkFiles.get(self.name)
-            self.parts = self._map(local if os.path.exists(local) else self.path, "r")
-        return self.parts[name]
+        return self.__dict__ | {"parts": {k: np.asarray(v) for k, v in self.parts.items()}}
 
     def put(self, bucket: int, **values: bytes | None) -> None:
         for name, value in values.items():
             if value:
                 at = int(self.at[name][bucket - self.low])
                 value = np.frombuffer(value, _PARTS[name])
-                self.part(name)[at:at + len(value)] = value
+                self.parts[name][at:at + len(value)] = value
 
     def done(self) -> Group:
-        words, counts = self.part("words"), self.part("counts")
-        order = np.argsort(words)
-        words[:], counts[:] = words[order], counts[order]
+        order = np.argsort(self.parts["words"])
+        for name in _TABLE:
+            self.parts[name][:] = self.parts[name][order]
         return self
 
-    def _own(self, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        bucket = bucket_of(items, self.n)
+    def _own(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        bucket = bucket_of(context_key(keys), self.n)
         own = np.flatnonzero((bucket >= self.low) & (bucket < self.high))
         return own, bucket[own] - self.low
 
-    def level(self, name: str, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(indexes of the items in this group's buckets, their levels) by repeated probes; ``name``: pairs or follow."""
-        own, bucket = self._own(items)
+    def table(self, words: np.ndarray) -> dict[str, np.ndarray]:
+        """Exact counts, followers and probes of words; 0 for those that are not in this group."""
+        known = self.parts["words"]
+        at = np.searchsorted(known, words)
+        at[at == len(known)] = 0
+        found = known[at] == words if len(known) else np.zeros(len(words), bool)
+        return {name: np.where(found, self.parts[name][at] if len(known) else 0, 0).astype(_PARTS[name]) for name in _TABLE[1:]}
+
+    def level(self, pairs: np.ndarray, probes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(indexes of the pairs in this group's buckets, their levels) by repeated probes; ``probes`` of their first words."""
+        own, bucket = self._own(pairs)
+        items, probes = mix(pairs[own] ^ _PAIR), probes[own]
         out = np.zeros(len(own), np.uint8)
-        live, level = np.arange(len(own)), 1
-        if name == "pairs":
-            size, at, data = self.length[name], self.at[name], self.part(name)
-            live = live[size[bucket] > 0]
-            for i in range(self.probes):
-                place, mask = _strong(items[own[live]], i, size[bucket[live]])
-                live = live[(data[place + at[bucket[live]]] & mask) == mask]
-            out[live], level = 1, 2
-        part = "levels" if name == "pairs" else name
-        blocks, at, data = self.length[part] // 64, self.at[part], self.part(part)
+        size, at, data = self.length["pairs"], self.at["pairs"], self.parts["pairs"]
+        live = np.flatnonzero((size[bucket] > 0) & (probes > 0))
+        passed, i = [], 0
+        while len(live):
+            place, mask = _strong(items[live], i, size[bucket[live]])
+            live = live[(data[place + at[bucket[live]]] & mask) == mask]
+            i += 1
+            passed.append(live[probes[live] == i])
+            live = live[probes[live] > i]
+        live, level = np.concatenate([live, *passed]), 2
+        out[live] = 1
+        blocks, at, data = self.length["levels"] // 64, self.at["levels"], self.parts["levels"]
         live = live[blocks[bucket[live]] > 0]
         while len(live):
-            block, bits = _probes(items[own[live]], level, blocks[bucket[live]])
+            block, bits = _probes(items[live], level, blocks[bucket[live]])
             place = (block + at[bucket[live]])[:, None] + (bits >> U64(3)).astype(np.int64)
-            hit = ((data[place] >> (bits & U64(7)).astype(np.uint8)) & 1).all(axis=1)
-            live = live[hit]
+            live = live[((data[place] >> (bits & U64(7)).astype(np.uint8)) & 1).all(axis=1)]
             out[live] = level
             level += 1
         return own, out
 
-    def count(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(indexes of the words in this group's buckets, exact counts)."""
-        own, _ = self._own(item(_WORD, words))
-        known, counts = self.part("words"), self.part("counts")
-        at = np.searchsorted(known, words[own])
-        at[at == len(known)] = 0
-        found = known[at] == words[own] if len(known) else np.zeros(len(own), bool)
-        return own, np.where(found, counts[at] if len(counts) else 0, 0)
-
 
-def _send(kind: int, keys: np.ndarray, counts: np.ndarray, items: np.ndarray, n: int):
-    bucket = bucket_of(items, n)
+def _send(kind: int, keys: np.ndarray, counts: np.ndarray, n: int, sketch: bytes | None = None):
+    bucket = bucket_of(context_key(keys), n)
     order = np.lexsort((keys, bucket))
     bucket, keys, counts = bucket[order], keys[order], counts[order].astype(np.uint32)
     start, size = group_edges(bucket)
@@ -248,8 +250,9 @@ def _send(kind: int, keys: np.ndarray, counts: np.ndarray, items: np.ndarray, n:
         yield pa.RecordBatch.from_arrays(
             [pa.array(bucket[start]), pa.array([kind] * len(start), pa.int32()),
              pa.array([keys[i:i + m].tobytes() for i, m in zip(start, size)], pa.binary()),
-             pa.array([counts[i:i + m].tobytes() for i, m in zip(start, size)], pa.binary())],
-            ["bucket", "kind", "keys", "counts"])
+             pa.array([counts[i:i + m].tobytes() for i, m in zip(start, size)], pa.binary()),
+             pa.array([sketch] * len(start), pa.binary())],
+            ["bucket", "kind", "keys", "counts", "sketch"])
 
 
 def _sums(table: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
@@ -262,24 +265,21 @@ def _sums(table: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
     return keys[start], np.add.reduceat(counts, start) if len(start) else counts
 
 
-_MODEL = "bucket int, name string, pairs binary, levels binary, follow binary, words binary, counts binary, " \
-         "tokens long, distinct long, begins long, probes int"
+_MODEL = ", ".join(["bucket int", *[f"{c} binary" for c in _PARTS], "tokens long, n_words long"])
 
 
 def train(docs: DataFrame) -> tuple[DataFrame, int]:
-    """(model, buckets): one or two rows a bucket, with its filters and exact word counts."""
+    """(model, buckets): a row for each bucket, with its filters and its words' table."""
     n = buckets_for(docs)
-    training = docs.where(~held_out(F.col("doc_id")))
-    probes = strong_words(training.agg(F.sum(F.octet_length(F.col("text").cast("string")) + 1)).first()[0] or 0)
 
     def count(batches):
         words, pairs = [], []
 
         def flush():
             w, c = np.unique(np.concatenate(words), return_counts=True)
-            yield from _send(1, w, c, item(_WORD, w), n)
+            yield from _send(1, w, c, n, sketch_of(w).tobytes())
             p, c = np.unique(np.concatenate(pairs), return_counts=True)
-            yield from _send(2, p, c, item(_PAIR, p), n)
+            yield from _send(2, p, c, n)
             words.clear()
             pairs.clear()
 
@@ -292,93 +292,85 @@ def train(docs: DataFrame) -> tuple[DataFrame, int]:
         if words:
             yield from flush()
 
-    def row(bucket, name, **values):
-        return pa.table({f.name: [{"bucket": bucket, "name": name, "tokens": 0, "distinct": 0, "begins": 0, "probes": probes,
-                                   **values}.get(f.name)] for f in schema}, schema=schema)
-
     def enter(table):
-        bucket = table.column("bucket")[0].as_py()
         w, c = _sums(table, 1)
         p, d = _sums(table, 2)
-        items, level = item(_PAIR, p), levels_of(d)
+        sketches = [np.frombuffer(x, np.uint8) for x in table.column("sketch").to_pylist() if x]
+        total = distinct(np.maximum.reduce(sketches)) if sketches else 1.0
+        items, level = mix(p ^ _PAIR), levels_of(d)
+        # contexts are told apart by the same bits of their hash in words and in pairs
+        context, of, follow = np.unique(p >> U64(32), return_inverse=True, return_counts=True)
+        probes = strong_words(total, np.bincount(of, d, len(context)), follow)
+        at = np.searchsorted(context, w >> U64(32))
+        at[at == len(context)] = 0
+        leads = context[at] == w >> U64(32) if len(context) else np.zeros(len(w), bool)
+        own = {"words": w, "counts": c, "follow": np.where(leads, follow[at] if len(context) else 0, 0),
+               "probes": np.where(leads, probes[at] if len(context) else 0, 0)}
         real = w != _BEGIN
-        before, follow = np.unique(follow_key(p), return_counts=True)
-        out = [row(bucket, "items", pairs=build_strong(items, probes), levels=build(items[level > 1], level[level > 1], 2),
-                   words=w[real].tobytes(), counts=c[real].astype(np.uint32).tobytes(), tokens=int(c[real].sum()),
-                   distinct=int(real.sum()), begins=int(c[~real].sum()))]
-        for b in _send(3, before, follow, item(_FOLLOW, before), n):
-            out += [row(to, "next", words=k, counts=x) for to, k, x in
-                    zip(*(b.column(c).to_pylist() for c in ("bucket", "keys", "counts")))]
-        return pa.concat_tables(out)
-
-    def follow(table):
-        keys, counts = _sums(table.rename_columns({"words": "keys"})
-                             .append_column("kind", pa.array([3] * table.num_rows)), 3)
-        return row(table.column("bucket")[0].as_py(), "follow", follow=build(item(_FOLLOW, keys), levels_of(counts)))
-
-    schema = pa.schema([("bucket", pa.int32()), ("name", pa.string()),
-                        *[(c, pa.binary()) for c in ("pairs", "levels", "follow", "words", "counts")],
-                        *[(c, pa.int64()) for c in ("tokens", "distinct", "begins")], ("probes", pa.int32())])
-    texts = id_and_text(training).select("text")
-    entered = staged(texts.mapInArrow(count, _COUNTS).groupBy("bucket").applyInArrow(enter, _MODEL), "lm-items")
-    followed = entered.where("name = 'next'").select("bucket", "name", "words", "counts").groupBy("bucket") \
-        .applyInArrow(follow, _MODEL)
-    return entered.where("name = 'items'").unionByName(staged(followed, "lm-follow")), n
+        parts = {"pairs": build_strong(items, probes[of]), "levels": build(items[level > 1], level[level > 1], 2)} \
+            | {k: v.astype(_PARTS[k]).tobytes() for k, v in own.items()}
+        return pa.table({"bucket": pa.array([table.column("bucket")[0].as_py()], pa.int32()),
+                         **{k: pa.array([parts[k]], pa.binary()) for k in _PARTS},
+                         "tokens": pa.array([int(c[real].sum())], pa.int64()), "n_words": pa.array([int(real.sum())], pa.int64())})
+
+    texts = id_and_text(docs.where(~held_out(F.col("doc_id")))).select("text")
+    return staged(texts.mapInArrow(count, _COUNTS).groupBy("bucket").applyInArrow(enter, _MODEL), "lm"), n
 
 
 def groups(model: DataFrame, n: int, limit: int = GROUP_BYTES):
-    """The model's buckets in groups of at most ``limit`` bytes (one bucket at least)."""
+    """The model's buckets in broadcast groups of at most ``limit`` bytes (one bucket at least)."""
     sc = model.sparkSession.sparkContext
-    sizes, probes = {k: np.zeros(n, np.int64) for k in _PARTS}, 1
-    for b, k, *each in model.select("bucket", "probes", *[F.coalesce(F.octet_length(c), F.lit(0)) for c in _PARTS]) \
-            .collect():  # two rows a bucket
-        probes = k
+    sizes = {k: np.zeros(n, np.int64) for k in _PARTS}
+    for b, *each in model.select("bucket", *[F.coalesce(F.octet_length(c), F.lit(0)) for c in _PARTS]).collect():  # a row a bucket
         for part, size in zip(_PARTS, each):
-            sizes[part][b] += size
+            sizes[part][b] = size
     size = sum(sizes.values())
-    folder, low = tempfile.mkdtemp(prefix="tessera-lm-"), 0  # the driver's; Spark's file server hands the files out
+    folder, low = tempfile.mkdtemp(prefix="tessera-lm-"), 0  # the driver's own, for its maps
     while low < n:
         high = low + 1
         while high < n and size[low:high + 1].sum() <= limit:
             high += 1
-        group = Group(low, high, n, probes, sizes, os.path.join(folder, f"lm-{uuid.uuid4().hex}.bin"))
+        group = Group(low, high, n, sizes, os.path.join(folder, str(low)))
         for b, *values in model.where((F.col("bucket") >= low) & (F.col("bucket") < high)) \
                 .select("bucket", *_PARTS).toLocalIterator():  # a few buckets at a time
             group.put(b, **dict(zip(_PARTS, values)))
-        sc.addFile(group.done().path)
-        shared = sc.broadcast(group)  # without the file's content
+        shared = sc.broadcast(group.done())
+        del group
         yield shared, high == n
         low = high
 
 
-_STATE = {"pair": np.uint8, "follow": np.uint8, "count": np.uint32}
+_STATE = {"pair": np.uint8, "count": np.uint32, "context": np.uint32, "follow": np.uint32}
 
 
 def _look(group: Group, tokens: np.ndarray, before: np.ndarray, state: dict[str, np.ndarray]) -> None:
-    """Fill in what this group knows of each token: levels of its pair and of the word before it, and exact counts."""
-    for name, values, kind, ask in (("pair", pair_key(before, tokens), _PAIR, "pairs"),
-                                    ("follow", follow_key(before), _FOLLOW, "follow"), ("count", tokens, None, "")):
-        each, back = np.unique(values, return_inverse=True)
-        own, found = group.count(each) if kind is None else group.level(ask, item(kind, each))
-        known = np.zeros(len(each), _STATE[name])
-        known[own] = found
-        state[name] = np.maximum(state[name], known[back])
+    """Fill in what this group knows of each token: its count, those of the word before it, and the level of their pair."""
+    each, back = np.unique(np.concatenate([tokens, before]), return_inverse=True)
+    table = group.table(each)
+    mine, ahead = back[:len(tokens)], back[len(tokens):]
+    pairs, at, of = np.unique(pair_key(before, tokens), return_index=True, return_inverse=True)
+    own, found = group.level(pairs, table["probes"][ahead[at]])
+    level = np.zeros(len(pairs), np.uint8)
+    level[own] = found
+    for name, new in (("pair", level[of]), ("count", table["counts"][mine]), ("context", table["counts"][ahead]),
+                      ("follow", table["follow"][ahead])):
+        state[name] = np.maximum(state[name], new)
 
 
 def probability(word: np.ndarray, context: np.ndarray, pair: np.ndarray, follow: np.ndarray, n_train: int,
                 n_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(P of the words, p of the words after their contexts) from exact counts and the pairs' and followers' levels."""
+    """(P of the words, p of the words after their contexts) from exact counts and the pairs' levels."""
+    word, context, follow = (x.astype(np.int64) for x in (word, context, follow))
     single = (word + 1.0) / (n_train + n_words + 1)
-    others = np.clip(expected(follow), 1, np.maximum(context, 1))
-    seen = np.minimum(expected(pair), np.minimum(word, context - others + 1))
-    return single, np.where(context > 0, (seen + others * single) / np.maximum(context + others, 1), single)
+    follow = np.clip(follow, 1, np.maximum(context, 1))  # words that share the bits of a context have its followers together
+    seen = np.minimum(expected(pair), np.minimum(word, context - follow + 1))
+    return single, np.where(context > 0, (seen + follow * single) / np.maximum(context + follow, 1), single)
 
 
 def score(docs: DataFrame, model: DataFrame, n: int, limit: int = GROUP_BYTES) -> DataFrame:
     """Per document row: held_out, n_tokens, n_known, train_tokens, base_score and score."""
     spark = docs.sparkSession
-    n_train, n_words, begins = map(int, model.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "distinct", "begins")])
-                                   .first())
+    n_train, n_words = map(int, model.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "n_words")]).first())
     rows = id_and_text(docs).withColumn("held_out", held_out(F.col("doc_id"))) \
         .select("doc_id", "text", "held_out", *[F.lit(None).cast("binary").alias(s) for s in _STATE])
     columns = ["doc_id", "held_out"]
@@ -389,7 +381,7 @@ def score(docs: DataFrame, model: DataFrame, n: int, limit: int = GROUP_BYTES) -
 
     def passer(group):
         def run(batches):
-            for b, texts in chunks(batches):
+            for b, texts in chunks(batches, limit=SMALL_CHUNK):
                 tokens, before, first = token_stream(texts)
                 state = state_of(b, 0, tokens)
                 _look(group.value, tokens, before, state)
@@ -401,16 +393,12 @@ def score(docs: DataFrame, model: DataFrame, n: int, limit: int = GROUP_BYTES) -
 
     def finisher(group):
         def run(batches):
-            for b, texts in chunks(batches):
+            for b, texts in chunks(batches, limit=SMALL_CHUNK):
                 tokens, before, first = token_stream(texts)
                 state = state_of(b, 0, tokens)
                 if group is not None:
                     _look(group.value, tokens, before, state)
-                word = state["count"].astype(np.int64)
-                context = np.empty_like(word)
-                context[1:] = word[:-1]
-                context[first[:-1]] = begins
-                base, p = probability(word, context, state["pair"], state["follow"], n_train, n_words)
+                base, p = probability(state["count"], state["context"], state["pair"], state["follow"], n_train, n_words)
                 sums = [np.add.reduceat(x, first[:-1]) for x in (np.log10(base), np.log10(p))] if len(texts) else [[], []]
                 known = np.add.reduceat((state["count"] > 0).astype(np.int64), first[:-1])
                 yield pa.RecordBatch.from_arrays(
