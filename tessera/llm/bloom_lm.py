@@ -409,9 +409,10 @@ def score(docs: DataFrame, model: DataFrame, n: int, limit: int = GROUP_BYTES) -
 
     result = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     for group, last in groups(model, n, limit):
+        rows = staged(rows.mapInArrow(finisher(group), result) if last else rows.mapInArrow(passer(group), rows.schema), "lm-levels")
+        group.destroy()  # the workers live on
         if last:
-            return rows.mapInArrow(finisher(group), result)
-        rows = staged(rows.mapInArrow(passer(group), rows.schema), "lm-levels")
+            return rows
     return rows.mapInArrow(finisher(None), result)
 
 
