@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import math
 import os
+import pickle
 import tempfile
 
 import numpy as np
@@ -168,25 +169,55 @@ def build(items: np.ndarray, levels: np.ndarray, first: int = 1) -> bytes:
 
 
 _PARTS = {"pairs": U64, "levels": np.uint8, "words": U64, "counts": np.uint32, "follow": np.uint32, "probes": np.uint8}
+_MARK = b"tessera language model: filters and table."  # where a group's bytes begin
 _TABLE = ("words", "counts", "follow", "probes")
 
 
+def _lead() -> int:
+    """Bytes that stand before the content of a large pickled bytes object."""
+    content = os.urandom(1 << 17)
+    return pickle.dumps(content, pickle.HIGHEST_PROTOCOL).index(content[:64])
+
+
 class Group:
     """Some neighbouring buckets of the model: the filters, and the words' table sorted by word.
 
-    The driver fills a mapped file bucket by bucket, so that it never holds a group.
+    The driver fills a mapped file bucket by bucket, so that it never holds a
+    group, and broadcasts its bytes. Spark keeps a broadcast in a local file of
+    each executor; the executor's workers map that file and share its pages.
     """
 
     def __init__(self, low: int, high: int, n: int, sizes: dict[str, np.ndarray], path: str):
         """``sizes``: bytes by bucket (all n) of each part."""
-        self.low, self.high, self.n, self.parts, self.at, self.length = low, high, n, {}, {}, {}
-        for part, kind in _PARTS.items():
+        self.low, self.high, self.n, self.at, self.length, self.start, end = low, high, n, {}, {}, {}, 128 - _lead() % 64
+        for part, kind in _PARTS.items():  # in the file of the broadcast, parts begin at multiples of 64
             size = sizes[part][low:high] // np.dtype(kind).itemsize
             self.at[part], self.length[part] = np.cumsum(size) - size, size
-            self.parts[part] = np.memmap(f"{path}-{part}", kind, "w+", shape=max(1, int(size.sum())))[:int(size.sum())]
+            self.start[part], end = end, end + -(-int(size.sum()) * np.dtype(kind).itemsize // 64) * 64
+        self.whole, self.shared = np.memmap(path, np.uint8, "w+", shape=end), None
+        self.whole[:len(_MARK)] = np.frombuffer(_MARK, np.uint8)
+        self.parts = self._cut(self.whole)
+
+    def _cut(self, whole: np.ndarray) -> dict[str, np.ndarray]:
+        return {part: whole[self.start[part]:self.start[part] + int(self.length[part].sum()) * np.dtype(kind).itemsize].view(kind)
+                for part, kind in _PARTS.items()}
 
     def __getstate__(self):
-        return self.__dict__ | {"parts": {k: np.asarray(v) for k, v in self.parts.items()}}
+        return self.__dict__ | {"whole": None, "parts": None}
+
+    def open(self) -> Group:
+        """The parts, in a worker."""
+        if self.parts is None:
+            path = getattr(self.shared, "_path", None)  # not there if Spark encrypts its files
+            if path and os.path.exists(path):
+                with open(path, "rb") as f:
+                    lead = f.read(4096).find(_MARK)
+                if lead >= 0:
+                    self.whole = np.memmap(path, np.uint8, "r")[lead:]
+            if self.whole is None:
+                self.whole = np.frombuffer(self.shared.value, np.uint8)
+            self.parts = self._cut(self.whole)
+        return self
 
     def put(self, bucket: int, **values: bytes | None) -> None:
         for name, value in values.items():
@@ -195,10 +226,12 @@ class Group:
                 value = np.frombuffer(value, _PARTS[name])
                 self.parts[name][at:at + len(value)] = value
 
-    def done(self) -> Group:
+    def send(self, sc) -> Group:
+        """Sort the table and broadcast the whole."""
         order = np.argsort(self.parts["words"])
         for name in _TABLE:
             self.parts[name][:] = self.parts[name][order]
+        self.shared = sc.broadcast(self.whole.tobytes())
         return self
 
     def _own(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -334,9 +367,7 @@ def groups(model: DataFrame, n: int, limit: int = GROUP_BYTES):
         for b, *values in model.where((F.col("bucket") >= low) & (F.col("bucket") < high)) \
                 .select("bucket", *_PARTS).toLocalIterator():  # a few buckets at a time
             group.put(b, **dict(zip(_PARTS, values)))
-        shared = sc.broadcast(group.done())
-        del group
-        yield shared, high == n
+        yield group.send(sc), high == n
         low = high
 
 
@@ -384,7 +415,7 @@ def score(docs: DataFrame, model: DataFrame, n: int, limit: int = GROUP_BYTES) -
             for b, texts in chunks(batches, limit=SMALL_CHUNK):
                 tokens, before, first = token_stream(texts)
                 state = state_of(b, 0, tokens)
-                _look(group.value, tokens, before, state)
+                _look(group.open(), tokens, before, state)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id"), b.column("text"), b.column("held_out")]
                     + [pa.array([v[i:j].tobytes() for i, j in zip(first[:-1], first[1:])], pa.binary())
@@ -397,7 +428,7 @@ def score(docs: DataFrame, model: DataFrame, n: int, limit: int = GROUP_BYTES) -
                 tokens, before, first = token_stream(texts)
                 state = state_of(b, 0, tokens)
                 if group is not None:
-                    _look(group.value, tokens, before, state)
+                    _look(group.open(), tokens, before, state)
                 base, p = probability(state["count"], state["context"], state["pair"], state["follow"], n_train, n_words)
                 sums = [np.add.reduceat(x, first[:-1]) for x in (np.log10(base), np.log10(p))] if len(texts) else [[], []]
                 known = np.add.reduceat((state["count"] > 0).astype(np.int64), first[:-1])
@@ -410,7 +441,7 @@ def score(docs: DataFrame, model: DataFrame, n: int, limit: int = GROUP_BYTES) -
     result = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     for group, last in groups(model, n, limit):
         rows = staged(rows.mapInArrow(finisher(group), result) if last else rows.mapInArrow(passer(group), rows.schema), "lm-levels")
-        group.destroy()  # the workers live on
+        group.shared.destroy()  # the workers live on
         if last:
             return rows
     return rows.mapInArrow(finisher(None), result)

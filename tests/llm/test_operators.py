@@ -305,7 +305,7 @@ def a_group(tmp_path, **parts):
     sizes = {k: np.array([len(parts.get(k, b""))]) for k in bloom_lm._PARTS}
     group = bloom_lm.Group(0, 1, 1, sizes, str(tmp_path / "group"))
     group.put(0, **parts)
-    return group.done()
+    return group
 
 
 def test_filter_levels_are_never_too_low(tmp_path):
@@ -339,8 +339,7 @@ def test_probabilities_sum_to_one(spark, at):
     texts = spark.read.parquet(f"/root/testdata/sf{at}/documents.parquet")
     model, n = bloom_lm.train(texts)
     n_train, n_words = map(int, model.agg(F.sum("tokens"), F.sum("n_words")).first())
-    (shared, last), = bloom_lm.groups(model, n)
-    group = shared.value
+    (group, last), = bloom_lm.groups(model, n)
     words, counts = np.array(group.parts["words"]), np.array(group.parts["counts"]).astype(np.int64)
     words, counts = words[words != bloom_lm._BEGIN], counts[words != bloom_lm._BEGIN]
     assert last and len(words) == n_words and counts.sum() == n_train
