@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import calendar
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from tessera.operators import activity as ac
 from tessera.operators import quality as qa
 from tessera.operators.sequence import islands
 from tessera.plans import standins as S
+from tessera.plans.q_writers import _scratch
 from tessera.plans.registry import register
+from tessera.sources import writers as wr
 from tessera.sources.tables import read_table
 
-AS_OF = S.EVENTS_AS_OF
-START = "2024-01-01"
+AS_OF, START, MONTH = S.EVENTS_AS_OF, S.EVENTS_START, S.EVENTS_MONTH  # SQL
 
 
 def all_events(spark, sf_dir):
@@ -30,9 +34,9 @@ def flat_datelist(df):
 
 _DATELIST_SQL = f"""
  WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events
-            WHERE user_id IS NOT NULL AND CAST(ts AS DATE) BETWEEN DATE '{START}' AND DATE '{AS_OF}'),
+            WHERE user_id IS NOT NULL AND CAST(ts AS DATE) BETWEEN {START} AND {AS_OF}),
  f AS (SELECT user_id, min(day) AS first_day FROM d GROUP BY 1),
- spine AS (SELECT user_id, CAST(unnest(generate_series(first_day, DATE '{AS_OF}', INTERVAL 1 DAY)) AS DATE) AS date
+ spine AS (SELECT user_id, CAST(unnest(generate_series(first_day, {AS_OF}, INTERVAL 1 DAY)) AS DATE) AS date
            FROM f)
  SELECT s.user_id, s.date, count(*) AS n_dates, string_agg(strftime(d.day, '%m%d'), ',' ORDER BY d.day DESC) AS dates_key
  FROM spine s JOIN d ON d.user_id = s.user_id AND d.day <= s.date
@@ -41,14 +45,31 @@ _DATELIST_SQL = f"""
 
 @register("datelist_backfill", oracle=_DATELIST_SQL)
 def q_datelist_backfill(spark, sf_dir):
-    return flat_datelist(ac.datelist_backfill(all_events(spark, sf_dir), "user_id", "ts", START, AS_OF))
+    start, _, end = S.events_bounds(spark, sf_dir)
+    return flat_datelist(ac.datelist_backfill(all_events(spark, sf_dir), "user_id", "ts", start, end))
 
 
-@register("datelist_step", oracle=f"SELECT * FROM ({_DATELIST_SQL}) WHERE date = DATE '{AS_OF}'")
+@register("datelist_step", oracle=f"SELECT * FROM ({_DATELIST_SQL}) WHERE date = {AS_OF}")
 def q_datelist_step(spark, sf_dir):
     e = all_events(spark, sf_dir)
-    y = ac.datelist_backfill(e, "user_id", "ts", START, "2024-01-29", emit_from="2024-01-29")  # yesterday only
-    return flat_datelist(ac.datelist_step(y, e, "user_id", "ts", AS_OF))
+    start, _, end = S.events_bounds(spark, sf_dir)
+    before = S.day_before(end)
+    y = ac.datelist_backfill(e, "user_id", "ts", start, before, emit_from=before)  # yesterday only
+    return flat_datelist(ac.datelist_step(y, e, "user_id", "ts", end))
+
+
+@register("datelist_step_load", oracle=f"SELECT * FROM ({_DATELIST_SQL}) WHERE date = {AS_OF}")
+def q_datelist_step_load(spark, sf_dir):
+    """A1 from the stored table: the last three days, each reading only the day before's partition, the last one twice."""
+    e, path = all_events(spark, sf_dir), _scratch(spark, "datelist")
+    start, _, end = S.events_bounds(spark, sf_dir)
+    days = [end, S.day_before(end), S.day_before(S.day_before(end))]
+    first = S.day_before(days[-1])
+    wr.overwrite_partitions(ac.datelist_backfill(e, "user_id", "ts", start, first, emit_from=first), path, ["date"])
+    for day in [*reversed(days), end]:
+        yesterday = spark.read.parquet(path).where(F.col("date") == F.lit(S.day_before(day)).cast("date"))
+        wr.overwrite_partitions(ac.datelist_step(yesterday, e, "user_id", "ts", day), path, ["date"])
+    return flat_datelist(spark.read.parquet(path).where(F.col("date") == F.lit(end).cast("date")))
 
 
 @register("datelist_set", oracle="""
@@ -113,14 +134,14 @@ def q_datelist_by_device(spark, sf_dir):
 _MASK_SQL = f"""
  WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events WHERE user_id IS NOT NULL),
  m AS (SELECT user_id,
-              CAST(coalesce(bit_or(CASE WHEN DATE '{AS_OF}' - day BETWEEN 0 AND 31
-                                        THEN CAST(1 AS BIGINT) << (31 - (DATE '{AS_OF}' - day)) END), 0) AS BIGINT) AS mask
+              CAST(coalesce(bit_or(CASE WHEN {AS_OF} - day BETWEEN 0 AND 31
+                                        THEN CAST(1 AS BIGINT) << (31 - ({AS_OF} - day)) END), 0) AS BIGINT) AS mask
        FROM d GROUP BY 1)"""
 
 
 @register("activity_bitmask", oracle=_MASK_SQL + " SELECT user_id, mask FROM m")
 def q_activity_bitmask(spark, sf_dir):
-    return ac.activity_bitmask_of_events(all_events(spark, sf_dir), "user_id", "ts", AS_OF)
+    return ac.activity_bitmask_of_events(all_events(spark, sf_dir), "user_id", "ts", S.events_bounds(spark, sf_dir)[2])
 
 
 @register("activity_flags", oracle=_MASK_SQL + f"""
@@ -131,15 +152,15 @@ def q_activity_bitmask(spark, sf_dir):
  FROM m""")
 def q_activity_flags(spark, sf_dir):
     s = ac.datelist_set(all_events(spark, sf_dir), "user_id", "ts")
-    m = s.select("user_id", ac.activity_bitmask("active_dates", AS_OF).alias("mask"))
+    m = s.select("user_id", ac.activity_bitmask("active_dates", S.events_bounds(spark, sf_dir)[2]).alias("mask"))
     return m.select("user_id", "mask", *ac.activity_flags("mask"))
 
 
 @register("activity_flags_as_written", oracle=f"""
  WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events WHERE user_id IS NOT NULL),
  m AS (SELECT user_id,
-              CAST(coalesce(sum(CAST(pow(2, 32 - (DATE '{AS_OF}' - day)) AS BIGINT))
-                   FILTER (WHERE day BETWEEN DATE '{START}' AND DATE '{AS_OF}'), 0) AS BIGINT) & 4294967295 AS mask
+              CAST(coalesce(sum(CAST(pow(2, 32 - ({AS_OF} - day)) AS BIGINT))
+                   FILTER (WHERE day BETWEEN {MONTH} AND {AS_OF}), 0) AS BIGINT) & 4294967295 AS mask
        FROM d GROUP BY 1)
  SELECT user_id, mask, bit_count(mask) > 0 AS dim_is_monthly_active,
         bit_count(mask & {ac.MASK_28_DAYS}) > 0 AS dim_is_28d_active,
@@ -147,9 +168,10 @@ def q_activity_flags(spark, sf_dir):
         bit_count(mask & {ac.MASK_1_DAY}) > 0 AS dim_is_daily_active
  FROM m""")
 def q_activity_flags_as_written(spark, sf_dir):
-    # The original 2^(32 - d) formula over the month-to-date calendar (30 days to 2024-01-30).
+    # The original 2^(32 - d) formula over the month-to-date calendar.
+    end = S.events_bounds(spark, sf_dir)[2]
     s = ac.datelist_set(all_events(spark, sf_dir), "user_id", "ts")
-    m = s.select("user_id", ac.activity_bitmask("active_dates", AS_OF, as_written=True, series_days=30).alias("mask"))
+    m = s.select("user_id", ac.activity_bitmask("active_dates", end, as_written=True, series_days=int(end[8:])).alias("mask"))
     return m.select("user_id", "mask", *ac.activity_flags("mask"))
 
 
@@ -164,8 +186,10 @@ def q_month_day_bitmap(spark, sf_dir):
     return ac.month_day_bitmap(s, "user_id", "active_dates")
 
 
-def site_hits(spark, sf_dir, through=AS_OF):
-    c = ac.daily_counts(read_table(spark, sf_dir, "events"), "user_id", "ts", start=START, end=through)
+def site_hits(spark, sf_dir, through=None):
+    _, month, end = S.events_bounds(spark, sf_dir)
+    through = through or end
+    c = ac.daily_counts(read_table(spark, sf_dir, "events"), "user_id", "ts", start=through[:8] + "01", end=through)
     return ac.array_metric_backfill(c, "user_id", through, "site_hits")
 
 
@@ -177,11 +201,11 @@ def flat_arrays(df, col="metric_array"):
 
 _ARRAY_SQL = f"""
  WITH c AS (SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS hits FROM events
-            WHERE user_id IS NOT NULL AND CAST(ts AS DATE) BETWEEN DATE '{START}' AND DATE '{AS_OF}' GROUP BY 1, 2),
+            WHERE user_id IS NOT NULL AND CAST(ts AS DATE) BETWEEN {MONTH} AND {AS_OF} GROUP BY 1, 2),
  u AS (SELECT DISTINCT user_id FROM c),
- slots AS (SELECT u.user_id, CAST(s AS INTEGER) AS pos FROM u, range(1, (DATE '{AS_OF}' - DATE '{START}') + 2) t(s)),
+ slots AS (SELECT u.user_id, CAST(s AS INTEGER) AS pos FROM u, (SELECT unnest(range(1, ({AS_OF} - {MONTH}) + 2)) AS s)),
  arr AS (
-   SELECT s.user_id, DATE '{START}' AS month_start, 'site_hits' AS metric_name, s.pos,
+   SELECT s.user_id, {MONTH} AS month_start, 'site_hits' AS metric_name, s.pos,
           CAST(coalesce(c.hits, 0) AS BIGINT) AS value
    FROM slots s LEFT JOIN c ON c.user_id = s.user_id AND dayofmonth(c.day) = s.pos
  )"""
@@ -194,9 +218,25 @@ def q_array_metric_backfill(spark, sf_dir):
 
 @register("array_metric_step", oracle=_ARRAY_SQL + " SELECT * FROM arr")
 def q_array_metric_step(spark, sf_dir):
-    y = site_hits(spark, sf_dir, "2024-01-29")
-    c = ac.daily_counts(read_table(spark, sf_dir, "events"), "user_id", "ts", start=AS_OF, end=AS_OF)
-    return flat_arrays(ac.array_metric_step(y, c, "user_id", AS_OF, "site_hits"))
+    end = S.events_bounds(spark, sf_dir)[2]
+    y = site_hits(spark, sf_dir, S.day_before(end))
+    c = ac.daily_counts(read_table(spark, sf_dir, "events"), "user_id", "ts", start=end, end=end)
+    return flat_arrays(ac.array_metric_step(y, c, "user_id", end, "site_hits"))
+
+
+@register("array_metric_step_load", oracle=_ARRAY_SQL + " SELECT * FROM arr")
+def q_array_metric_step_load(spark, sf_dir):
+    """A8 from the stored table, partitioned by metric and month: the last three days one by one, the last one twice."""
+    path, end = _scratch(spark, "arrays"), S.events_bounds(spark, sf_dir)[2]
+    days = [end, S.day_before(end), S.day_before(S.day_before(end))]
+    parts = ["metric_name", "month_start"]
+    wr.overwrite_partitions(site_hits(spark, sf_dir, S.day_before(days[-1])), path, parts)
+    events = read_table(spark, sf_dir, "events")
+    for day in [*reversed(days), end]:
+        counts = ac.daily_counts(events, "user_id", "ts", start=day, end=day)
+        today = ac.array_metric_step(spark.read.parquet(path), counts, "user_id", day, "site_hits")
+        wr.overwrite_partitions(wr.stage(today, "arrays-today"), path, parts)  # the partition read is the one replaced
+    return flat_arrays(spark.read.parquet(path).where(F.col("month_start") == F.lit(end[:8] + "01").cast("date")))
 
 
 @register("array_metric_totals", oracle=_ARRAY_SQL + """
@@ -247,7 +287,11 @@ def q_run_length_encode(spark, sf_dir):
 
 @register("event_spine", oracle="""
  SELECT CAST(d AS DATE) AS day, count(e.event_id) AS n_events
- FROM generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY) t(d)
+ FROM (SELECT unnest(generate_series((SELECT CAST(date_trunc('month', min(ts)) AS DATE) FROM events),
+                                     (SELECT last_day(CAST(max(ts) AS DATE)) FROM events), INTERVAL 1 DAY)) AS d) t
  LEFT JOIN events e ON CAST(e.ts AS DATE) = CAST(d AS DATE) GROUP BY 1""")
 def q_event_spine(spark, sf_dir):
-    return ac.spine_counts(read_table(spark, sf_dir, "events"), "ts", "2024-01-01", "2024-01-31")
+    start, _, end = S.events_bounds(spark, sf_dir)
+    last = dt.date.fromisoformat(end)
+    last = last.replace(day=calendar.monthrange(last.year, last.month)[1])
+    return ac.spine_counts(read_table(spark, sf_dir, "events"), "ts", start[:8] + "01", str(last))

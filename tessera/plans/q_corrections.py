@@ -64,28 +64,30 @@ def _late_seasons(spark, sf_dir):
     return S.player_seasons(spark, sf_dir, where=_late()).select("player_id", "season")
 
 
-def _snapshots(seasons, history):
-    return cu.cumulative_backfill(seasons, "player_id", "season", ["gp", "pts"], PA, carry=["scoring_class"],
+def _snapshots(seasons, pa, history):
+    return cu.cumulative_backfill(seasons, "player_id", "season", ["gp", "pts"], pa, carry=["scoring_class"],
                                   history=history, current="current_season")
 
 
-@register("cumulative_correction", oracle="WITH " + V.PLAYER_SNAPSHOTS.replace("{as_of}", str(PA))
+@register("cumulative_correction", oracle="WITH " + V.PLAYER_SNAPSHOTS.replace("{as_of}", PA)
           + f" SELECT {_SNAP_COLS} FROM snap")
 def q_cumulative_correction(spark, sf_dir):
     """The table is stored without the late orders, then corrected for them; it equals a full rebuild."""
+    pa = S.player_as_of(spark, sf_dir)
     table = VersionedTable(spark, _scratch(spark, "players"), ["player_id", "current_season"], ["current_season"])
-    table.overwrite(_snapshots(S.player_seasons(spark, sf_dir, last_year=PA, where=~_late()), "season_stats"))
-    co.correct_snapshots(table, S.player_seasons(spark, sf_dir, last_year=PA), _late_seasons(spark, sf_dir), "player_id",
-                         "season", ["gp", "pts"], PA, ["scoring_class"], "season_stats", "current_season")
+    table.overwrite(_snapshots(S.player_seasons(spark, sf_dir, last_year=pa, where=~_late()), pa, "season_stats"))
+    co.correct_snapshots(table, S.player_seasons(spark, sf_dir, last_year=pa), _late_seasons(spark, sf_dir), "player_id",
+                         "season", ["gp", "pts"], pa, ["scoring_class"], "season_stats", "current_season")
     return flat_players(table.read())
 
 
-@register("scd2_correction", oracle="WITH " + V.PLAYER_SCD.replace("{as_of}", str(PA)) + f" SELECT {_SCD_COLS} FROM scd")
+@register("scd2_correction", oracle="WITH " + V.PLAYER_SCD.replace("{as_of}", PA) + f" SELECT {_SCD_COLS} FROM scd")
 def q_scd2_correction(spark, sf_dir):
     """Intervals stored without the late orders; the corrected players' intervals are replaced."""
+    pa = S.player_as_of(spark, sf_dir)
     table = VersionedTable(spark, _scratch(spark, "players-scd"), ["player_id", "start_period"])
-    before = _snapshots(S.player_seasons(spark, sf_dir, last_year=PA, where=~_late()), None)
-    table.overwrite(scd.scd2_backfill(before, "player_id", "current_season", TRACKED, PA))
-    now = _snapshots(S.player_seasons(spark, sf_dir, last_year=PA), None)
-    co.correct_intervals(table, now, _late_seasons(spark, sf_dir), "player_id", "current_season", "season", TRACKED, PA)
+    before = _snapshots(S.player_seasons(spark, sf_dir, last_year=pa, where=~_late()), pa, None)
+    table.overwrite(scd.scd2_backfill(before, "player_id", "current_season", TRACKED, pa))
+    now = _snapshots(S.player_seasons(spark, sf_dir, last_year=pa), pa, None)
+    co.correct_intervals(table, now, _late_seasons(spark, sf_dir), "player_id", "current_season", "season", TRACKED, pa)
     return table.read().select(*_SCD_COLS.split(", "))

@@ -14,7 +14,8 @@ PA = S.PLAYER_AS_OF
 AA = S.ACTOR_AS_OF
 
 
-def players(spark, sf_dir, as_of=PA, with_history=True, emit_from=None):
+def players(spark, sf_dir, as_of=None, with_history=True, emit_from=None):
+    as_of = as_of or S.player_as_of(spark, sf_dir)
     ps = S.player_seasons(spark, sf_dir, last_year=as_of)  # the as-of bound reaches the scan
     return cu.cumulative_backfill(ps, "player_id", "season", ["gp", "pts"], as_of, carry=["scoring_class"],
                                   history="season_stats" if with_history else None, current="current_season",
@@ -39,19 +40,20 @@ _SNAP_COLS = ("player_id, current_season, n_history, first_season, last_season,
               "scoring_class, years_since_last, is_active")
 
 
-@register("cumulative_backfill", oracle="WITH " + V.PLAYER_SNAPSHOTS.replace("{as_of}", str(PA))
+@register("cumulative_backfill", oracle="WITH " + V.PLAYER_SNAPSHOTS.replace("{as_of}", PA)
           + f" SELECT {_SNAP_COLS} FROM snap")
 def q_cumulative_backfill(spark, sf_dir):
     return flat_players(players(spark, sf_dir))
 
 
-@register("cumulative_step", oracle="WITH " + V.PLAYER_SNAPSHOTS.replace("{as_of}", str(PA))
+@register("cumulative_step", oracle="WITH " + V.PLAYER_SNAPSHOTS.replace("{as_of}", PA)
           + f" SELECT {_SNAP_COLS} FROM snap WHERE current_season = {PA}")
 def q_cumulative_step(spark, sf_dir):
-    # Yesterday = snapshot at PA-1 (backfilled), today = facts of PA.
-    y = players(spark, sf_dir, PA - 1, emit_from=PA - 1)  # only yesterday's snapshot is read
-    ps = S.player_seasons(spark, sf_dir, first_year=PA, last_year=PA)  # today's facts: one year of orders
-    t = cu.cumulative_step(y, ps, "player_id", "season", ["gp", "pts"], PA, carry=["scoring_class"],
+    pa = S.player_as_of(spark, sf_dir)
+    # Yesterday = snapshot at pa-1 (backfilled), today = facts of pa.
+    y = players(spark, sf_dir, pa - 1, emit_from=pa - 1)  # only yesterday's snapshot is read
+    ps = S.player_seasons(spark, sf_dir, first_year=pa, last_year=pa)  # today's facts: one year of orders
+    t = cu.cumulative_step(y, ps, "player_id", "season", ["gp", "pts"], pa, carry=["scoring_class"],
                            history="season_stats", current="current_season")
     return flat_players(t)
 
@@ -64,7 +66,7 @@ def q_threshold_class(spark, sf_dir):
                     threshold_class("pts", S.SCORING_THRESHOLDS, S.SCORING_ELSE).alias("scoring_class"))
 
 
-@register("recency_state", oracle="WITH " + V.PLAYER_SNAPSHOTS.replace("{as_of}", str(PA)) + """
+@register("recency_state", oracle="WITH " + V.PLAYER_SNAPSHOTS.replace("{as_of}", PA) + """
  SELECT current_season, years_since_last, is_active, scoring_class, count(*) AS n_players
  FROM snap GROUP BY ALL""")
 def q_recency_state(spark, sf_dir):
@@ -81,8 +83,9 @@ def q_recency_state(spark, sf_dir):
         round(last_value / CASE WHEN first_value = 0 THEN 1 ELSE first_value END, 6) AS improvement
  FROM lastf WHERE cls = 'star'""")
 def q_history_improvement(spark, sf_dir):
-    r = cu.history_improvement(players(spark, sf_dir, emit_from=PA), "player_id", "season_stats", "pts",
-                               "current_season", PA,
+    pa = S.player_as_of(spark, sf_dir)
+    r = cu.history_improvement(players(spark, sf_dir, emit_from=pa), "player_id", "season_stats", "pts",
+                               "current_season", pa,
                                where=F.col("scoring_class") == "star")
     return r.withColumn("improvement", F.round("improvement", 6))
 
@@ -92,11 +95,13 @@ def q_history_improvement(spark, sf_dir):
         season, gp, pts
  FROM ps WHERE season <= {PA}""")
 def q_history_unnest(spark, sf_dir):
-    snap = players(spark, sf_dir, emit_from=PA)  # the as-of snapshot only
+    pa = S.player_as_of(spark, sf_dir)
+    snap = players(spark, sf_dir, emit_from=pa)  # the as-of snapshot only
     return cu.history_unnest(snap, "player_id", "season_stats")
 
 
-def actors(spark, sf_dir, as_of=AA, emit_from=None, items=None):
+def actors(spark, sf_dir, as_of=None, emit_from=None, items=None):
+    as_of = as_of or S.actor_as_of(spark, sf_dir)
     af = S.actor_films(spark, sf_dir, last_year=as_of)
     return cu.cumulative_collection(
         af, "actor_id", "year", ["film", "votes", "rating", "filmid"], "rating", as_of,
@@ -105,7 +110,7 @@ def actors(spark, sf_dir, as_of=AA, emit_from=None, items=None):
     )
 
 
-_ACTOR_SQL = "WITH " + V.ACTOR_SNAPSHOTS.replace("{as_of}", str(AA))
+_ACTOR_SQL = "WITH " + V.ACTOR_SNAPSHOTS.replace("{as_of}", AA)
 
 
 @register("cumulative_collection", oracle=_ACTOR_SQL + """
@@ -119,8 +124,9 @@ def q_cumulative_collection(spark, sf_dir):
 @register("cumulative_collection_items", oracle=_ACTOR_SQL + f"""
  SELECT actor_id, {AA} AS current_year, filmid, votes, rating FROM af WHERE year <= {AA}""")
 def q_cumulative_collection_items(spark, sf_dir):
+    aa = S.actor_as_of(spark, sf_dir)
     # the concatenated item array of the latest snapshot, one row per element
-    a = actors(spark, sf_dir, emit_from=AA, items="films")
+    a = actors(spark, sf_dir, emit_from=aa, items="films")
     return a.select("actor_id", "current_year", F.inline("films")).select("actor_id", "current_year", "filmid", "votes",
                                                                           "rating")
 
@@ -128,7 +134,8 @@ def q_cumulative_collection_items(spark, sf_dir):
 @register("latest_snapshot", oracle=_ACTOR_SQL + f"""
  SELECT actor_id, current_year, n_films, quality_class, is_active FROM actors_c WHERE current_year = {AA}""")
 def q_latest_snapshot(spark, sf_dir):
-    a = cu.latest_snapshot(actors(spark, sf_dir, emit_from=AA), "actor_id", "current_year")
+    aa = S.actor_as_of(spark, sf_dir)
+    a = cu.latest_snapshot(actors(spark, sf_dir, emit_from=aa), "actor_id", "current_year")
     return a.select("actor_id", "current_year", F.col("n_items").alias("n_films"),
                     "quality_class", "is_active")
 

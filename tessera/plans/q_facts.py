@@ -235,13 +235,13 @@ def q_daily_aggregate(spark, sf_dir):
 @register("snapshot_fact", oracle=f"""
  WITH daily AS (SELECT user_id, CAST(ts AS DATE) AS d, arg_max(value, ts) AS v FROM events GROUP BY 1, 2),
  firsts AS (SELECT user_id, min(d) AS f FROM daily GROUP BY 1),
- spine AS (SELECT user_id, CAST(unnest(generate_series(f, DATE '{S.EVENTS_AS_OF}', INTERVAL 1 DAY)) AS DATE) AS snapshot_date
+ spine AS (SELECT user_id, CAST(unnest(generate_series(f, {S.EVENTS_AS_OF}, INTERVAL 1 DAY)) AS DATE) AS snapshot_date
            FROM firsts)
  SELECT s.user_id, s.snapshot_date, dl.v AS value, dl.d AS last_change_date
  FROM spine s ASOF JOIN daily dl ON s.user_id = dl.user_id AND s.snapshot_date >= dl.d""")
 def q_snapshot_fact(spark, sf_dir):
     e = read_table(spark, sf_dir, "events")
-    return fx.snapshot_fact(e, "user_id", "ts", "value", S.EVENTS_AS_OF)
+    return fx.snapshot_fact(e, "user_id", "ts", "value", S.events_bounds(spark, sf_dir)[2])
 
 
 MILESTONES = ["signup", "view", "click", "purchase"]

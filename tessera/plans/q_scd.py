@@ -18,45 +18,49 @@ TRACKED = ["scoring_class", "is_active"]
 _SCD_COLS = "player_id, scoring_class, is_active, start_period, end_period, current_period"
 
 
-def players_scd(spark, sf_dir, as_of=PA):
+def players_scd(spark, sf_dir, as_of=None):
+    as_of = as_of or S.player_as_of(spark, sf_dir)
     snaps = players(spark, sf_dir, as_of, with_history=False)  # the SCD reads state columns only
     return scd.scd2_backfill(snaps, "player_id", "current_season", TRACKED, as_of)
 
 
-@register("scd2_backfill", oracle="WITH " + V.PLAYER_SCD.replace("{as_of}", str(PA)) + f" SELECT {_SCD_COLS} FROM scd")
+@register("scd2_backfill", oracle="WITH " + V.PLAYER_SCD.replace("{as_of}", PA) + f" SELECT {_SCD_COLS} FROM scd")
 def q_scd2_backfill(spark, sf_dir):
     return players_scd(spark, sf_dir)
 
 
-@register("scd2_incremental", oracle="WITH " + V.PLAYER_SCD.replace("{as_of}", str(PA)) + f" SELECT {_SCD_COLS} FROM scd")
+@register("scd2_incremental", oracle="WITH " + V.PLAYER_SCD.replace("{as_of}", PA) + f" SELECT {_SCD_COLS} FROM scd")
 def q_scd2_incremental(spark, sf_dir):
-    prev = players_scd(spark, sf_dir, PA - 1)
-    snap = players(spark, sf_dir, PA, with_history=False)
-    return scd.scd2_incremental(prev, snap, "player_id", TRACKED, PA, period="current_season") \
+    pa = S.player_as_of(spark, sf_dir)
+    prev = players_scd(spark, sf_dir, pa - 1)
+    snap = players(spark, sf_dir, pa, with_history=False)
+    return scd.scd2_incremental(prev, snap, "player_id", TRACKED, pa, period="current_season") \
         .select(*_SCD_COLS.split(", "))
 
 
 @register("scd2_incremental_load",
-          oracle="WITH " + V.PLAYER_SCD.replace("{as_of}", str(PA)) + f" SELECT {_SCD_COLS} FROM scd")
+          oracle="WITH " + V.PLAYER_SCD.replace("{as_of}", PA) + f" SELECT {_SCD_COLS} FROM scd")
 def q_scd2_incremental_load(spark, sf_dir):
     """The stored form: write the SCD table as of the period before, then apply the period from the stored table, twice."""
-    table = wr.stage(players_scd(spark, sf_dir, PA - 1), "scd")
-    snap = wr.stage(players(spark, sf_dir, PA, with_history=False, emit_from=PA), "snapshot")
+    pa = S.player_as_of(spark, sf_dir)
+    table = wr.stage(players_scd(spark, sf_dir, pa - 1), "scd")
+    snap = wr.stage(players(spark, sf_dir, pa, with_history=False, emit_from=pa), "snapshot")
     for _ in range(2):
-        table = wr.stage(scd.scd2_incremental(table, snap, "player_id", TRACKED, PA, period="current_season"), "scd")
+        table = wr.stage(scd.scd2_incremental(table, snap, "player_id", TRACKED, pa, period="current_season"), "scd")
     return table.select(*_SCD_COLS.split(", "))
 
 
-@register("scd2_catch_up", oracle="WITH " + V.PLAYER_SCD.replace("{as_of}", str(PA)) + f" SELECT {_SCD_COLS} FROM scd")
+@register("scd2_catch_up", oracle="WITH " + V.PLAYER_SCD.replace("{as_of}", PA) + f" SELECT {_SCD_COLS} FROM scd")
 def q_scd2_catch_up(spark, sf_dir):
-    # three missed periods applied in one pass to the SCD as of PA-3
-    prev = players_scd(spark, sf_dir, PA - 3)
-    snap = players(spark, sf_dir, PA, with_history=False, emit_from=PA - 2)
-    return scd.scd2_catch_up(prev, snap, "player_id", TRACKED, PA - 2, PA, period="current_season") \
+    pa = S.player_as_of(spark, sf_dir)
+    # three missed periods applied in one pass to the SCD as of pa-3
+    prev = players_scd(spark, sf_dir, pa - 3)
+    snap = players(spark, sf_dir, pa, with_history=False, emit_from=pa - 2)
+    return scd.scd2_catch_up(prev, snap, "player_id", TRACKED, pa - 2, pa, period="current_season") \
         .select(*_SCD_COLS.split(", "))
 
 
-_ACTOR_SQL = "WITH " + V.ACTOR_SNAPSHOTS.replace("{as_of}", str(AA))
+_ACTOR_SQL = "WITH " + V.ACTOR_SNAPSHOTS.replace("{as_of}", AA)
 _ACTOR_SCD = _ACTOR_SQL + """,
 a_flag AS (
   SELECT actor_id, current_year, quality_class, is_active,
@@ -91,27 +95,30 @@ def q_scd2_open_interval(spark, sf_dir):
 
 @register("scd2_full_reload", oracle=_ACTOR_SCD + " SELECT * FROM a_scd")
 def q_scd2_full_reload(spark, sf_dir):
+    aa = S.actor_as_of(spark, sf_dir)
     return scd.scd2_full_reload(actors(spark, sf_dir), "actor_id", "current_year",
-                                ["quality_class", "is_active"], AA).select(*_A_COLS)
+                                ["quality_class", "is_active"], aa).select(*_A_COLS)
 
 
 @register("scd2_merge_close", oracle=_ACTOR_SCD + " SELECT * FROM a_scd")
 def q_scd2_merge_close(spark, sf_dir):
+    aa = S.actor_as_of(spark, sf_dir)
     a = actors(spark, sf_dir)
-    before = scd.scd2_full_reload(a.where(F.col("current_year") <= AA - 1), "actor_id", "current_year",
-                                  ["quality_class", "is_active"], AA - 1)
-    return scd.scd2_merge_close(before, a, "actor_id", ["quality_class", "is_active"], AA,
+    before = scd.scd2_full_reload(a.where(F.col("current_year") <= aa - 1), "actor_id", "current_year",
+                                  ["quality_class", "is_active"], aa - 1)
+    return scd.scd2_merge_close(before, a, "actor_id", ["quality_class", "is_active"], aa,
                                 period="current_year").select(*_A_COLS)
 
 
 @register("scd2_merge_close_load", oracle=_ACTOR_SCD + " SELECT * FROM a_scd")
 def q_scd2_merge_close_load(spark, sf_dir):
     """The stored form: the last three years merged into the stored table, then the first of them once more (late), and the rest."""
+    aa = S.actor_as_of(spark, sf_dir)
     a = wr.stage(actors(spark, sf_dir), "actors")
     tracked = ["quality_class", "is_active"]
-    table = wr.stage(scd.scd2_full_reload(a.where(F.col("current_year") <= AA - 3), "actor_id", "current_year", tracked,
-                                          AA - 3), "scd")
-    for year in (AA - 2, AA - 1, AA, AA - 2, AA - 1, AA, AA):
+    table = wr.stage(scd.scd2_full_reload(a.where(F.col("current_year") <= aa - 3), "actor_id", "current_year", tracked,
+                                          aa - 3), "scd")
+    for year in (aa - 2, aa - 1, aa, aa - 2, aa - 1, aa, aa):
         table = wr.stage(scd.scd2_merge_close(table, a, "actor_id", tracked, year, period="current_year"), "scd")
     return table.select(*_A_COLS)
 
@@ -153,7 +160,7 @@ def q_scd_type3(spark, sf_dir):
     return scd.scd_type3(S.player_seasons(spark, sf_dir), "player_id", "scoring_class", "season")
 
 
-_AS_OF_SQL = "WITH " + V.PLAYER_SCD.replace("{as_of}", str(PA)) + """
+_AS_OF_SQL = "WITH " + V.PLAYER_SCD.replace("{as_of}", PA) + """
  SELECT o.o_orderkey, o.o_custkey, CAST(year(o.o_orderdate) AS INTEGER) AS order_year,
         s.scoring_class, s.is_active
  FROM orders o LEFT JOIN scd s

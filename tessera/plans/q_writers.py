@@ -103,7 +103,7 @@ def q_evolve_schema(spark, sf_dir):
     return r.select("host", "day", "hits", "unique_visitors")
 
 
-@register("cumulative_incremental_load", oracle="WITH " + V.PLAYER_SNAPSHOTS.replace("{as_of}", str(S.PLAYER_AS_OF))
+@register("cumulative_incremental_load", oracle="WITH " + V.PLAYER_SNAPSHOTS.replace("{as_of}", S.PLAYER_AS_OF)
           + """ SELECT player_id, current_season, n_history, first_season, last_season, hist_pts, hist_gp,
                  scoring_class, years_since_last, is_active FROM snap""")
 def q_cumulative_incremental_load(spark, sf_dir):
@@ -114,7 +114,7 @@ def q_cumulative_incremental_load(spark, sf_dir):
     overwrite -- twice, to show the load is idempotent.
     """
     path = _scratch(spark, "players")
-    p = S.PLAYER_AS_OF
+    p = S.player_as_of(spark, sf_dir)
     wr.overwrite_partitions(players(spark, sf_dir, p - 1), path, ["current_season"])
     for _ in range(2):
         yesterday = spark.read.parquet(path).where(F.col("current_season") == p - 1)

@@ -23,7 +23,7 @@ def loop_cumulative(spark, sf_dir):
     """C2 as the period-by-period full outer join loop."""
     ps = S.player_seasons(spark, sf_dir).checkpoint()
     snap, parts = None, []
-    for season in range(FIRST_SEASON, S.PLAYER_AS_OF + 1):
+    for season in range(FIRST_SEASON, S.player_as_of(spark, sf_dir) + 1):
         snap = cu.cumulative_step(snap, ps, "player_id", "season", ["gp", "pts"], season,
                                   carry=["scoring_class"], history="season_stats", current="current_season").checkpoint()
         parts.append(snap)
@@ -51,7 +51,7 @@ def loop_datelist(spark, sf_dir):
 def calendar_bitmask(spark, sf_dir):
     """A5 as a per-user expansion over the 32-day calendar with ``array_contains`` and a sum."""
     s = ac.datelist_set(read_table(spark, sf_dir, "events"), "user_id", "ts")
-    as_of = F.to_date(F.lit(S.EVENTS_AS_OF))
+    as_of = F.to_date(F.lit(S.events_bounds(spark, sf_dir)[2]))
     x = s.select("user_id", "active_dates", F.explode(F.sequence(F.date_sub(as_of, 31), as_of)).alias("d"))
     v = F.when(F.array_contains("active_dates", F.col("d")),
                F.call_function("shiftleft", F.lit(1).cast("long"), 31 - F.datediff(as_of, F.col("d")))).otherwise(0)

@@ -8,6 +8,8 @@ aggregate of the given tables, so its size grows with them.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,9 +23,32 @@ SCORING_ELSE = "bad"
 # Quality classes on an actor's running average rating (strict ">", else "bad").
 QUALITY_THRESHOLDS = [(8, "star"), (7, "good"), (6, "average")]
 QUALITY_ELSE = "bad"
-PLAYER_AS_OF = 2001
-ACTOR_AS_OF = 2001
-EVENTS_AS_OF = "2024-01-30"
+# Bounds of the tables' periods, as SQL for the oracles (the functions below read the same for the queries).
+PLAYER_AS_OF = "(SELECT CAST(max(year(o_orderdate)) AS INTEGER) FROM orders)"
+ACTOR_AS_OF = "(SELECT CAST(max(year(l_shipdate)) AS INTEGER) FROM lineitem)"
+EVENTS_START = "(SELECT CAST(min(ts) AS DATE) FROM events)"
+EVENTS_MONTH = "(SELECT CAST(date_trunc('month', max(ts)) AS DATE) FROM events)"
+EVENTS_AS_OF = "(SELECT CAST(max(ts) AS DATE) FROM events)"
+
+
+def player_as_of(spark: SparkSession, sf_dir: str) -> int:
+    """Year of the latest order (one column, one row back)."""
+    return read_table(spark, sf_dir, "orders").agg(F.year(F.max("o_orderdate"))).first()[0] or 0
+
+
+def actor_as_of(spark: SparkSession, sf_dir: str) -> int:
+    """Year of the latest shipment."""
+    return read_table(spark, sf_dir, "lineitem").agg(F.year(F.max("l_shipdate"))).first()[0] or 0
+
+
+def events_bounds(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    """First day with events, first of the last month and last day with events, as ISO dates."""
+    low, high = read_table(spark, sf_dir, "events").agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
+    return (str(low), str(high.replace(day=1)), str(high)) if high else ("1970-01-01",) * 3
+
+
+def day_before(day: str) -> str:
+    return str(dt.date.fromisoformat(day) - dt.timedelta(days=1))
 
 
 def player_seasons(spark: SparkSession, sf_dir: str, first_year: int | None = None,

@@ -38,12 +38,12 @@ def test_scd2_intervals_contiguous_distinct_and_complete(spark):
     # intervals cover first snapshot .. as_of exactly once per period
     covered = s1.groupBy("player_id").agg(F.sum(F.col("end_period") - F.col("start_period") + 1).alias("n"),
                                           F.min("start_period").alias("lo"))
-    assert _violations(covered, F.col("n") != (F.lit(S.PLAYER_AS_OF) - F.col("lo") + 1)) == 0
+    assert _violations(covered, F.col("n") != (F.lit(S.player_as_of(spark, SF_MID)) - F.col("lo") + 1)) == 0
 
 
 def test_open_ended_scd_exactly_one_current(spark):
     full = scd.scd2_full_reload(actors(spark, SF_MID), "actor_id", "current_year",
-                                ["quality_class", "is_active"], S.ACTOR_AS_OF)
+                                ["quality_class", "is_active"], S.actor_as_of(spark, SF_MID))
     per = full.groupBy("actor_id").agg(F.count_if("is_current").alias("c"),
                                        F.max(F.when(F.col("is_current"), F.col("end_date"))).alias("e"))
     assert _violations(per, (F.col("c") != 1) | (F.col("e") != 9999)) == 0
@@ -52,7 +52,7 @@ def test_open_ended_scd_exactly_one_current(spark):
                                                    .otherwise(F.col("end_date"))),
                                    "actor_id", "start_date", "end_date", ["quality_class", "is_active"])
     assert repeat == 0 and gap == 0
-    assert closed.where(F.col("end_date") >= S.ACTOR_AS_OF).count() == 0
+    assert closed.where(F.col("end_date") >= S.actor_as_of(spark, SF_MID)).count() == 0
 
 
 def test_history_length_equals_facts_so_far(spark):
