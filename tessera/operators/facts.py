@@ -77,10 +77,12 @@ def fact_build(details: DataFrame, games: DataFrame, measures: dict[str, str] |
     per key instead of every duplicate.
 
     ``measures`` maps output to details columns (default: all of ``MEASURES``
-    that the details have). ``names`` (player_id, player_name), if given, is
-    joined after the dedupe.
+    that the details have; an empty mapping for none). ``names`` (player_id,
+    player_name), if given, is joined after the dedupe. Minutes are left out if
+    the details have no clock. The dedupe breaks ties by the columns in their
+    order, so details cut to their first columns give the same rows.
     """
-    measures = measures or {o: c for o, c in MEASURES.items() if c in details.columns}
+    measures = {o: c for o, c in MEASURES.items() if c in details.columns} if measures is None else measures
     g = games.select("game_id", "game_date_est", "season", "home_team_id")
     d = dedup_first(details, ["game_id", "team_id", "player_id"]).join(g, "game_id", "inner")
     if names is not None:
@@ -96,12 +98,20 @@ def fact_build(details: DataFrame, games: DataFrame, measures: dict[str, str] |
         text_flag("comment", "DNP").alias("dim_did_not_play"),
         text_flag("comment", "DND").alias("dim_did_not_dress"),
         text_flag("comment", "NWT").alias("dim_not_with_team"),
-        clock_to_minutes("min").alias("m_minutes"),
+        *([clock_to_minutes("min").alias("m_minutes")] if "min" in details.columns else []),
         *[F.col(c).alias(o) for o, c in measures.items()],
         F.col("game_id").alias("dim_game_id"),
     )
 
 
+def fact_keys(details: DataFrame, games: DataFrame) -> DataFrame:
+    """The keys of ``fact_build``'s rows alone (date, team, player, game): one narrow row of each business key is shuffled."""
+    g = games.select("game_id", "game_date_est")
+    return details.select("game_id", "team_id", "player_id").distinct().join(g, "game_id", "inner").select(
+        F.col("game_date_est").alias("dim_game_date"), F.col("team_id").alias("dim_team_id"),
+        F.col("player_id").alias("dim_player_id"), F.col("game_id").alias("dim_game_id"))
+
+
 def conditional_rate(df: DataFrame, group: str, flag: str, counted: str | None = None) -> DataFrame:
     """non-null count, conditional count and their ratio per group (NULL-safe division)."""
     c = counted or group

@@ -133,7 +133,11 @@ def q_clock_to_minutes(spark, sf_dir):
         round(CAST(count(*) FILTER (WHERE dim_not_with_team) AS DOUBLE) / nullif(count(dim_player_name), 0), 6) AS flag_rate
  FROM fct GROUP BY 1""")
 def q_conditional_rate(spark, sf_dir):
-    r = fx.conditional_rate(fct_game_details(spark, sf_dir), "dim_player_name", "dim_not_with_team")
+    # the details' first columns only: measures and the clock decide nothing here and would pass the dedupe's shuffle
+    details = S.game_details(spark, sf_dir, names=False).select("game_id", "team_id", "team_abbreviation", "player_id",
+                                                                "start_position", "comment")
+    f = fx.fact_build(details, S.games(spark, sf_dir), measures={}, names=S.player_names(spark, sf_dir))
+    r = fx.conditional_rate(f, "dim_player_name", "dim_not_with_team")
     return r.withColumn("flag_rate", F.round("flag_rate", 6))
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.operators import facts as fx
 from tessera.operators import quality as qa
-from tessera.plans.q_facts import _FACT_SQL, fct_game_details
+from tessera.plans import standins as S
+from tessera.plans.q_facts import _FACT_SQL
 from tessera.plans.registry import register
 from tessera.sources.tables import read_table
 
@@ -50,7 +52,8 @@ def q_key_check(spark, sf_dir):
  FROM k""")
 def q_fact_key_check(spark, sf_dir):
     # The fact's declared key (date, player, team) checked after the dedupe on the business key.
-    return qa.key_check(fct_game_details(spark, sf_dir), ["dim_game_date", "dim_player_id", "dim_team_id"])
+    keys = fx.fact_keys(S.game_details(spark, sf_dir, names=False), S.games(spark, sf_dir))
+    return qa.key_check(keys, ["dim_game_date", "dim_player_id", "dim_team_id"])
 
 
 @register("additivity_check", oracle="""

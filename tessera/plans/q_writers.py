@@ -125,28 +125,36 @@ def q_cumulative_incremental_load(spark, sf_dir):
     return flat_players(spark.read.parquet(path))
 
 
-def _arriving(spark, sf_dir, slots, name):
-    """The events as a stream of several batches: a file for each value of ``slots``, read one file at a time."""
+def _arriving(spark, sf_dir, slots, name, run):
+    """The events as a stream: each slot is written as Spark partitions it, then ``run(stream)`` takes what has arrived.
+
+    ``run`` starts a query with one checkpoint and waits for it, so slots are
+    taken in their order whatever the number of their files.
+    """
     e = read_table(spark, sf_dir, "events")
     path = _scratch(spark, name)
-    for i, cond in enumerate(slots):  # written one after the other, so they arrive in this order
-        e.where(cond).coalesce(1).write.parquet(f"{path}/{i}")
-    return sd.read_event_stream(spark, path + "/*", e.schema, max_files_per_trigger=1)
+    for i, cond in enumerate(slots):
+        e.where(cond).write.parquet(f"{path}/{i}")
+        run(sd.read_event_stream(spark, path + "/*", e.schema))
 
 
 @register("stream_dedup", oracle="""
  SELECT user_id, event_type, count(*) AS n_events, true AS some_kept, true AS none_added, 0 AS n_too_close
  FROM events GROUP BY 1, 2""")
 def q_stream_dedup(spark, sf_dir):
-    # The events arrive in time order, five days to a trigger, so the watermark passes keys and
+    # The events arrive in time order, five days to a run, so the watermark passes keys and
     # their state goes. Which of a key's events survives depends on the triggers; what must hold
     # does not: a key is never lost, no event appears that did not arrive, and no two survivors
     # of a key are within the delay.
     out = _scratch(spark, "stream-dedup")
     day = F.dayofmonth("ts")
     slots = [day.between(a, a + 4) & F.col("ts").isNotNull() for a in range(1, 31, 5)] + [(day > 30) | F.col("ts").isNull()]
-    s = sd.stream_dedup(_arriving(spark, sf_dir, slots, "stream-in"), ["user_id", "event_type"], "ts", "60 minutes")
-    sd.run_available_now(s.select("event_id", "user_id", "event_type", "ts"), out + "/data", out + "/_ckpt")
+
+    def run(stream):
+        s = sd.stream_dedup(stream, ["user_id", "event_type"], "ts", "60 minutes")
+        sd.run_available_now(s.select("event_id", "user_id", "event_type", "ts"), out + "/data", out + "/_ckpt")
+
+    _arriving(spark, sf_dir, slots, "stream-in", run)
     kept = spark.read.parquet(out + "/data")
     gap = F.timestamp_diff("MICROSECOND", F.col("prev_ts"), F.col("ts"))
     near = with_previous(kept, ["user_id", "event_type"], "ts", ["event_id"]) \
@@ -159,6 +167,31 @@ def q_stream_dedup(spark, sf_dir):
         (F.coalesce("n_kept", F.lit(0)) <= F.col("n_events")).alias("none_added"), "n_too_close")
 
 
+@register("stream_dedup_day", oracle="""
+ SELECT user_id, event_type, count(*) AS n_events, true AS some_kept, true AS none_added, 0 AS n_too_close
+ FROM events GROUP BY 1, 2""")
+def q_stream_dedup_day(spark, sf_dir):
+    """D5 over a day: five days a run; no two kept events of a key are within 24 hours, and no key is lost."""
+    out = _scratch(spark, "stream-dedup-day")
+    day = F.dayofmonth("ts")
+    slots = [day.between(a, a + 4) & F.col("ts").isNotNull() for a in range(1, 31, 5)] + [(day > 30) | F.col("ts").isNull()]
+
+    def run(stream):
+        s = sd.long_window_dedup(stream.select("event_id", "user_id", "event_type", "ts"), ["user_id", "event_type"], "ts")
+        sd.run_available_now(s, out + "/data", out + "/_ckpt")
+
+    _arriving(spark, sf_dir, slots, "stream-day-in", run)
+    kept = spark.read.parquet(out + "/data")
+    gap = F.timestamp_diff("MICROSECOND", F.col("prev_ts"), F.col("ts"))
+    near = with_previous(kept, ["user_id", "event_type"], "ts", ["event_id"]) \
+        .groupBy("user_id", "event_type").agg(F.count_distinct("event_id").alias("n_kept"),
+                                              F.count_if(gap <= 24 * 3_600_000_000).cast("int").alias("n_too_close"))
+    seen = read_table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n_events"))
+    return seen.join(near, ["user_id", "event_type"], "left").select(
+        "user_id", "event_type", "n_events", (F.coalesce("n_kept", F.lit(0)) > 0).alias("some_kept"),
+        (F.coalesce("n_kept", F.lit(0)) <= F.col("n_events")).alias("none_added"), "n_too_close")
+
+
 @register("microbatch_dedup", oracle="""
  WITH g AS (SELECT event_id, user_id, event_type, ts, value,
                    epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id)) AS gap
@@ -169,9 +202,12 @@ def q_microbatch_dedup(spark, sf_dir):
     out = _scratch(spark, "microbatch")
     late, day = F.col("event_id") % 5 == 0, F.dayofmonth("ts")
     slots = [~late & day.between(11, 20), ~late & (day <= 10), ~late & (day > 20), late | F.col("ts").isNull()]
-    s = _arriving(spark, sf_dir, slots, "microbatch-in").select("event_id", "user_id", "event_type", "ts", "value")
     writer = sd.microbatch_dedup_writer(out + "/fact", ["user_id", "event_type"], "ts", 60, ["event_id"])
-    q = (s.writeStream.foreachBatch(writer).option("checkpointLocation", out + "/_ckpt")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+
+    def run(stream):
+        s = stream.select("event_id", "user_id", "event_type", "ts", "value")
+        (s.writeStream.foreachBatch(writer).option("checkpointLocation", out + "/_ckpt").trigger(availableNow=True)
+         .start().awaitTermination())
+
+    _arriving(spark, sf_dir, slots, "microbatch-in", run)
     return spark.read.parquet(out + "/fact").select("event_id", "user_id", "event_type", "value")

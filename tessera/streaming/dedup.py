@@ -27,6 +27,69 @@ def stream_dedup(stream: DataFrame, keys: Sequence[str], ts: str, delay: str = "
     return s.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+_WINDOW_STATE = "fingerprints binary, kept binary"
+_NO_TIME = -(1 << 63)
+
+
+def long_window_dedup(stream: DataFrame, keys: Sequence[str], ts: str, hours: int = 24, buckets: int = 256,
+                      slice_minutes: int = 60) -> DataFrame:
+    """D5 for windows of a day and more: an event is dropped if one of its key was kept within ``hours`` of it.
+
+    One state row a bucket of key hashes instead of one a key: the kept events
+    of the window as sorted arrays of 64-bit key fingerprints and times (16
+    bytes a kept event, where a row a key takes ten times that), cut into time
+    slices. A slice goes as a whole once the watermark has passed its end by the
+    window, so the state is bounded by the keys of one window and a slice.
+    Events are judged in the order of (time, fingerprint) of their micro-batch;
+    copies of a key within a batch are dropped by the same rule. An event
+    without a time is kept. Equal fingerprints are taken for equal keys.
+    """
+    import numpy as np
+    import pandas as pd
+
+    window, slice_us = hours * 3_600_000_000, slice_minutes * 60_000_000
+    s = with_session_timestamps(stream)
+    columns = s.columns
+    s = s.withWatermark(ts, f"{hours} hours").withColumn("_fp", F.xxhash64(F.lit(5), *keys)) \
+        .withColumn("_bucket", F.pmod("_fp", F.lit(buckets))) \
+        .withColumn("_us", F.coalesce(F.unix_micros(ts), F.lit(_NO_TIME)))
+
+    def judge(key, batches, state):
+        fps, kept = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        if state.exists:
+            a, b = state.get
+            fps, kept = [np.frombuffer(a, np.int64)], [np.frombuffer(b, np.int64)]
+        rows = pd.concat(list(batches), ignore_index=True)
+        new, at = rows["_fp"].to_numpy(), rows["_us"].to_numpy()
+        timed = np.flatnonzero(at != _NO_TIME)
+        # state and batch by key and time; events of keys that stand alone are kept without a look
+        all_fp = np.concatenate([*fps, new[timed]])
+        all_at = np.concatenate([*kept, at[timed]])
+        source = np.concatenate([np.full(len(all_fp) - len(timed), -1), timed])
+        order = np.lexsort((source, all_at, all_fp))
+        all_fp, all_at, source = all_fp[order], all_at[order], source[order]
+        stays = np.ones(len(all_fp), bool)
+        near = np.flatnonzero((all_fp[1:] == all_fp[:-1]) & (all_at[1:] - all_at[:-1] <= window)) + 1
+        for i in near.tolist():
+            if source[i] < 0:  # kept before: what came too near to it in this batch goes
+                j = i - 1
+                while j >= 0 and all_fp[j] == all_fp[i] and all_at[i] - all_at[j] <= window:
+                    stays[j] &= source[j] < 0
+                    j -= 1
+                continue
+            j = i - 1
+            while j >= 0 and all_fp[j] == all_fp[i] and not stays[j]:
+                j -= 1
+            stays[i] = not (j >= 0 and all_fp[j] == all_fp[i] and all_at[i] - all_at[j] <= window)
+        out = np.concatenate([np.flatnonzero(at == _NO_TIME), source[stays & (source >= 0)]])
+        ends = (all_at // slice_us + 1) * slice_us
+        live = stays & (ends + window > state.getCurrentWatermarkMs() * 1000)
+        state.update((all_fp[live].tobytes(), all_at[live].tobytes()))
+        yield rows.iloc[np.sort(out)][columns]
+
+    return s.groupBy("_bucket").applyInPandasWithState(judge, s.select(*columns).schema, _WINDOW_STATE, "append", "NoTimeout")
+
+
 def read_event_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
     """File-source stream of Parquet event files (new files are picked up per trigger)."""
     r = spark.readStream.schema(schema)

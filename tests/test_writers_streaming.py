@@ -154,3 +154,35 @@ def test_d6_replay_with_null_key_and_null_time(spark):
     for batch, number in ((first, 0), (second, 1), (second, 1), (first, 0)):
         write(batch, number)
     assert sorted(r.event_id for r in spark.read.parquet(os.path.join(base, "fact")).collect()) == [0, 1, 2, 3]
+
+
+def test_long_window_state_is_bounded(spark):
+    """A day's window over thirty triggers of four hours: state rows are buckets, and state does not grow with the days."""
+    base = tempfile.mkdtemp(prefix="d5day-", dir="/tmp")
+    schema = "k string, ts timestamp, n long"
+    start, buckets = dt.datetime(2024, 1, 1), 8
+    rows_, sizes = [], []
+    for t in range(30):
+        batch = [(f"k{(i * 7 + t) % 61}" if i % 3 else "hot", start + dt.timedelta(hours=4 * t, minutes=(i * 37) % 240), t * 1000 + i)
+                 for i in range(120)]
+        if t == 7:
+            batch.append(("hot", None, -1))
+        rows_ += batch
+        spark.createDataFrame(batch, schema).write.parquet(f"{base}/in/{t}")
+        s = sd.long_window_dedup(sd.read_event_stream(spark, base + "/in/*", schema), ["k"], "ts", 24, buckets)
+        q = (s.writeStream.format("parquet").option("path", base + "/out").option("checkpointLocation", base + "/ckpt")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        sizes.append(max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]))
+    assert max(sizes) <= buckets  # a row a bucket, not a row a key
+    kept = {}
+    for r in spark.read.parquet(base + "/out").collect():
+        kept.setdefault(r.k, []).append(r.ts)
+    day = dt.timedelta(hours=24)
+    assert kept["hot"].count(None) == 1
+    for k in kept:
+        times = sorted(t for t in kept[k] if t is not None)
+        assert all(b - a > day for a, b in zip(times, times[1:]))
+    for k, t, _ in rows_:
+        if t is not None:  # each event was kept or is within a day of one that was
+            assert any(abs(t - x) <= day for x in kept[k] if x is not None)
