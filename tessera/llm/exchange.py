@@ -16,14 +16,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.frames import shuffle_partitions
+from tessera.llm.frames import parts_for, shuffle_partitions
 
 U64 = np.uint64
 
 
+BUCKET_BYTES = 16 << 20  # of the input's files, for each bucket at most
+
+
 def buckets_for(df: DataFrame) -> int:
-    """As many buckets as a shuffle has partitions, a few per partition."""
-    return 2 * max(32, shuffle_partitions(df.sparkSession))
+    """Two buckets a shuffle partition, and more when the input grows: a bucket is one call's work, whole in memory."""
+    return parts_for(df, BUCKET_BYTES, 2 * max(32, shuffle_partitions(df.sparkSession)))
 
 
 def bucket_of(keys: np.ndarray, n: int) -> np.ndarray:

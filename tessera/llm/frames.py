@@ -56,6 +56,18 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def plan_bytes(df: DataFrame) -> int:
+    """Bytes of the tables that ``df`` reads, by Spark's statistics; data without any, as rows made by a program, count 0."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return sum(n for n in sizes if n < 1 << 60)  # Spark gives unknown sizes as 2**63 - 1
+
+
+def parts_for(df: DataFrame, part_bytes: int, least: int) -> int:
+    """``least`` parts, or as many as keep one at ``part_bytes`` of the input."""
+    return max(least, -(-plan_bytes(df) // part_bytes))
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Written once to the shared folder and read back: later jobs and retries start from the files."""
     return stage(df, name)
@@ -66,4 +78,4 @@ def sent_to_all(small: DataFrame, row_bytes: int, limit: int = 64 << 20) -> Data
     return F.broadcast(small) if small.count() * row_bytes <= limit else small
 
 
-__all__ = ["ROW", "documents", "id_and_text", "sent_to_all", "ship", "shuffle_partitions", "staged"]
+__all__ = ["ROW", "documents", "id_and_text", "parts_for", "plan_bytes", "sent_to_all", "ship", "shuffle_partitions", "staged"]

@@ -28,12 +28,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.frames import ROW, documents, id_and_text, shuffle_partitions
+from tessera.llm.frames import ROW, documents, id_and_text, parts_for, shuffle_partitions
 from tessera.llm.textnum import SMALL_CHUNK, chunks
 from tessera.llm.tokens import crc, encoder, vocabulary
 from tessera.session import ensure_checkpoint_dir
 
 VOCABULARY, KIND, END = "word_bpe_49k.json", "word", 2
+SHARD_BYTES = 64 << 20  # of the input's files, for each shard at most
 SEGMENT_IDS = 1 << 18
 SAMPLE = 64
 MAGIC = b"EFS1"
@@ -119,9 +120,10 @@ def write_ids(docs: DataFrame, path: str, vocabulary_path: str | None = None, ki
               shards: int | None = None, segment_ids: int = SEGMENT_IDS) -> None:
     """Encode every text and write the segments to ``path`` (any store that Spark writes)."""
     spark = docs.sparkSession
-    n = shards or shuffle_partitions(spark)
+    n = shards or parts_for(docs, SHARD_BYTES, shuffle_partitions(spark))
     rows = id_and_text(docs)
-    cuts = rows.select(F.percentile_approx("doc_id", [i / n for i in range(1, n)])).first()[0] if n > 1 else None
+    ranks = [i / n for i in range(1, n)]
+    cuts = rows.select(F.percentile_approx("doc_id", ranks, max(10_000, 10 * n))).first()[0] if n > 1 else None
     cuts = spark.sparkContext.broadcast(np.array(sorted(set(cuts or [])), np.int64))  # one a shard
 
     def encode(batches):

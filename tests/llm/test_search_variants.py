@@ -317,3 +317,26 @@ def test_vocabulary_finds_its_terms():
 def test_session_settings(spark):
     ship(spark)
     assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 64 << 20
+
+
+def test_buckets_grow_with_the_input(spark, tmp_path, monkeypatch):
+    from tessera.llm import exchange, frames
+    for n in (1, 8):
+        spark.range(20_000 * n).selectExpr("id", "sha2(string(id), 256) AS text").write.parquet(str(tmp_path / str(n)))
+    small, large = (spark.read.parquet(str(tmp_path / str(n))) for n in (1, 8))
+    assert exchange.buckets_for(small) == exchange.buckets_for(large) == 2 * 32  # far below a bucket's bytes
+    monkeypatch.setattr(exchange, "BUCKET_BYTES", frames.plan_bytes(small) // 100)
+    assert 90 <= exchange.buckets_for(small) <= 110 and 700 <= exchange.buckets_for(large) <= 900
+    assert frames.plan_bytes(large) / exchange.buckets_for(large) <= exchange.BUCKET_BYTES
+
+
+def test_results_with_many_buckets(spark, docs, monkeypatch):
+    """The same results with a few dozen buckets and with thousands."""
+    from tessera.llm import bwt_dedup, exchange, minmax_dedup, recompression
+    want = brute.near(ROWS, 3, 85), brute.passages(ROWS), brute.byte_repeats(ROWS)
+    monkeypatch.setattr(exchange, "BUCKET_BYTES", 1000)
+    assert found(minmax_dedup.near_duplicates(docs, 3, 85).drop("_row")) == want[0]
+    got = recompression.cut_repeats(docs), bwt_dedup.cut_repeats(docs)
+    for df, w in zip(got, want[1:]):
+        rows = found(df.select("doc_id", *[c for c in df.columns if c.startswith("n_")]))
+        assert {d: v for d, v in rows.items()} == {d: v[:len(next(iter(rows.values())))] for d, v in w.items()}
