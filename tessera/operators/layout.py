@@ -29,7 +29,7 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
     bounds = df.agg(*[F.percentile_approx(c, shares, 10_000).alias(c) for c in columns]).first()
     out = F.lit(0).cast("long")
     for j, c in enumerate(columns):
-        rank = _rank(F.col(c), sorted(set(bounds[c] or [])))
+        rank = _rank(F.col(c), sorted(bounds[c] or []))
         for b in range(bits):
             bit = F.shiftright(rank, b).bitwiseAND(F.lit(1)).cast("long")
             out = out.bitwiseOR(F.shiftleft(bit, b * len(columns) + j))
