@@ -197,8 +197,8 @@ def q_graph_tables(spark, sf_dir):
     vertices, edges = gr.build_graph(None, S.games(spark, sf_dir), S.teams(spark, sf_dir), rows=rows)
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/graph-{uuid.uuid4().hex}"
     # partitioned folders by type (no shuffle: each task writes the types it holds)
-    wr.overwrite_partitions(vertices, base + "/vertices", ["type"])
-    wr.overwrite_partitions(edges, base + "/edges", ["edge_type"])
+    wr.overwrite_partitions(vertices, base + "/vertices", ["type"], rebalance=False)
+    wr.overwrite_partitions(edges, base + "/edges", ["edge_type"], rebalance=False)
     v = spark.read.parquet(base + "/vertices")
     e = spark.read.parquet(base + "/edges")
     vk = v.groupBy("type").agg(F.count(F.lit(1)).alias("n_rows"),

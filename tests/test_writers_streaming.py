@@ -5,6 +5,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from tessera.sources import writers as wr
@@ -186,3 +187,11 @@ def test_long_window_state_is_bounded(spark):
     for k, t, _ in rows_:
         if t is not None:  # each event was kept or is within a day of one that was
             assert any(abs(t - x) <= day for x in kept[k] if x is not None)
+
+
+def test_few_partitions_are_written_without_a_shuffle(spark):
+    base = tempfile.mkdtemp(prefix="w2types-", dir="/tmp")
+    df = spark.range(0, 300, 1, 3).select("id", (F.col("id") % 2).alias("type"))
+    wr.overwrite_partitions(df, base + "/a", ["type"], rebalance=False)
+    assert len(spark.read.parquet(base + "/a").inputFiles()) == 6  # each task its own file of each type
+    assert rows(spark.read.parquet(base + "/a"), "id") == rows(df, "id")
