@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.facts import dedup_first
+from tessera.operators.facts import dedup_first, split_groups
+from tessera.session import partitions_for
+from tessera.sources.writers import stage
 
 # Vertex and edge type enums of the graph model.
 VERTEX_TYPES = ["player", "team", "game"]
@@ -100,6 +102,24 @@ def edges_bipartite(details: DataFrame, dedup: bool = True) -> DataFrame:
     )
 
 
+PART_BYTES = 8 << 20  # of the input's files, for each part of the pairs' work at most
+
+
+def _bounded_group_pairs(rows: DataFrame, group: str, member: str, residual=None) -> DataFrame:
+    """All (a, b) member pairs with a.member > b.member inside each group of bounded size, columns prefixed a_/b_.
+
+    Each row meets those before it in its group's order, so rows that come
+    dealt out by group and sorted are neither shuffled nor sorted again.
+    """
+    cols = [c for c in rows.columns if c != group]
+    before = Window.partitionBy(group).orderBy(member).rowsBetween(Window.unboundedPreceding, -1)
+    a = rows.withColumn("_before", F.collect_list(F.struct(*cols)).over(before)).select(
+        *[F.col(c).alias("a_" + c) for c in cols], F.explode("_before").alias("_b"))
+    pairs = a.select(*["a_" + c for c in cols], *[F.col("_b")[c].alias("b_" + c) for c in cols])
+    c = F.col("a_" + member) > F.col("b_" + member)
+    return pairs.where(c if residual is None else c & residual)
+
+
 SALTS = 32  # parts that a group's rows meet the block counts in
 
 
@@ -144,24 +164,31 @@ def edges_cooccurrence(details: DataFrame, require_distinct_names: bool = True,
     ``shares_team`` when both rows have the same team abbreviation, else
     ``plays_against`` (a NULL abbreviation counts as different). Per pair and
     type: number of games and both players' points; a pair may own both
-    types. Rows are deduped per (player, game) first; the self-join on the
-    game is blocked for large games (see ``_group_pairs``) and the pair
-    aggregate is a partial + final hash aggregate. The deduped rows feed
-    three branches (group sizes, left and right rows): on large inputs pass
-    ``player_game_rows`` staged once (``writers.stage``) with ``dedup=False``.
+    types. Rows are deduped per (player, game) first. They are dealt out by
+    game once, into parts that grow in number with the input: dedupe and pairs
+    both use that shuffle. Games of more than ``block_rows`` rows are deduped
+    by (player, game) and paired in blocks (see ``_group_pairs``). The pair
+    aggregate is a partial + final hash aggregate. Rows that are deduped
+    already are passed with ``dedup=False``.
     """
-    d = (player_game_rows(details) if dedup else details).select(
-        "game_id", "player_id", "player_name", "team_abbreviation", "pts")
+    cols = ["game_id", "player_id", "player_name", "team_abbreviation", "pts"]
+    n = partitions_for(details, PART_BYTES)
+    usual, large = split_groups(details.select(*(PLAYER_GAME_COLS if dedup else cols)), "game_id", block_rows)
+    usual = usual.where(F.col("player_id").isNotNull()).repartition(n, "game_id")
+    if dedup:
+        usual = dedup_first(usual, ["game_id", "player_id"])
     names_differ = (F.col("a_player_name") != F.col("b_player_name")) if require_distinct_names else None
-    j = _group_pairs(d, "game_id", "player_id", block_rows, names_differ)
-    etype = F.when(F.col("a_team_abbreviation") == F.col("b_team_abbreviation"), F.lit("shares_team")) \
-        .otherwise(F.lit("plays_against"))
+    j = _bounded_group_pairs(usual.select(*cols), "game_id", "player_id", names_differ)
+    if large is not None:
+        # deduped once for its three branches (group sizes, left and right rows)
+        large = stage(player_game_rows(large), "large-games") if dedup else large
+        j = j.unionByName(_group_pairs(large.select(*cols), "game_id", "player_id", block_rows, names_differ).select(*j.columns))
+    same = F.coalesce(F.col("a_team_abbreviation") == F.col("b_team_abbreviation"), F.lit(False))
+    # a flag instead of the type's name goes through the shuffle
     g = j.groupBy(F.col("a_player_id").alias("subject_player_id"), F.col("b_player_id").alias("object_player_id"),
-                  etype.alias("edge_type")).agg(
-        F.max("a_player_name").alias("subject_player_name"), F.max("b_player_name").alias("object_player_name"),
-        F.count(F.lit(1)).alias("num_games"), F.sum("a_pts").alias("subject_points"),
-        F.sum("b_pts").alias("object_points"),
-    )
+                  same.alias("_same")).agg(
+        F.count(F.lit(1)).alias("num_games"), F.sum("a_pts").alias("subject_points"), F.sum("b_pts").alias("object_points"),
+    ).withColumn("edge_type", F.when(F.col("_same"), F.lit("shares_team")).otherwise(F.lit("plays_against")))
     return g.select(
         F.col("subject_player_id").cast("string").alias("subject_identifier"), F.lit("player").alias("subject_type"),
         F.col("object_player_id").cast("string").alias("object_identifier"), F.lit("player").alias("object_type"),

@@ -71,8 +71,8 @@ def staged_rows(spark, sf_dir):
 
 
 def player_edges(spark, sf_dir, rows=None):
-    if rows is None:
-        rows = staged_rows(spark, sf_dir)
+    if rows is None:  # dedupe and pairs share one shuffle of the details
+        return gr.edges_cooccurrence(S.game_details(spark, sf_dir))
     return gr.edges_cooccurrence(rows, dedup=False)
 
 
@@ -143,9 +143,11 @@ def q_edges_bipartite(spark, sf_dir):
  FROM pe""")
 def q_edges_cooccurrence(spark, sf_dir):
     e = player_edges(spark, sf_dir)
-    return e.select("subject_identifier", "object_identifier", "edge_type", _j("num_games", "bigint"),
-                    F.round(F.get_json_object("properties", "$.subject_points").try_cast("double"), 2).alias("subject_points"),
-                    F.round(F.get_json_object("properties", "$.object_points").try_cast("double"), 2).alias("object_points"))
+    e = e.select("subject_identifier", "object_identifier", "edge_type",
+                 F.json_tuple("properties", "num_games", "subject_points", "object_points").alias("_n", "_s", "_o"))
+    return e.select("subject_identifier", "object_identifier", "edge_type", F.col("_n").try_cast("bigint").alias("num_games"),
+                    F.round(F.col("_s").try_cast("double"), 2).alias("subject_points"),
+                    F.round(F.col("_o").try_cast("double"), 2).alias("object_points"))
 
 
 @register("graph_max_property", oracle=_DD + """
