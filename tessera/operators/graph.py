@@ -226,13 +226,16 @@ def graph_edge_report(vertices: DataFrame, edges: DataFrame, object_type: str =
         F.get_json_object("properties", "$.number_of_games").try_cast("double").alias("_g"),
         F.get_json_object("properties", "$.total_points").try_cast("double").alias("_p"),
     )
-    e = edges.where(F.col("object_type") == object_type)
+    # an edge's properties are parsed once, and two numbers meet the vertices instead of the text
+    ends = ["subject_identifier", "subject_type", "object_identifier", "edge_type"]
+    e = edges.where(F.col("object_type") == object_type).select(
+        *ends, F.json_tuple("properties", "subject_points", "num_games").alias("_points", "_n")).select(
+        *ends, F.col("_points").try_cast("double").alias("total_points"), F.col("_n").try_cast("long").alias("total_games"))
     j = v.join(e, (v.identifier == e.subject_identifier) & (v.type == e.subject_type))
     return j.select(
         "player_name", "object_identifier", "edge_type",
         (F.col("_p") / F.when(F.col("_g") == 0, F.lit(1.0)).otherwise(F.col("_g"))).alias("avg_pts_per_game"),
-        F.get_json_object("properties", "$.subject_points").try_cast("double").alias("total_points"),
-        F.get_json_object("properties", "$.num_games").try_cast("long").alias("total_games"),
+        "total_points", "total_games",
     )
 
 

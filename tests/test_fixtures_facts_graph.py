@@ -197,3 +197,19 @@ def test_g6_repeated_rows_and_nulls(spark, block_rows):
                                  F.col("team_id").alias("team_abbreviation"), "pts", F.lit("F").alias("start_position")))
     want = EXPECTED_PAIRS + [("p5", p, "plays_against", 1, 2.0, x) for p, x in (("p1", 3.0), ("p2", 4.0), ("p4", None))]
     assert _pairs(gr.edges_cooccurrence(d, block_rows=block_rows)) == sorted(want, key=lambda t: tuple(str(x) for x in t))
+
+
+def test_g8_report_joins_parsed_numbers(spark):
+    d = details(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rep = gr.graph_edge_report(gr.vertices_aggregate(d), gr.edges_cooccurrence(d))
+        p = rep._jdf.queryExecution().executedPlan().toString()
+        got = rows(rep, "player_name", "object_identifier", "edge_type", "total_points", "total_games")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # the edges' JSON text is not read above the join
+    assert "json" not in p.split("SortMergeJoin", 1)[0]
+    assert got == sorted([(s, o, t, x, n) for s, o, t, n, x, _ in EXPECTED_PAIRS], key=lambda t: tuple(str(x) for x in t))
