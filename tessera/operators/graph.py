@@ -251,6 +251,10 @@ def neighbours(edges: DataFrame, edge_types: Sequence[str] | None = None) -> Dat
 
 def vertex_degree(edges: DataFrame, edge_types: Sequence[str] | None = None) -> DataFrame:
     """Degree (edge count) and distinct neighbours per vertex."""
-    n = neighbours(edges, edge_types)
-    return n.groupBy("vertex", "vertex_type").agg(F.count(F.lit(1)).alias("degree"),
-                                                  F.count_distinct("neighbour").alias("n_neighbours"))
+    parts = partitions_for(edges, PART_BYTES)
+    # few rows repeat a neighbour: both directions are dealt out as they are, into parts that grow in number with the
+    # input, and a task holds the counts of its part alone
+    n = neighbours(edges, edge_types).select("vertex", "vertex_type", "neighbour").repartition(parts, "vertex", "neighbour")
+    each = n.groupBy("vertex", "vertex_type", "neighbour").agg(F.count(F.lit(1)).alias("_n"))
+    return each.groupBy("vertex", "vertex_type").agg(F.sum("_n").alias("degree"),
+                                                     F.count("neighbour").alias("n_neighbours"))

@@ -199,6 +199,19 @@ def test_g6_repeated_rows_and_nulls(spark, block_rows):
     assert _pairs(gr.edges_cooccurrence(d, block_rows=block_rows)) == sorted(want, key=lambda t: tuple(str(x) for x in t))
 
 
+def test_g9_degree_parts_grow_with_the_input(spark, monkeypatch):
+    path = tempfile.mkdtemp(prefix="degree-", dir="/tmp") + "/e"
+    e = [("1", "2", "a"), ("1", "2", "b"), ("2", "1", "a"), ("1", "3", "a"), ("4", None, "a")]
+    spark.createDataFrame(e, "s string, o string, edge_type string").select(
+        F.col("s").alias("subject_identifier"), F.lit("player").alias("subject_type"), F.col("o").alias("object_identifier"),
+        F.lit("player").alias("object_type"), "edge_type").write.parquet(path)
+    monkeypatch.setattr(gr, "PART_BYTES", 16)
+    deg = gr.vertex_degree(spark.read.parquet(path))
+    parts = re.findall(r"Exchange hashpartitioning\(vertex#\d+, neighbour#\d+, (\d+)\)", deg._jdf.queryExecution().executedPlan().toString())
+    assert parts and int(parts[0]) > 4  # the session's shuffle partitions
+    assert rows(deg, "vertex", "degree", "n_neighbours") == [("1", 4, 2), ("2", 3, 1), ("3", 1, 1), ("4", 1, 0), (None, 1, 1)]
+
+
 def test_g8_report_joins_parsed_numbers(spark):
     d = details(spark)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
