@@ -176,9 +176,11 @@ def q_stream_dedup_day(spark, sf_dir):
     day = F.dayofmonth("ts")
     slots = [day.between(a, a + 4) & F.col("ts").isNotNull() for a in range(1, 31, 5)] + [(day > 30) | F.col("ts").isNull()]
 
+    parts = sd.state_partitions_for(read_table(spark, sf_dir, "events"))
+
     def run(stream):
         s = sd.long_window_dedup(stream.select("event_id", "user_id", "event_type", "ts"), ["user_id", "event_type"], "ts")
-        sd.run_available_now(s, out + "/data", out + "/_ckpt")
+        sd.run_available_now(s, out + "/data", out + "/_ckpt", state_partitions=parts)
 
     _arriving(spark, sf_dir, slots, "stream-day-in", run)
     kept = spark.read.parquet(out + "/data")

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.facts import dedup_within_window
+from tessera.session import input_bytes
 from tessera.sources.tables import with_session_timestamps
 from tessera.sources.writers import overwrite_partitions, remove, stage, table_exists
 
@@ -98,10 +99,33 @@ def read_event_stream(spark: SparkSession, path: str, schema, max_files_per_trig
     return r.parquet(path)
 
 
-def run_available_now(df: DataFrame, sink_path: str, checkpoint: str, mode: str = "append") -> None:
-    """Process everything available now into a Parquet sink, then stop (exactly-once file sink)."""
-    q = (df.writeStream.format("parquet").outputMode(mode).option("path", sink_path)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+STATE_BYTES = 16 << 20  # of the input's files, for each state partition of a stream over them at most
+
+
+def state_partitions_for(table: DataFrame) -> int:
+    """A state partition for each core, or as many as keep one at ``STATE_BYTES`` of the table the stream comes from."""
+    return max(table.sparkSession.sparkContext.defaultParallelism, -(-input_bytes(table) // STATE_BYTES))
+
+
+def run_available_now(df: DataFrame, sink_path: str, checkpoint: str, mode: str = "append",
+                      state_partitions: int | None = None) -> None:
+    """Process everything available now into a Parquet sink, then stop (exactly-once file sink).
+
+    Every trigger loads and commits every state partition, whatever arrives, so
+    ``state_partitions`` sets their number by the size of the stream (else it is
+    the session's shuffle partitions). A checkpoint keeps the number that it
+    began with.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(key)
+    if state_partitions:
+        conf.set(key, str(state_partitions))
+    try:  # a query takes its settings when it starts
+        q = (df.writeStream.format("parquet").outputMode(mode).option("path", sink_path)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    finally:
+        if state_partitions:
+            conf.set(key, before)
     q.awaitTermination()
 
 

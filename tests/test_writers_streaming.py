@@ -189,6 +189,23 @@ def test_long_window_state_is_bounded(spark):
             assert any(abs(t - x) <= day for x in kept[k] if x is not None)
 
 
+def test_stream_state_partitions_follow_the_input(spark, monkeypatch):
+    base = tempfile.mkdtemp(prefix="d5parts-", dir="/tmp")
+    spark.createDataFrame([(f"k{i % 5}", dt.datetime(2024, 1, 1, 0, i)) for i in range(20)], "k string, ts timestamp") \
+        .write.parquet(base + "/in/0")
+    table = spark.read.parquet(base + "/in/0")
+    assert sd.state_partitions_for(table) == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(sd, "STATE_BYTES", 64)
+    assert sd.state_partitions_for(table) > spark.sparkContext.defaultParallelism
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    s = sd.long_window_dedup(sd.read_event_stream(spark, base + "/in/*", table.schema), ["k"], "ts", 24, 8)
+    sd.run_available_now(s, base + "/out", base + "/ckpt", state_partitions=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    with open(base + "/ckpt/offsets/0") as f:
+        assert '"spark.sql.shuffle.partitions":"3"' in f.read()
+    assert sorted(r.k for r in spark.read.parquet(base + "/out").collect()) == [f"k{i}" for i in range(5)]
+
+
 def test_few_partitions_are_written_without_a_shuffle(spark):
     base = tempfile.mkdtemp(prefix="w2types-", dir="/tmp")
     df = spark.range(0, 300, 1, 3).select("id", (F.col("id") % 2).alias("type"))
