@@ -22,10 +22,11 @@ probed for true pairs only and have ``BITS`` bits an entry.
 
 Spark counts words and pairs in buckets of the first word's hash; a bucket's
 reducer makes that bucket's own filter and table, so the model grows with the
-corpus and is never built in one place. Scoring broadcasts the buckets in groups
-of at most ``GROUP_BYTES``, which the driver fills bucket by bucket in a mapped
-file: one group while the model is small, else the texts are read once for each
-group and the levels found so far are kept beside them.
+corpus and is never built in one place. Scoring broadcasts a model of at most
+``GROUP_BYTES``, which the driver fills bucket by bucket in a mapped file. Beyond
+that the questions go to the model: texts are bundled, a bundle sends each bucket
+its words and pairs once, the bucket's own filter and table answer, and the answers
+meet the bundle again. So the texts are read once, whatever the size of the model.
 
 Defined cases: a NULL or empty text is the end token alone; a NULL doc_id
 belongs to the training texts; repeated rows are counted each time; a long text
@@ -42,14 +43,15 @@ import tempfile
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.exchange import bucket_of, buckets_for, group_edges
-from tessera.llm.frames import documents, id_and_text, staged
-from tessera.llm.textnum import SMALL_CHUNK, U64, Chunk, chunks, mix
+from tessera.llm.frames import documents, id_and_text, shuffles_removed, staged, unstaged
+from tessera.llm.textnum import SMALL_CHUNK, U64, Chunk, chunks, mix, release, runs_of
 
-GROUP_BYTES = 256 << 20
+GROUP_BYTES = 32 << 20  # of a model that is broadcast; the exchange takes about as many CPU seconds
 STRONG = 4  # bits tested in each 64-bit word of the first level
 SLACK = 0.02  # of the sum of p after a word that may come from false hits
 RARE = 100  # occurrences and followers below which false hits must be rarer still, as each weighs more
@@ -59,6 +61,8 @@ SKETCH = 10  # log2 of the registers of the sketch of distinct words: 3 % error
 #: Least counts of the levels.
 EDGES = np.array(sorted([1 << i for i in range(60)] + [3 << i for i in range(58)]), np.int64)
 FLUSH = 3_000_000  # tokens that a task counts before it sends
+BUNDLE_BYTES = 12_000_000  # of texts that ask the model together
+PIECE = 1 << 18  # pairs that a bucket answers at a time
 _END, _BEGIN = mix(np.array([1, 2], U64))
 _CONTEXT, _PAIR = U64(0x1D8E4E27C47D124F), U64(0x2545F4914F6CDD1D)
 _COUNTS = "bucket int, kind int, keys binary, counts binary, sketch binary"
@@ -187,17 +191,27 @@ class Group:
     each executor; the executor's workers map that file and share its pages.
     """
 
-    def __init__(self, low: int, high: int, n: int, sizes: dict[str, np.ndarray], path: str):
-        """``sizes``: bytes by bucket (all n) of each part."""
+    def __init__(self, low: int, high: int, n: int, sizes: dict[str, np.ndarray], path: str | None):
+        """``sizes``: bytes by bucket (all n) of each part; ``path``: of the mapped file, or None for memory."""
         self.low, self.high, self.n, self.at, self.length, self.start, end = low, high, n, {}, {}, {}, 128 - _lead() % 64
         for part, kind in _PARTS.items():  # in the file of the broadcast, parts begin at multiples of 64
             size = sizes[part][low:high] // np.dtype(kind).itemsize
             self.at[part], self.length[part] = np.cumsum(size) - size, size
             self.start[part], end = end, end + -(-int(size.sum()) * np.dtype(kind).itemsize // 64) * 64
-        self.whole, self.shared = np.memmap(path, np.uint8, "w+", shape=end), None
+        self.whole, self.shared = np.memmap(path, np.uint8, "w+", shape=end) if path else np.zeros(end, np.uint8), None
         self.whole[:len(_MARK)] = np.frombuffer(_MARK, np.uint8)
         self.parts = self._cut(self.whole)
 
+    @classmethod
+    def of(cls, bucket: int, n: int, values: dict[str, bytes | None]) -> Group:
+        """One bucket alone, in memory."""
+        sizes = {k: np.zeros(bucket + 1, np.int64) for k in _PARTS}
+        for k, v in values.items():
+            sizes[k][bucket] = len(v or b"")
+        out = cls(bucket, bucket + 1, n, sizes, None)
+        out.put(bucket, **values)
+        return out
+
     def _cut(self, whole: np.ndarray) -> dict[str, np.ndarray]:
         return {part: whole[self.start[part]:self.start[part] + int(self.length[part].sum()) * np.dtype(kind).itemsize].view(kind)
                 for part, kind in _PARTS.items()}
@@ -347,7 +361,8 @@ def train(docs: DataFrame) -> tuple[DataFrame, int]:
                          "tokens": pa.array([int(c[real].sum())], pa.int64()), "n_words": pa.array([int(real.sum())], pa.int64())})
 
     texts = id_and_text(docs.where(~held_out(F.col("doc_id")))).select("text")
-    return staged(texts.mapInArrow(count, _COUNTS).groupBy("bucket").applyInArrow(enter, _MODEL), "lm"), n
+    with shuffles_removed(docs.sparkSession):
+        return staged(texts.mapInArrow(count, _COUNTS).groupBy("bucket").applyInArrow(enter, _MODEL), "lm"), n
 
 
 def groups(model: DataFrame, n: int, limit: int = GROUP_BYTES):
@@ -398,53 +413,180 @@ def probability(word: np.ndarray, context: np.ndarray, pair: np.ndarray, follow:
     return single, np.where(context > 0, (seen + follow * single) / np.maximum(context + follow, 1), single)
 
 
+_RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+
+def scored(ids: pa.Array, held: pa.Array, first: np.ndarray, state: dict[str, np.ndarray], n_train: int,
+           n_words: int) -> pa.RecordBatch:
+    """The result's rows of some texts from what is known of their tokens."""
+    base, p = probability(state["count"], state["context"], state["pair"], state["follow"], n_train, n_words)
+    sums = [np.add.reduceat(x, first[:-1]) for x in (np.log10(base), np.log10(p))] if len(first) > 1 else [[], []]
+    known = np.add.reduceat((state["count"] > 0).astype(np.int64), first[:-1]) if len(first) > 1 else []
+    return pa.RecordBatch.from_arrays(
+        [ids, held, pa.array(np.diff(first)), pa.array(known, pa.int64()),
+         pa.array(np.full(len(first) - 1, n_train, np.int64)), pa.array(sums[0], pa.float64()), pa.array(sums[1], pa.float64())],
+        ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+
+_BUNDLE = "bundle long, ids array<long>, held array<boolean>, sizes binary, texts binary"
+
+
+def bundled(batches):
+    """Texts in bundles of about ``BUNDLE_BYTES``, each a row with its number."""
+    part, k, ids, held, texts, size = TaskContext.get().partitionId(), 0, [], [], [], 0
+
+    def row():
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([(part << 32) + k], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())),
+             pa.array([sizes.tobytes()], pa.binary()), pa.array([pa.compress(b"".join(texts), "zstd", asbytes=True)], pa.binary())],
+            ["bundle", "ids", "held", "sizes", "texts"])
+
+    for b, some in chunks(batches, limit=SMALL_CHUNK):
+        ids += b.column("doc_id").to_pylist()
+        held += b.column("held_out").to_pylist()
+        texts += some
+        size += sum(map(len, some)) + len(some)
+        if size >= BUNDLE_BYTES:
+            yield row()
+            k, ids, held, texts, size = k + 1, [], [], [], 0
+    if texts:
+        yield row()
+
+
+def bundle_tokens(sizes: bytes, texts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, first token of each text) of a bundle."""
+    size = np.frombuffer(sizes, np.int64)
+    whole, at = pa.decompress(texts, int(size.sum()), "zstd", asbytes=True), np.concatenate([[0], np.cumsum(size)])
+    tokens, first = [], [np.zeros(1, np.int64)]
+    for i, j in runs_of(size, SMALL_CHUNK):
+        some, _, begin = token_stream([whole[a:b] for a, b in zip(at[i:j], at[i + 1:j + 1])])
+        tokens.append(some)
+        first.append(begin[1:] + first[-1][-1])
+    return np.concatenate([np.zeros(0, U64), *tokens]), np.concatenate(first)
+
+
+class Questions:
+    """The distinct words of some tokens, ordered by bucket, and the distinct pairs, ordered by their first words.
+
+    ``word`` and ``ahead`` place each token and the token before it among the
+    words, ``pair`` both among the pairs; ``lead`` places a pair's first word
+    among the words, ``low`` is the second word's half of the pair's key.
+    """
+
+    def __init__(self, tokens: np.ndarray, first: np.ndarray, n: int):
+        words, at = np.unique(np.concatenate([[_BEGIN], tokens]), return_inverse=True)
+        bucket = bucket_of(context_key(words), n)
+        order = np.argsort(bucket, kind="stable")
+        rank = np.empty(len(words), np.int64)
+        rank[order] = np.arange(len(words))
+        at = rank[at]
+        self.words, self.bucket, self.word, self.ahead = words[order], bucket[order], at[1:], at[:-1].copy()
+        self.ahead[first[:-1]] = at[0]
+        pairs, self.pair = np.unique((self.ahead.astype(U64) << U64(32)) | (tokens >> U64(32)), return_inverse=True)
+        self.lead, self.low = (pairs >> U64(32)).astype(np.int64), pairs.astype(np.uint32)
+
+    def rows(self, bundle: int) -> pa.RecordBatch:
+        """A row for each bucket: its words, how many pairs each of them leads, and the pairs' second halves."""
+        start, size = group_edges(self.bucket)
+        follow = np.bincount(self.lead, minlength=len(self.words)).astype(np.uint32)
+        end = np.concatenate([[0], np.cumsum(follow, dtype=np.int64)])
+        spans = list(zip(start, start + size))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(self.bucket[start]), pa.array([bundle] * len(start), pa.int64()),
+             pa.array([self.words[i:j].tobytes() for i, j in spans], pa.binary()),
+             pa.array([follow[i:j].tobytes() for i, j in spans], pa.binary()),
+             pa.array([self.low[end[i]:end[j]].tobytes() for i, j in spans], pa.binary())],
+            ["bucket", "bundle", "words", "follow", "low"])
+
+
+_QUESTIONS = "bucket int, bundle long, words binary, follow binary, low binary"
+_ANSWERS = {"counts": np.uint32, "follow": np.uint32, "pairs": np.uint8}
+
+
+def _answered(group: Group, table: pa.Table):
+    """Counts and followers of the words asked for, levels of the pairs, for each row."""
+    asked = {c: table.column(c).to_pylist() for c in ("words", "follow", "low")}
+    out = {c: [] for c in _ANSWERS}
+    for i, j in runs_of(np.array([len(x) // 4 for x in asked["low"]], np.int64), PIECE):
+        words, follow, low = (np.frombuffer(b"".join(asked[c][i:j]), t) for c, t in (("words", U64), ("follow", np.uint32), ("low", np.uint32)))
+        known = group.table(words)
+        pairs = pair_key(np.repeat(words, follow), low.astype(U64) << U64(32))
+        _, level = group.level(pairs, np.repeat(known["probes"], follow))  # all are this bucket's
+        for c, column, values in (("counts", "words", known["counts"]), ("follow", "words", known["follow"]), ("pairs", "low", level)):
+            width = 8 if column == "words" else 4
+            end = np.cumsum([len(x) // width for x in asked[column][i:j]])
+            out[c] += [x.tobytes() for x in np.split(values, end[:-1])]
+    return pa.table([table.column("bucket"), table.column("bundle"), *[pa.array(out[c], pa.binary()) for c in _ANSWERS]],
+                    names=["bucket", "bundle", *_ANSWERS])
+
+
+def _score_by_exchange(rows: DataFrame, model: DataFrame, n: int, n_train: int, n_words: int) -> DataFrame:
+    """Scores of ``rows`` (doc_id, text, held_out) where words and pairs are sent to the model's buckets and answered there."""
+    def ask(batches):
+        for b in batches:
+            for k, sizes, texts in zip(*(b.column(c).to_pylist() for c in ("bundle", "sizes", "texts"))):
+                yield Questions(*bundle_tokens(sizes, texts), n).rows(k)
+        release()
+
+    def answer(key, asked, own):
+        row = own.to_pylist()[0] if len(own) else {}
+        return _answered(Group.of(key[0].as_py(), n, {k: row.get(k) for k in _PARTS}), asked)
+
+    def meet(key, bundle, answers):
+        (row,) = bundle.to_pylist()
+        tokens, first = bundle_tokens(row["sizes"], row["texts"])
+        q = Questions(tokens, first, n)
+        order = np.argsort(answers.column("bucket").to_numpy(), kind="stable")
+        found = {}
+        for c, t in _ANSWERS.items():
+            values = answers.column(c).to_pylist()
+            found[c] = np.frombuffer(b"".join([values[i] for i in order]), t)
+        out = []
+        for i, j in runs_of(np.diff(first), PIECE):
+            a, b = first[i], first[j]
+            word, ahead, pair = q.word[a:b], q.ahead[a:b], q.pair[a:b]
+            state = {"pair": found["pairs"][pair], "count": found["counts"][word], "context": found["counts"][ahead],
+                     "follow": found["follow"][ahead]}
+            out.append(scored(pa.array(row["ids"][i:j], pa.int64()), pa.array(row["held"][i:j], pa.bool_()),
+                              first[i:j + 1] - a, state, n_train, n_words))
+        release()
+        return pa.Table.from_batches(out)
+
+    with shuffles_removed(rows.sparkSession):  # what a step has sent goes when its result is written
+        bundles = staged(rows.select("doc_id", "text", "held_out").mapInArrow(bundled, _BUNDLE), "lm-bundles")
+        asked = bundles.select("bundle", "sizes", "texts").mapInArrow(ask, _QUESTIONS)
+        answers = staged(asked.groupBy("bucket").cogroup(model.select("bucket", *_PARTS).groupBy("bucket")).applyInArrow(
+            answer, "bucket int, bundle long, " + ", ".join(f"{c} binary" for c in _ANSWERS)), "lm-answers")
+        out = staged(bundles.groupBy("bundle").cogroup(answers.groupBy("bundle")).applyInArrow(meet, _RESULT), "lm-scores")
+    for done in (bundles, answers):
+        unstaged(done)
+    return out
+
+
 def score(docs: DataFrame, model: DataFrame, n: int, limit: int = GROUP_BYTES) -> DataFrame:
-    """Per document row: held_out, n_tokens, n_known, train_tokens, base_score and score."""
-    spark = docs.sparkSession
-    n_train, n_words = map(int, model.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "n_words")]).first())
-    rows = id_and_text(docs).withColumn("held_out", held_out(F.col("doc_id"))) \
-        .select("doc_id", "text", "held_out", *[F.lit(None).cast("binary").alias(s) for s in _STATE])
-    columns = ["doc_id", "held_out"]
-
-    def state_of(b, i0, tokens):
-        return {s: np.concatenate([np.frombuffer(x, t) for x in b.column(s).to_pylist()])
-                if b.column(s).null_count < b.num_rows else np.zeros(len(tokens), t) for s, t in _STATE.items()}
-
-    def passer(group):
-        def run(batches):
-            for b, texts in chunks(batches, limit=SMALL_CHUNK):
-                tokens, before, first = token_stream(texts)
-                state = state_of(b, 0, tokens)
-                _look(group.open(), tokens, before, state)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), b.column("text"), b.column("held_out")]
-                    + [pa.array([v[i:j].tobytes() for i, j in zip(first[:-1], first[1:])], pa.binary())
-                       for v in state.values()], ["doc_id", "text", "held_out", *_STATE])
-        return run
-
-    def finisher(group):
-        def run(batches):
-            for b, texts in chunks(batches, limit=SMALL_CHUNK):
-                tokens, before, first = token_stream(texts)
-                state = state_of(b, 0, tokens)
-                if group is not None:
-                    _look(group.open(), tokens, before, state)
-                base, p = probability(state["count"], state["context"], state["pair"], state["follow"], n_train, n_words)
-                sums = [np.add.reduceat(x, first[:-1]) for x in (np.log10(base), np.log10(p))] if len(texts) else [[], []]
-                known = np.add.reduceat((state["count"] > 0).astype(np.int64), first[:-1])
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), b.column("held_out"), pa.array(np.diff(first)), pa.array(known),
-                     pa.array(np.full(len(texts), n_train, np.int64)), pa.array(sums[0]), pa.array(sums[1])],
-                    [*columns, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-        return run
-
-    result = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    for group, last in groups(model, n, limit):
-        rows = staged(rows.mapInArrow(finisher(group), result) if last else rows.mapInArrow(passer(group), rows.schema), "lm-levels")
-        group.shared.destroy()  # the workers live on
-        if last:
-            return rows
-    return rows.mapInArrow(finisher(None), result)
+    """Per document row: held_out, n_tokens, n_known, train_tokens, base_score and score.
+
+    A model of at most ``limit`` bytes is broadcast, a larger one stays in its buckets.
+    """
+    n_train, n_words, size = map(int, model.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "n_words")],
+        F.coalesce(F.sum(sum(F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c in _PARTS)), F.lit(0))).first())
+    rows = id_and_text(docs).withColumn("held_out", held_out(F.col("doc_id"))).select("doc_id", "text", "held_out")
+    if size > limit:
+        return _score_by_exchange(rows, model, n, n_train, n_words)
+    (group, _), = groups(model, n, limit)
+
+    def run(batches):
+        for b, texts in chunks(batches, limit=SMALL_CHUNK):
+            tokens, before, first = token_stream(texts)
+            state = {s: np.zeros(len(tokens), t) for s, t in _STATE.items()}
+            _look(group.open(), tokens, before, state)
+            yield scored(b.column("doc_id"), b.column("held_out"), first, state, n_train, n_words)
+
+    out = staged(rows.mapInArrow(run, _RESULT), "lm-scores")
+    group.shared.destroy()  # the workers live on
+    return out
 
 
 def op5_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,12 @@
 """Every corpus operator against its brute-force version, with the odd cases of its docstring."""
 
 import math
+import os
 import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -371,6 +373,66 @@ def test_language_model_odd_cases(odd, empty):
     assert all(r.n_known == 0 and r.train_tokens == 0 for r in got)
 
 
+def test_large_model_keeps_no_copies_of_the_texts(spark, docs):
+    """A model of many groups leaves its result alone in the shared folder: the texts are not written for each group."""
+    shared = spark.conf.get("spark.checkpoint.dir")
+    model, n = bloom_lm.train(docs)
+    before = set(os.listdir(shared))
+    out = bloom_lm.score(docs, model, n, limit=1000)
+    assert len(set(os.listdir(shared)) - before) == 1 and out.count() == len(ROWS)
+
+
+def test_questions_with_odd_rows(odd, empty):
+    """Broadcast and exchange agree on null texts, null ids and copies, with a model and without."""
+    for model, n in (bloom_lm.train(odd), bloom_lm.train(empty)):
+        key = lambda r: tuple(str(x) for x in r)
+        want, got = (sorted(bloom_lm.score(odd, model, n, limit=k).collect(), key=key) for k in (1 << 30, -1))
+        assert [r[:5] for r in got] == [r[:5] for r in want] and len(got) == 7
+        assert [r[6] for r in got] == pytest.approx([r[6] for r in want])
+        assert bloom_lm.score(empty, model, n, limit=-1).count() == 0
+
+
+def test_questions_in_small_bundles(spark, docs, monkeypatch):
+    """Bundles, answers and results cut into small pieces change nothing."""
+    model, n = bloom_lm.train(docs)
+    want = found(bloom_lm.score(docs, model, n))
+    ids, held = [r[0] for r in ROWS], [False] * len(ROWS)
+    texts = [(t or "").encode() for _, t in ROWS]
+    monkeypatch.setattr(bloom_lm, "SMALL_CHUNK", 50)
+    monkeypatch.setattr(bloom_lm, "PIECE", 20)
+    sizes = np.array([len(t) for t in texts])
+    tokens, first = bloom_lm.bundle_tokens(sizes.tobytes(), pa.compress(b"".join(texts), "zstd", asbytes=True))
+    whole, before, at = bloom_lm.token_stream(texts)
+    assert (tokens == whole).all() and (first == at).all()
+    q = bloom_lm.Questions(tokens, first, n)
+    assert (q.words[q.word] == tokens).all() and (q.words[q.ahead] == before).all()
+    assert (q.words[q.lead[q.pair]] == before).all() and (q.low[q.pair] == (tokens >> np.uint64(32))).all()
+    asked, parts = q.rows(7), {r.bucket: r.asDict() for r in model.collect()}
+    answers = [bloom_lm._answered(bloom_lm.Group.of(b, n, {k: parts.get(b, {}).get(k) for k in bloom_lm._PARTS}),
+                                  pa.Table.from_batches([asked.slice(i, 1)])) for i, b in enumerate(asked.column("bucket").to_pylist())]
+    known = {c: np.frombuffer(b"".join(pa.concat_tables(answers).column(c).to_pylist()), t) for c, t in bloom_lm._ANSWERS.items()}
+    n_train, n_words = map(int, model.agg(F.sum("tokens"), F.sum("n_words")).first())
+    state = {"pair": known["pairs"][q.pair], "count": known["counts"][q.word], "context": known["counts"][q.ahead],
+             "follow": known["follow"][q.ahead]}
+    got = bloom_lm.scored(pa.array(ids), pa.array(held), first, state, n_train, n_words).to_pylist()
+    for r in got:
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == want[r["doc_id"]][1:4]
+        assert r["score"] == pytest.approx(want[r["doc_id"]][5], abs=1e-9)
+
+
+def test_shuffles_are_removed_with_their_query(spark):
+    """What a query has sent is gone when its result is written."""
+    from tessera.llm.frames import shuffles_removed, staged
+
+    blocks = lambda: str(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+                         .getAllBlocks().mkString(" ")).count("shuffle_")
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was, before = spark.conf.get(key, None), blocks()
+    with shuffles_removed(spark):
+        out = staged(spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count(), "removed")
+    assert blocks() <= before and out.count() == 100 and spark.conf.get(key, None) == was
+
+
 # ---- 6 packing
 
 def check_pieces(rows, got, window):
