@@ -289,6 +289,47 @@ def test_a_row_given_twice_keeps_its_bytes(spark, monkeypatch, hot):
         sorted((d, *want[d]) for d, _ in ROWS + twice)
 
 
+def test_zones_are_sent_for_many_batches_at_once():
+    """A task sends a row a bucket for all zones it gathers, not for each batch, whose number times that of the buckets grows as the square."""
+    texts = [t or "" for _, t in ROWS]
+    batches = [pa.RecordBatch.from_pydict({"doc_id": pa.array([i], pa.int64()), "text": [t], "_row": pa.array([i], pa.int64())})
+               for i, t in enumerate(texts)]
+    n, zones = 16, bwt_dedup.Z
+    sent = list(zones.zone_rows(iter(batches), bwt_dedup.window_zones, True, n))
+    assert sum(b.num_rows for b in sent) <= 2 * n < len(texts)
+    z = zones.unpack(pa.Table.from_batches(sent), 1)
+    each = [zones.unpack(pa.Table.from_batches(zones.zone_rows(iter([b]), bwt_dedup.window_zones, True, n)), 1)
+            for b in batches if len(b.column("text")[0].as_py().encode()) >= bwt_dedup.LENGTH]
+    _, want = zones.settle(zones.join(each), True)
+    assert sorted(z["fragments"].tolist()) == sorted(want["fragments"].tolist())
+
+
+@pytest.mark.parametrize("n", [3000, 2_200_000])  # the larger has ranks and places that do not fit in one number
+def test_suffixes_are_in_order(n):
+    rng = np.random.default_rng(5)
+    text = rng.integers(1, 4, n).astype(np.int16)
+    text[n // 2:n // 2 + 500] = text[:500]
+    text[-1] = 0
+    order = bwt_dedup.suffix_order(text, 100)
+    assert (np.sort(order) == np.arange(n)).all()
+    whole = bytes(text.astype(np.uint8))
+    some = np.arange(0, n - 1, max(1, n // 20_000))
+    assert all(whole[i:i + 100] <= whole[j:j + 100] for i, j in zip(order[some].tolist(), order[some + 1].tolist()))
+
+
+def test_intervals_of_any_size_part_the_suffixes(monkeypatch):
+    """Single suffixes, small and large intervals: cut where the common prefix is shorter than the length asked for."""
+    rng = np.random.default_rng(6)
+    text = np.append(rng.integers(1, 3, 4000), 0).astype(np.int16)
+    text[3000:3300] = text[:300]
+    order = bwt_dedup.suffix_order(text, 64)
+    whole = bytes(text.astype(np.uint8))
+    want = [True, *[whole[i:i + 20] != whole[j:j + 20] for i, j in zip(order[:-1].tolist(), order[1:].tolist())]]
+    for small in (1, 48, 1000):
+        monkeypatch.setattr(bwt_dedup, "SMALL", small)
+        assert bwt_dedup.parted(text, order, 20).tolist() == want
+
+
 # ---- 5 language model
 
 def test_language_model(docs):
